@@ -25,8 +25,15 @@ def starts_with_pattern(text: Column, pattern: str) -> Column:
 
 
 def contains_all(text: Column, words: list[str]) -> Column:
-    """All words occur, in any order."""
-    return text.rlike("".join(f"(?=.*{w})" for w in words))
+    """All patterns occur, in any order. One search each: look-aheads would go over the rest of the
+    text from every position of it."""
+    return reduce(lambda a, b: a & b, [text.rlike(w) for w in words])
+
+
+def line_anchored(pattern: str) -> str:
+    """The same pattern, tried at line starts only where it begins with ``(?=.*``: what such a
+    look-ahead finds from any place of a line it finds from the start of that line."""
+    return f"(?m)^{pattern}" if pattern.startswith("(?=.*") else pattern
 
 
 def seconds(text: Column) -> Column:

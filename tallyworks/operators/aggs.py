@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.functions.text import line_anchored
 from tallyworks.operators.quantiles import exact_quantiles, long_values, wide_quantiles
 from tallyworks.operators.scan import _BLOCK, ROWS_PER_TASK, OrderedScan
 
@@ -69,7 +70,7 @@ def concat_by(
 
 def keyword_share(df: DataFrame, code: str, text: str, patterns: dict[str, str]) -> DataFrame:
     """Per code and topic: texts, matching texts and their percentage. One pass for all patterns."""
-    hits = [F.count_if(F.col(text).rlike(p)).alias(f"__{t}") for t, p in patterns.items()]
+    hits = [F.count_if(F.col(text).rlike(line_anchored(p))).alias(f"__{t}") for t, p in patterns.items()]
     wide = df.groupBy(code).agg(F.count(text).alias("texts"), *hits)
     rows = [F.struct(F.lit(t).alias("topic"), F.col(f"__{t}").alias("matches")) for t in patterns]
     return wide.select(code, "texts", F.inline(F.array(*rows))).withColumn(
