@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.text import line_anchored
 from tallyworks.operators.quantiles import exact_quantiles, long_values, wide_quantiles
-from tallyworks.operators.scan import _BLOCK, ROWS_PER_TASK, OrderedScan
+from tallyworks.operators.scan import _BLOCK, ROWS_PER_TASK, OrderedScan, null_safe_join
 
 
 def _known(df: DataFrame, keys: list[str], keep_null_keys: bool) -> DataFrame:
@@ -46,25 +46,27 @@ def any_by(df: DataFrame, keys: list[str], flag: Column, name: str) -> DataFrame
 
 def concat_by(
     df: DataFrame, keys: list[str], text: str, order: list[str], sep: str = " ", name: str = "content",
-    rows_per_task: int = ROWS_PER_TASK,
+    extra: dict[str, Column] | None = None, rows_per_task: int = ROWS_PER_TASK, largest: int | None = None,
 ) -> DataFrame:
-    """Texts of each group in order, as one text.
+    """Texts of each group in order, as one text, with ``extra`` aggregates of the group.
 
     A group that is too large for one task is put together in parts by the partitions of an
     ``OrderedScan``; only the finished parts meet.
     """
+    more = [c.alias(n) for n, c in (extra or {}).items()]
 
-    def ordered(rows: DataFrame, by: list[str], what: str, at: list[str], out: str) -> DataFrame:
+    def joined(what: str, at: list[str]) -> Column:
         items = F.array_sort(F.collect_list(F.when(F.col(what).isNotNull(), F.struct(*at, F.col(what).alias("__t")))))
-        joined = F.when(F.size(items) > 0, F.array_join(F.transform(items, lambda s: s["__t"]), sep))
-        return rows.groupBy(*by).agg(joined.alias(out))
+        return F.when(F.size(items) > 0, F.array_join(F.transform(items, lambda s: s["__t"]), sep))
 
-    scan = OrderedScan(df, keys, order, rows_per_task)
+    scan = OrderedScan(df, keys, order, rows_per_task, largest)
     if scan.split:
-        parts = ordered(scan.df, [*keys, _BLOCK], text, order, "__part")
-        done = ordered(parts, keys, "__part", [_BLOCK], name)
+        parts = scan.df.groupBy(*keys, _BLOCK).agg(joined(text, order).alias("__part"))
+        done = parts.groupBy(*keys).agg(joined("__part", [_BLOCK]).alias(name))
+        if more:
+            done = null_safe_join(done, scan.df.groupBy(*keys).agg(*more), keys)
     else:
-        done = ordered(scan.df, keys, text, order, name)
+        done = scan.df.groupBy(*keys).agg(joined(text, order).alias(name), *more)
     return done.withColumn(name, F.coalesce(name, F.lit("")))
 
 
@@ -115,8 +117,14 @@ def null_counts(df: DataFrame) -> DataFrame:
     return unpivot_row(wide, df.columns, "nulls")
 
 
-def describe_numbers(df: DataFrame, columns: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """count, mean, sd, min, quartiles, max of each column."""
+def describe_numbers(
+    df: DataFrame, columns: list[str], rows_per_task: int = ROWS_PER_TASK, accuracy: int | None = None
+) -> DataFrame:
+    """count, mean, sd, min, quartiles, max of each column.
+
+    Quartiles are exact; with ``accuracy`` they are those of ``percentile_approx``, in one pass.
+    """
+    names = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
     moments = (
         long_values(df, columns)
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
@@ -127,10 +135,17 @@ def describe_numbers(df: DataFrame, columns: list[str], rows_per_task: int = ROW
             F.stddev_samp("value").alias("sd"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
+            *(
+                [F.percentile_approx("value", s, accuracy).alias(n) for s, n in names.items()]
+                if accuracy
+                else []
+            ),
         )
     )
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], rows_per_task=rows_per_task)
-    return moments.join(wide_quantiles(quartiles, {0.25: "q25", 0.5: "q50", 0.75: "q75"}, ["column"]), "column")
+    if accuracy:
+        return moments
+    quartiles = exact_quantiles(df, columns, list(names), rows_per_task=rows_per_task)
+    return moments.join(wide_quantiles(quartiles, names, ["column"]), "column")
 
 
 def describe_texts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -48,12 +48,17 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 class OrderedScan:
     """Adds ordered columns to ``df`` within ``keys``, ascending by ``order``.
 
-    ``order`` has to be unique within a group, otherwise results depend on chance.
+    ``order`` has to be unique within a group, otherwise results depend on chance. ``largest`` is
+    the size of the largest group, or a bound of it, where the caller knows it already; it saves the
+    count.
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK):
+    def __init__(
+        self, df: DataFrame, keys: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK, largest: int | None = None
+    ):
         self.keys, self.order = list(keys), list(order)
-        self.split = largest_group(df, self.keys) > rows_per_task
+        self.largest = largest_group(df, self.keys) if largest is None else largest
+        self.split = self.largest > rows_per_task
         if self.split:
             parts = max(2, math.ceil(df.count() / rows_per_task))
             df = cut_lineage(

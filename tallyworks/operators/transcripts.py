@@ -55,18 +55,14 @@ def word_table(df: DataFrame, file: list[str], order: list[str], rows_per_task:
 
 def speaker_runs(word_rows: DataFrame, file: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Text, speaker, time and word count of every uninterrupted part."""
-    by = [*file, "part"]
-    numbers = word_rows.groupBy(*by).agg(
-        F.min("speaker").alias("speaker"), F.sum("duration").alias("time"), F.count(F.lit(1)).alias("count")
-    )
-    return numbers.join(concat_by(word_rows, by, "word", order, " ", "content", rows_per_task), by)
+    numbers = {"speaker": F.min("speaker"), "time": F.sum("duration"), "count": F.count(F.lit(1))}
+    return concat_by(word_rows, [*file, "part"], "word", order, " ", "content", numbers, rows_per_task)
 
 
 def speaker_totals(word_rows: DataFrame, file: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """All words, time and word count of every speaker of a file."""
-    by = [*file, "speaker"]
-    numbers = word_rows.groupBy(*by).agg(F.sum("duration").alias("time"), F.count(F.lit(1)).alias("count"))
-    return numbers.join(concat_by(word_rows, by, "word", order, " ", "content", rows_per_task), by)
+    numbers = {"time": F.sum("duration"), "count": F.count(F.lit(1))}
+    return concat_by(word_rows, [*file, "speaker"], "word", order, " ", "content", numbers, rows_per_task)
 
 
 def text_windows(df: DataFrame, keys: list[str], text: str, n: int = 30) -> DataFrame:

@@ -80,11 +80,12 @@ def merge_adjacent(
 
     The separator is empty: word pieces carry their own mark at a word start.
     """
-    rows = OrderedScan(df, keys, [position], rows_per_task).row_number("__rn").result()
-    rows = rows.withColumn("__island", F.col(position) - F.col("__rn"))
-    merged = concat_by(rows, [*keys, "__island"], text, [position], "", name, rows_per_task)
-    start = rows.groupBy(*keys, "__island").agg(F.min(position).alias("start"))
-    out = merged.join(start, [*keys, "__island"]).drop("__island")
+    scan = OrderedScan(df, keys, [position], rows_per_task).row_number("__rn")
+    rows = scan.result().withColumn("__island", F.col(position) - F.col("__rn"))
+    # an island is a part of its group, so the group's size bounds it
+    out = concat_by(
+        rows, [*keys, "__island"], text, [position], "", name, {"start": F.min(position)}, rows_per_task, scan.largest
+    ).drop("__island")
     cleaned = F.trim(F.replace(F.col(name), F.lit(mark), F.lit(" "))) if mark else F.trim(name)
     return out.withColumn(name, cleaned)
 

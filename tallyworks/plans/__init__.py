@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["sources", "frame", "summaries", "ordered", "scalars", "features", "texts", "graphs", "rewards", "streams"]
+MODULES = ["sources", "frame", "summaries", "ordered", "scalars", "features", "learning", "texts", "graphs", "rewards", "streams"]
 
 
 def load():

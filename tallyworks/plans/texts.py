@@ -2,6 +2,7 @@
 
 import numpy as np
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyworks.functions import text as tx
 from tallyworks.functions.fixed_values import EMOTIONS, IS_A_RULES
@@ -12,6 +13,7 @@ from tallyworks.plans.registry import query
 from tallyworks.plans.scalars import SENTENCES, WORDS, even_slice_sql
 from tallyworks.plans.sources import HOST_SQL, _flat, page_rules
 from tallyworks.session import cut_lineage, new_folder
+from tallyworks.sources.files import read_json_tree, with_file_key
 from tallyworks.sources.tables import append, to_sink_schema
 
 _FILE, _ORDER = ["conv_id"], ["turn", "pos"]
@@ -62,6 +64,18 @@ def t03(t):
     return _numbers(transcripts.speaker_totals(call_words(t), _FILE, _ORDER))
 
 
+@query("s12_job_over_files", f"SELECT conv_id, CAST(speaker AS INTEGER) AS speaker, round(time, 4) AS time, count FROM {TOTALS}")
+def s12(t):
+    """Transcript files of a folder tree, all in one plan keyed by what the files say."""
+    path = new_folder(t.spark, "s12")
+    calls = t.conversations.select("conv_id", "turn", "role", transcripts.transcript_of(F.col("text"), F.col("turn")).alias("results"))
+    calls.write.partitionBy("role").json(path)
+    schema = T.StructType.fromDDL(f"conv_id long, turn long, {transcripts.TRANSCRIPT_DDL}")
+    read = with_file_key(read_json_tree(t.spark, path, schema))
+    rows = transcripts.words_from_transcript(read, ["file_key", "conv_id", "turn"])
+    return _numbers(rows.groupBy("conv_id", "speaker").agg(F.sum("duration").alias("time"), F.count(F.lit(1)).alias("count")))
+
+
 @query(
     "t04_text_windows",
     f"""SELECT doc_id, CAST(part AS INTEGER) AS "window", content FROM ({even_slice_sql("30", f"(SELECT doc_id, {WORDS} AS w FROM documents)")})""",
@@ -275,12 +289,17 @@ def t11(t):
 
 SMALL_RULES = [("NP__ (of|the|and|on) NP__", "first"), ("NP__,? NP__", "last")]
 
-_RELATIONS = f"""WITH m AS (SELECT doc_id, sentence_no, pos, tok AS term FROM (SELECT doc_id, sentence_no, unnest(w) AS tok, generate_subscripts(w, 1) AS pos
+def relations_sql(rules) -> str:
+    return f"""WITH m AS (SELECT doc_id, sentence_no, pos, tok AS term FROM (SELECT doc_id, sentence_no, unnest(w) AS tok, generate_subscripts(w, 1) AS pos
 FROM {_SENTENCE_TOKENS}) JOIN (SELECT DISTINCT unnest({_TOK.format('text')}) AS term FROM benchmark) ON term = tok WHERE length(tok) >= 5),
 p AS (SELECT DISTINCT doc_id, sentence_no, l, r FROM (SELECT doc_id, sentence_no, term AS r, lag(term) OVER (PARTITION BY doc_id, sentence_no ORDER BY pos) AS l FROM m) WHERE l <> r),
 x AS (SELECT doc_id, sentence_no, l, r, replace(replace(lower(sentence), CASE WHEN length(l) >= length(r) THEN l ELSE r END, 'NP__'),
  CASE WHEN length(l) >= length(r) THEN r ELSE l END, 'NP__') AS s FROM p JOIN {SENTENCE_TABLE} USING (doc_id, sentence_no)),
-d AS (SELECT *, CASE {' '.join(f"WHEN regexp_matches(s, '{p}') THEN '{v}'" for p, v in SMALL_RULES)} END AS dir FROM x)"""
+d AS (SELECT *, CASE {' '.join(f"WHEN regexp_matches(s, '{p}') THEN '{v}'" for p, v in rules)} END AS dir FROM x)"""
+
+
+_STRICT = """SELECT DISTINCT doc_id, CAST(sentence_no AS INTEGER) AS sentence_no, CASE WHEN dir = 'first' THEN r ELSE l END AS head, 'subgroup of' AS type,
+CASE WHEN dir = 'first' THEN l ELSE r END AS tail FROM d WHERE dir IS NOT NULL"""
 
 
 def _relation_rows(t, **options):
@@ -290,25 +309,21 @@ def _relation_rows(t, **options):
     return relations.pattern_relations(rows, keys, relations.mentions(rows, keys, words), **options)
 
 
-@query(
-    "t13_pattern_relations",
-    f"""{_RELATIONS} SELECT DISTINCT doc_id, CAST(sentence_no AS INTEGER) AS sentence_no, CASE WHEN dir = 'first' THEN r ELSE l END AS head, 'subgroup of' AS type,
-CASE WHEN dir = 'first' THEN l ELSE r END AS tail FROM d WHERE dir IS NOT NULL""",
-)
+@query("t13_pattern_relations", f"{relations_sql(SMALL_RULES)} {_STRICT}")
 def t13(t):
     return _relation_rows(t, rules=SMALL_RULES)
 
 
 @query(
     "t13_pattern_relations_as_found",
-    f"""{_RELATIONS} SELECT DISTINCT doc_id, CAST(sentence_no AS INTEGER) AS sentence_no, greatest(l, r) AS head, 'subgroup of' AS type, least(l, r) AS tail
+    f"""{relations_sql(SMALL_RULES)} SELECT DISTINCT doc_id, CAST(sentence_no AS INTEGER) AS sentence_no, greatest(l, r) AS head, 'subgroup of' AS type, least(l, r) AS tail
 FROM d WHERE dir IS NOT NULL""",
 )
 def t13_found(t):
     return _relation_rows(t, rules=SMALL_RULES, strict=False)
 
 
-@query("t13_all_rules")
+@query("t13_all_rules", f"{relations_sql(IS_A_RULES)} {_STRICT}")
 def t13_all(t):
     return _relation_rows(t, rules=IS_A_RULES)
 
