@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.session import cut_lineage
 
 
 def long_values(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
@@ -16,38 +17,110 @@ def long_values(df: DataFrame, columns: list[str], keys: list[str] = ()) -> Data
     return df.select(*keys, F.inline(F.array(*cells)))
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], shares: list[float], keys: list[str] = (), rows_per_task: int = ROWS_PER_TASK
+def _known(df: DataFrame) -> DataFrame:
+    return df.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def _by_rank(
+    counted: DataFrame, by: list[str], wanted: Column, total: Column | None, before: Column, rows_per_task: int,
+    largest: int | None = None,
 ) -> DataFrame:
-    """Rows (keys, column, share, quantile) with linear interpolation between neighbours.
+    """Quantiles of counted values ``(by, value, n)``.
 
-    Values are counted first, so repeated ones travel once. The positions of the sorted values come
-    from an ``OrderedScan``; Spark's ``percentile`` would hold all values of a group in one task.
+    ``wanted`` is the array of shares to look for on a row, ``before`` the number of values that
+    come ahead of the counted ones of its group, ``total`` the size of the whole group (the counted
+    values are all there is where it is missing).
     """
+    scan = OrderedScan(counted, by, ["value"], rows_per_task, largest).running_sum("n", "__upto")
+    if total is None:
+        scan.group_sum(F.col("n"), "__total")
+    else:
+        scan.df = scan.df.withColumn("__total", total)
+    upto = before + F.col("__upto")
+
+    def holds(place: Column) -> Column:
+        return (place >= upto - F.col("n")) & (place < upto)
+
+    def place_of(share: Column) -> Column:
+        return share * (F.col("__total") - 1)
+
+    on_row = F.filter(wanted, lambda s: holds(F.floor(place_of(s))) | holds(F.ceil(place_of(s))))
+    hits = scan.result().withColumn("share", F.explode(on_row))
+    place = place_of(F.col("share"))
+    low = F.max(F.when(holds(F.floor(place)), F.col("value")))
+    high = F.max(F.when(holds(F.ceil(place)), F.col("value")))
+    names = [c for c in by if not c.startswith("__")]
+    return hits.groupBy(*names, "share").agg((low + (high - low) * F.max(place - F.floor(place))).alias("quantile"))
+
+
+def _full_scan(df: DataFrame, columns: list[str], shares: list[float], keys: list[str], rows_per_task: int) -> DataFrame:
+    """All values counted and put in order."""
     by = [*keys, "column"]
-    counted = (
-        long_values(df, columns, list(keys))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(*by, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    placed = OrderedScan(counted, by, ["value"], rows_per_task).running_sum("n", "upto").result()
-    placed = placed.withColumn("from", F.col("upto") - F.col("n"))
-    totals = counted.groupBy(*by).agg(F.sum("n").alias("total"))
-    wanted = totals.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-    place = F.col("share") * (F.col("total") - 1)
-    wanted = wanted.select(
-        *by, "share", (place - F.floor(place)).alias("frac"), F.floor(place).alias("low"), F.ceil(place).alias("high")
-    )
-    wanted = wanted.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("share", "frac", "low", "high"))).alias("w"))
-    hits = placed.join(wanted, by).select(*by, "value", "from", "upto", F.explode("w").alias("w"))
-    inside = lambda p: (F.col(p) >= F.col("from")) & (F.col(p) < F.col("upto"))
-    hits = hits.where(inside("w.low") | inside("w.high"))
-    low = F.max(F.when(inside("w.low"), F.col("value")))
-    high = F.max(F.when(inside("w.high"), F.col("value")))
-    return hits.groupBy(*by, F.col("w.share").alias("share")).agg(
-        (low + (high - low) * F.max("w.frac")).alias("quantile")
+    # stored, as the size check and the scan both read it
+    counted = cut_lineage(
+        _known(long_values(df, columns, keys)).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
     )
+    return _by_rank(counted, by, F.lit(shares), None, F.lit(0), rows_per_task)
+
+
+_ACCURACY = 10_000
+
+
+def _brackets(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tuple[str, float], tuple] | None:
+    """Per column and share: values that enclose the quantile, and how many values lie below them.
+
+    The enclosing values come from ``percentile_approx``; exact counts prove that they enclose it.
+    None where they do not (few values, or none).
+    """
+    margin = 3 / _ACCURACY
+    ends = [max(0.0, s - margin) for s in shares] + [min(1.0, s + margin) for s in shares]
+    num = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+    found = df.agg(*[F.percentile_approx(num[c], ends, _ACCURACY).alias(c) for c in columns]).first()
+    if any(found[c] is None for c in columns):
+        return None
+    span = {(c, s): (found[c][i], found[c][i + len(shares)]) for c in columns for i, s in enumerate(shares)}
+    sums = [F.count(num[c]).alias(f"n_{j}") for j, c in enumerate(columns)]
+    for i, ((c, _), (lo, hi)) in enumerate(span.items()):
+        sums += [F.count_if(num[c] < lo).alias(f"below_{i}"), F.count_if(num[c] <= hi).alias(f"upto_{i}")]
+    counts = df.agg(*sums).first()
+    out = {}
+    for i, ((c, s), (lo, hi)) in enumerate(span.items()):
+        total = counts[f"n_{columns.index(c)}"]
+        place = s * (total - 1)
+        if not counts[f"below_{i}"] <= math.floor(place) or not math.ceil(place) < counts[f"upto_{i}"]:
+            return None
+        out[(c, s)] = (lo, hi, counts[f"below_{i}"], counts[f"upto_{i}"], total)
+    return out
+
+
+def exact_quantiles(
+    df: DataFrame, columns: list[str], shares: list[float], keys: list[str] = (), rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Rows (keys, column, share, quantile), exact, with linear interpolation between neighbours.
+
+    A few quantiles of whole columns are found by two aggregates that enclose them, and an ordering
+    of the few values in between: nothing large is shuffled. Many quantiles, or those of groups,
+    come from an ``OrderedScan`` of the counted values. Spark's ``percentile`` would hold all values
+    of a group in one task.
+    """
+    shares = [float(s) for s in shares]
+    found = _brackets(df, columns, shares) if not keys and len(shares) <= 20 else None
+    if found is None:
+        return _full_scan(df, columns, shares, list(keys), rows_per_task)
+    # columns x shares literals, bounded by the arguments
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"), F.lit(s).alias("__share"), F.lit(below).alias("__below"), F.lit(total).alias("__n"),
+            F.when(F.col(c).cast("double").between(lo, hi), F.col(c).cast("double")).alias("value"),
+        )
+        for (c, s), (lo, hi, below, _, total) in found.items()
+    ]
+    near = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    by = ["column", "__share", "__below", "__n"]
+    counted = near.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
+    most = max(upto - below for _, _, below, upto, _ in found.values())
+    largest = most if most <= rows_per_task else None
+    return _by_rank(counted, by, F.array("__share"), F.col("__n"), F.col("__below"), rows_per_task, largest)
 
 
 def wide_quantiles(quantiles: DataFrame, names: dict[float, str], keys: list[str]) -> DataFrame:

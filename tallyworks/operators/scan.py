@@ -125,18 +125,19 @@ class OrderedScan:
         self.df = rows.withColumn(name, F.coalesce(here, F.col("__carry"))).drop("__carry")
         return self
 
-    def with_group_size(self, name: str) -> OrderedScan:
-        """Rows of the group, by one aggregate and a join on the group key."""
+    def group_sum(self, col: Column, name: str) -> OrderedScan:
+        """Sum of ``col`` over the whole group on each of its rows."""
         if not self.split:
             whole = Window.partitionBy(*self.keys) if self.keys else Window.partitionBy(F.lit(0))
-            self.df = self.df.withColumn(name, F.count(F.lit(1)).over(whole))
-            return self
-        if not self.keys:
-            self.df = self.df.withColumn(name, F.lit(self.df.count()))
-            return self
-        sizes = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias(name))
-        self.df = null_safe_join(self.df, sizes, self.keys)
+            self.df = self.df.withColumn(name, F.sum(col).over(whole))
+        elif self.keys:
+            self.df = null_safe_join(self.df, self.df.groupBy(*self.keys).agg(F.sum(col).alias(name)), self.keys)
+        else:
+            self.df = self.df.withColumn(name, F.lit(self.df.agg(F.sum(col)).first()[0]))
         return self
 
+    def with_group_size(self, name: str) -> OrderedScan:
+        return self.group_sum(F.lit(1).cast("long"), name)
+
     def result(self) -> DataFrame:
         return self.df.drop(_BLOCK)

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.aggs import concat_by
+from tallyworks.operators.quantiles import long_values
 from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.session import cut_lineage
 
 
 def previous(df: DataFrame, keys: list[str], order: list[str], col: str, name: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -96,13 +98,11 @@ def rank_scale(fit_on: DataFrame, apply_to: DataFrame, columns: list[str], rows_
     Rows (column, value, scaled) of the distinct values of ``apply_to``; a value that was not
     fitted is left out. See ``learn.prep.QuantileScaler`` for values in between.
     """
-    from tallyworks.operators.quantiles import long_values
-
-    distinct = long_values(fit_on, columns).where(F.col("value").isNotNull()).distinct()
-    ranked = OrderedScan(distinct, ["column"], ["value"], rows_per_task).row_number("__r").result()
-    sizes = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("__n"))
-    scaled = ranked.join(sizes, "column").withColumn(
-        "scaled", F.when(F.col("__n") == 1, 0.0).otherwise((F.col("__r") - 1) / (F.col("__n") - 1))
+    distinct = cut_lineage(long_values(fit_on, columns).where(F.col("value").isNotNull()).distinct())
+    ranked = OrderedScan(distinct, ["column"], ["value"], rows_per_task).row_number("__r").with_group_size("__n").result()
+    scaled = ranked.select(
+        "column", "value", F.when(F.col("__n") == 1, 0.0).otherwise((F.col("__r") - 1) / (F.col("__n") - 1)).alias("scaled")
     )
-    values = long_values(apply_to, columns).distinct()
-    return values.join(scaled.select("column", "value", "scaled"), ["column", "value"])
+    if apply_to is fit_on:
+        return scaled
+    return long_values(apply_to, columns).distinct().join(scaled, ["column", "value"])

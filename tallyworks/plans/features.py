@@ -7,7 +7,7 @@ from tallyworks.operators import features
 from tallyworks.operators.aggs import sum_by
 from tallyworks.operators.frame import expect_empty
 from tallyworks.plans.registry import query
-from tallyworks.plans.summaries import REVENUE
+from tallyworks.plans.summaries import revenue
 
 
 def _calendar(t):
@@ -179,7 +179,7 @@ def d10(t):
         .withColumn("pay_day", dates.pay_day(c("o_orderdate")))
     )
     return wide.groupBy("n_name", "pay_day").agg(
-        F.count(F.lit(1)).alias("lines"), F.count("p_brand").alias("known_parts"), F.round(F.sum(REVENUE), 2).alias("sales")
+        F.count(F.lit(1)).alias("lines"), F.count("p_brand").alias("known_parts"), F.round(F.sum(revenue()), 2).alias("sales")
     )
 
 

@@ -164,5 +164,6 @@ def w09(t):
 SELECT DISTINCT 'l_quantity' AS "column", l_quantity AS value FROM lineitem UNION ALL SELECT DISTINCT 'l_extendedprice', l_extendedprice FROM lineitem)""",
 )
 def w10(t):
-    out = windows.rank_scale(t.lineitem, t.lineitem, ["l_quantity", "l_extendedprice"])
+    rows = t.lineitem
+    out = windows.rank_scale(rows, rows, ["l_quantity", "l_extendedprice"])
     return out.withColumn("scaled", F.round("scaled", 6))

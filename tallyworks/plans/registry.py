@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks.sources.files import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+# rows of these tables are long texts that queries take apart
+_TEXTS = ("documents", "pages", "conversations")
+
+
 class Tables:
     """The parquet tables of one folder as attributes, read lazily."""
 
@@ -17,7 +23,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(table) if name in _TEXTS else table
 
 
 def query(name: str, sql: str | None = None):

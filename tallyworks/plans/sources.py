@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.functions.text import one_line
-from tallyworks.operators.transcripts import transcript_of, words_from_transcript
+from tallyworks.operators.transcripts import TRANSCRIPT_DDL, transcript_of, words_from_transcript
 from tallyworks.plans.registry import query
 from tallyworks.session import new_folder
 from tallyworks.sources import files, pages, tables
@@ -85,8 +85,10 @@ _WORDS_SQL = """words AS (
     f"WITH {_WORDS_SQL} SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, word, CAST(0.4 AS DOUBLE) AS duration FROM words",
 )
 def s04(t):
-    calls = t.conversations.withColumn("results", transcript_of(F.col("text"), F.col("turn")))
-    words = words_from_transcript(calls, ["conv_id", "turn"])
+    path = new_folder(t.spark, "s04")
+    t.conversations.select("conv_id", "turn", transcript_of(F.col("text"), F.col("turn")).alias("results")).write.json(path)
+    schema = T.StructType.fromDDL(f"conv_id long, turn long, {TRANSCRIPT_DDL}")
+    words = words_from_transcript(files.read_json_tree(t.spark, path, schema), ["conv_id", "turn"])
     return words.select("conv_id", "turn", "pos", "word", F.round("duration", 4).alias("duration"))
 
 

@@ -7,7 +7,8 @@ from tallyworks.operators import aggs
 from tallyworks.plans.frame import LABELLED, labelled
 from tallyworks.plans.registry import query
 
-REVENUE = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+def revenue():
+    return F.col("l_extendedprice") * (1 - F.col("l_discount"))
 
 
 @query(
@@ -16,7 +17,7 @@ REVENUE = F.col("l_extendedprice") * (1 - F.col("l_discount"))
 )
 def a01_brand(t):
     sold = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    return aggs.sum_by(sold, ["p_brand"], REVENUE, "sales").withColumn("sales", F.round("sales", 2))
+    return aggs.sum_by(sold, ["p_brand"], revenue(), "sales").withColumn("sales", F.round("sales", 2))
 
 
 @query(

@@ -19,10 +19,18 @@ from tallyworks.sources.tables import append, to_sink_schema
 _FILE, _ORDER = ["conv_id"], ["turn", "pos"]
 
 
+def call_files(t):
+    """All conversations as transcript files of a speech service, read back with their schema."""
+    path = new_folder(t.spark, "calls")
+    calls = t.conversations.select("conv_id", "turn", "role", transcripts.transcript_of(F.col("text"), F.col("turn")).alias("results"))
+    calls.write.partitionBy("role").json(path)
+    schema = T.StructType.fromDDL(f"conv_id long, turn long, {transcripts.TRANSCRIPT_DDL}")
+    return read_json_tree(t.spark, path, schema)
+
+
 def call_words(t):
-    """Words of all conversations, as a transcript of each would list them."""
-    calls = t.conversations.withColumn("results", transcripts.transcript_of(F.col("text"), F.col("turn")))
-    return transcripts.words_from_transcript(calls, ["conv_id", "turn"])
+    """Words of all conversations, as a transcript of each lists them."""
+    return transcripts.words_from_transcript(call_files(t), ["conv_id", "turn"])
 
 
 CALL_WORDS = f"""(SELECT conv_id, turn, pos, word, length(word) % 3 AS speaker, CAST(0.4 AS DOUBLE) AS duration FROM (SELECT conv_id, turn, unnest(ws) AS word,
@@ -67,11 +75,7 @@ def t03(t):
 @query("s12_job_over_files", f"SELECT conv_id, CAST(speaker AS INTEGER) AS speaker, round(time, 4) AS time, count FROM {TOTALS}")
 def s12(t):
     """Transcript files of a folder tree, all in one plan keyed by what the files say."""
-    path = new_folder(t.spark, "s12")
-    calls = t.conversations.select("conv_id", "turn", "role", transcripts.transcript_of(F.col("text"), F.col("turn")).alias("results"))
-    calls.write.partitionBy("role").json(path)
-    schema = T.StructType.fromDDL(f"conv_id long, turn long, {transcripts.TRANSCRIPT_DDL}")
-    read = with_file_key(read_json_tree(t.spark, path, schema))
+    read = with_file_key(call_files(t))
     rows = transcripts.words_from_transcript(read, ["file_key", "conv_id", "turn"])
     return _numbers(rows.groupBy("conv_id", "speaker").agg(F.sum("duration").alias("time"), F.count(F.lit(1)).alias("count")))
 
