@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.session import cut_lineage
 
 
 def r2(df: DataFrame, label: Column, pred: Column, by: list[str] = ()) -> DataFrame:
@@ -19,34 +20,27 @@ def accuracy(df: DataFrame, label: Column, pred: Column, by: list[str] = ()) ->
 
 
 def _by_score(df: DataFrame, label: str, score: str, rows_per_task: int) -> DataFrame:
-    """One row per distinct score, highest first: positives and negatives at it and down to it.
+    """One row per distinct score, highest first: positives and negatives at it, down to it, in all.
 
-    Equal scores are counted before they are ordered. ``__down`` orders from high to low.
+    Equal scores are counted before they are ordered. The counts are stored, so a model behind the
+    scores answers once. ``__down`` orders from high to low.
     """
-    counted = (
+    counted = cut_lineage(
         df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
         .groupBy((-F.col(score).cast("double")).alias("__down"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
     scan = OrderedScan(counted, [], ["__down"], rows_per_task).running_sum("pos", "tp").running_sum("neg", "fp")
+    scan.group_sum(F.col("pos"), "positives").group_sum(F.col("neg"), "negatives")
     return scan.result().withColumn("threshold", -F.col("__down"))
 
 
-def _totals(df: DataFrame, label: str, score: str) -> tuple[int, int]:
-    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    row = known.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
-    return row["p"], row["n"]
-
-
-def _over(part: Column, whole: int) -> Column:
-    return part / F.lit(float(whole)) if whole else F.lit(None).cast("double")
-
-
 def roc(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Rates at each distinct score taken as threshold; the point (0, 0) is not listed."""
-    p, n = _totals(df, label, score)
     steps = _by_score(df, label, score, rows_per_task)
-    return steps.select("threshold", _over(F.col("tp"), p).alias("tpr"), _over(F.col("fp"), n).alias("fpr"))
+    return steps.select(
+        "threshold", F.try_divide("tp", "positives").alias("tpr"), F.try_divide("fp", "negatives").alias("fpr")
+    )
 
 
 def auc(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

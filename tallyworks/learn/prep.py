@@ -146,7 +146,7 @@ class QuantileScaler:
         return df
 
 
-def model_pipeline(
+def prepared_estimator(
     estimator, numbers: list[str], categories: list[str] = (), strategy: str = "mean", one_hot: bool = True
 ) -> Pipeline:
     """Fill numbers, code categories (unknown ones stay apart), assemble, estimate.

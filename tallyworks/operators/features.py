@@ -19,6 +19,7 @@ from tallyworks.operators.aggs import any_by
 from tallyworks.operators.frame import fill_values, recode, row_sum, same, stack
 from tallyworks.operators.scan import ROWS_PER_TASK
 from tallyworks.operators.windows import fill_back, run_starts
+from tallyworks.session import cut_lineage
 
 
 def holiday_flag(
@@ -57,10 +58,10 @@ def first_holiday(
     """Adds ``first_any`` (the first day of a run of days with a holiday somewhere) and
     ``first_here`` (the same where this row has a holiday itself).
 
-    The days are reduced to one row each before they are put in order.
+    The days are reduced to one row each and stored before they are put in order.
     """
     by = list(keys)
-    days = any_by(df, [*by, date], F.col(flag), "__any")
+    days = cut_lineage(any_by(df, [*by, date], F.col(flag), "__any"))
     starts = run_starts(days, by, [date], "__any", "first_any", rows_per_task).drop("__any")
     return df.join(starts, [*by, date], "left").withColumn(
         "first_here", F.coalesce(F.col(flag), F.lit(False)) & F.coalesce("first_any", F.lit(False))
@@ -79,7 +80,7 @@ def sales_base(
     ``day_type``, that of the store ``store_type``.
     """
     facts = stack(sales, to_predict)
-    days = facts.select("date").distinct().join(prices, "date", "left")
+    days = cut_lineage(facts.select("date").distinct().join(prices, "date", "left"))
     filled = fill_back(days, [], ["date"], "dcoilwtico", "__price", rows_per_task)
     filled = filled.drop("dcoilwtico").withColumnRenamed("__price", "dcoilwtico")
     wide = (
@@ -91,15 +92,17 @@ def sales_base(
 
 
 def person_profile(
-    charges: DataFrame, people: DataFrame, severity: dict[str, int] = CHARGE_SEVERITY, earliest: int = -30
+    charges: DataFrame, people: DataFrame, severity: dict[str, int] = CHARGE_SEVERITY, earliest: int = -30,
+    days: str = "days_since_screening",
 ) -> DataFrame:
     """One row per person: highest severity, charges per severity 0..5, largest charge number and
-    age at the first charge. Charges of ``earliest`` days or less from the screening are left out.
+    age at the first charge. Charges are left out when their ``days``
+    column, counted from the screening, is ``earliest`` or less.
 
     Only the columns of the profile travel; the group is summed on the map side.
     """
     levels = sorted(set(severity.values()))
-    recent = charges.where(F.col("days_since_compas") > earliest)
+    recent = charges.where(F.col(days) > earliest)
     coded = recent.withColumn("__s", recode(F.col("charge_degree"), severity, keep_unknown=False))
     born = people.select(F.col("id").alias("person_id"), "dob")
     aged = coded.join(born, "person_id", "left").withColumn(

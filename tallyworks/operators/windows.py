@@ -60,18 +60,22 @@ def fill_back(df: DataFrame, keys: list[str], order: list[str], col: str, name:
     return OrderedScan(df, keys, order, rows_per_task).next_non_null(col, name).result()
 
 
+def part_of(position: str, size: str, k: Column) -> Column:
+    """Part 1..k of the position (from 1) in an ordered group, the longer parts first."""
+    i, short, longer = F.col(position) - 1, F.floor(F.col(size) / k), F.col(size) % k
+    in_longer = F.floor(i / (short + 1))
+    # with fewer rows than parts every row is in a longer one
+    in_shorter = longer + F.floor((i - longer * (short + 1)) / F.greatest(short, F.lit(1)))
+    return (F.when(i < longer * (short + 1), in_longer).otherwise(in_shorter) + 1).cast("int")
+
+
 def even_parts(df: DataFrame, keys: list[str], order: list[str], k: Column, name: str = "part", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Part 1..k of an ordered group cut into k nearly equal parts, the longer ones first.
 
     ``k`` may differ from group to group.
     """
     scan = OrderedScan(df, keys, order, rows_per_task).row_number("__i").with_group_size("__n")
-    i, short, longer = F.col("__i") - 1, F.floor(F.col("__n") / k), F.col("__n") % k
-    in_longer = F.floor(i / (short + 1))
-    # parts are empty from the n-th on when there are fewer rows than parts
-    in_shorter = longer + F.floor((i - longer * (short + 1)) / F.greatest(short, F.lit(1)))
-    part = F.when(i < longer * (short + 1), in_longer).otherwise(in_shorter) + 1
-    return scan.result().withColumn(name, part.cast("int")).drop("__i", "__n")
+    return scan.result().withColumn(name, part_of("__i", "__n", k)).drop("__i", "__n")
 
 
 def merge_adjacent(

@@ -111,7 +111,7 @@ def _profiles(t):
         F.col("o_custkey").alias("person_id"),
         F.col("l_returnflag").alias("charge_degree"),
         F.col("l_linenumber").alias("charge_number"),
-        F.datediff(F.col("l_shipdate").cast("date"), F.lit("1996-01-01").cast("date")).alias("days_since_compas"),
+        F.datediff(F.col("l_shipdate").cast("date"), F.lit("1996-01-01").cast("date")).alias("days_since_screening"),
         F.col("l_shipdate").cast("date").alias("date_charge_filed"),
     )
     people = t.customer.select(

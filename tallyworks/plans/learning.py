@@ -149,12 +149,12 @@ def _classifier_report(model, test):
     return both.withColumn("n", F.lit(test.count()))
 
 
-@query("m08_pipeline")
+@query("m08_prepared_elastic_net")
 def m08(t):
     rows = labelled(t).withColumn("label", F.col("n_chars").cast("double"))
     rows = rows.withColumns({c: F.col(c).cast("double") for c in ("quality", "toxic")})
     estimator = models.elastic_net(alpha=1.0, l1_ratio=0.5)
-    fitted = prep.model_pipeline(estimator, ["quality", "toxic"], ["lang", "source"]).fit(rows)
+    fitted = prep.prepared_estimator(estimator, ["quality", "toxic"], ["lang", "source"]).fit(rows)
     return fitted.transform(rows).select("doc_id", F.round("prediction", 3).alias("prediction"))
 
 

@@ -149,13 +149,12 @@ _SPEAKER_CHUNKS = chunk_sql(f"(SELECT conv_id, speaker, content AS text FROM {TO
 )
 def t07_speakers(t):
     by = ["conv_id", "speaker"]
-    totals = cut_lineage(_numbers(transcripts.speaker_totals(call_words(t), _FILE, _ORDER)))
-    chunks = transcripts.text_chunks(totals, by, "content")
+    said = cut_lineage(call_words(t))
+    totals = _numbers(said.groupBy(*by).agg(F.sum("duration").alias("time"), F.count(F.lit(1)).alias("count")))
+    chunks = transcripts.word_chunks(said, by, _ORDER)
     scores = transcripts.lexicon_scores(chunks, [*by, "chunk"], lexicon(t), EMOTIONS)
     means = _rounded(transcripts.mean_scores(scores, by, EMOTIONS, "sp_"), "sp_")
-    rows = to_sink_schema(
-        totals.join(means, by), {"conv_id": "episode_id", "speaker": "speaker_id", "time": "sp_time"}, ["content"]
-    )
+    rows = to_sink_schema(totals.join(means, by), {"conv_id": "episode_id", "speaker": "speaker_id", "time": "sp_time"})
     path = new_folder(t.spark, "t07s")
     append(rows, path)
     return t.spark.read.parquet(path)
@@ -171,15 +170,16 @@ _WINDOWS = f"""(SELECT conv_id, part AS window_slide, content AS text FROM ({eve
 {score_sql(chunk_sql(_WINDOWS, 'conv_id, window_slide'), 'conv_id, window_slide, chunk')} GROUP BY 1, 2""",
 )
 def t07_windows(t):
-    from tallyworks.operators.aggs import concat_by
-
+    """Windows of whole conversations; a conversation with few words has empty windows that score 0."""
     by = ["conv_id", "window"]
-    whole = concat_by(t.conversations.select("conv_id", "turn", "text"), _FILE, "text", ["turn"])
-    chunks = transcripts.text_chunks(transcripts.text_windows(whole, _FILE, "content"), by, "content")
+    said = cut_lineage(transcripts.word_windows(call_words(t), _FILE, _ORDER))
+    chunks = transcripts.word_chunks(said, by, _ORDER)
     scores = transcripts.lexicon_scores(chunks, [*by, "chunk"], lexicon(t), EMOTIONS)
     means = _rounded(transcripts.mean_scores(scores, by, EMOTIONS, "su_"), "su_")
+    every = said.select("conv_id").distinct().select("conv_id", F.explode(F.sequence(F.lit(1), F.lit(30))).alias("window"))
+    filled = every.join(means, by, "left").fillna(0.0, ["su_" + v for v in EMOTIONS])
     path = new_folder(t.spark, "t07w")
-    append(to_sink_schema(means, {"conv_id": "episode_id", "window": "window_slide"}), path)
+    append(to_sink_schema(filled, {"conv_id": "episode_id", "window": "window_slide"}), path)
     return t.spark.read.parquet(path)
 
 

@@ -96,7 +96,7 @@ def test_sales_base_multiplies_and_fills(spark, as_rows):
 def test_person_profile_and_two_statuses(spark, as_rows):
     charges = spark.createDataFrame(
         [(1, "(F1)", 2, -29, "2013-05-01"), (1, "(M1)", 1, 10, "2012-05-01"), (1, "(F6)", 9, -30, "2000-01-01"), (2, "(0)", 1, 5, "2013-01-01")],
-        "person_id long, charge_degree string, charge_number int, days_since_compas int, date_charge_filed string",
+        "person_id long, charge_degree string, charge_number int, days_since_screening int, date_charge_filed string",
     )
     people = spark.createDataFrame([(1, "1990-05-02"), (2, "2014-01-01")], "id long, dob string")
     profiles = features.person_profile(charges, people)

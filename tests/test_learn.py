@@ -160,8 +160,8 @@ def test_ridge_classifier_and_early_stopping(people):
     assert model.stages[-1].getNumTrees <= 15
 
 
-def test_pipeline_with_unseen_category(spark):
+def test_prepared_estimator_with_unseen_category(spark):
     train = spark.createDataFrame([(1.0, "a", 1.0), (None, "b", 2.0), (3.0, "a", 3.0), (4.0, None, 4.0)], "v double, c string, label double")
-    fitted = prep.model_pipeline(models.linear(), ["v"], ["c"]).fit(train)
+    fitted = prep.prepared_estimator(models.linear(), ["v"], ["c"]).fit(train)
     out = fitted.transform(spark.createDataFrame([(None, "new"), (2.0, "a")], "v double, c string"))
     assert out.count() == 2 and out.where("prediction IS NULL").isEmpty()

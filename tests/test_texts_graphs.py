@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import text
 from tallyworks.functions.scoring import with_scores
+from tallyworks.operators.aggs import concat_by
 from tallyworks.operators import articles, graph, relations, rewards, transcripts
 from tallyworks.session import new_folder
 from tallyworks.streaming import ingest
@@ -50,6 +51,19 @@ def test_windows_and_chunks_as_even_arrays(spark, n):
     assert chunks == ([" ".join(p) for p in np.array_split(words, k)] if k > 1 else [line])
 
 
+@pytest.mark.parametrize("rows_per_task", [10**9, 20])
+def test_word_rows_are_cut_like_texts(spark, as_rows, rows_per_task):
+    rng = random.Random(4)
+    texts = [(i, " ".join("w" * rng.randint(1, 9) for _ in range(n))) for i, n in enumerate([1, 29, 30, 31, 200])]
+    df = spark.createDataFrame(texts, "id int, t string")
+    said = df.select("id", F.posexplode(F.split("t", " ")).alias("pos", "word"))
+    chunks = transcripts.word_chunks(said, ["id"], ["pos"], size=50, rows_per_task=rows_per_task)
+    assert as_rows(chunks, "id", "chunk", "content") == as_rows(transcripts.text_chunks(df, ["id"], "t", 50))
+    windows = concat_by(transcripts.word_windows(said, ["id"], ["pos"], 30, rows_per_task), ["id", "window"], "word", ["pos"])
+    want = transcripts.text_windows(df, ["id"], "t").where("content <> ''")
+    assert as_rows(windows, "id", "window", "content") == as_rows(want)
+
+
 TAGGED = {
     "<s><triplet> A b <subj> C <obj> is <subj> D <obj> has</s>": [("A b", "is", "C"), ("A b", "has", "D")],
     "<s><triplet> A <subj> A <obj> is <triplet> B <subj> C <obj> of<pad>": [("A", "is", "A"), ("B", "of", "C")],
