@@ -310,6 +310,17 @@ def _nation_codes(t):
     return t.customer.select("c_custkey", F.col("c_nationkey").cast("string").alias("code"))
 
 
+@query(
+    "j08_reattach_columns",
+    "SELECT doc_id, lang, source, quality, CAST(n_chars > 2000 AS INTEGER) AS pred FROM documents JOIN labels USING (doc_id)",
+)
+def j08(t):
+    """Predictions from the features alone, joined to the columns that the model did not see."""
+    answered = t.documents.join(t.labels, "doc_id", "left_semi").select("doc_id", (F.col("n_chars") > 2000).cast("int").alias("pred"))
+    held_out = t.documents.select("doc_id", "lang", "source").join(t.labels.select("doc_id", "quality"), "doc_id")
+    return joins.align([held_out, answered], ["doc_id"])
+
+
 @query(
     "j09_lookup_or_self",
     """SELECT c_custkey, coalesce(n_name, CAST(c_nationkey AS VARCHAR)) AS place FROM customer
