@@ -27,12 +27,13 @@ ROWS_PER_TASK = 4_000_000
 _BLOCK = "__block"
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group (map-side combined count), all rows when there is no key."""
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest group and of all groups (map-side combined count)."""
     if not keys:
-        return df.count()
-    top = df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    return top["n"] or 0
+        n = df.count()
+        return n, n
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("top"), F.sum("count").alias("n")).first()
+    return row["top"] or 0, row["n"] or 0
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -57,10 +58,13 @@ class OrderedScan:
         self, df: DataFrame, keys: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK, largest: int | None = None
     ):
         self.keys, self.order = list(keys), list(order)
-        self.largest = largest_group(df, self.keys) if largest is None else largest
-        self.split = self.largest > rows_per_task
+        total = None
+        if largest is None:
+            largest, total = group_sizes(df, self.keys)
+        self.largest = largest
+        self.split = largest > rows_per_task
         if self.split:
-            parts = max(2, math.ceil(df.count() / rows_per_task))
+            parts = max(2, math.ceil((df.count() if total is None else total) / rows_per_task))
             df = cut_lineage(
                 df.repartitionByRange(parts, *self.keys, *self.order).withColumn(_BLOCK, F.spark_partition_id())
             )

@@ -25,6 +25,7 @@ def build_session(app: str = "tallyworks", master: str | None = None, **conf: st
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():

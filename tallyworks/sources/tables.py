@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +46,14 @@ def append_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     df.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
 
-def exists(spark: SparkSession, target: str) -> bool:
-    """Whether a parquet folder has been written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+def written(spark: SparkSession, target: str) -> DataFrame | None:
+    """The rows of a parquet folder, None where it has not been written yet."""
+    try:
+        return spark.read.parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def unseen(df: DataFrame, known: DataFrame | None, key: str, order: list[str]) -> DataFrame:
@@ -66,9 +71,7 @@ def unseen(df: DataFrame, known: DataFrame | None, key: str, order: list[str]) -
 
 def append_new(df: DataFrame, target: str, key: str, order: list[str]) -> None:
     """Appends the rows whose key the target does not hold yet, each key once."""
-    spark = df.sparkSession
-    known = spark.read.parquet(target) if exists(spark, target) else None
-    append(unseen(df, known, key, order), target)
+    append(unseen(df, written(df.sparkSession, target), key, order), target)
 
 
 def to_sink_schema(df: DataFrame, mapping: dict[str, str], drop: list[str] = ()) -> DataFrame:

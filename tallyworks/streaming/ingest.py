@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyworks.sources.tables import append, append_new, exists
+from tallyworks.sources.tables import append, append_new, written
 
 
 def _stream(
@@ -42,9 +42,8 @@ def ingest_stream(
 
 def append_parts(rows: DataFrame, target: str, key: str) -> None:
     """Appends all rows of keys that ``target`` does not hold yet; one write holds a key's rows."""
-    spark = rows.sparkSession
-    known = spark.read.parquet(target).select(key).distinct() if exists(spark, target) else None
-    append(rows if known is None else rows.join(known, key, "left_anti"), target)
+    known = written(rows.sparkSession, target)
+    append(rows if known is None else rows.join(known.select(key), key, "left_anti"), target)
 
 
 def fan_out_stream(

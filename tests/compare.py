@@ -1,6 +1,6 @@
 """Runs registered queries in Spark and their SQL in DuckDB and compares the values.
 
-Usage: python tests/compare.py [--sf 0.01] [--repartition] [name-prefix ...]
+Usage: python tests/compare.py [--sf 0.01] [--plain] [name-prefix ...]
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import duckdb  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 from tallyworks.session import build_session  # noqa: E402
@@ -75,12 +76,18 @@ def compare(spark, con, folder, name, fn, sql):
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--plain", action="store_true", help="a session with Spark's own defaults, far from UTC")
     parser.add_argument("prefixes", nargs="*")
     args = parser.parse_args()
     folder = f"/root/testdata/sf{args.sf}"
-    spark = build_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
-    )
+    quiet = {"spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    if args.plain:
+        builder = SparkSession.builder.master("local[8]").config("spark.sql.session.timeZone", "America/New_York")
+        for key, value in quiet.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session("compare", "local[8]", **quiet, **{"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = database(folder)
     sqls, bad, total = entry.oracle_sql(), [], 0
