@@ -43,7 +43,7 @@ def seconds(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Pieces between white space, none of them empty."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def one_line(text: Column) -> Column:
@@ -80,7 +80,7 @@ def first_position(text: Column, term: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Parts that end with ``.``, ``!`` or ``?`` and white space; the marks stay."""
-    return F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: s != "")
+    return F.array_remove(F.split(text, r"(?<=[.!?])\s+"), "")
 
 
 def even_slices(items: Column, k: Column) -> Column:

@@ -18,7 +18,7 @@ def sentence_table(df: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 def tokens(text):
     """Lower-case words of letters."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "")
 
 
 def mentions(sentence_rows: DataFrame, keys: list[str], terms: DataFrame, longest: int = 1) -> DataFrame:

@@ -120,13 +120,13 @@ def word_chunks(
 def lexicon_scores(chunks: DataFrame, keys: list[str], lexicon: DataFrame, labels: list[str], text: str = "content") -> DataFrame:
     """Share of each label's weight among the weights of the chunk's words, one column per label.
 
-    ``lexicon(word, label, weight)`` stands for the model; words are counted per chunk before they
-    meet it. A chunk without a listed word scores 0 everywhere.
+    ``lexicon(word, label, weight)`` stands for the model. While it is small enough to be broadcast,
+    words are looked up and summed in the task that read their chunk and only sums travel. A chunk
+    without a listed word scores 0 everywhere.
     """
     tokens = chunks.select(*keys, F.explode_outer(words(F.lower(F.col(text)))).alias("word"))
-    counted = tokens.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("__n"))
-    hits = counted.join(lexicon, "word", "left")
-    weight = F.col("__n") * F.col("weight")
+    hits = tokens.join(lexicon, "word", "left")
+    weight = F.col("weight")
     total = F.sum(weight)
     cols = [
         F.coalesce(F.try_divide(F.sum(F.when(F.col("label") == v, weight)), total), F.lit(0.0)).alias(v) for v in labels

@@ -383,20 +383,72 @@ def m22(t):
 
 _FOLDED = f"(SELECT l_quantity AS x, l_extendedprice AS y, {DRAW.format('l_orderkey', 1)} % 3 AS fold FROM lineitem)"
 
+# mean held-out R2 of a line with and without intercept over three folds
+_CV = f"""(SELECT intercept, avg(r2) AS score FROM (
+SELECT intercept, h.fold, 1 - sum((y - slope * x - base) * (y - slope * x - base)) / (var_pop(y) * count(*)) AS r2 FROM {_FOLDED} h JOIN (
+ SELECT f AS fold, true AS intercept, regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM {_FOLDED}, (VALUES (0), (1), (2)) AS v(f) WHERE fold <> f GROUP BY f
+ UNION ALL SELECT f, false, sum(x * y) / sum(x * x), 0 FROM {_FOLDED}, (VALUES (0), (1), (2)) AS v(f) WHERE fold <> f GROUP BY f) m
+ON m.fold = h.fold GROUP BY intercept, h.fold) GROUP BY intercept)"""
+
+
+def _line_rows(t):
+    return cut_lineage(prep.folds(prep.assembler(["l_quantity"]).transform(_price_rows(t)), "l_orderkey", 3, 1))
+
+
+def _r2_evaluator():
+    return RegressionEvaluator(labelCol="label", metricName="r2")
+
+
+def _settings(df):
+    return df.select("setting", "params", F.round("mean_score", 4).alias("mean_score"))
+
+
+@query(
+    "m20_grid_search_of_lines",
+    f"""SELECT CAST(2 * (NOT intercept)::INT + i AS INTEGER) AS setting, 'fitIntercept=' || CASE WHEN intercept THEN 'True' ELSE 'False' END || ', maxIter=' || (10 + 10 * i) AS params,
+round(score, 4) AS mean_score FROM {_CV}, (VALUES (0), (1)) AS v(i)""",
+)
+def m20_lines(t):
+    estimator = models.linear()
+    maps = search.grid(estimator, {"fitIntercept": [True, False], "maxIter": [10, 20]})
+    return _settings(search.cv_results(t.spark, search.grid_search(estimator, maps, _line_rows(t), _r2_evaluator(), 3, "fold")))
+
+
+@query(
+    "m21_random_search_of_lines",
+    f"""SELECT count(*) AS settings, round(max(score), 4) AS best, round(min(score), 4) AS worst FROM {_CV}, (VALUES (0), (1), (2)) AS v(i)""",
+)
+def m21_lines(t):
+    """Six draws from six combinations are all of them, in any order."""
+    estimator = models.linear()
+    maps = search.draws(estimator, {"fitIntercept": [True, False], "maxIter": [10, 20, 30]}, 6, 4)
+    found = search.cv_results(t.spark, search.grid_search(estimator, maps, _line_rows(t), _r2_evaluator(), 3, "fold"))
+    return found.agg(
+        F.count_distinct("params").alias("settings"), F.round(F.max("mean_score"), 4).alias("best"), F.round(F.min("mean_score"), 4).alias("worst")
+    )
+
+
+@query(
+    "m22_tune_in_steps_of_lines",
+    f"""SELECT CAST(i AS INTEGER) AS setting, p AS params, round(score, 4) AS mean_score FROM {_CV} JOIN
+(VALUES (0, 'fitIntercept=True', true), (1, 'fitIntercept=False', false), (2, 'maxIter=10', true), (3, 'maxIter=20', true)) AS v(i, p, intercept) USING (intercept)""",
+)
+def m22_lines(t):
+    """The intercept is kept after the first step, so both settings of the second one have it."""
+    steps = [{"fitIntercept": [True, False]}, {"maxIter": [10, 20]}]
+    _, tried = search.tune_in_steps(models.linear(), steps, _line_rows(t), _r2_evaluator(), 3, "fold")
+    return _settings(search.results(t.spark, tried))
+
 
 @query(
     "m23_search_results",
-    f"""SELECT CAST(setting AS INTEGER) AS setting, params, round(avg(r2), 4) AS mean_score, CAST(row_number() OVER (ORDER BY avg(r2) DESC) AS INTEGER) AS rank FROM (
-SELECT setting, params, h.fold, 1 - sum((y - slope * x - base) * (y - slope * x - base)) / (var_pop(y) * count(*)) AS r2 FROM {_FOLDED} h JOIN (
- SELECT f AS fold, 0 AS setting, 'fitIntercept=True' AS params, regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM {_FOLDED}, (VALUES (0), (1), (2)) AS v(f) WHERE fold <> f GROUP BY f
- UNION ALL SELECT f, 1, 'fitIntercept=False', sum(x * y) / sum(x * x), 0 FROM {_FOLDED}, (VALUES (0), (1), (2)) AS v(f) WHERE fold <> f GROUP BY f) m
-ON m.fold = h.fold GROUP BY setting, params, h.fold) GROUP BY setting, params""",
+    f"""SELECT CAST((NOT intercept)::INT AS INTEGER) AS setting, 'fitIntercept=' || CASE WHEN intercept THEN 'True' ELSE 'False' END AS params,
+round(score, 4) AS mean_score, CAST(row_number() OVER (ORDER BY score DESC) AS INTEGER) AS rank FROM {_CV}""",
 )
 def m23(t):
-    rows = cut_lineage(prep.folds(prep.assembler(["l_quantity"]).transform(_price_rows(t)), "l_orderkey", 3, 1))
     estimator = models.linear()
     maps = search.grid(estimator, {"fitIntercept": [True, False]})
-    model = search.grid_search(estimator, maps, rows, RegressionEvaluator(labelCol="label", metricName="r2"), 3, "fold")
+    model = search.grid_search(estimator, maps, _line_rows(t), _r2_evaluator(), 3, "fold")
     return search.cv_results(t.spark, model).withColumn("mean_score", F.round("mean_score", 4))
 
 
@@ -472,6 +524,22 @@ def m30(t):
     return explain.coef_importance(model, _FEATURES, train).select("feature")
 
 
+_NORMAL = """(SELECT var_pop(l_discount) AS s11, var_pop(l_tax) AS s22, covar_pop(l_discount, l_tax) AS s12,
+covar_pop(l_discount, l_extendedprice) AS s1, covar_pop(l_tax, l_extendedprice) AS s2 FROM lineitem)"""
+
+
+@query(
+    "m30_coefficients_of_two_features",
+    f"""SELECT feature, round(c, 2) AS coefficient, round(abs(c), 2) AS importance FROM (
+SELECT 'l_discount' AS feature, (s22 * s1 - s12 * s2) / (s11 * s22 - s12 * s12) AS c FROM {_NORMAL}
+UNION ALL SELECT 'l_tax', (s11 * s2 - s12 * s1) / (s11 * s22 - s12 * s12) FROM {_NORMAL})""",
+)
+def m30_two(t):
+    rows, features = _price_rows(t), ["l_discount", "l_tax"]
+    out = explain.coef_importance(models.fit(models.linear(), rows, features), features, rows)
+    return out.withColumns({c: F.round(c, 2) for c in ("coefficient", "importance")})
+
+
 @query("m31_tree_importance", "SELECT count(*) AS features, 1.0::DOUBLE AS total FROM (SELECT DISTINCT quality FROM labels), range(5) GROUP BY quality LIMIT 1")
 def m31(t):
     """Shares of all features: they add up to one."""
