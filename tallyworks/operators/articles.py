@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.fixed_values import PLACE_LABELS
 from tallyworks.functions.text import capitalise, one_line, stem_place, strip_markup
-from tallyworks.operators.joins import lookup_inner, lookup_or_self
+from tallyworks.operators.joins import lookup_inner, lookup_or_self, multiplying_left_join
 from tallyworks.operators.scan import ROWS_PER_TASK
 from tallyworks.operators.windows import merge_adjacent
 from tallyworks.sources.pages import extract_by_rule
@@ -43,9 +43,8 @@ def tag_table(
     """
     terms = merge_adjacent(tokens, ["article_id"], "index", "word", mark, name, rows_per_task)
     tags = terms.select("article_id", name).distinct()
-    return articles.select("article_id").distinct().join(tags, "article_id", "left").select(
-        "article_id", F.coalesce(name, F.lit("tagless")).alias(name)
-    )
+    every = multiplying_left_join(articles.select("article_id").distinct(), tags, ["article_id"])
+    return every.withColumn(name, F.coalesce(name, F.lit("tagless")))
 
 
 def geo_tags(

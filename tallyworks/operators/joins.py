@@ -30,6 +30,17 @@ def fanout(dim: DataFrame, on: list[str]) -> DataFrame:
     return dim.groupBy(*on).agg(F.count(F.lit(1)).alias("factor")).where("factor > 1")
 
 
+def multiplying_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join with a right side that may hold many rows per key.
+
+    Adaptive execution can split a hot key of either side of an inner join, but not of the right
+    side of a left join. So the matches are an inner join, and the rows without a match are found
+    against the distinct keys, which are reduced before they travel.
+    """
+    lonely = left.join(right.select(*on).distinct(), on, "left_anti")
+    return left.join(right, on).unionByName(lonely, allowMissingColumns=True)
+
+
 def align(frames: list[DataFrame], key: list[str]) -> DataFrame:
     """Columns side by side by row key."""
     return reduce(lambda a, b: a.join(b, key), frames)

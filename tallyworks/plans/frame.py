@@ -263,7 +263,17 @@ def j01(t):
 
 @query("j02_multiplying_join", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey")
 def j02(t):
-    return t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "o_orderkey")
+    bought = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return joins.multiplying_left_join(t.customer.select("c_custkey"), bought, ["c_custkey"])
+
+
+@query(
+    "j02_multiplying_join_with_misses",
+    "SELECT p_partkey, l_orderkey FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 48) ON p_partkey = l_partkey",
+)
+def j02_misses(t):
+    sold = t.lineitem.where("l_quantity > 48").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey")
+    return joins.multiplying_left_join(t.part.select("p_partkey"), sold, ["p_partkey"])
 
 
 @query("j02_fanout_report", "SELECT o_custkey, count(*) AS factor FROM orders GROUP BY 1 HAVING count(*) > 1")

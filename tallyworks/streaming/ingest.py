@@ -43,7 +43,7 @@ def ingest_stream(
 def append_parts(rows: DataFrame, target: str, key: str) -> None:
     """Appends all rows of keys that ``target`` does not hold yet; one write holds a key's rows."""
     known = written(rows.sparkSession, target)
-    append(rows if known is None else rows.join(known.select(key), key, "left_anti"), target)
+    append(rows if known is None else rows.join(known.select(key).distinct(), key, "left_anti"), target)
 
 
 def fan_out_stream(

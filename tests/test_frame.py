@@ -69,8 +69,8 @@ def test_suffixes(spark):
 
 def test_holidays(spark, as_rows):
     rows = [
-        (1, "Holiday", "National", "Ecuador", False), (2, "Holiday", "Local", "Quito", False), (3, "Holiday", "Local", "Cuenca", False),
-        (4, "Holiday", "Regional", "Pichincha", False), (5, "Holiday", "National", "Ecuador", True), (6, "Work Day", "National", "Ecuador", False),
+        (1, "Holiday", "National", "Country", False), (2, "Holiday", "Local", "Quito", False), (3, "Holiday", "Local", "Cuenca", False),
+        (4, "Holiday", "Regional", "Pichincha", False), (5, "Holiday", "National", "Country", True), (6, "Work Day", "National", "Country", False),
         (7, None, None, None, None),
     ]
     df = spark.createDataFrame(rows, "id int, day_type string, locale string, locale_name string, transferred boolean")
@@ -85,7 +85,7 @@ def test_sales_base_multiplies_and_fills(spark, as_rows):
     rest = spark.createDataFrame([(3, "2017-08-16", 1)], "id int, date string, store_nbr int")
     prices = spark.createDataFrame([("2017-08-15", 47.0)], "date string, dcoilwtico double")
     stores = spark.createDataFrame([(1, "Quito", "Pichincha", "D")], "store_nbr int, city string, state string, type string")
-    days = [("2017-08-15", "Holiday", "Local", "Riobamba", "x", False), ("2017-08-15", "Event", "National", "Ecuador", "y", False)]
+    days = [("2017-08-15", "Holiday", "Local", "Riobamba", "x", False), ("2017-08-15", "Event", "National", "Country", "y", False)]
     holidays = spark.createDataFrame(days, "date string, type string, locale string, locale_name string, description string, transferred boolean")
     out = features.sales_base(sales, rest, prices, stores, holidays)
     assert as_rows(out, "id", "dcoilwtico", "day_type", "sales") == [
