@@ -55,12 +55,15 @@ def strip_markup(text: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Named entities of the page tables; the ampersand last, so that nothing is decoded twice."""
+    """Named entities of the page tables; the ampersand last, so that nothing is decoded twice.
+
+    As browsers do, the names count without their semicolon too.
+    """
     pairs = [
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-        ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+        ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "'"), ("&nbsp;?", "\u00a0"),
+        ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&"),
     ]
-    return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), pairs, text)
+    return reduce(lambda t, p: F.regexp_replace(t, p[0], p[1]), pairs, text)
 
 
 def stem_place(word: Column) -> Column:

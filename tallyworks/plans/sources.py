@@ -113,9 +113,9 @@ _CLEAN = (
 
 
 def _decoded(expr: str) -> str:
-    for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "),
-                 ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
-        expr = f"replace({expr}, '{a}', '{b}')"
+    for a, b in [("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "''"), ("&nbsp;?", "\u00a0"),
+                 ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")]:
+        expr = f"regexp_replace({expr}, '{a}', '{b}', 'g')"
     return expr
 
 

@@ -121,11 +121,11 @@ LEFT JOIN {LEXICON} USING (word) GROUP BY ALL)"""
 
 
 def _mean_sql(prefix: str = "") -> str:
-    return ", ".join(f"round(avg({v}), 5) AS {prefix}{v}" for v in EMOTIONS)
+    return ", ".join(f"round(avg({v}), 9) AS {prefix}{v}" for v in EMOTIONS)
 
 
 def _rounded(df, prefix=""):
-    return df.withColumns({prefix + v: F.round(prefix + v, 5) for v in EMOTIONS})
+    return df.withColumns({prefix + v: F.round(prefix + v, 9) for v in EMOTIONS})
 
 
 @query(
