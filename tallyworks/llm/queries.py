@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import decontaminate, line_spread, mixing, preference, robust_quality
+from tallyworks.llm import attention_lm, crf_language, dart_minhash, decontaminate, html_template, line_spread, mixing, preference, robust_quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# --- 1: WARC in seekable Zstandard
+
+_BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+_BITS = (
+    "array_to_string(list_transform(range(1, 41), lambda i: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', "
+    "'1010', '1011', '1100', '1101', '1110', '1111'][instr('0123456789abcdef', substr(sha1(html), i, 1))]), '')"
+)
+_FIVE = " + ".join(f"CASE WHEN substr(bits, 5 * i + {j + 1}, 1) = '1' THEN {16 >> j} ELSE 0 END" for j in range(5))
+
+
+@query(
+    "op1_warc_round_trip",
+    f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    f AS (SELECT page_id, html, min(page_id) OVER (PARTITION BY html) AS first, {_BITS} AS bits FROM p)
+    SELECT page_id, strlen(html) AS payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i: substr({_BASE32}, {_FIVE} + 1, 1)), '') AS payload_digest,
+           CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id > first THEN first END AS refers_to
+    FROM f""",
+)
+def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written as a record and read back."""
+    read = warc.archive_round_trip(table(spark, folder, "pages"), revisit_bytes=0)
+    return read.select(
+        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint")
+    )
+
+
 # --- 2: preference pairs
 
 
@@ -66,6 +95,24 @@ def preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- 3: language of words in context; held-out accuracy in tests/llm/test_language.py
+
+
+def crc_part(column: str, parts: int):
+    """Part of a row by CRC-32 of its id as text."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+@query("op3_crf_language")
+def crf_language_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three of four parts."""
+    docs = table(spark, folder, "documents")
+    held = F.coalesce(crc_part("doc_id", 4) == 2, F.lit(False))
+    model = crf_language.fit(docs.where(~held), doc_id="doc_id")
+    read = crf_language.document_languages(docs.withColumn("_held", held), model, keep=["doc_id", "_held"])
+    return read.select("doc_id", F.col("_held").alias("held_out"), "lang_pred", "score")
+
+
 # --- 4: benchmark decontamination
 
 _SHINGLES = """
@@ -90,6 +137,16 @@ def benchmark_containment(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "shared", F.col("n").alias("n_shingles"))
 
 
+# --- 5: main text of pages; brute force in tests/llm/test_html.py
+
+
+@query("op5_html_template")
+def html_template_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    read = html_template.extract(table(spark, folder, "pages"))
+    return read.select(F.col("id").alias("page_id"), F.col("address").alias("url"), "text", "n_chars")
+
+
 # --- 6: cross-site lines
 
 
@@ -145,6 +202,42 @@ def temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_blocks(table(spark, folder, "documents")).withColumnRenamed("doc", "doc_id")
 
 
+# --- 8: scores of a language model; base scores against SQL and the model's sums in tests/llm/test_attention.py
+
+
+@query("op8_attention_lm")
+def attention_lm_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and model score of every document, learned from six of seven parts."""
+    docs = table(spark, folder, "documents")
+    held = F.coalesce(crc_part("doc_id", 7) == 2, F.lit(False))
+    fitted = attention_lm.fit(docs.where(~held))
+    scored = attention_lm.document_scores(docs, fitted, flag=held)
+    return scored.withColumnRenamed("doc", "doc_id").withColumnRenamed("flag", "held_out")
+
+
+# --- 9: near copies
+
+
+@query(
+    "op9_dart_minhash",
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, string_split(x, ' ') AS w FROM (
+            SELECT doc_id, trim(regexp_replace(lower(text), '[^\p{L}\p{N}\p{M}]+', ' ', 'g')) AS x FROM documents) WHERE x <> ''),
+    s AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w)),
+    c AS (SELECT doc_id, g, count(*) AS n FROM s GROUP BY ALL),
+    t AS (SELECT doc_id, sum(n) AS total FROM c GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS met FROM c a JOIN c b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN t x ON x.doc_id = a JOIN t y ON y.doc_id = b WHERE met >= 0.8 * (x.total + y.total - met)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+    SELECT a AS doc_id, min(b) AS class_id FROM r GROUP BY a""",
+)
+def dart_minhash_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the smallest id of its class of near copies."""
+    found = dart_minhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("class").alias("class_id"))
+
+
 # --- 10: robust outliers; the concentration steps have no SQL, see tests/llm/test_quality.py
 
 
