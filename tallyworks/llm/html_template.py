@@ -1,7 +1,7 @@
 """Main text of pages by the template that the pages of a host share.
 
 Pass one reads every page into tokens: elements named by their path (tags with class, id and role, digits
-left out) and texts named by path and content. The occurrence vector of a token, its count on every page of the
+left out) and texts of whole blocks named by path and content. The occurrence vector of a token, its count on every page of the
 host, is never built: its fingerprint is a sum over pages of page hash times count, so vectors combine on
 the map side and a host of a third of all pages is a few sums per token. Tokens of equal fingerprints form
 an equivalence class. Classes that are large and frequent are the template; nested by their paths they
@@ -178,6 +178,15 @@ class Page:
             if stack[i][0] in SCOPE:
                 return
 
+    def blocks(self) -> list[tuple[int, str]]:
+        """Content blocks in order: the element where a block begins, and its text."""
+        out: dict[int, list] = {}
+        for element, text, kind, _, block in self.texts:
+            if kind == 0:
+                out.setdefault(block, [element]).append(entities.unescape(text))
+        plain = ((parts[0], " ".join("".join(parts[1:]).split())) for parts in out.values())
+        return [b for b in plain if b[1]]
+
     def sizes(self) -> tuple[np.ndarray, np.ndarray]:
         """Characters of content text, and of those in links, below every element."""
         chars, links = [0] * len(self.elements), [0] * len(self.elements)
@@ -199,7 +208,7 @@ def _hash(text: str, seed: int = 0) -> int:
 
 
 def text_token(path: str, text: str) -> str:
-    return f"{_hash(path + chr(0) + ' '.join(entities.unescape(text).split())):016x}"
+    return f"{_hash(path + chr(0) + text):016x}"
 
 
 def page_tokens(page: Page) -> dict[str, list[int]]:
@@ -215,10 +224,9 @@ def page_tokens(page: Page) -> dict[str, list[int]]:
             got[2] += chars[i]
             got[3] += links[i]
             got[4] |= int(i in page.mains)
-    for element, text, kind, _, _ in page.texts:
-        if kind == 0:
-            got = out.setdefault("=" + text_token(page.elements[element][0], text), [0, element, 0, 0, 0, 1])
-            got[0] += 1
+    for element, text in page.blocks():
+        got = out.setdefault("=" + text_token(page.elements[element][0], text), [0, element, 0, 0, 0, 1])
+        got[0] += 1
     return out
 
 
@@ -317,12 +325,10 @@ def main_text(page: Page, content: str, fixed: frozenset[str]) -> str | None:
         inside[i] = path == content or (parent >= 0 and inside[parent])
     if not any(inside):
         return None
-    parts: dict[int, list[str]] = {}
-    for element, text, kind, _, block in page.texts:
-        if kind == 0 and inside[element] and not (fixed and text_token(page.elements[element][0], text) in fixed):
-            parts.setdefault(block, []).append(entities.unescape(text))
-    joined = (" ".join("".join(p).split()) for p in parts.values())
-    return " ".join(p for p in joined if p)
+    kept = (
+        text for element, text in page.blocks() if inside[element] and not (fixed and text_token(page.elements[element][0], text) in fixed)
+    )
+    return " ".join(kept)
 
 
 def alone(page: Page) -> str:
