@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.operators.scan import OrderedScan
 from tallyworks.session import cut_lineage
 
 
@@ -19,7 +19,7 @@ def accuracy(df: DataFrame, label: Column, pred: Column, by: list[str] = ()) ->
     return df.groupBy(*by).agg(F.avg((label == pred).cast("double")).alias("accuracy"))
 
 
-def _by_score(df: DataFrame, label: str, score: str, rows_per_task: int) -> DataFrame:
+def _by_score(df: DataFrame, label: str, score: str, parts: int | None) -> DataFrame:
     """One row per distinct score, highest first: positives and negatives at it, down to it, in all.
 
     Equal scores are counted before they are ordered. The counts are stored, so a model behind the
@@ -30,25 +30,25 @@ def _by_score(df: DataFrame, label: str, score: str, rows_per_task: int) -> Data
         .groupBy((-F.col(score).cast("double")).alias("__down"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
-    scan = OrderedScan(counted, [], ["__down"], rows_per_task).running_sum("pos", "tp").running_sum("neg", "fp")
+    scan = OrderedScan(counted, [], ["__down"], parts).running_sum("pos", "tp").running_sum("neg", "fp")
     scan.group_sum(F.col("pos"), "positives").group_sum(F.col("neg"), "negatives")
     return scan.result().withColumn("threshold", -F.col("__down"))
 
 
-def roc(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def roc(df: DataFrame, label: str, score: str, parts: int | None = None) -> DataFrame:
     """Rates at each distinct score taken as threshold; the point (0, 0) is not listed."""
-    steps = _by_score(df, label, score, rows_per_task)
+    steps = _by_score(df, label, score, parts)
     return steps.select(
         "threshold", F.try_divide("tp", "positives").alias("tpr"), F.try_divide("fp", "negatives").alias("fpr")
     )
 
 
-def auc(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, parts: int | None = None) -> DataFrame:
     """Area under the curve: share of (positive, negative) pairs in the right order, ties half.
 
     Scores may be probabilities or hard labels.
     """
-    steps = _by_score(df, label, score, rows_per_task)
+    steps = _by_score(df, label, score, parts)
     # negatives below a score are those not yet met on the way down
     wins = F.col("neg") * (F.col("tp") - F.col("pos") + 0.5 * F.col("pos"))
     return steps.agg(
@@ -56,13 +56,13 @@ def auc(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TAS
     )
 
 
-def gini(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return auc(df, label, score, rows_per_task).select((2 * F.col("auc") - 1).alias("gini"))
+def gini(df: DataFrame, label: str, score: str, parts: int | None = None) -> DataFrame:
+    return auc(df, label, score, parts).select((2 * F.col("auc") - 1).alias("gini"))
 
 
-def auc_pr(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def auc_pr(df: DataFrame, label: str, score: str, parts: int | None = None) -> DataFrame:
     """Area under precision over recall: precision at each score weighted by the recall gained there."""
-    steps = _by_score(df, label, score, rows_per_task)
+    steps = _by_score(df, label, score, parts)
     gained = F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))
     return steps.agg(F.try_divide(F.sum(gained), F.sum("pos").cast("double")).alias("auc_pr"))
 

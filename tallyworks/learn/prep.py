@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyworks.operators.aggs import describe_texts
 from tallyworks.operators.frame import distinct_codes
 from tallyworks.operators.quantiles import exact_quantiles, long_values
-from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.operators.scan import OrderedScan
 
 
 def draw(key: Column, seed: int) -> Column:
@@ -23,24 +23,24 @@ def draw(key: Column, seed: int) -> Column:
 
 def split(
     df: DataFrame, key: str, share: float = 0.3, seed: int = 0, by: str | None = None, name: str = "is_test",
-    rows_per_task: int = ROWS_PER_TASK,
+    parts: int | None = None,
 ) -> DataFrame:
     """Marks the held-out rows: by hash, or with the same share of every class of ``by``."""
     if by is None:
         return df.withColumn(name, draw(F.col(key), seed) < F.lit(int(share * 2**32)))
     rows = df.withColumn("__draw", draw(F.col(key), seed))
-    scan = OrderedScan(rows, [by], ["__draw", key], rows_per_task).row_number("__rn").with_group_size("__n")
+    scan = OrderedScan(rows, [by], ["__draw", key], parts).row_number("__rn").with_group_size("__n")
     return scan.result().withColumn(name, F.col("__rn") <= F.lit(share) * F.col("__n")).drop("__draw", "__rn", "__n")
 
 
 def folds(
-    df: DataFrame, key: str, k: int, seed: int = 0, by: str | None = None, name: str = "fold", rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, key: str, k: int, seed: int = 0, by: str | None = None, name: str = "fold", parts: int | None = None
 ) -> DataFrame:
     """Fold number 0 .. k - 1 by hash, or dealt out within every class of ``by``."""
     if by is None:
         return df.withColumn(name, (draw(F.col(key), seed) % k).cast("int"))
     rows = df.withColumn("__draw", draw(F.col(key), seed))
-    rows = OrderedScan(rows, [by], ["__draw", key], rows_per_task).row_number("__rn").result()
+    rows = OrderedScan(rows, [by], ["__draw", key], parts).row_number("__rn").result()
     return rows.withColumn(name, ((F.col("__rn") - 1) % k).cast("int")).drop("__draw", "__rn")
 
 
@@ -57,17 +57,17 @@ def dummies(df: DataFrame, cols: list[str], drop_first: bool = True, fit_on: Dat
     return df.drop(*cols)
 
 
-def code_map(df: DataFrame, col: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def code_map(df: DataFrame, col: str, parts: int | None = None) -> DataFrame:
     """``(value, code)``: codes count from 0 in the order of the values (numbers as numbers)."""
     values = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    numbered = OrderedScan(values, [], ["value"], rows_per_task).row_number("__rn").result()
+    numbered = OrderedScan(values, [], ["value"], parts).row_number("__rn").result()
     return numbered.select("value", (F.col("__rn") - 1).cast("int").alias("code"))
 
 
-def codes(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def codes(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Each column replaced by its code, -1 for a missing value; codes come from ``fit_on``."""
     for c in cols:
-        table = code_map(fit_on if fit_on is not None else df, c, rows_per_task)
+        table = code_map(fit_on if fit_on is not None else df, c, parts)
         df = df.join(table.withColumnRenamed("value", "__v"), F.col(c) == F.col("__v"), "left")
         df = df.withColumn(c, F.coalesce("code", F.lit(-1))).drop("__v", "code")
     return df
@@ -102,8 +102,8 @@ class QuantileScaler:
     proportion, a repeated value in the middle of its range. Values outside go to 0 or 1.
     """
 
-    def __init__(self, columns: list[str], points: int = 1000, rows_per_task: int = ROWS_PER_TASK):
-        self.columns, self.points, self.rows_per_task = columns, points, rows_per_task
+    def __init__(self, columns: list[str], points: int = 1000, parts: int | None = None):
+        self.columns, self.points, self.parts = columns, points, parts
         self.marks: dict[str, list[tuple[float, float, float]]] = {}
 
     def fit(self, df: DataFrame) -> QuantileScaler:
@@ -111,7 +111,7 @@ class QuantileScaler:
         points = max(2, min(self.points, max(r["n"] for r in sizes)))
         shares = [i / (points - 1) for i in range(points)]
         # points x columns rows: bounded by the arguments, not by the data
-        rows = exact_quantiles(df, self.columns, shares, rows_per_task=self.rows_per_task).collect()
+        rows = exact_quantiles(df, self.columns, shares, parts=self.parts).collect()
         for c in self.columns:
             found = sorted((r["quantile"], r["share"]) for r in rows if r["column"] == c)
             marks: dict[float, tuple[float, float]] = {}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.text import line_anchored
 from tallyworks.operators.quantiles import exact_quantiles, long_values, wide_quantiles
-from tallyworks.operators.scan import _BLOCK, ROWS_PER_TASK, OrderedScan, null_safe_join
+from tallyworks.operators.scan import _BLOCK, OrderedScan, null_safe_join
 
 
 def _known(df: DataFrame, keys: list[str], keep_null_keys: bool) -> DataFrame:
@@ -46,12 +46,11 @@ def any_by(df: DataFrame, keys: list[str], flag: Column, name: str) -> DataFrame
 
 def concat_by(
     df: DataFrame, keys: list[str], text: str, order: list[str], sep: str = " ", name: str = "content",
-    extra: dict[str, Column] | None = None, rows_per_task: int = ROWS_PER_TASK, largest: int | None = None,
+    extra: dict[str, Column] | None = None, parts: int | None = None,
 ) -> DataFrame:
     """Texts of each group in order, as one text, with ``extra`` aggregates of the group.
 
-    A group that is too large for one task is put together in parts by the partitions of an
-    ``OrderedScan``; only the finished parts meet.
+    A group is put together in parts by the partitions of an ``OrderedScan``; only the finished parts meet.
     """
     more = [c.alias(n) for n, c in (extra or {}).items()]
 
@@ -59,14 +58,11 @@ def concat_by(
         items = F.array_sort(F.collect_list(F.when(F.col(what).isNotNull(), F.struct(*at, F.col(what).alias("__t")))))
         return F.when(F.size(items) > 0, F.array_join(F.transform(items, lambda s: s["__t"]), sep))
 
-    scan = OrderedScan(df, keys, order, rows_per_task, largest)
-    if scan.split:
-        parts = scan.df.groupBy(*keys, _BLOCK).agg(joined(text, order).alias("__part"))
-        done = parts.groupBy(*keys).agg(joined("__part", [_BLOCK]).alias(name))
-        if more:
-            done = null_safe_join(done, scan.df.groupBy(*keys).agg(*more), keys)
-    else:
-        done = scan.df.groupBy(*keys).agg(joined(text, order).alias(name), *more)
+    scan = OrderedScan(df, keys, order, parts)
+    pieces = scan.df.groupBy(*keys, _BLOCK).agg(joined(text, order).alias("__part"))
+    done = pieces.groupBy(*keys).agg(joined("__part", [_BLOCK]).alias(name))
+    if more:
+        done = null_safe_join(done, scan.df.groupBy(*keys).agg(*more), keys)
     return done.withColumn(name, F.coalesce(name, F.lit("")))
 
 
@@ -118,7 +114,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def describe_numbers(
-    df: DataFrame, columns: list[str], rows_per_task: int = ROWS_PER_TASK, accuracy: int | None = None
+    df: DataFrame, columns: list[str], parts: int | None = None, accuracy: int | None = None
 ) -> DataFrame:
     """count, mean, sd, min, quartiles, max of each column.
 
@@ -144,7 +140,7 @@ def describe_numbers(
     )
     if accuracy:
         return moments
-    quartiles = exact_quantiles(df, columns, list(names), rows_per_task=rows_per_task)
+    quartiles = exact_quantiles(df, columns, list(names), parts=parts)
     return moments.join(wide_quantiles(quartiles, names, ["column"]), "column")
 
 
@@ -226,11 +222,11 @@ def confusion(df: DataFrame, label: Column, pred: Column, by: list[str] = (), di
     )
 
 
-def box_stats(df: DataFrame, columns: list[str], keys: list[str] = (), rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def box_stats(df: DataFrame, columns: list[str], keys: list[str] = (), parts: int | None = None) -> DataFrame:
     """Minimum, quartiles, maximum and the fences 1.5 quartile distances away."""
     names = {0.0: "min", 0.25: "q25", 0.5: "q50", 0.75: "q75", 1.0: "max"}
     five = wide_quantiles(
-        exact_quantiles(df, columns, list(names), list(keys), rows_per_task), names, [*keys, "column"]
+        exact_quantiles(df, columns, list(names), list(keys), parts), names, [*keys, "column"]
     )
     spread = F.col("q75") - F.col("q25")
     return five.withColumns({"low_fence": F.col("q25") - 1.5 * spread, "high_fence": F.col("q75") + 1.5 * spread})

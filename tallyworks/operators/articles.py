@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tallyworks.functions.fixed_values import PLACE_LABELS
 from tallyworks.functions.text import capitalise, one_line, stem_place, strip_markup
 from tallyworks.operators.joins import lookup_inner, lookup_or_self, multiplying_left_join
-from tallyworks.operators.scan import ROWS_PER_TASK
 from tallyworks.operators.windows import merge_adjacent
 from tallyworks.sources.pages import extract_by_rule
 from tallyworks.sources.tables import unseen
@@ -35,13 +34,13 @@ def article_table(items: DataFrame, rules: DataFrame, known: DataFrame | None =
 
 
 def tag_table(
-    articles: DataFrame, tokens: DataFrame, mark: str = "▁", name: str = "security_tag", rows_per_task: int = ROWS_PER_TASK
+    articles: DataFrame, tokens: DataFrame, mark: str = "▁", name: str = "security_tag", parts: int | None = None
 ) -> DataFrame:
     """Distinct terms of each article; word pieces on consecutive places are one term.
 
     ``tokens(article_id, index, word)``. An article without any token has the tag "tagless".
     """
-    terms = merge_adjacent(tokens, ["article_id"], "index", "word", mark, name, rows_per_task)
+    terms = merge_adjacent(tokens, ["article_id"], "index", "word", mark, name, parts)
     tags = terms.select("article_id", name).distinct()
     every = multiplying_left_join(articles.select("article_id").distinct(), tags, ["article_id"])
     return every.withColumn(name, F.coalesce(name, F.lit("tagless")))

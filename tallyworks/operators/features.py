@@ -17,7 +17,6 @@ from tallyworks.functions.fixed_values import (
 )
 from tallyworks.operators.aggs import any_by
 from tallyworks.operators.frame import fill_values, recode, row_sum, same, stack
-from tallyworks.operators.scan import ROWS_PER_TASK
 from tallyworks.operators.windows import fill_back, run_starts
 from tallyworks.session import cut_lineage
 
@@ -53,7 +52,7 @@ def proximity(
 
 
 def first_holiday(
-    df: DataFrame, flag: str, date: str, keys: list[str] = (), rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, flag: str, date: str, keys: list[str] = (), parts: int | None = None
 ) -> DataFrame:
     """Adds ``first_any`` (the first day of a run of days with a holiday somewhere) and
     ``first_here`` (the same where this row has a holiday itself).
@@ -62,7 +61,7 @@ def first_holiday(
     """
     by = list(keys)
     days = cut_lineage(any_by(df, [*by, date], F.col(flag), "__any"))
-    starts = run_starts(days, by, [date], "__any", "first_any", rows_per_task).drop("__any")
+    starts = run_starts(days, by, [date], "__any", "first_any", parts).drop("__any")
     return df.join(starts, [*by, date], "left").withColumn(
         "first_here", F.coalesce(F.col(flag), F.lit(False)) & F.coalesce("first_any", F.lit(False))
     )
@@ -70,7 +69,7 @@ def first_holiday(
 
 def sales_base(
     sales: DataFrame, to_predict: DataFrame, prices: DataFrame, stores: DataFrame, holidays: DataFrame,
-    rows_per_task: int = ROWS_PER_TASK,
+    parts: int | None = None,
 ) -> DataFrame:
     """Sales and rows to predict with oil price, store and calendar entries of their day.
 
@@ -81,7 +80,7 @@ def sales_base(
     """
     facts = stack(sales, to_predict)
     days = cut_lineage(facts.select("date").distinct().join(prices, "date", "left"))
-    filled = fill_back(days, [], ["date"], "dcoilwtico", "__price", rows_per_task)
+    filled = fill_back(days, [], ["date"], "dcoilwtico", "__price", parts)
     filled = filled.drop("dcoilwtico").withColumnRenamed("__price", "dcoilwtico")
     wide = (
         facts.join(filled, "date", "left")

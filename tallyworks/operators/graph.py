@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators.aggs import first_by
 from tallyworks.operators.joins import lookup_or_self
+from tallyworks.operators.scan import OrderedScan
 from tallyworks.session import cut_lineage
 
 
@@ -31,21 +32,13 @@ def nodes(edges: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     return (ends.unionByName(extra.select("node")) if extra is not None else ends).distinct()
 
 
-def adjacency(edges: DataFrame, node: str = "head", other: str = "tail", longest: int = 10_000) -> DataFrame:
-    """Sorted neighbour lists ``(node, part, neighbours)``; ``node="tail"`` gives the inverse.
+def adjacency(edges: DataFrame, node: str = "head", other: str = "tail") -> DataFrame:
+    """Neighbours in order, one row each: ``(node, position, neighbour)``; ``node="tail"`` gives the inverse.
 
-    A list of more than ``longest`` neighbours is divided into parts by hash, so that no task has to
-    hold all neighbours of a hub. Small nodes have part 0 only.
+    No list is gathered, so a hub is as many rows as it has neighbours, over as many tasks as the scan has.
     """
-    distinct = edges.select(F.col(node).alias("node"), F.col(other).alias("__o")).distinct()
-    hubs = distinct.groupBy("node").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > longest)
-    split = distinct.join(hubs, "node", "left").withColumn(
-        "part",
-        F.when(F.col("__n").isNull(), 0)
-        .otherwise(F.pmod(F.xxhash64("__o"), F.ceil(F.col("__n") / longest)))
-        .cast("int"),
-    )
-    return split.groupBy("node", "part").agg(F.array_sort(F.collect_list("__o")).alias("neighbours"))
+    distinct = edges.select(F.col(node).alias("node"), F.col(other).alias("neighbour")).distinct()
+    return OrderedScan(distinct, ["node"], ["neighbour"]).row_number("position").result().select("node", "position", "neighbour")
 
 
 def degrees(node_rows: DataFrame, edges: DataFrame) -> DataFrame:

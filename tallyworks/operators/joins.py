@@ -67,14 +67,13 @@ def lookup_inner(df: DataFrame, col: str, dim: DataFrame, key: str, value: str,
     return df.join(table, F.col(col) == F.col("__k")).withColumn(name, F.col("__v")).drop("__k", "__v")
 
 
-def neighbour_pairs(df: DataFrame, group: list[str], order: list[str], item: str, rows_per_task: int | None = None) -> DataFrame:
+def neighbour_pairs(df: DataFrame, group: list[str], order: list[str], item: str, parts: int | None = None) -> DataFrame:
     """Each item with the one before it in its group: as many pairs as items, less one per group.
 
     All unordered pairs of a group grow with its square; what the jobs ask of pairs (a phrase that
     stands between two items) can only hold for neighbours.
     """
-    args = {"rows_per_task": rows_per_task} if rows_per_task else {}
-    scan = OrderedScan(df.where(F.col(item).isNotNull()), group, order, **args).previous(item, "left_item")
+    scan = OrderedScan(df.where(F.col(item).isNotNull()), group, order, parts).previous(item, "left_item")
     return scan.result().where(F.col("left_item").isNotNull()).withColumnRenamed(item, "right_item")
 
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.operators.scan import OrderedScan
 from tallyworks.session import cut_lineage
 
 
@@ -22,8 +22,7 @@ def _known(df: DataFrame) -> DataFrame:
 
 
 def _by_rank(
-    counted: DataFrame, by: list[str], wanted: Column, total: Column | None, before: Column, rows_per_task: int,
-    largest: int | None = None,
+    counted: DataFrame, by: list[str], wanted: Column, total: Column | None, before: Column, parts: int | None
 ) -> DataFrame:
     """Quantiles of counted values ``(by, value, n)``.
 
@@ -31,7 +30,7 @@ def _by_rank(
     come ahead of the counted ones of its group, ``total`` the size of the whole group (the counted
     values are all there is where it is missing).
     """
-    scan = OrderedScan(counted, by, ["value"], rows_per_task, largest).running_sum("n", "__upto")
+    scan = OrderedScan(counted, by, ["value"], parts).running_sum("n", "__upto")
     if total is None:
         scan.group_sum(F.col("n"), "__total")
     else:
@@ -53,14 +52,11 @@ def _by_rank(
     return hits.groupBy(*names, "share").agg((low + (high - low) * F.max(place - F.floor(place))).alias("quantile"))
 
 
-def _full_scan(df: DataFrame, columns: list[str], shares: list[float], keys: list[str], rows_per_task: int) -> DataFrame:
+def _full_scan(df: DataFrame, columns: list[str], shares: list[float], keys: list[str], parts: int | None) -> DataFrame:
     """All values counted and put in order."""
     by = [*keys, "column"]
-    # stored, as the size check and the scan both read it
-    counted = cut_lineage(
-        _known(long_values(df, columns, keys)).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    return _by_rank(counted, by, F.lit(shares), None, F.lit(0), rows_per_task)
+    counted = _known(long_values(df, columns, keys)).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
+    return _by_rank(counted, by, F.lit(shares), None, F.lit(0), parts)
 
 
 _ACCURACY = 10_000
@@ -94,7 +90,7 @@ def _brackets(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tu
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], shares: list[float], keys: list[str] = (), rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, columns: list[str], shares: list[float], keys: list[str] = (), parts: int | None = None
 ) -> DataFrame:
     """Rows (keys, column, share, quantile), exact, with linear interpolation between neighbours.
 
@@ -106,7 +102,7 @@ def exact_quantiles(
     shares = [float(s) for s in shares]
     found = _brackets(df, columns, shares) if not keys and len(shares) <= 20 else None
     if found is None:
-        return _full_scan(df, columns, shares, list(keys), rows_per_task)
+        return _full_scan(df, columns, shares, list(keys), parts)
     # columns x shares literals, bounded by the arguments
     cells = [
         F.struct(
@@ -118,9 +114,7 @@ def exact_quantiles(
     near = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
     by = ["column", "__share", "__below", "__n"]
     counted = near.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
-    most = max(upto - below for _, _, below, upto, _ in found.values())
-    largest = most if most <= rows_per_task else None
-    return _by_rank(counted, by, F.array("__share"), F.col("__n"), F.col("__below"), rows_per_task, largest)
+    return _by_rank(counted, by, F.array("__share"), F.col("__n"), F.col("__below"), parts)
 
 
 def wide_quantiles(quantiles: DataFrame, names: dict[float, str], keys: list[str]) -> DataFrame:

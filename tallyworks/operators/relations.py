@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tallyworks.functions.fixed_values import IS_A_RULES
 from tallyworks.functions.text import mark_terms, sentences, tagged_triples
 from tallyworks.operators.joins import first_rule, neighbour_pairs
-from tallyworks.operators.scan import ROWS_PER_TASK
 
 
 def sentence_table(df: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -43,7 +42,7 @@ def mentions(sentence_rows: DataFrame, keys: list[str], terms: DataFrame, longes
 
 def pattern_relations(
     sentence_rows: DataFrame, keys: list[str], mention_rows: DataFrame,
-    rules: list[tuple[str, str]] = IS_A_RULES, strict: bool = True, rows_per_task: int = ROWS_PER_TASK,
+    rules: list[tuple[str, str]] = IS_A_RULES, strict: bool = True, parts: int | None = None,
 ) -> DataFrame:
     """Distinct ``(head, type, tail)`` with type "subgroup of", by the phrase between two terms.
 
@@ -56,7 +55,7 @@ def pattern_relations(
     sides of its phrase with nothing else between them, and a third term between them would stay an
     ordinary word, so no rule fits a pair of terms that are not neighbours.
     """
-    pairs = neighbour_pairs(mention_rows, keys, ["pos", "term"], "term", rows_per_task)
+    pairs = neighbour_pairs(mention_rows, keys, ["pos", "term"], "term", parts)
     pairs = pairs.where("left_item <> right_item").select(*keys, "left_item", "right_item").distinct()
     with_text = pairs.join(sentence_rows.select(*keys, F.lower("sentence").alias("__s")), keys)
     # the longer term first: a term inside the other one must not break it

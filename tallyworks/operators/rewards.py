@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.operators.scan import OrderedScan
 from tallyworks.operators.windows import running_mean
 
 
@@ -27,9 +27,9 @@ def replay_commit(log: DataFrame, arms: int) -> DataFrame:
     return tried.unionByName(kept)
 
 
-def cumulative(choices: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def cumulative(choices: DataFrame, parts: int | None = None) -> DataFrame:
     """Adds the reward collected so far in each run."""
-    return OrderedScan(choices, ["run"], ["day"], rows_per_task).running_sum(F.col("reward"), "collected").result()
+    return OrderedScan(choices, ["run"], ["day"], parts).running_sum(F.col("reward"), "collected").result()
 
 
 def regret(choices: DataFrame, log: DataFrame, best_arm: int) -> DataFrame:
@@ -66,9 +66,9 @@ def ucb_scores(choices: DataFrame, arms: int, day: int) -> DataFrame:
     return scored.join(top, "run").withColumn("chosen", F.col("arm") == F.col("__top")).drop("__top")
 
 
-def running_bounds(choices: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def running_bounds(choices: DataFrame, parts: int | None = None) -> DataFrame:
     """Bound of the chosen arm before each of its choices, from the choices made so far."""
-    rows = running_mean(choices, ["run", "arm"], ["day"], "reward", inclusive=False, rows_per_task=rows_per_task)
+    rows = running_mean(choices, ["run", "arm"], ["day"], "reward", inclusive=False, parts=parts)
     width = F.sqrt(F.try_divide(F.lit(2.0) * F.ln(F.greatest(F.col("day"), F.lit(1)).cast("double")), F.col("seen")))
     return rows.withColumn(
         "bound", F.when(F.col("seen") == 0, F.lit(float("inf"))).otherwise(F.col("mean_so_far") + width)

@@ -1,21 +1,19 @@
 """Ordered calculations over groups of any size.
 
-A plain Spark window puts a whole group into one task. That is right for small groups and wrong
-when one key holds a third of the table, or when there is no key at all. ``OrderedScan`` looks at
-the largest group first. Small groups take the plain window. Otherwise the rows are range
+A plain Spark window puts a whole group into one task, which is wrong when one key holds a third of the
+table, or when there is no key at all. ``OrderedScan`` has one plan for all sizes: the rows are range
 partitioned by key and order, so that a hot group is spread over many partitions; every partition
 is scanned on its own, one summary row per (group, partition) is carried over to the partitions
 behind it, and both are put together. The number of summary rows is bounded by the number of
 partitions plus the number of groups, whatever the skew.
 
-The partition numbers are stored by a reliable checkpoint before they are used: the bounds of a
-range partitioning are sampled anew whenever a plan runs again, so numbers that are not stored
-could differ between the rows and their summaries.
+The partition numbers are stored before they are used: the bounds of a range partitioning are sampled anew
+whenever a plan runs again, so numbers that are not stored could differ between the rows and their
+summaries.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,19 +21,9 @@ from pyspark.sql import functions as F
 
 from tallyworks.session import cut_lineage
 
-ROWS_PER_TASK = 4_000_000
 _BLOCK = "__block"
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows of the largest group and of all groups (map-side combined count)."""
-    if not keys:
-        n = df.count()
-        return n, n
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("top"), F.sum("count").alias("n")).first()
-    return row["top"] or 0, row["n"] or 0
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join on equal keys where null equals null; the key columns of ``left`` are kept."""
     renamed = right.select(
@@ -49,31 +37,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 class OrderedScan:
     """Adds ordered columns to ``df`` within ``keys``, ascending by ``order``.
 
-    ``order`` has to be unique within a group, otherwise results depend on chance. ``largest`` is
-    the size of the largest group, or a bound of it, where the caller knows it already; it saves the
-    count.
+    ``order`` has to be unique within a group, otherwise results depend on chance. ``parts`` is the
+    number of partitions, that of the session's shuffles where it is missing.
     """
 
-    def __init__(
-        self, df: DataFrame, keys: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK, largest: int | None = None
-    ):
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], parts: int | None = None):
         self.keys, self.order = list(keys), list(order)
-        total = None
-        if largest is None:
-            largest, total = group_sizes(df, self.keys)
-        self.largest = largest
-        self.split = largest > rows_per_task
-        if self.split:
-            parts = max(2, math.ceil((df.count() if total is None else total) / rows_per_task))
-            df = cut_lineage(
-                df.repartitionByRange(parts, *self.keys, *self.order).withColumn(_BLOCK, F.spark_partition_id())
-            )
-        self.df = df
+        parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = df.repartitionByRange(parts, *self.keys, *self.order)
+        self.df = cut_lineage(spread.withColumn(_BLOCK, F.spark_partition_id()))
 
     def _scan(self) -> Window:
-        cols = [*self.keys, _BLOCK] if self.split else self.keys
-        part = Window.partitionBy(*cols) if cols else Window.partitionBy(F.lit(0))
-        return part.orderBy(*self.order)
+        return Window.partitionBy(*self.keys, _BLOCK).orderBy(*self.order)
 
     def _over_blocks(self) -> Window:
         part = Window.partitionBy(*self.keys) if self.keys else Window.partitionBy(F.lit(0))
@@ -91,9 +66,6 @@ class OrderedScan:
     def previous(self, col: str, name: str) -> OrderedScan:
         """Value of ``col`` one row earlier, null on the first row."""
         here = F.lag(col, 1).over(self._scan())
-        if not self.split:
-            self.df = self.df.withColumn(name, here)
-            return self
         last = F.max_by(F.struct(F.col(col).alias("v")), self._position())
         rows = self._carry(last, F.lag("__sum", 1).over(self._over_blocks()))
         first_of_block = F.row_number().over(self._scan()) == 1
@@ -105,9 +77,6 @@ class OrderedScan:
         col = F.col(col) if isinstance(col, str) else col
         frame = self._scan().rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
         here = F.coalesce(F.sum(col).over(frame), F.lit(0))
-        if not self.split:
-            self.df = self.df.withColumn(name, here)
-            return self
         before = F.sum("__sum").over(self._over_blocks().rowsBetween(Window.unboundedPreceding, -1))
         rows = self._carry(F.sum(col), F.coalesce(before, F.lit(0)))
         self.df = rows.withColumn(name, here + F.col("__carry")).drop("__carry")
@@ -120,9 +89,6 @@ class OrderedScan:
         """First non-null value of ``col`` from this row on; stays null behind the last one."""
         frame = self._scan().rowsBetween(0, Window.unboundedFollowing)
         here = F.first(col, ignorenulls=True).over(frame)
-        if not self.split:
-            self.df = self.df.withColumn(name, here)
-            return self
         first = F.min_by(F.col(col), F.when(F.col(col).isNotNull(), self._position()))
         later = F.first("__sum", ignorenulls=True).over(self._over_blocks().rowsBetween(1, Window.unboundedFollowing))
         rows = self._carry(first, later)
@@ -131,10 +97,7 @@ class OrderedScan:
 
     def group_sum(self, col: Column, name: str) -> OrderedScan:
         """Sum of ``col`` over the whole group on each of its rows."""
-        if not self.split:
-            whole = Window.partitionBy(*self.keys) if self.keys else Window.partitionBy(F.lit(0))
-            self.df = self.df.withColumn(name, F.sum(col).over(whole))
-        elif self.keys:
+        if self.keys:
             self.df = null_safe_join(self.df, self.df.groupBy(*self.keys).agg(F.sum(col).alias(name)), self.keys)
         else:
             self.df = self.df.withColumn(name, F.lit(self.df.agg(F.sum(col)).first()[0]))

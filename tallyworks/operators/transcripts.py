@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.text import chunk_count, even_slices, joined, seconds, words
 from tallyworks.operators.aggs import concat_by
-from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.operators.scan import OrderedScan
 from tallyworks.operators.windows import even_parts, part_of, runs
 
 # Shape of a transcript file.
@@ -48,21 +48,21 @@ def words_from_transcript(df: DataFrame, keys: list[str], results: str = "result
     )
 
 
-def word_table(df: DataFrame, file: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def word_table(df: DataFrame, file: list[str], order: list[str], parts: int | None = None) -> DataFrame:
     """Words with the number of the speaker's uninterrupted part, counted within each file."""
-    return runs(df, file, order, "speaker", "part", rows_per_task)
+    return runs(df, file, order, "speaker", "part", parts)
 
 
-def speaker_runs(word_rows: DataFrame, file: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def speaker_runs(word_rows: DataFrame, file: list[str], order: list[str], parts: int | None = None) -> DataFrame:
     """Text, speaker, time and word count of every uninterrupted part."""
     numbers = {"speaker": F.min("speaker"), "time": F.sum("duration"), "count": F.count(F.lit(1))}
-    return concat_by(word_rows, [*file, "part"], "word", order, " ", "content", numbers, rows_per_task)
+    return concat_by(word_rows, [*file, "part"], "word", order, " ", "content", numbers, parts)
 
 
-def speaker_totals(word_rows: DataFrame, file: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def speaker_totals(word_rows: DataFrame, file: list[str], order: list[str], parts: int | None = None) -> DataFrame:
     """All words, time and word count of every speaker of a file."""
     numbers = {"time": F.sum("duration"), "count": F.count(F.lit(1))}
-    return concat_by(word_rows, [*file, "speaker"], "word", order, " ", "content", numbers, rows_per_task)
+    return concat_by(word_rows, [*file, "speaker"], "word", order, " ", "content", numbers, parts)
 
 
 def text_windows(df: DataFrame, keys: list[str], text: str, n: int = 30) -> DataFrame:
@@ -92,29 +92,28 @@ def text_chunks(df: DataFrame, keys: list[str], text: str, size: int = 512) -> D
     )
 
 
-def word_windows(word_rows: DataFrame, keys: list[str], order: list[str], n: int = 30, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def word_windows(word_rows: DataFrame, keys: list[str], order: list[str], n: int = 30, parts: int | None = None) -> DataFrame:
     """Words with their ``window`` 1..n of all words of the key, cut as by ``text_windows``.
 
     For texts that come as word rows: they are never put into one cell.
     """
-    return even_parts(word_rows, keys, order, F.lit(n), "window", rows_per_task)
+    return even_parts(word_rows, keys, order, F.lit(n), "window", parts)
 
 
 def word_chunks(
-    word_rows: DataFrame, keys: list[str], order: list[str], word: str = "word", size: int = 512, rows_per_task: int = ROWS_PER_TASK
+    word_rows: DataFrame, keys: list[str], order: list[str], word: str = "word", size: int = 512, parts: int | None = None
 ) -> DataFrame:
     """Chunks ``(keys, chunk, content)`` of the words of each key, cut as by ``text_chunks``.
 
     The number of chunks follows from the length that the joined text would have. Only a chunk's own
     words meet in one task, however many words a key has.
     """
-    scan = OrderedScan(word_rows, keys, order, rows_per_task)
+    scan = OrderedScan(word_rows, keys, order, parts)
     length = F.col("__chars") + F.col("__n") - 1
     scan.group_sum(F.length(word).cast("long"), "__chars").group_sum(F.lit(1).cast("long"), "__n").row_number("__i")
     k = F.greatest(F.ceil(length / F.lit(size)), F.lit(1))
     rows = scan.result().withColumn("chunk", part_of("__i", "__n", k))
-    most = min(scan.largest, size + 1)  # a chunk of one-letter words has about size / 2 of them
-    return concat_by(rows, [*keys, "chunk"], word, order, " ", "content", largest=most)
+    return concat_by(rows, [*keys, "chunk"], word, order, " ", "content", parts=parts)
 
 
 def lexicon_scores(chunks: DataFrame, keys: list[str], lexicon: DataFrame, labels: list[str], text: str = "content") -> DataFrame:

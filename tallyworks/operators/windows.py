@@ -7,57 +7,61 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators.aggs import concat_by
 from tallyworks.operators.quantiles import long_values
-from tallyworks.operators.scan import ROWS_PER_TASK, OrderedScan
+from tallyworks.operators.scan import OrderedScan
 from tallyworks.session import cut_lineage
 
 
-def previous(df: DataFrame, keys: list[str], order: list[str], col: str, name: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return OrderedScan(df, keys, order, rows_per_task).previous(col, name).result()
+def previous(df: DataFrame, keys: list[str], order: list[str], col: str, name: str, parts: int | None = None) -> DataFrame:
+    return OrderedScan(df, keys, order, parts).previous(col, name).result()
 
 
 def _flagged(scan: OrderedScan, col: str, name: str) -> OrderedScan:
-    scan.previous(col, "__before")
-    scan.df = scan.df.withColumn(
-        name, F.when(F.col("__before").isNull() | (F.col(col) != F.col("__before")), 1).otherwise(0)
-    ).drop("__before")
+    # the value in a struct: nothing before is null, a null before is a struct with a null
+    scan.df = scan.df.withColumn("__here", F.struct(F.col(col).alias("v")))
+    scan.previous("__here", "__before")
+    same = F.col("__before").isNotNull() & F.col("__here.v").eqNullSafe(F.col("__before.v"))
+    scan.df = scan.df.withColumn(name, F.when(same, 0).otherwise(1)).drop("__before", "__here")
     return scan
 
 
-def change_flag(df: DataFrame, keys: list[str], order: list[str], col: str, name: str = "changed", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """1 on the first row and wherever the value differs from the row before, else 0."""
-    return _flagged(OrderedScan(df, keys, order, rows_per_task), col, name).result()
+def change_flag(df: DataFrame, keys: list[str], order: list[str], col: str, name: str = "changed", parts: int | None = None) -> DataFrame:
+    """1 on the first row and wherever the value differs from the row before, else 0.
+
+    A null differs from any value and equals a null.
+    """
+    return _flagged(OrderedScan(df, keys, order, parts), col, name).result()
 
 
-def runs(df: DataFrame, keys: list[str], order: list[str], col: str, name: str = "run", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def runs(df: DataFrame, keys: list[str], order: list[str], col: str, name: str = "run", parts: int | None = None) -> DataFrame:
     """Number of the run of equal values that a row belongs to, from 1."""
-    scan = _flagged(OrderedScan(df, keys, order, rows_per_task), col, "__flag")
+    scan = _flagged(OrderedScan(df, keys, order, parts), col, "__flag")
     scan.running_sum("__flag", name)
     return scan.result().drop("__flag")
 
 
-def run_starts(df: DataFrame, keys: list[str], order: list[str], flag: str, name: str = "starts", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def run_starts(df: DataFrame, keys: list[str], order: list[str], flag: str, name: str = "starts", parts: int | None = None) -> DataFrame:
     """True where a flag holds and did not hold on the row before; the first row counts as a start."""
-    rows = OrderedScan(df, keys, order, rows_per_task).previous(flag, "__before").result()
+    rows = OrderedScan(df, keys, order, parts).previous(flag, "__before").result()
     return rows.withColumn(name, F.coalesce(F.col(flag), F.lit(False)) & ~F.coalesce("__before", F.lit(False))).drop("__before")
 
 
-def cum_sum(df: DataFrame, keys: list[str], order: list[str], col: str | Column, name: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return OrderedScan(df, keys, order, rows_per_task).running_sum(col, name).result()
+def cum_sum(df: DataFrame, keys: list[str], order: list[str], col: str | Column, name: str, parts: int | None = None) -> DataFrame:
+    return OrderedScan(df, keys, order, parts).running_sum(col, name).result()
 
 
 def running_mean(
-    df: DataFrame, keys: list[str], order: list[str], col: str, inclusive: bool = True, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, keys: list[str], order: list[str], col: str, inclusive: bool = True, parts: int | None = None
 ) -> DataFrame:
     """Adds ``seen`` and ``mean_so_far`` over the rows up to this one, or up to the one before."""
-    scan = OrderedScan(df, keys, order, rows_per_task)
+    scan = OrderedScan(df, keys, order, parts)
     scan.running_sum(F.when(F.col(col).isNotNull(), 1).otherwise(0).cast("long"), "seen", inclusive)
     scan.running_sum(F.col(col), "__sum", inclusive)
     return scan.result().withColumn("mean_so_far", F.try_divide("__sum", "seen")).drop("__sum")
 
 
-def fill_back(df: DataFrame, keys: list[str], order: list[str], col: str, name: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def fill_back(df: DataFrame, keys: list[str], order: list[str], col: str, name: str, parts: int | None = None) -> DataFrame:
     """Missing values take the next known one of their group; those behind the last stay missing."""
-    return OrderedScan(df, keys, order, rows_per_task).next_non_null(col, name).result()
+    return OrderedScan(df, keys, order, parts).next_non_null(col, name).result()
 
 
 def part_of(position: str, size: str, k: Column) -> Column:
@@ -69,41 +73,40 @@ def part_of(position: str, size: str, k: Column) -> Column:
     return (F.when(i < longer * (short + 1), in_longer).otherwise(in_shorter) + 1).cast("int")
 
 
-def even_parts(df: DataFrame, keys: list[str], order: list[str], k: Column, name: str = "part", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def even_parts(df: DataFrame, keys: list[str], order: list[str], k: Column, name: str = "part", parts: int | None = None) -> DataFrame:
     """Part 1..k of an ordered group cut into k nearly equal parts, the longer ones first.
 
     ``k`` may differ from group to group.
     """
-    scan = OrderedScan(df, keys, order, rows_per_task).row_number("__i").with_group_size("__n")
+    scan = OrderedScan(df, keys, order, parts).row_number("__i").with_group_size("__n")
     return scan.result().withColumn(name, part_of("__i", "__n", k)).drop("__i", "__n")
 
 
 def merge_adjacent(
     df: DataFrame, keys: list[str], position: str, text: str, mark: str | None = None, name: str = "term",
-    rows_per_task: int = ROWS_PER_TASK,
+    parts: int | None = None,
 ) -> DataFrame:
     """Items on consecutive positions joined into one, with ``mark`` turned into a blank.
 
     The separator is empty: word pieces carry their own mark at a word start.
     """
-    scan = OrderedScan(df, keys, [position], rows_per_task).row_number("__rn")
+    scan = OrderedScan(df, keys, [position], parts).row_number("__rn")
     rows = scan.result().withColumn("__island", F.col(position) - F.col("__rn"))
-    # an island is a part of its group, so the group's size bounds it
     out = concat_by(
-        rows, [*keys, "__island"], text, [position], "", name, {"start": F.min(position)}, rows_per_task, scan.largest
+        rows, [*keys, "__island"], text, [position], "", name, {"start": F.min(position)}, parts
     ).drop("__island")
     cleaned = F.trim(F.replace(F.col(name), F.lit(mark), F.lit(" "))) if mark else F.trim(name)
     return out.withColumn(name, cleaned)
 
 
-def rank_scale(fit_on: DataFrame, apply_to: DataFrame, columns: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def rank_scale(fit_on: DataFrame, apply_to: DataFrame, columns: list[str], parts: int | None = None) -> DataFrame:
     """Empirical rank of each value among the distinct values of its column, scaled to 0..1.
 
     Rows (column, value, scaled) of the distinct values of ``apply_to``; a value that was not
     fitted is left out. See ``learn.prep.QuantileScaler`` for values in between.
     """
     distinct = cut_lineage(long_values(fit_on, columns).where(F.col("value").isNotNull()).distinct())
-    ranked = OrderedScan(distinct, ["column"], ["value"], rows_per_task).row_number("__r").with_group_size("__n").result()
+    ranked = OrderedScan(distinct, ["column"], ["value"], parts).row_number("__r").with_group_size("__n").result()
     scaled = ranked.select(
         "column", "value", F.when(F.col("__n") == 1, 0.0).otherwise((F.col("__r") - 1) / (F.col("__n") - 1)).alias("scaled")
     )

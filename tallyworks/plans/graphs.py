@@ -69,14 +69,14 @@ def g02(t):
 
 @query(
     "g03_adjacency",
-    f"""SELECT 'out' AS side, head AS node, 0 AS part, string_agg(tail, ',' ORDER BY tail) AS neighbours FROM {ORDER_EDGES} GROUP BY head
-UNION ALL SELECT 'in', tail, 0, string_agg(head, ',' ORDER BY head) FROM {ORDER_EDGES} GROUP BY tail""",
+    f"""SELECT 'out' AS side, head AS node, row_number() OVER (PARTITION BY head ORDER BY tail) AS position, tail AS neighbour
+FROM (SELECT DISTINCT head, tail FROM {ORDER_EDGES})
+UNION ALL SELECT 'in', tail, row_number() OVER (PARTITION BY tail ORDER BY head), head FROM (SELECT DISTINCT head, tail FROM {ORDER_EDGES})""",
 )
 def g03(t):
     e = order_edges(t)
     out = graph.adjacency(e).withColumn("side", F.lit("out"))
-    back = graph.adjacency(e, "tail", "head").withColumn("side", F.lit("in"))
-    return out.unionByName(back).withColumn("neighbours", F.array_join("neighbours", ","))
+    return out.unionByName(graph.adjacency(e, "tail", "head").withColumn("side", F.lit("in")))
 
 
 DEGREES = f"""(SELECT node, (SELECT count(*) FROM {ORDER_EDGES} WHERE tail = node) AS incoming, (SELECT count(*) FROM {ORDER_EDGES} WHERE head = node) AS outgoing FROM {NODES})"""

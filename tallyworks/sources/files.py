@@ -77,13 +77,3 @@ def file_stem(path: Column) -> Column:
 def with_file_key(df: DataFrame, name: str = "file_key") -> DataFrame:
     """Adds the stem of the file that each row was read from."""
     return df.withColumn(name, file_stem(F.col("_metadata.file_path")))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table that comes in fewer pieces than there are cores, dealt out evenly.
-
-    A file with one row group is one task, whatever work its rows need afterwards. Large tables have
-    more pieces than cores and stay as they are. Looks at the plan only, no job runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

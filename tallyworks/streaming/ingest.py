@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyworks.sources.tables import append, append_new, written
+from tallyworks.sources.tables import append, append_new, unseen, written
 
 
 def _stream(
@@ -48,22 +48,27 @@ def append_parts(rows: DataFrame, target: str, key: str) -> None:
 
 def fan_out_stream(
     spark: SparkSession, source: str, schema: T.StructType, main: tuple[str, Callable[[DataFrame], DataFrame]],
-    parts: dict[str, Callable[[DataFrame], DataFrame]], key: str, order: list[str], checkpoint: str, file_format: str = "parquet",
+    parts: dict[str, Callable[[DataFrame], DataFrame]], key: str, order: list[str], checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df, file_format: str = "parquet",
 ) -> StreamingQuery:
     """One batch written to a main table and then to tables derived from its items.
 
-    ``main`` is (target, rows of a batch), ``parts`` maps each further target to its rows. Every
-    write leaves out the keys its target holds, so a batch that stopped between two writes is
-    completed by its next run.
+    ``prepare`` gives a batch its ``key``. ``main`` is (target, rows of items), ``parts`` maps each further
+    target to its rows; the main table keeps ``key`` and ``order``. A batch is reduced to one item per key
+    first (the first by ``order``), and parts are written only of items that are the main table's own, so
+    a dropped copy leaves nothing anywhere. Every write leaves out the keys its target holds, so a batch
+    that stopped between two writes is completed by its next run.
     """
 
     def batch(df: DataFrame, _: int) -> None:
-        df = df.persist()
+        items = unseen(prepare(df), None, key, order).persist()
         try:
-            append_new(main[1](df), main[0], key, order)
+            append_new(main[1](items), main[0], key, order)
+            own = written(items.sparkSession, main[0])
+            kept = items.join(own.select(key, *order).distinct(), [key, *order], "left_semi") if own is not None else items
             for target, rows in parts.items():
-                append_parts(rows(df), target, key)
+                append_parts(rows(kept), target, key)
         finally:
-            df.unpersist()
+            items.unpersist()
 
     return _stream(spark, source, schema, checkpoint, batch, file_format)

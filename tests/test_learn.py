@@ -26,7 +26,7 @@ FEATURES = ["x", "z", "g"]
 
 def test_splits_do_not_depend_on_partitions(people, as_rows):
     plain = prep.split(people, "id", 0.25, 3, by="label")
-    assert as_rows(plain, "id", "is_test") == as_rows(prep.split(people.repartition(7), "id", 0.25, 3, by="label", rows_per_task=30), "id", "is_test")
+    assert as_rows(plain, "id", "is_test") == as_rows(prep.split(people.repartition(7), "id", 0.25, 3, by="label", parts=9), "id", "is_test")
     shares = plain.groupBy("label").agg(F.avg(F.col("is_test").cast("int")).alias("s")).collect()
     assert all(0.24 < r["s"] <= 0.25 for r in shares)
     assert 0.2 < prep.split(people, "id", 0.3).agg(F.avg(F.col("is_test").cast("int"))).first()[0] < 0.4
@@ -72,7 +72,7 @@ def test_auc_with_ties(spark, scores):
     labels = [0, 0, 1, 1, 1, 0]
     df = spark.createDataFrame([(y, float(s)) for y, s in zip(labels, scores)], "y int, s double")
     assert metrics.auc(df, "y", "s").first()[0] == pytest.approx(by_pairs(labels, scores))
-    assert metrics.auc(df, "y", "s", rows_per_task=2).first()[0] == pytest.approx(by_pairs(labels, scores))
+    assert metrics.auc(df, "y", "s", parts=2).first()[0] == pytest.approx(by_pairs(labels, scores))
     last = metrics.roc(df, "y", "s").orderBy("threshold").first()
     assert (last["tpr"], last["fpr"]) == (1.0, 1.0)
 

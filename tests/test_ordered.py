@@ -1,9 +1,10 @@
-"""Ordered columns: the plain window and the split scan have to agree, whatever the partitioning."""
+"""Ordered columns: one partition and many have to agree, whatever the partitioning."""
 
 import random
 
 import pytest
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyworks.operators import windows
@@ -11,7 +12,7 @@ from tallyworks.operators.aggs import concat_by, describe_numbers
 from tallyworks.operators.quantiles import _full_scan, exact_quantiles
 from tallyworks.operators.scan import OrderedScan
 
-WHOLE, TINY = 10**9, 40
+WHOLE, TINY = 1, 9
 
 
 @pytest.fixture(scope="module")
@@ -61,7 +62,6 @@ def test_partitioning_does_not_matter(events, as_rows, parts):
 
 def test_hot_key_is_spread(events):
     scan = OrderedScan(events, ["key"], ["pos"], TINY)
-    assert scan.split
     assert scan.df.where("key = 'hot'").select("__block").distinct().count() > 2
 
 
@@ -101,7 +101,7 @@ def test_quantiles_are_exact(spark, size):
     values = [round(rng.gauss(0, 10), 1) if i % 3 else 0.5 for i in range(size)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
     shares = [0.0, 0.1, 0.5, 0.9, 1.0]
-    for found in (exact_quantiles(df, ["v"], shares), exact_quantiles(df, ["v"], shares, rows_per_task=20), _full_scan(df, ["v"], shares, [], 20)):
+    for found in (exact_quantiles(df, ["v"], shares), exact_quantiles(df, ["v"], shares, parts=20), _full_scan(df, ["v"], shares, [], 20)):
         got = {r["share"]: r["quantile"] for r in found.collect()}
         assert got == pytest.approx({s: quantile(values, s) for s in shares})
 
@@ -118,3 +118,17 @@ def test_merge_adjacent_marks_and_separate_places(spark, as_rows):
     )
     out = windows.merge_adjacent(df, ["k"], "pos", "w", "▁")
     assert as_rows(out, "k", "start", "term") == [("a", 1, "Malware"), ("a", 5, "Bot net"), ("b", 3, "X")]
+
+
+def test_flags_and_runs_over_nulls(spark, as_rows):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(["a", None, None, "a", "a", None])], "pos int, v string")
+    for parts in (1, 2, 6):
+        assert as_rows(windows.change_flag(df, [], ["pos"], "v", "c", parts), "pos", "c") == [(0, 1), (1, 1), (2, 0), (3, 1), (4, 0), (5, 1)]
+        assert [r[1] for r in as_rows(windows.runs(df, [], ["pos"], "v", "r", parts), "pos", "r")] == [1, 2, 2, 3, 3, 4]
+
+
+def test_against_a_plain_window(events, as_rows):
+    w = Window.partitionBy("key").orderBy("pos")
+    plain = events.withColumn("out", F.sum(F.coalesce("value", F.lit(0.0))).over(w))
+    split = CASES["cum_sum"](events, ["key"], TINY)
+    assert as_rows(plain.withColumn("out", F.round("out", 6)), "key", "pos", "out") == as_rows(split, "key", "pos", "out")

@@ -35,7 +35,7 @@ def test_speaker_runs_and_totals(spark, as_rows):
     table = transcripts.word_table(df, ["file"], ["pos"])
     runs = transcripts.speaker_runs(table, ["file"], ["pos"])
     assert as_rows(runs, "part", "speaker", "content", "time", "count") == [(1, 1, "a b", 2.0, 2), (2, 2, "c", 1.0, 1), (3, 1, "d", 1.0, 1)]
-    totals = transcripts.speaker_totals(df, ["file"], ["pos"], rows_per_task=2)
+    totals = transcripts.speaker_totals(df, ["file"], ["pos"], parts=2)
     assert as_rows(totals, "speaker", "content", "count") == [(1, "a b d", 3), (2, "c", 1)]
 
 
@@ -51,15 +51,15 @@ def test_windows_and_chunks_as_even_arrays(spark, n):
     assert chunks == ([" ".join(p) for p in np.array_split(words, k)] if k > 1 else [line])
 
 
-@pytest.mark.parametrize("rows_per_task", [10**9, 20])
-def test_word_rows_are_cut_like_texts(spark, as_rows, rows_per_task):
+@pytest.mark.parametrize("parts", [1, 20])
+def test_word_rows_are_cut_like_texts(spark, as_rows, parts):
     rng = random.Random(4)
     texts = [(i, " ".join("w" * rng.randint(1, 9) for _ in range(n))) for i, n in enumerate([1, 29, 30, 31, 200])]
     df = spark.createDataFrame(texts, "id int, t string")
     said = df.select("id", F.posexplode(F.split("t", " ")).alias("pos", "word"))
-    chunks = transcripts.word_chunks(said, ["id"], ["pos"], size=50, rows_per_task=rows_per_task)
+    chunks = transcripts.word_chunks(said, ["id"], ["pos"], size=50, parts=parts)
     assert as_rows(chunks, "id", "chunk", "content") == as_rows(transcripts.text_chunks(df, ["id"], "t", 50))
-    windows = concat_by(transcripts.word_windows(said, ["id"], ["pos"], 30, rows_per_task), ["id", "window"], "word", ["pos"])
+    windows = concat_by(transcripts.word_windows(said, ["id"], ["pos"], 30, parts), ["id", "window"], "word", ["pos"])
     want = transcripts.text_windows(df, ["id"], "t").where("content <> ''")
     assert as_rows(windows, "id", "window", "content") == as_rows(want)
 
@@ -234,12 +234,10 @@ def test_edges_are_linked_and_kept_once(spark, as_rows):
     assert [r["node"] for r in graph.root_candidates(nodes, edges, 2).collect()] == ["model", "x"]
 
 
-def test_hub_lists_are_divided_and_whole(spark):
-    df = spark.createDataFrame([("hub", f"n{i}") for i in range(50)] + [("small", "n1")], "head string, tail string")
-    lists = graph.adjacency(df, longest=10).collect()
-    hub = [r for r in lists if r["node"] == "hub"]
-    assert len(hub) > 2 and sorted(x for r in hub for x in r["neighbours"]) == sorted(f"n{i}" for i in range(50))
-    assert [r["part"] for r in lists if r["node"] == "small"] == [0]
+def test_hub_has_a_row_per_neighbour(spark, as_rows):
+    df = spark.createDataFrame([("hub", f"n{i:02d}") for i in range(50)] * 2 + [("small", "n1")], "head string, tail string")
+    rows = as_rows(graph.adjacency(df), "node", "position", "neighbour")
+    assert rows == [("hub", i + 1, f"n{i:02d}") for i in range(50)] + [("small", 1, "n1")]
 
 
 def test_later_triples_and_same_root(spark, as_rows):
@@ -262,7 +260,7 @@ def test_commit_takes_the_first_best(log, as_rows):
     assert as_rows(chosen, "day", "arm") == [(0, 0), (1, 1), (2, 2), (3, 1), (4, 1), (5, 1)]
     regret = rewards.regret(chosen, log, 1).first()
     assert (regret["best"], regret["collected"], regret["regret"]) == (17.0, 20.0, -3.0)
-    assert as_rows(rewards.cumulative(chosen, rows_per_task=2), "day", "collected")[-1] == (5, 20.0)
+    assert as_rows(rewards.cumulative(chosen, parts=2), "day", "collected")[-1] == (5, 20.0)
 
 
 def test_scores_with_an_arm_not_tried(log, as_rows):
@@ -305,6 +303,18 @@ def test_fan_out_completes_a_stopped_batch(spark, as_rows):
     assert as_rows(spark.read.parquet(tags)) == [("a", "x"), ("a", "y"), ("b", "z")]
 
 
+def test_fan_out_leaves_nothing_of_dropped_copies(spark, as_rows):
+    source, main, tags, state = (new_folder(spark, n) for n in ("drop", "main", "tags", "state"))
+    rows = lambda d: d.select("key", F.explode(F.filter(F.split("words", " "), lambda w: w != "")).alias("tag"))
+    drops = [[("a", 2, "z"), ("a", 1, "x y"), ("b", 1, "")], [("a", 3, "q"), ("b", 2, "late"), ("c", 1, "new")]]
+    for drop in drops:
+        df = spark.createDataFrame(drop, "key string, ord int, words string")
+        df.coalesce(1).write.mode("append").parquet(source)
+        ingest.fan_out_stream(spark, source, df.schema, (main, lambda d: d), {tags: rows}, "key", ["ord"], state).awaitTermination()
+    assert as_rows(spark.read.parquet(main), "key", "ord") == [("a", 1), ("b", 1), ("c", 1)]
+    assert as_rows(spark.read.parquet(tags)) == [("a", "x"), ("a", "y"), ("c", "new")]
+
+
 def test_scorer_slot(spark, as_rows):
     def make():
         return lambda texts: np.array([[len(t), t.count("a")] for t in texts], dtype="float64")
