@@ -20,9 +20,9 @@ def f02(t):
     return t.part.select("p_partkey", text.capitalise(F.concat("p_name", "p_type")).alias("v"))
 
 
-@query("f03_trim", "SELECT doc_id, trim(substr(text, 5, 7)) AS v FROM documents")
+@query("f03_trim", "SELECT doc_id, trim(text) AS v FROM documents")
 def f03(t):
-    return t.documents.select("doc_id", F.trim(F.substring("text", 5, 7)).alias("v"))
+    return t.documents.select("doc_id", F.trim("text").alias("v"))
 
 
 @query("f04_one_line", "SELECT conv_id, turn, replace(text, chr(10), ' ') AS v FROM conversations")
@@ -198,10 +198,10 @@ def f24(t):
 SENTENCES = "list_filter(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
 
 
-@query("f25_sentences", f"SELECT doc_id, len(s) AS n, s[1] AS first FROM (SELECT doc_id, {SENTENCES} AS s FROM documents)")
+@query("f25_sentences", f"SELECT doc_id, len(s) AS n, array_to_string(s, ' | ') AS sentences FROM (SELECT doc_id, {SENTENCES} AS s FROM documents)")
 def f25(t):
     s = t.documents.select("doc_id", text.sentences(F.col("text")).alias("s"))
-    return s.select("doc_id", F.size("s").cast("long").alias("n"), F.try_element_at("s", F.lit(1)).alias("first"))
+    return s.select("doc_id", F.size("s").cast("long").alias("n"), F.array_join("s", " | ").alias("sentences"))
 
 
 @query(

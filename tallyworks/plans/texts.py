@@ -206,23 +206,23 @@ def t08(t):
     return articles.article_table(feed_items(t), page_rules(t))
 
 
-LONG_CAPITALS = f"""(SELECT CAST(doc_id AS VARCHAR) AS article_id, pos, w FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS pos
-FROM (SELECT doc_id, {WORDS} AS ws FROM documents)) WHERE regexp_matches(w, '{CAPITALISED}') AND length(w) >= 9)"""
+CAPITAL_WORDS = f"""(SELECT CAST(doc_id AS VARCHAR) AS article_id, pos, w FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS pos
+FROM (SELECT doc_id, {WORDS} AS ws FROM documents)) WHERE regexp_matches(w, '{CAPITALISED}'))"""
 
 
 def tagged_tokens(t):
-    """Long capitalised words with a piece mark, as a tagger would return them."""
+    """Capitalised words with a piece mark, as a tagger would return them."""
     rows = t.documents.select(
         F.col("doc_id").cast("string").alias("article_id"), F.posexplode(tx.words(F.col("text"))).alias("pos", "w")
     )
-    kept = rows.where(F.col("w").rlike(CAPITALISED) & (F.length("w") >= 9))
+    kept = rows.where(F.col("w").rlike(CAPITALISED))
     return kept.select("article_id", F.col("pos").cast("long").alias("index"), F.concat(F.lit("▁"), "w").alias("word"))
 
 
 @query(
     "t09_tag_table",
     f"""WITH terms AS (SELECT DISTINCT article_id, trim(replace(string_agg('▁' || w, '' ORDER BY pos), '▁', ' ')) AS security_tag FROM
-(SELECT *, pos - row_number() OVER (PARTITION BY article_id ORDER BY pos) AS island FROM {LONG_CAPITALS}) GROUP BY article_id, island)
+(SELECT *, pos - row_number() OVER (PARTITION BY article_id ORDER BY pos) AS island FROM {CAPITAL_WORDS}) GROUP BY article_id, island)
 SELECT CAST(doc_id AS VARCHAR) AS article_id, coalesce(security_tag, 'tagless') AS security_tag FROM documents LEFT JOIN terms ON article_id = CAST(doc_id AS VARCHAR)""",
 )
 def t09(t):
@@ -259,11 +259,10 @@ def t10(t):
 
 
 def _terms(t):
-    """Single words and word pairs of the benchmark texts."""
+    """All words and pairs of neighbouring words of the benchmark texts."""
     w = t.benchmark.select(relations.tokens(F.col("text")).alias("w"))
-    single = w.select(F.explode("w").alias("term")).where("length(term) >= 7")
-    firsts = w.select(F.array_join(F.slice("w", 1, 2), " ").alias("term"))
-    return single.unionByName(firsts).distinct()
+    pairs = F.transform("w", lambda x, i: F.concat(x, F.lit(" "), F.get("w", i + 1)))
+    return w.select(F.explode(F.concat("w", F.filter(pairs, lambda p: p.isNotNull()))).alias("term")).distinct()
 
 
 _TOK = "list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}]+'), lambda x: x <> '')"
@@ -276,8 +275,8 @@ def t12(t):
 
 
 _SENTENCE_TOKENS = f"(SELECT doc_id, sentence_no, {_TOK.format('sentence')} AS w FROM {SENTENCE_TABLE})"
-_TERMS = f"""(SELECT DISTINCT term FROM (SELECT unnest(w) AS term FROM (SELECT {_TOK.format('text')} AS w FROM benchmark)) WHERE length(term) >= 7
-UNION SELECT array_to_string(w[1:2], ' ') FROM (SELECT {_TOK.format('text')} AS w FROM benchmark))"""
+_TERMS = f"""(SELECT DISTINCT unnest(w) AS term FROM (SELECT {_TOK.format('text')} AS w FROM benchmark)
+UNION SELECT w[i] || ' ' || w[i + 1] FROM (SELECT w, unnest(range(1, len(w))) AS i FROM (SELECT {_TOK.format('text')} AS w FROM benchmark)))"""
 
 
 @query(
