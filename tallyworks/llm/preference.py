@@ -62,19 +62,23 @@ def common_turns(left: Column, right: Column) -> Column:
     return F.least(shorter, F.coalesce(F.array_min(differs), shorter))
 
 
+OUTPUTS = ["prompt_turns", "prompt", "chosen", "chosen_mask", "rejected", "rejected_mask"]
+
+
 def preference_rows(pairs: DataFrame, trained_role: str = "assistant") -> DataFrame:
     """For rows with arrays ``chosen`` and ``rejected`` of role and text: prompt, completions and masks.
 
-    Columns other than the two are kept in front.
+    Other columns are kept in front, but for those that bear the name of a result.
     """
-    keep = [c for c in pairs.columns if c not in ("chosen", "rejected")]
-    named = pairs.select(*keep, F.col("chosen").alias("_a"), F.col("rejected").alias("_b"))
-    counted = named.withColumn("prompt_turns", common_turns(F.col("_a"), F.col("_b")))
-    rest = lambda c: F.slice(F.col(c), F.col("prompt_turns") + 1, F.size(c))
-    split = counted.withColumn("_p", F.slice("_a", F.lit(1), F.col("prompt_turns"))).withColumn("_c", rest("_a")).withColumn("_r", rest("_b"))
+    keep = [c for c in pairs.columns if c not in OUTPUTS]
+    inner = [f"_k{i}" for i in range(len(keep))]
+    named = pairs.select(*[F.col(c).alias(k) for c, k in zip(keep, inner)], F.col("chosen").alias("_a"), F.col("rejected").alias("_b"))
+    counted = named.withColumn("_n", common_turns(F.col("_a"), F.col("_b")))
+    rest = lambda c: F.slice(F.col(c), F.col("_n") + 1, F.size(c))
+    split = counted.withColumn("_p", F.slice("_a", F.lit(1), F.col("_n"))).withColumn("_c", rest("_a")).withColumn("_r", rest("_b"))
     return split.select(
-        *keep,
-        F.col("prompt_turns").cast("bigint").alias("prompt_turns"),
+        *[F.col(k).alias(c) for c, k in zip(keep, inner)],
+        F.col("_n").cast("bigint").alias("prompt_turns"),
         rendered(F.col("_p")).alias("prompt"),
         rendered(F.col("_c")).alias("chosen"),
         mask_runs(F.col("_c"), trained_role).alias("chosen_mask"),
