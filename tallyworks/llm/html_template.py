@@ -55,6 +55,8 @@ BLOCK = frozenset(
 )
 ENDS_P = BLOCK - frozenset("br caption dd dt head html legend li option tbody td tfoot th thead title tr body".split())
 ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+# elements that hold a page's parts, not parts of a text
+HOLDERS = frozenset("html body div section article main center table tbody tr td".split())
 SCOPE = frozenset("ul ol dl table td th select button article section div main aside nav body".split())
 
 # regions that are no content wherever they stand
@@ -282,6 +284,10 @@ def equivalence_classes(tokens: list[dict]) -> list[dict]:
     return out
 
 
+def _tag(path: str) -> str:
+    return path.rsplit("/", 1)[-1].split(".", 1)[0]
+
+
 def content_path(tokens: list[dict], one_per_page: set[str]) -> str:
     """Path of the content element among tokens with ``token, chars, links, main``."""
     elements = {t["token"]: t for t in tokens if not t["is_text"]}
@@ -292,7 +298,7 @@ def content_path(tokens: list[dict], one_per_page: set[str]) -> str:
         return max(outermost, key=lambda p: (plain[p], p))
     at = ""
     while True:
-        below = [p for p in one_per_page if p.rsplit("/", 1)[0] == at and plain.get(p, 0) >= HOLDS * max(plain.get(at, 0), 1)]
+        below = [p for p in one_per_page if p != at and p.rsplit("/", 1)[0] == at and _tag(p) in HOLDERS and plain.get(p, 0) >= HOLDS * max(plain.get(at, 0), 1)]
         if not below:
             return at
         at = max(below, key=lambda p: (plain[p], p))
