@@ -317,12 +317,13 @@ def m17(t):
     return _classifier_report(models.fit(models.boosted_trees(trees=10, depth=3, rate=0.1), train, _FEATURES), test)
 
 
-@query("m18_early_stopping", "SELECT 12 AS allowed, true AS ok FROM (SELECT count(*) FROM labels)")
+@query("m18_early_stopping", "SELECT 12 AS allowed, count(DISTINCT quality) - 1 AS used FROM labels")
 def m18(t):
-    rows = prep.split(learning_base(t, "toxic"), "doc_id", 0.25, 3, name="held_out")
-    model = models.fit(models.boosted_trees(trees=12, depth=3, rate=0.3, validation="held_out"), rows, _FEATURES)
-    used = model.stages[-1].getNumTrees
-    return t.spark.createDataFrame([(12, 1 <= used <= 12)], "allowed int, ok boolean")
+    """The label as a feature: the first tree is exact, so the held-out rows improve no more."""
+    rows = prep.split(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id", 0.25, 3, name="held_out")
+    rows = rows.withColumn("flag", F.col("label"))
+    model = models.fit(models.boosted_trees(trees=12, depth=3, rate=1.0, validation="held_out", regression=True), rows, ["flag"])
+    return t.spark.createDataFrame([(12, model.stages[-1].getNumTrees)], "allowed int, used long")
 
 
 _SHARE = int(0.3 * 2**32)
@@ -540,13 +541,17 @@ def m30_two(t):
     return out.withColumns({c: F.round(c, 2) for c in ("coefficient", "importance")})
 
 
-@query("m31_tree_importance", "SELECT count(*) AS features, 1.0::DOUBLE AS total FROM (SELECT DISTINCT quality FROM labels), range(5) GROUP BY quality LIMIT 1")
+@query(
+    "m31_tree_importance",
+    """SELECT 'flag' AS feature, CASE WHEN count(DISTINCT quality) = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance FROM labels
+UNION ALL SELECT 'same', 0.0::DOUBLE""",
+)
 def m31(t):
-    """Shares of all features: they add up to one."""
-    train, _ = _halves(t)
-    model = models.fit(models.random_forest(trees=10, depth=5), train, _FEATURES)
-    shares = explain.tree_importance(model, _FEATURES, train)
-    return shares.agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+    """The label as a feature takes all of the importance, a constant none."""
+    rows = t.labels.select(F.col("quality").cast("double").alias("label"), F.col("quality").cast("double").alias("flag"), F.lit(1.0).alias("same"))
+    features = ["flag", "same"]
+    found = explain.tree_importance(models.fit(models.decision_tree(depth=2), rows, features), features, rows)
+    return found.withColumn("importance", F.round("importance", 6))
 
 
 @query("m32_code_map", "SELECT p_type AS value, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT p_type FROM part)")
@@ -637,16 +642,21 @@ def m38(t):
     return importance.withColumn("accuracy", F.lit(rates.first()["accuracy"]))
 
 
-@query("m39_score_and_write", f"SELECT doc_id, true AS scored FROM documents JOIN labels USING (doc_id) WHERE {DRAW.format('doc_id', 11)} < {int(0.3 * 2**32)}")
+@query(
+    "m39_score_and_write",
+    f"""WITH b AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS x, CAST(quality AS DOUBLE) AS y, {DRAW.format('doc_id', 11)} < {int(0.3 * 2**32)} AS is_test
+FROM documents JOIN labels USING (doc_id)), f AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM b WHERE NOT is_test)
+SELECT doc_id, round(slope * x + base, 5) AS prediction FROM b, f WHERE is_test""",
+)
 def m39(t):
     from pyspark.sql import types as T
 
     train, test = _halves(t)
-    model = models.fit(models.linear(), train, _FEATURES)
+    model = models.fit(models.linear(), train, ["n_chars"])
     path = new_folder(t.spark, "m39")
     files.write_csv(models.score(model, test, "doc_id"), path)
     read = files.read_csv(t.spark, path, T.StructType.fromDDL("doc_id long, prediction double"))
-    return read.select("doc_id", F.col("prediction").isNotNull().alias("scored"))
+    return read.select("doc_id", F.round("prediction", 5).alias("prediction"))
 
 
 @query(
