@@ -4,18 +4,22 @@ A text is a weighted set of runs of five words, the weight being how often a run
 at the region of each element, one unit of weight by one unit of rank at a time: their ranks are the
 arrival times of a Poisson process seeded by element and unit, each with a coordinate of the signature and, for a last broken
 unit, a height that must lie below the weight. Only darts up to a rank of ``t / total weight`` are thrown,
-about ``k ln k + 4 k`` of them whatever the size of the text; the earliest dart of each coordinate is
+about ``k ln k + 3 k`` of them whatever the size of the text; the earliest dart of each coordinate is
 kept. Two sets agree in a coordinate with the probability of their weighted Jaccard similarity. Where a
 coordinate stayed empty, the rank limit is doubled for that text.
 
-Rows of the signature form bands; texts that share a band meet in a bucket. 24 bands of 4 rows lose a
-pair of similarity 0.8 three times in a million. Candidates are verified on their whole texts.
+Rows of the signature form bands; texts that share a band meet in a bucket. 30 bands of 6 rows lose one
+pair in nine thousand of similarity 0.8, one in a million of 0.84, and keep texts that only share a passage out of each
+other's buckets. Candidates are verified on their whole texts.
 
 A bucket of a third of all texts is no list of pairs: its members are compared with one pivot, the
-member that shares most buckets in all (the original of a group of copies), then with a second one outside
-the pivot's class. Only members that are still in different classes are compared with each other, less the
-pairs that the triangle inequality over the pivot rules out (weighted Jaccard distance is a metric). So no
-link between different texts is lost, and a group of copies costs a few comparisons a member.
+member that shares most buckets in all (the original of a group of copies). Links to pivots give first classes. Two
+members of different classes are then compared only if their differences from the pivot allow a link: with
+``X = x - p`` (in one but not both), ``|x - y| = |X| + |Y| - 2 |X and Y|``, so a link asks for a number of common
+differences. As one of the two is not linked to the pivot, that number is at least one, and the two lists
+of differences, words foreign to the pivot first, must meet in a prefix of known length: one join on
+pivot and difference brings forward every pair that can be linked, and few others. So no link
+between different texts of a bucket is lost, and a group of copies costs about one comparison a member.
 Classes are the connected components of verified links, found by joins.
 
 Defined cases: words are runs of letters, digits and marks in lower case; a text of one to four words is one
@@ -25,23 +29,26 @@ class id is the smallest document id in it (null only if all are null).
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import NOT_WORD, stored, text_hash, text_or_empty
+from tallyworks.llm.common import stored, text_hash, text_or_empty
 
 WIDTH = 5
 THRESHOLD = 0.8
-BANDS = 24
-ROWS = 4
+BANDS = 30
+ROWS = 6
 # characters of text that a task works on at once
 SLICE_CHARS = 2_000_000
+# words whose hashes a worker keeps at hand
+CACHE_WORDS = 500_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -56,20 +63,47 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of texts whose words are set apart by one blank, and the words per text."""
-    import xxhash
+class Folder:
+    """Hashes of the folded words inside words set apart by white space; known ones are kept at hand."""
 
-    words = pc.split_pattern(texts, " ")
-    counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    coded = words.flatten().dictionary_encode()
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return hashes[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.uint64), counts
+    def __init__(self):
+        import regex
 
+        self.known: dict[str, list[int]] = {}
+        self.inside = regex.compile(r"[\p{L}\p{N}\p{M}]+")
 
-def shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash, owner)`` of every run of ``width`` words; a shorter text is one run."""
-    hashes, counts = word_hashes(texts)
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(hashes, number per word)``"""
+        import xxhash
+
+        known, out = self.known, []
+        for word in words:
+            got = known.get(word)
+            if got is None:
+                if len(known) >= CACHE_WORDS:
+                    known.clear()
+                got = known[word] = [xxhash.xxh3_64_intdigest(w) for w in self.inside.findall(word)]
+            out.append(got)
+        counts = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter((h for got in out for h in got), np.uint64, int(counts.sum())), counts
+
+
+def word_hashes(texts: pa.Array, folder: Folder) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the folded words of texts, and the words per text."""
+    split = pc.ascii_split_whitespace(pc.utf8_lower(texts))
+    owner = pc.list_parent_indices(split).to_numpy(zero_copy_only=False)
+    coded = split.flatten().dictionary_encode()
+    if not len(coded):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    hashes, sizes = folder(coded.dictionary.to_pylist())
+    place = coded.indices.to_numpy()
+    each = sizes[place]
+    source = np.arange(int(each.sum())) + np.repeat((np.cumsum(sizes) - sizes)[place] - (np.cumsum(each) - each), each)
+    return hashes[source], np.bincount(owner, each, len(texts)).astype(np.int64)
+
+
+def shingles(hashes: np.ndarray, counts: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """``(hash, owner)`` of every run of ``width`` words of texts that lie one after another; a shorter text is one run."""
     owner = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
     start = place <= np.repeat(np.maximum(counts - width, 0), counts)
@@ -121,16 +155,15 @@ def signatures(seeds: np.ndarray, owner: np.ndarray, weight: np.ndarray, k: int,
     """``[owners, k]`` darts: the earliest of each coordinate. Every owner has a positive weight."""
     out = np.zeros((len(weight), k), np.uint64)
     empty = np.ones((len(weight), k), bool)
-    limit = k * (math.log(k) + 4) / weight
+    limit = k * (math.log(k) + 3) / weight
     while empty.any():
         open_ = empty.any(axis=1)
         use = open_[owner]
         who, where, rank, dart = darts(seeds[use], owner[use], limit, k, None if height is None else height[use])
         slot = who * k + where
-        order = np.lexsort((rank, slot))
-        slot, dart = slot[order], dart[order]
-        first = np.ones(len(slot), bool)
-        first[1:] = slot[1:] != slot[:-1]
+        earliest = np.full(out.size, np.inf)
+        np.minimum.at(earliest, slot, rank)
+        first = rank == earliest[slot]
         out.ravel()[slot[first]] = dart[first]
         empty.ravel()[slot[first]] = False
         limit = limit * 2
@@ -155,56 +188,81 @@ def _slices(batch: pa.RecordBatch, column: int, chars: int = SLICE_CHARS) -> Ite
         at = end
 
 
-def _banded(bands: int, rows: int):
-    schema = pa.schema([("t", pa.binary()), ("bands", pa.list_(pa.int64()))])
+def _banded(bands: int, rows: int, kept: int):
+    """Kept columns and text -> kept columns, key of the word sequence (null without words) and band hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folder = Folder()
         for whole in batches:
-            for batch in _slices(whole, 1):
-                runs, owner = shingles(batch.column(1))
-                weight = np.bincount(owner, minlength=batch.num_rows).astype(float)
-                sig = signatures(unit_cells(runs, owner), owner, weight, bands * rows)
-                hashes = band_hashes(sig, bands, rows)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, hashes.size + 1, bands, dtype=np.int32)), pa.array(hashes.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists], schema=schema)
+            for batch in _slices(whole, kept):
+                hashes, counts = word_hashes(batch.column(kept), folder)
+                runs, owner = shingles(hashes, counts)
+                worded = np.flatnonzero(counts)
+                sizes = np.bincount(owner, minlength=batch.num_rows)
+                place = np.cumsum(counts > 0) - 1
+                sig = signatures(unit_cells(runs, owner), place[owner], sizes[worded].astype(float), bands * rows)
+                bandings = band_hashes(sig, bands, rows)
+                ends = np.cumsum(counts)
+                keys = [hashlib.md5(hashes[e - n : e].tobytes()).digest() if n else None for e, n in zip(ends, counts)]
+                offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, bands, 0))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bandings.ravel()))
+                columns = [batch.column(i) for i in range(kept)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(keys, pa.binary()), lists], names=[*batch.schema.names[:kept], "t", "bands"]
+                )
 
     return run
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Of two multisets given as sorted elements and counts."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = int(np.minimum(a[1][i], b[1][j]).sum())
-    return both / (int(a[1].sum()) + int(b[1].sum()) - both)
+def differences(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[float, int, int, int, int, int, int, np.ndarray]:
+    """Of two sets of unit cells, sorted: weighted Jaccard similarity, sizes, cells of ``a`` alone and of ``b`` alone,
+    lengths of the prefix of the differences for a text in the class of ``b`` and outside, and the longer prefix.
+    """
+    only_a, only_b = np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
+    both = len(a) - len(only_a)
+    sim = both / (len(a) + len(only_b))
+    # |x - y| <= g (|x| + |y|) is a similarity of the threshold or more, and then |y| <= |x| / threshold
+    g, apart = (1 - threshold) / (1 + threshold), len(only_a) + len(only_b)
+    by_outsider = (apart + g * (len(b) - len(a))) / 2
+    by_insider = apart - g * (1 + 1 / threshold) * len(a)
+    prefix = lambda common: max(0, apart - max(1, math.ceil(common - 1e-9)) + 1)
+    inside, outside = prefix(by_outsider), prefix(min(by_outsider, by_insider))
+    cells = np.concatenate([only_a, only_b])[: max(inside, outside)]
+    return sim, len(a), len(b), len(only_a), len(only_b), inside, outside, cells.astype(np.int64)
+
+
+_SIMS = "a binary, b binary, sim double, size long, alone long, missing long, inside long, outside long, cells array<bigint>"
 
 
-def _counted(text: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(shingles(pa.array([text.as_py()]))[0], return_counts=True)
+def _similar(threshold: float):
+    """``a, b, text_a, text_b`` -> similarity and differences; the last pivot is kept, as its pairs come together."""
+    names = ["a", "b", "sim", "size", "alone", "missing", "inside", "outside", "cells"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folder, last, pivot = Folder(), None, None
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``a, b, text_a, text_b`` -> ``a, b, sim``; the last pivot's shingles are kept, as its pairs come together."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("sim", pa.float64())])
-    last, pivot = None, None
-    for batch in batches:
-        sims = []
-        for name, left, right in zip(batch.column(1), batch.column(2), batch.column(3)):
-            if name != last:
-                last, pivot = name, _counted(right)
-            sims.append(weighted_jaccard(_counted(left), pivot))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims, pa.float64())], schema=schema)
+        def cells(text: pa.Scalar) -> np.ndarray:
+            return np.sort(unit_cells(*shingles(*word_hashes(pa.array([text.as_py()], pa.string()), folder))))
 
+        for batch in batches:
+            rows = []
+            for name, left, right in zip(batch.column(1), batch.column(2), batch.column(3)):
+                if name != last:
+                    last, pivot = name, cells(right)
+                rows.append(differences(cells(left), pivot, threshold))
+            part = lambda i, kind: pa.array([r[i] for r in rows], kind)  # noqa: B023, E731
+            columns = [batch.column(0), batch.column(1), part(0, pa.float64()), *(part(i, pa.int64()) for i in (1, 3, 4, 5, 6))]
+            yield pa.RecordBatch.from_arrays([*columns, part(7, pa.list_(pa.int64()))], names=names)
 
-def _text_key(body: str) -> Column:
-    """128 bits of the word sequence: the name of a distinct text."""
-    return F.unhex(F.md5(body))
+    return run
 
 
-def _sims(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Similarity of the pairs ``a, b``; texts come by two joins that Spark may split at a hot pivot."""
+def _sims(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Similarity and differences of the pairs ``a, b``; texts come by two joins that Spark may split at a hot pivot."""
     left = texts.select(F.col("t").alias("a"), F.col("body").alias("text_a"))
     right = texts.select(F.col("t").alias("b"), F.col("body").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_similar, "a binary, b binary, sim double")
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    return met.mapInArrow(_similar(threshold), _SIMS)
 
 
 def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -231,32 +289,32 @@ def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return labels.join(renamed, "c", "left").select("t", F.coalesce("r", "c").alias("c"))
 
 
-def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc, doc_hash, body, t`` of every row; ``body`` is the word sequence, ``t`` its key (null without words)."""
-    body = F.btrim(F.regexp_replace(F.lower(text_or_empty(text)), NOT_WORD, " "))
-    rows = docs.select(F.col(doc_id).alias("doc"), text_hash(text).alias("doc_hash"), body.alias("body"))
-    return rows.withColumn("t", F.when(F.col("body") != "", _text_key("body")))
+def signed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``doc, doc_hash, t, bands`` of every row: the key of its word sequence (null without words) and its band hashes."""
+    plain = docs.select(F.col(doc_id).alias("doc"), text_hash(text).alias("doc_hash"), text_or_empty(text).alias("body"))
+    kind = plain.schema["doc"].dataType.simpleString()
+    return plain.mapInArrow(_banded(bands, rows, 2), f"doc {kind}, doc_hash bigint, t binary, bands array<bigint>")
 
 
-def near_classes(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    threshold: float = THRESHOLD,
-    bands: int = BANDS,
-    rows: int = ROWS,
-) -> DataFrame:
-    """``t, c``: the class of every distinct word sequence that is linked to another one."""
-    worded = distinct_texts(docs, doc_id, text).where("t IS NOT NULL").select("t", "body")
-    signed = worded.mapInArrow(_banded(bands, rows), "t binary, bands array<long>")
-    members = signed.select("t", F.posexplode("bands").alias("band", "h")).dropDuplicates(["t", "band"])
-    members = stored(members, "dart-bands")
+def near_classes(signed: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``t, c``: the class of every distinct word sequence that shares a band with another one.
+
+    ``signed`` is the stored table of ``signed_texts`` over ``docs``.
+    """
+    worded = signed.where("t IS NOT NULL")
+    texts_signed = stored(worded.select("t", "bands").dropDuplicates(["t"]), "dart-bands")
+    members = texts_signed.select("t", F.posexplode("bands").alias("band", "h"))
     shared = members.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = members.join(shared, ["band", "h"])
     central = members.groupBy("t").agg(F.sum("n").alias("w"))
     members = stored(members.drop("n").join(central, "t"), "dart-buckets")
     met = members.select("t").distinct()
-    texts = stored(worded.join(met, "t", "left_semi").dropDuplicates(["t"]), "dart-texts")
+    # one row stands for all that hold the same words
+    stands = worded.join(met, "t", "left_semi").groupBy("t").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "doc_hash")).alias("row"))
+    stands = stored(stands.select("t", "row.doc", "row.doc_hash"), "dart-stands")
+    plain = docs.select(F.col(doc_id).alias("doc"), text_hash(text).alias("doc_hash"), F.col(text).alias("body"))
+    texts = plain.join(stands.withColumnsRenamed({"doc": "_d", "doc_hash": "_h"}), F.col("doc").eqNullSafe(F.col("_d")) & (F.col("doc_hash") == F.col("_h")))
+    texts = stored(texts.select("t", "body").dropDuplicates(["t"]), "dart-texts")
     labels = met.select("t", F.col("t").alias("c"))
 
     def linked(sims: DataFrame, now: DataFrame) -> DataFrame:
@@ -266,45 +324,54 @@ def near_classes(
         )
         return stored(components(now, ends.select("x", "y")), "dart-labels")
 
-    # the first pivot of a bucket is its most central member
+    # the pivot of a bucket is its most central member
     pivots = members.groupBy("band", "h").agg(F.max(F.struct("w", "t"))["t"].alias("p"))
-    first = members.join(pivots, ["band", "h"])
-    pairs = first.where("t <> p").select(F.col("t").alias("a"), F.col("p").alias("b")).distinct()
-    sims = stored(_sims(pairs, texts), "dart-sims")
+    pairs = members.join(pivots, ["band", "h"]).where("t <> p").select(F.col("t").alias("a"), F.col("p").alias("b")).distinct()
+    sims = stored(_sims(pairs, texts, threshold), "dart-sims")
     labels = linked(sims, labels)
 
-    # the second is the most central one outside the first one's class; all others meet it
-    of_pivot = labels.select(F.col("t").alias("p"), F.col("c").alias("pc"))
-    known = sims.select(F.col("a").alias("t"), F.col("b").alias("p"), "sim")
-    outside = members.join(pivots, ["band", "h"]).join(labels, "t").join(of_pivot, "p").join(known, ["t", "p"], "left")
-    outside = stored(outside.select("band", "h", "t", "w", "c", "pc", F.coalesce("sim", F.lit(1.0)).alias("sim")), "dart-members")
-    second = outside.where("c <> pc").groupBy("band", "h").agg(F.max(F.struct("w", "t", "c", "sim")).alias("s"))
-    second = second.select("band", "h", F.col("s.t").alias("q"), F.col("s.c").alias("qc"), F.col("s.sim").alias("qsim"))
-    possible = F.abs(F.col("sim") - F.col("qsim")) <= F.lit(1 - threshold + 1e-12)
-    pairs = outside.join(second, ["band", "h"]).where(F.col("c") != F.col("qc")).where(possible)
-    pairs = pairs.select(F.col("t").alias("a"), F.col("q").alias("b")).distinct()
-    pairs = stored(pairs.join(sims.select("a", "b"), ["a", "b"], "left_anti"), "dart-pairs")
-    more = stored(_sims(pairs, texts), "dart-sims")
-    labels = linked(more, labels)
-
-    # what is left of a bucket: members of different classes, pair by pair
-    tested = sims.select("a", "b").unionByName(more.select("a", "b"))
-    left = outside.drop("c", "pc").join(labels, "t")
-    split = left.groupBy("band", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band", "h")
-    left = stored(left.join(split, ["band", "h"], "left_semi").select("band", "h", "t", "c", "sim"), "dart-open")
-    other = left.select("band", "h", F.col("t").alias("b"), F.col("c").alias("d"), F.col("sim").alias("other"))
-    rest = left.join(other, ["band", "h"]).where(F.col("t") < F.col("b")).where(F.col("c") != F.col("d"))
-    rest = rest.where(F.abs(F.col("sim") - F.col("other")) <= F.lit(1 - threshold + 1e-12))
-    rest = rest.select(F.col("t").alias("a"), "b").distinct()
+    # members of a pivot's buckets in different classes meet in their differences from it
+    class_of_a = labels.select(F.col("t").alias("a"), F.col("c").alias("class_a"))
+    class_of_b = labels.select(F.col("t").alias("b"), F.col("c").alias("class_b"))
+    around = sims.join(class_of_a, "a").join(class_of_b, "b")
+    outside = F.col("class_a") != F.col("class_b")
+    some = around.groupBy("b").agg(F.max(outside.cast("int")).alias("open"), F.count(F.lit(1)).alias("n")).where("open = 1 AND n > 1")
+    around = around.join(some.select("b"), "b", "left_semi")
+    prefix = F.slice("cells", F.lit(1), F.when(outside, F.col("outside")).otherwise(F.col("inside")).cast("int"))
+    cells = around.select("a", "b", "class_a", "size", "alone", "missing", F.posexplode(prefix).alias("at", "cell"))
+    # numbers instead of keys: a row is small, and both sides of the join are one exchange
+    cells = cells.select(
+        F.xxhash64("b", "cell").alias("key"), F.xxhash64("a").alias("id"), F.xxhash64("class_a").alias("c"),
+        F.col("size").cast("int"), F.col("alone").cast("int"), F.col("missing").cast("int"), F.col("at").cast("int"),
+    )
+    g = (1 - threshold) / (1 + threshold)
+    one, two = cells.alias("one"), cells.alias("two")
+    x, y = (lambda n: F.col(f"one.{n}")), (lambda n: F.col(f"two.{n}"))
+    # common differences that the link asks for, and as many as there can be from this cell on, were it the first
+    all_1, all_2 = x("alone") + x("missing"), y("alone") + y("missing")
+    allowed = F.lit(g) * (x("size") + y("size"))
+    foreign = F.least(x("alone") - x("at"), y("alone") - y("at"))
+    most = F.when(foreign > 0, foreign + F.least(x("missing"), y("missing"))).otherwise(F.least(all_1 - x("at"), all_2 - y("at")))
+    may = (F.abs(all_1 - all_2) <= allowed + 1e-9) & (most >= (all_1 + all_2 - allowed) / 2 - 1e-9)
+    rest = one.join(two, x("key") == y("key")).where((x("id") < y("id")) & (x("c") != y("c")) & may)
+    rest = rest.select(x("id").alias("i"), y("id").alias("j")).distinct()
+    # back to the keys; two keys of one number are both tried
+    named = met.select(F.xxhash64("t").alias("n"), "t")
+    rest = rest.join(named.select(F.col("n").alias("i"), F.col("t").alias("a")), "i").join(named.select(F.col("n").alias("j"), F.col("t").alias("b")), "j")
+    rest = rest.select("a", "b")
+    tested = sims.select("a", "b")
     rest = rest.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     rest = stored(rest, "dart-pairs")
-    return linked(_sims(rest, texts), labels)
+    return linked(_sims(rest, texts, threshold), labels)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
     """``doc, doc_hash, class, word_key``: one row per document with the smallest document id of its class."""
-    keyed = stored(distinct_texts(docs, doc_id, text).select("doc", "doc_hash", "t"), "dart-keys")
-    labels = near_classes(docs, doc_id, text, **options)
+    signed = stored(signed_texts(docs, doc_id, text, bands, rows), "dart-signed")
+    keyed = signed.select("doc", "doc_hash", "t")
+    labels = near_classes(signed, docs, doc_id, text, threshold)
     # equal texts combine before they meet their label, so a hot text is one row per task
     smallest = keyed.where("t IS NOT NULL").groupBy("t").agg(F.min("doc").alias("low"))
     classed = stored(smallest.join(labels, "t", "left").select("t", F.coalesce("c", "t").alias("c"), "low"), "dart-classed")
@@ -316,18 +383,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each class, the one of the smallest id; texts without words all stay."""
+    """One document of each class, the one of the smallest id; texts without words all stay.
+
+    Rows that repeat id and text are one document.
+    """
     classes = stored(near_duplicates(docs, doc_id, text, **options), "near-classes")
     row = F.struct(F.col("doc").isNull().alias("none"), "doc", "doc_hash")
+    # equal word sequences first, so a hot one is a row per task
     best = classes.where("word_key IS NOT NULL").groupBy("word_key", "class").agg(F.min(row).alias("row"))
     # a class of null ids only has no number; its word sequence stands for it
     own = F.when(F.col("class").isNull(), F.col("word_key")).alias("own")
     best = best.groupBy("class", own).agg(F.min("row").alias("row")).select("row.doc", "row.doc_hash")
+    kept = stored(best.unionByName(classes.where("word_key IS NULL").select("doc", "doc_hash")).distinct(), "near-kept")
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], text_hash(text).alias("_hash"))
-    best = stored(best.select("doc", "doc_hash"), "near-kept")
-    is_best = rows[names[doc_id]].eqNullSafe(best["doc"]) & (rows["_hash"] == best["doc_hash"])
-    # rows that repeat id and text are one document
-    kept = rows.join(best, is_best, "left_semi").dropDuplicates([names[doc_id], "_hash"])
-    blank = F.btrim(F.regexp_replace(text_or_empty(names[text]), NOT_WORD, " ")) == ""
-    return kept.unionByName(rows.where(blank)).select(*[F.col(n).alias(c) for c, n in names.items()])
+    is_kept = rows[names[doc_id]].eqNullSafe(kept["doc"]) & (rows["_hash"] == kept["doc_hash"])
+    found = rows.join(kept, is_kept, "left_semi").dropDuplicates([names[doc_id], "_hash"])
+    return found.select(*[F.col(n).alias(c) for c, n in names.items()])
