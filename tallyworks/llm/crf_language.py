@@ -267,12 +267,17 @@ def sample(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_label: int = PER_LABEL, words_each: int = WORDS_EACH
 ) -> DataFrame:
     """``lang, words``: about ``per_label`` documents of each language, ``words_each`` words of each at most."""
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = rows.groupBy(F.col(lang).alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
-    draw = F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = rows.select(F.col(lang).alias("_l"), F.col(text).alias("_text"), draw.alias("_draw")).join(counts, F.col("_l") == F.col("_lang"))
-    share = F.lit(float(per_label)) / F.col("_n")
-    few = few.where(F.col("_draw") < share)
+    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).cast("string").alias("_l"), F.col(doc_id).cast("string").alias("_id"), F.col(text).alias("_text")
+    )
+    # one number per language, as the model has labels: texts meet it without a join
+    counts = {r["_l"]: r["count"] for r in rows.groupBy("_l").count().collect()}
+    if not counts:
+        return rows.select(F.col("_l").alias("lang"), F.lit(0.0).alias("_draw"), F.array("_text").alias("words"))
+    shares = F.create_map(*[x for label, n in sorted(counts.items()) for x in (F.lit(label), F.lit(per_label / n))])
+    few = rows.withColumn("_draw", F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))).withColumn("_share", shares[F.col("_l")])
+    few = few.where(F.col("_draw") < F.col("_share"))
+    share = F.col("_share")
     words = few.select(F.col("_l").alias("lang"), "_draw", (F.col("_draw") / share).alias("_at"), plain_words(F.lower(text_or_empty("_text"))).alias("_w"))
     start = F.floor(F.col("_at") * F.greatest(F.size("_w") - words_each, F.lit(0))).cast("int") + 1
     return words.select("lang", "_draw", F.slice("_w", start, F.lit(words_each)).alias("words"))
@@ -332,7 +337,7 @@ def _predictor(shared, kept: int):
                 top = sums.argmax(axis=1)
                 best += [model.labels[t] if s > 0 else "und" for t, s in zip(top, total)]
                 score += (sums.max(axis=1) / np.where(total > 0, total, 1)).clip(0, 1).tolist()
-                # runs of words of one language, words without letters going with the word before
+                # runs of words of one language; a word without letters goes by its neighbours
                 word = chances.argmax(axis=1)
                 new = np.ones(len(word), bool)
                 new[1:] = (word[1:] != word[:-1]) | (owner[1:] != owner[:-1])
@@ -351,8 +356,11 @@ def _predictor(shared, kept: int):
 
 
 def document_languages(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns, ``lang_pred``, ``score`` and ``runs``: the text as runs of words of one language."""
-    keep = keep if keep is not None else [c for c in docs.columns if c != text]
+    """The kept columns, ``lang_pred``, ``score`` and ``runs``: the text as runs of words of one language.
+
+    Kept columns that bear the name of a result give way to it.
+    """
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (text, "lang_pred", "score", "runs")]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by buckets, sample and languages
     rows = docs.select(*keep, text_or_empty(text).alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
