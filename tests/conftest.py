@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tallyworks.session import build_session  # noqa: E402
+from tallyworks.session import build_session, remove_folders  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,6 +23,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_folders(session)
     session.stop()
 
 
