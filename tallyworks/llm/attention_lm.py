@@ -2,7 +2,7 @@
 
 A text is its words and an end. Words become subword ids by the first ranks of a public byte-level vocabulary
 (every byte is an id, so every text has one). Ids that begin a word and ids inside one are parted into classes by
-the documents of a bounded sample in which they occur.
+the training texts in which they occur together.
 
 One causal self-attention layer (embeddings, places, one head, residual) reads a window of ids and gives two
 distributions at each place: the class of the next word's first id, or the end of the text; and inside a word
@@ -12,8 +12,13 @@ the class of its next id, or the word's end. A word then has the probability
 
 where ``spelling`` is the product over its ids of P(class | window) * P(id | last id, class). The shares ``known``
 and ``new`` are those of seen and unseen words by Good and Turing; word counts, ids of distinct words and class totals are
-counted over all of the training part. All words' and the end's probabilities sum to one at most. The layer is trained
-in numpy by Adam on the sample, its odds starting at what the corpus counts say without a window.
+counted over all of the training part. All words' and the end's probabilities sum to one at most. The layer's odds start
+at what the corpus counts say without a window.
+
+Learning: the ids of all training texts are stored once, dealt into ``ROUNDS`` parts by a hash of id and text. The
+classes come from one matrix of ids by ids, summed over all texts. The layer starts from some steps of Adam on a
+bounded draw, which only shortens the way; then every part is one step of Adam with the gradient over all windows of
+its whole texts. Tasks sum what they read, some tasks sum those sums: no step depends on how rows are dealt out.
 
 Scoring: windows overlap by ``OVERLAP`` ids, each id is scored once, by the window in which it has at least
 that much before it; windows of all texts of a slice are one batch with a causal mask.
@@ -38,7 +43,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import plain_words, stored, text_or_empty
+from tallyworks.llm.common import stored, text_or_empty
+from tallyworks.session import new_folder
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 IDS = 1024
@@ -49,7 +55,14 @@ CLASSES = 16  # of ids that begin words, and as many of ids inside
 COMMON = 300_000
 # the layer learns to spell from words seen this often or less
 SPELLED = 3
+# texts that the layer starts from, before it is led over all of them
 SAMPLE_DOCS, SAMPLE_WORDS = 1500, 250
+# steps in which all training texts are read once
+ROUNDS = 16
+# windows at a time: more leave the processor's cache
+CHUNK = 128
+# tasks that add up the sums of the tasks that read
+SUMMING = 8
 SLICE_BYTES = 2_000_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # weight of the distribution without the last id
@@ -125,21 +138,18 @@ class Model:
     bias: np.ndarray
 
 
-def id_classes(texts: list[np.ndarray], starts: np.ndarray, classes: int = CLASSES, seed: int = 11) -> np.ndarray:
-    """Class of every id by k-means on the documents of the sample that ids share.
+def id_classes(shared: np.ndarray, starts: np.ndarray, classes: int = CLASSES, seed: int = 11) -> np.ndarray:
+    """Class of every id by k-means on the documents that ids share.
 
-    ``classes`` of ids that begin words, the end of the text, then ``classes`` of inner ids; the end of a word is the last.
+    ``shared`` is ``[ids, ids]``, the sum over texts of the roots of both ids' counts. ``classes`` of ids that begin
+    words, the end of the text, then ``classes`` of inner ids; the end of a word is the last.
     """
-    table = np.zeros((IDS, max(len(texts), 1)))
-    for i, ids in enumerate(texts):
-        np.add.at(table[:, i], ids[ids < IDS], 1)
-    table = np.sqrt(table)
-    norm = np.sqrt((table**2).sum(axis=1, keepdims=True))
-    table = table / np.where(norm > 0, norm, 1)
-    values, vectors = np.linalg.eigh(table @ table.T)
+    norm = np.sqrt(np.diag(shared))
+    scale = np.where(norm > 0, norm, 1)
+    values, vectors = np.linalg.eigh(shared / scale[:, None] / scale[None, :])
     points = vectors[:, -12:] * np.sqrt(np.maximum(values[-12:], 0))
     points = points / np.maximum(np.sqrt((points**2).sum(axis=1, keepdims=True)), 1e-9)
-    weight = norm[:, 0] + 1e-6
+    weight = norm + 1e-6
     rng, out = np.random.default_rng(seed), np.full(IDS + 1, classes)
     for kind, shift in ((starts[:IDS], 0), (~starts[:IDS], classes + 1)):
         mine, heavy = points[kind], weight[kind]
@@ -241,7 +251,7 @@ def _log_shares(odds: np.ndarray) -> np.ndarray:
     return odds
 
 
-def id_scores(m: Model, ids: np.ndarray, lengths: np.ndarray, chunk: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def id_scores(m: Model, ids: np.ndarray, lengths: np.ndarray, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per id of a stream of texts, natural logs: of its class if it starts a word or ends the text (else 0), of its
     spelling, and of the word before it ending there (0 if it is inside a word).
     """
@@ -264,6 +274,27 @@ def id_scores(m: Model, ids: np.ndarray, lengths: np.ndarray, chunk: int = 1024)
     return classes, spelled, ended
 
 
+LEARNED = ["embed", "place", "query", "key", "value", "out", "bias"]
+
+
+class Adam:
+    """Steps of Adam on the learned parts of a model."""
+
+    def __init__(self, model: Model):
+        self.model, self.steps = model, 0
+        self.means = {k: np.zeros(getattr(model, k).shape) for k in LEARNED}
+        self.squares = {k: np.zeros(getattr(model, k).shape) for k in LEARNED}
+
+    def step(self, grads: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        for k in LEARNED:
+            mean, square = self.means[k], self.squares[k]
+            mean += 0.1 * (grads[k] - mean)
+            square += 0.01 * (grads[k] ** 2 - square)
+            step = rate * (mean / (1 - 0.9**self.steps)) / (np.sqrt(square / (1 - 0.99**self.steps)) + 1e-7)
+            setattr(self.model, k, (getattr(self.model, k) - step).astype(np.float32))
+
+
 def train(counted: dict, texts: list[np.ndarray], rare: list[np.ndarray], epochs: int = 3, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Model:
     """The layer fitted to texts given as ids; ``rare`` marks the ids of words to learn spelling from."""
     rng = np.random.default_rng(seed)
@@ -281,30 +312,19 @@ def train(counted: dict, texts: list[np.ndarray], rare: list[np.ndarray], epochs
     ids, marked = np.concatenate(texts), np.concatenate(rare)
     inputs, places = windows(ids, np.array([len(t) for t in texts]))
     before = np.append(False, marked[:-1])  # the id before belongs to a word to spell
-    names = ["embed", "place", "query", "key", "value", "out", "bias"]
-    means = {k: np.zeros_like(getattr(model, k)) for k in names}
-    squares = {k: np.zeros_like(getattr(model, k)) for k in names}
-    steps, total = 0, epochs * -(-len(inputs) // batch)
+    adam, total = Adam(model), epochs * -(-len(inputs) // batch)
     for _ in range(epochs):
         order = rng.permutation(len(inputs))
         for at in range(0, len(order), batch):
             pick = order[at : at + batch]
-            grads = _gradients(model, inputs[pick], places[pick], ids, marked, before)
-            steps += 1
-            now = rate * (1 - (steps - 1) / total) + 0.0003
-            for k in names:
-                means[k] += 0.1 * (grads[k] - means[k])
-                squares[k] += 0.01 * (grads[k] ** 2 - squares[k])
-                step = now * (means[k] / (1 - 0.9**steps)) / (np.sqrt(squares[k] / (1 - 0.99**steps)) + 1e-7)
-                setattr(model, k, f32(getattr(model, k) - step))
+            adam.step(_gradients(model, inputs[pick], places[pick], ids, marked, before), rate * (1 - adam.steps / total) + 0.0003)
     return model
 
 
 def _gradients(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray, marked: np.ndarray, before: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean cross entropy of classes; of inner classes and word ends in the marked words only."""
     x, q, k, v, weights, hidden, odds = _forward(m, inputs)
-    chance = np.exp(_log_shares(odds))
-    half = chance.shape[-1] // 2
+    half = odds.shape[-1] // 2
     real = places >= 0
     at = np.maximum(places, 0)
     kind = m.of_class[ids[at]]
@@ -312,12 +332,14 @@ def _gradients(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray
     first = real & start
     inner = real & ~start & marked[at]
     close = first & before[at] & (inputs[:, OVERLAP:] != END)
-    goal = np.zeros_like(chance)
-    np.put_along_axis(goal, kind[..., None], (first | inner)[..., None].astype(np.float32), 2)
-    goal[..., -1] += close
-    chance[..., :half] *= first[..., None]
-    chance[..., half:] *= (inner | close)[..., None]
-    odds = ((chance - goal) / max(real.sum(), 1)).astype(np.float32)
+    for part, asked in ((odds[..., :half], first), (odds[..., half:], inner | close)):
+        part -= part.max(axis=-1, keepdims=True)
+        np.exp(part, out=part)
+        part *= (asked / part.sum(axis=-1))[..., None]
+    w, t = np.nonzero(first | inner)
+    odds[w, t, kind[w, t]] -= 1
+    odds[..., -1] -= close
+    odds = (odds / max(real.sum(), 1)).astype(np.float32)
     flat = lambda a: a.reshape(-1, a.shape[-1])
     d_hidden = odds @ m.out.T
     d_v = weights.transpose(0, 2, 1) @ d_hidden
@@ -327,7 +349,10 @@ def _gradients(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray
     d_x = d_k @ m.key.T + d_v @ m.value.T
     d_x[:, OVERLAP:] += d_hidden + d_q @ m.query.T
     embed = np.zeros_like(m.embed)
-    np.add.at(embed, inputs.ravel(), flat(d_x))
+    of = inputs.ravel().astype(np.int16)
+    order = np.argsort(of, kind="stable")
+    first_of = np.flatnonzero(np.diff(of[order], prepend=-1))
+    embed[of[order][first_of]] = np.add.reduceat(flat(d_x)[order], first_of, axis=0)
     return {
         "embed": embed,
         "place": d_x.sum(axis=0),
@@ -426,13 +451,148 @@ class Fitted:
     texts: int
 
 
-def _draw(column: str) -> Column:
-    return F.pmod(F.xxhash64(F.lit(3), F.col(column).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+# --- Spark: sums over the ids of all training texts
+
+_MARK = 2048  # added to an id of a word to learn spelling from
+_TEXTS = "part int, draw bigint, ids binary"
+
+
+def _text_ids(shared):
+    """``part, draw, body`` -> ``part, draw, ids``: the ids of whole texts with their ends, marked, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, common = shared.value
+        for batch in batches:
+            for start, end in _slices(batch.column(2)):
+                part = batch.slice(start, end - start)
+                coded, lengths = split_words(part.column(2))
+                unique = coded.dictionary.to_pylist()
+                ids, sizes = encoder.words(unique)
+                ids = ids.astype("<i2") + np.repeat(np.fromiter((common.get(w, 0) <= SPELLED for w in unique), bool, len(unique)), sizes) * np.int16(_MARK)
+                place = coded.indices.to_numpy() if len(coded) else np.empty(0, np.int64)
+                stream, _, _, long = _laid_out(ids, sizes, place, lengths)
+                raw, ends = stream.astype("<i2").tobytes(), np.cumsum(long) * 2
+                out = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())], names=["part", "draw", "ids"])
+
+    return run
+
+
+def stored_ids(rows: DataFrame, encoder: Encoder, common: dict[str, int], rounds: int) -> DataFrame:
+    """``part, draw, ids`` of every row with ``doc, body``, written by part."""
+    shared = rows.sparkSession.sparkContext.broadcast((encoder, common))
+    # id and text together: neither null nor repeated ids share a part or a draw
+    drawn = rows.withColumn("draw", F.xxhash64(F.lit(3), F.col("doc").cast("string"), "body"))
+    drawn = drawn.select(F.pmod("draw", F.lit(rounds)).cast("int").alias("part"), "draw", "body")
+    path = new_folder(rows.sparkSession, "lm-ids")
+    drawn.mapInArrow(_text_ids(shared), _TEXTS).write.partitionBy("part").parquet(path)
+    return rows.sparkSession.read.schema("draw bigint, ids binary, part int").parquet(path)
+
+
+def _streams(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``ids, marked, lengths`` of some stored texts at a time."""
+    for start, end in _slices(column, size):
+        texts = column.slice(start, end - start)
+        raw = np.frombuffer(b"".join(texts.to_pylist()), "<i2")
+        yield (raw % _MARK).astype(np.int64), raw >= _MARK, pc.binary_length(texts).to_numpy(zero_copy_only=False) // 2
+
+
+def _add_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for x in batch.column(0):
+            value = np.frombuffer(x.as_buffer(), np.float64)
+            total = value.copy() if total is None else total + value
+    yield from _one_row(total)
+
+
+def _one_row(total: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float64).tobytes()], pa.binary())], names=["sums"])
+
+
+def _summed(parts: DataFrame) -> np.ndarray | None:
+    """The sum of rows of one vector each: in some tasks, then of as many rows here."""
+    rows = parts.repartition(SUMMING).mapInArrow(_add_sums, "sums binary").collect()
+    return np.sum([np.frombuffer(r["sums"], np.float64) for r in rows], axis=0) if rows else None
+
+
+def _share_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``ids`` of texts -> the lower half of the sum of products of the roots of their counts."""
+    total = None
+    for batch in batches:
+        for ids, _, lengths in _streams(batch.column(0)):
+            for at in range(0, len(lengths), 512):
+                some = lengths[at : at + 512]
+                first = int(lengths[:at].sum())
+                owner = np.repeat(np.arange(len(some)), some)
+                counts = np.bincount(owner * (IDS + 1) + ids[first : first + len(owner)], minlength=len(some) * (IDS + 1)).reshape(len(some), IDS + 1)
+                roots = np.sqrt(counts[:, :IDS]).astype(np.float32)
+                more = roots.T @ roots
+                total = more.astype(np.float64) if total is None else total + more
+    yield from _one_row(None if total is None else total[np.tril_indices(IDS)])
+
+
+def shared_texts(texts: DataFrame) -> np.ndarray:
+    """``[ids, ids]`` sums over all texts, see ``id_classes``."""
+    out = np.zeros((IDS, IDS))
+    total = _summed(texts.select("ids").mapInArrow(_share_sums, "sums binary"))
+    if total is not None:
+        out[np.tril_indices(IDS)] = total
+        out = out + np.tril(out, -1).T
+    return out
+
+
+def _gradient_sums(shared):
+    """``ids`` of texts -> the number of their ids and the sum of their gradients, one after another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, total = shared.value, None
+        for batch in batches:
+            for ids, marked, lengths in _streams(batch.column(0)):
+                inputs, places = windows(ids, lengths)
+                before = np.append(False, marked[:-1])
+                for at in range(0, len(inputs), CHUNK):
+                    real = int((places[at : at + CHUNK] >= 0).sum())
+                    grads = _gradients(model, inputs[at : at + CHUNK], places[at : at + CHUNK], ids, marked, before)
+                    if total is None:
+                        total = {"real": np.zeros(1)} | {k: np.zeros(grads[k].shape) for k in LEARNED}
+                    total["real"] += real
+                    for k in LEARNED:
+                        total[k] += grads[k] * real
+        yield from _one_row(None if total is None else np.concatenate([v.ravel() for v in total.values()]))
+
+    return run
+
+
+def gradient(texts: DataFrame, model: Model) -> dict[str, np.ndarray] | None:
+    """The gradient over all windows of stored texts; None without any."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    total = _summed(texts.select("ids").mapInArrow(_gradient_sums(shared), "sums binary"))
+    shared.destroy()
+    if total is None:
+        return None
+    out, at = {}, 1
+    for k in LEARNED:
+        like = getattr(model, k)
+        out[k] = total[at : at + like.size].reshape(like.shape) / total[0]
+        at += like.size
+    return out
+
+
+def led_over(texts: DataFrame, model: Model, rounds: int = ROUNDS, rate: float = 0.01) -> Model:
+    """The model after one step for every part of the texts."""
+    adam = Adam(model)
+    for part in range(rounds):
+        grads = gradient(texts.where(F.col("part") == part), model)
+        if grads is not None:
+            adam.step(grads, rate * (1 - part / rounds) + 0.0003)
+    return model
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, sample_docs: int = SAMPLE_DOCS,
-        sample_words: int = SAMPLE_WORDS, common: int = COMMON, **options) -> Fitted:
-    """Counts over all rows; the layer on about ``sample_docs`` of them with ``sample_words`` words each at most."""
+        sample_words: int = SAMPLE_WORDS, common: int = COMMON, rounds: int = ROUNDS, **options) -> Fitted:
+    """Counts, id classes and the layer over all rows; its first steps on ``sample_docs`` of them with some ``sample_words`` words each."""
     rows = docs.select(F.col(doc_id).alias("doc"), text_or_empty(text).alias("body"))
     words = stored(word_counts(rows), "lm-words")
     texts = rows.count()
@@ -452,23 +612,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary:
 
     encoder = Encoder.load(vocabulary)
     counts = id_counts(words, encoder)
-    few = rows.withColumn("draw", _draw("doc")).where(F.col("draw") < F.lit(sample_docs / max(texts, 1)))
-    # a stretch of the text from a place drawn with the document
-    few = few.withColumn("all", plain_words(F.translate("body", _UPPER, _UPPER.lower())))
-    start = F.floor(F.col("draw") * texts / sample_docs * F.greatest(F.size("all") - sample_words, F.lit(0))).cast("int") + 1
-    drawn = few.select("draw", (F.size("all") <= sample_words).alias("whole"), F.slice("all", start, F.lit(sample_words)).alias("some")).collect()
-    ids, rare = [], []
-    for row in sorted(drawn, key=lambda r: (r["draw"], len(r["some"]))):
-        mine, long = encoder.words(row["some"])
-        new = np.repeat(np.fromiter((table.get(w, 0) <= SPELLED for w in row["some"]), bool, len(row["some"])), long)
-        end = [END] if row["whole"] else []
-        ids.append(np.append(mine.astype(np.int64), end).astype(np.int64))
-        rare.append(np.append(new, [False] * len(end)).astype(bool))
-    kept = [i for i, x in enumerate(ids) if len(x)]
-    ids, rare = [ids[i] for i in kept], [rare[i] for i in kept]
+    lists = stored_ids(rows, encoder, table, rounds)
     starts = encoder.starts()
-    counted = corpus_odds(counts, texts, singles, id_classes(ids, starts), starts)
-    model = train(counted, ids, rare, **options)
+    counted = corpus_odds(counts, texts, singles, id_classes(shared_texts(lists), starts), starts)
+    # a stretch of the text from a place drawn with the document, as many bytes as words have in ids of two bytes
+    size, long = F.lit(2 * 3 * sample_words), F.octet_length("ids")
+    skip = F.floor(F.pmod(F.shiftrightunsigned("draw", 20), F.lit(1 << 20)) / float(1 << 20) * F.greatest(long - size, F.lit(0)) / 2).cast("int")
+    few = lists.where(F.shiftrightunsigned("draw", 34) / float(1 << 30) < (2 * sample_docs + 100) / max(texts, 1))
+    few = few.select("draw", F.substring("ids", 2 * skip + 1, size).alias("ids")).dropDuplicates(["draw"])
+    drawn = few.orderBy("draw").limit(sample_docs).collect()
+    raw = [np.frombuffer(r["ids"], "<i2") for r in sorted(drawn, key=lambda r: r["draw"])]
+    model = train(counted, [(x % _MARK).astype(np.int64) for x in raw], [x >= _MARK for x in raw], **options)
+    model = led_over(lists, model, rounds)
     return Fitted(model, encoder, words, table, tokens + texts, distinct + (texts > 0), texts)
 
 
@@ -520,9 +675,8 @@ def _score(shared, kept: int):
     return run
 
 
-def word_scores(model: Model, encoder: Encoder, unique: list[str], place: np.ndarray, lengths: np.ndarray):
-    """Per word of coded texts what a count of one is worth, log10 of its class and of its spelling as a new word; log10 of each text's end."""
-    ids, sizes = encoder.words(unique)
+def _laid_out(ids: np.ndarray, sizes: np.ndarray, place: np.ndarray, lengths: np.ndarray):
+    """The ids of coded texts with their ends, the ids and the text of every word, and the ids of every text."""
     texts = len(lengths)
     per_word = sizes[place]
     owner = np.repeat(np.arange(texts), lengths)
@@ -532,6 +686,14 @@ def word_scores(model: Model, encoder: Encoder, unique: list[str], place: np.nda
     total = int(per_word.sum())
     source = np.arange(total) + np.repeat((np.cumsum(sizes) - sizes)[place] - (np.cumsum(per_word) - per_word), per_word)
     stream[np.arange(total) + np.repeat(owner, per_word)] = ids[source]
+    return stream, per_word, owner, long
+
+
+def word_scores(model: Model, encoder: Encoder, unique: list[str], place: np.ndarray, lengths: np.ndarray):
+    """Per word of coded texts what a count of one is worth, log10 of its class and of its spelling as a new word; log10 of each text's end."""
+    ids, sizes = encoder.words(unique)
+    texts = len(lengths)
+    stream, per_word, owner, long = _laid_out(ids, sizes, place, lengths)
     parts = [np.zeros(len(stream), np.float32) for _ in range(3)]
     # some texts at a time bound the memory of a slice
     bounds = np.cumsum(long)

@@ -165,3 +165,63 @@ def test_empty_tables(spark, fitted):
     untaught = lm.fit(none)
     got = lm.document_scores(frame(spark, [(1, "a word", "en", "s"), (2, None, "en", "s")]), untaught).orderBy("doc").collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)] and all(r.score < 0 for r in got)
+
+
+def tailed(docs):
+    """The same words after the first 300 in another order: every count stays."""
+    out = []
+    for d in docs:
+        w = words(d[1])
+        out.append((d[0], " ".join(w[:300] + w[300:][::-1]), *d[2:]))
+    return out
+
+
+def test_layer_reads_whole_texts(spark):
+    """Words far behind the drawn ones, in texts that are not drawn, reach the layer."""
+    docs = [d for d in small_documents() if len(words(d[1])) > 400]
+    a, b = (lm.fit(frame(spark, x), sample_docs=0, sample_words=5).model for x in (tailed(tailed(docs)), tailed(docs)))
+    assert np.array_equal(a.log_start, b.log_start) and not np.allclose(a.out, b.out, atol=1e-6)
+
+
+def test_classes_read_all_texts(spark):
+    """The matrix behind the id classes is that of whole texts, one by one."""
+    docs = all_documents()
+    rows = frame(spark, docs).select(F.col("doc_id").alias("doc"), F.coalesce("text", F.lit("")).alias("body"))
+    encoder = lm.Encoder.load()
+    lists = lm.stored_ids(rows, encoder, {}, 4)
+    want = np.zeros((lm.IDS, lm.IDS))
+    for d in docs:
+        ids, _ = encoder.words(lowered(d[1]))
+        root = np.sqrt(np.bincount(ids.astype(np.int64), minlength=lm.IDS))
+        want += np.outer(root, root)
+    assert np.allclose(lm.shared_texts(lists), want, rtol=1e-4, atol=1e-3)
+
+
+def test_gradient_over_all_windows(spark, fitted):
+    """The sum of all tasks is the gradient over every window, however the rows are dealt out."""
+    docs = [d for d in all_documents() if d[0] is not None]
+    rows = frame(spark, docs).select(F.col("doc_id").alias("doc"), F.coalesce("text", F.lit("")).alias("body"))
+    streams, marks = [], []
+    for d in docs:
+        ids, sizes = fitted.encoder.words(lowered(d[1]))
+        streams.append(np.append(ids.astype(np.int64), lm.END))
+        marks.append(np.append(np.repeat([fitted.common.get(w, 0) <= lm.SPELLED for w in lowered(d[1])], sizes), False).astype(bool))
+    marked = np.concatenate(marks)
+    inputs, places = lm.windows(np.concatenate(streams), np.array([len(x) for x in streams]))
+    want = lm._gradients(fitted.model, inputs, places, np.concatenate(streams), marked, np.append(False, marked[:-1]))
+    for parts in (1, 7):
+        got = lm.gradient(lm.stored_ids(rows.repartition(parts), fitted.encoder, fitted.common, 3), fitted.model)
+        for k in lm.LEARNED:
+            assert np.allclose(got[k], want[k], atol=1e-5), k
+
+
+def test_draw_is_bounded_with_null_ids(spark):
+    """Rows without an id are drawn by their text, and the layer starts from so many at most."""
+    docs = [(None, f"text number {i} of many", "en", "s") for i in range(300)]
+    seen = []
+    old, lm.train = lm.train, lambda counted, texts, rare, **options: seen.extend(texts) or old(counted, texts, rare, **options)
+    try:
+        lm.fit(frame(spark, docs), sample_docs=20)
+    finally:
+        lm.train = old
+    assert len(seen) == 20
