@@ -9,15 +9,15 @@ give the page's frame, and what stands between their tokens are its slots.
 
 The content slot of a host is the element, one per page in a class of the template, that holds the text:
 an article or main element, or else the deepest one with most of the text outside links, menus and the
-like. Texts whose tokens themselves are in a class of the template are fixed wording of the host,
-no content. Pass two reads the pages again and keeps what is in the content slot and not in a nested
+like. Outside articles and main elements, texts whose tokens themselves are in a class of the template are fixed
+wording of the host, no content, unless nothing else were left. Pages with equal html count once, so copies fix nothing. Pass two reads the pages again and keeps what is in the content slot and not in a nested
 region of another kind (menus, headers, footers, sidebars, notices, adverts, forms, comments). A page
 without the slot, as it has another layout, is read as a host of its own.
 
 The template table has one row per host; Spark sends it to all tasks if it is small, or else joins.
 
 Defined cases: null html is an empty page with an empty text; pages without a host in their address are
-one host; repeated rows give repeated rows and count as often; broken and cut markup is read as far as
+one host; repeated rows give repeated rows and count once; broken and cut markup is read as far as
 it goes, as browsers do; a host of one page is its own template.
 """
 
@@ -315,11 +315,12 @@ def _template(rows: pd.DataFrame) -> pd.DataFrame:
     pages = int(rows["host_pages"].iloc[0])
     members = {p for c in classes for p in c["tokens"]}
     content = content_path([t for t in tokens if t["token"] in members or t["main"]], single)
-    fixed = [
+    article = any(t["main"] and t["token"] == content for t in tokens if not t["is_text"])
+    fixed = [] if article else [
         t["token"][1:]
         for t in tokens
         if t["is_text"] and pages >= FIXED_PAGES and t["pages"] >= FIXED_SUPPORT * pages and t["total"] == t["pages"] and t["token"] in members
-    ]
+    ]
     row = {"host": rows["host"].iloc[0], "content": content, "fixed": sorted(fixed), "classes": json.dumps(classes, ensure_ascii=False)}
     return pd.DataFrame([row])
 
@@ -331,10 +332,9 @@ def main_text(page: Page, content: str, fixed: frozenset[str]) -> str | None:
         inside[i] = path == content or (parent >= 0 and inside[parent])
     if not any(inside):
         return None
-    kept = (
-        text for element, text in page.blocks() if inside[element] and not (fixed and text_token(page.elements[element][0], text) in fixed)
-    )
-    return " ".join(kept)
+    blocks = [(element, text) for element, text in page.blocks() if inside[element]]
+    kept = [text for element, text in blocks if not (fixed and text_token(page.elements[element][0], text) in fixed)]
+    return " ".join(kept or [text for _, text in blocks])
 
 
 def alone(page: Page) -> str:
@@ -373,10 +373,19 @@ def _hosted(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
     )
 
 
+def _distinct(rows: DataFrame) -> DataFrame:
+    """``host, html`` with equal pages of a host once; only pages that repeat are dealt out."""
+    rows = rows.select("host", "html", F.xxhash64("html").alias("h1"), F.xxhash64(F.lit(1), "html").alias("h2"))
+    key = ["host", "h1", "h2"]
+    again = stored(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "pages-again")
+    once = rows.join(again, key, "left_anti")
+    return once.unionByName(rows.join(again, key, "left_semi").dropDuplicates(key)).select("host", "html")
+
+
 def templates(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", support: float = SUPPORT) -> DataFrame:
     """``host, content, fixed, classes``: the template of every host."""
     rows = _hosted(pages, page_id, url, html)
-    counted = rows.select("host", "html").mapInArrow(_count_tokens, TOKENS)
+    counted = _distinct(rows).mapInArrow(_count_tokens, TOKENS)
     sums = counted.groupBy("host", "token", "is_text").agg(
         *[F.sum(n).alias(n) for n in ("pages", "total", "f1", "f2", "place", "chars", "links", "main")]
     )

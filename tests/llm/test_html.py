@@ -89,3 +89,15 @@ def test_templates_and_empty_table(spark):
     assert ht.extract(pages(spark, [])).count() == 0
     repeated = ht.extract(pages(spark, [rows[0], rows[0], (None, None, None)]))
     assert sorted(r.text for r in repeated.collect()) == ["", "text 0", "text 0"]
+
+
+@pytest.mark.parametrize("copies", [9, 10, 1000])
+def test_copies_of_a_page_keep_their_text(spark, copies):
+    """Copies of one page, alone or beside others of the host, are no template of their text; nor are near copies."""
+    page = "<body><nav>menu</nav><{0}><h1>Head</h1><p>first {1}</p><p>second</p></{0}></body>"
+    rows = [(i, "http://a.b/", page.format("article", "one")) for i in range(copies)]
+    rows += [(5000 + i, "http://c.d/", page.format("div", "one")) for i in range(copies)]
+    rows += [(7000 + i, "http://e.f/", page.format("article", f"n{i}")) for i in range(12)]
+    got = {r.id: r.text for r in ht.extract(pages(spark, rows)).collect()}
+    assert {got[i] for i in range(copies)} == {got[5000 + i] for i in range(copies)} == {"Head first one second"}
+    assert all(got[7000 + i] == f"Head first n{i} second" for i in range(12))
