@@ -70,6 +70,24 @@ OUTSIDE_WORDS = re.compile(
     r"subscri.*|signup|login|shar(e|ing)|social|related|recommend.*|widget.*|toolbar|paginat.*|pager|copyright|legal|disclaimer|search)$"
 )
 
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)",
+    re.S,
+)
+_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_WORDS = re.compile(r"^(comment.*|disqus|respond|repl(y|ies)|sidebar.*|nav|navbar|navigation|menu.*|footer|breadcrumbs?|complementary|contentinfo)$")
+# regions that are no content unless the article stands in them
+OUTSIDE = frozenset("header form fieldset".split())
+OUTSIDE_WORDS = re.compile(
+    r"^(ad|ads|advert.*|adsense|adslot|banner|sponsor.*|promo.*|header|masthead|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|"
+    r"subscri.*|signup|login|shar(e|ing)|social|related|recommend.*|widget.*|toolbar|paginat.*|pager|copyright|legal|disclaimer|search)$"
+)
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -94,6 +112,19 @@ def _label(tag: str, attrs: str) -> tuple[str, list[str]]:
     return f"{tag}.{re.sub(r'[0-9]+', '', '.'.join(text.split()))}", [w.lower() for w in _WORDS.findall(text)]
 
 
+def _hidden(attrs: str) -> bool:
+    """Is the element hidden by an attribute of that name, by ``aria-hidden`` or by its style."""
+    for name, a, b, c in _ATTRIBUTE.findall(attrs):
+        name, value = name.lower(), (a or b or c).strip()
+        if (
+            name == "hidden" and value.lower() != "until-found"
+            or name == "aria-hidden" and value.lower() == "true"
+            or name == "style" and _NO_DISPLAY.search(value)
+        ):
+            return True
+    return False
+
+
 class Page:
     """Elements and texts of one page.
 
@@ -146,8 +177,12 @@ class Page:
             _, parent, kind, link = stack[-1]
             if tag in CONTENT and kind < 2 and not any(w.startswith("comment") for w in words):
                 kind = 0
-            elif tag in NEVER or any(NEVER_WORDS.match(w) for w in words) and tag not in ("html", "body") and tag not in CONTENT:
+            elif tag in NEVER:
                 kind = 2
+            elif any(NEVER_WORDS.match(w) for w in words) and tag not in ("html", "body") and tag not in CONTENT:
+                # words alone: around an article they name the page, not a region; comments come after it
+                named = any(s[0] in CONTENT for s in stack) or self.mains and any(w.startswith("comment") for w in words)
+                kind = 2 if named else max(kind, 1)
             elif any(w.startswith("comment") for w in words) and tag not in ("html", "body"):
                 kind = 2
             elif kind == 0 and tag not in ("html", "body"):
@@ -157,7 +192,7 @@ class Page:
                     kind = 1
                 elif any(OUTSIDE_WORDS.match(w) and not (w == "header" and inside) for w in words):
                     kind = 1
-            if attrs and _HIDDEN.search(attrs):
+            if attrs and _MAY_HIDE.search(attrs) and _hidden(attrs):
                 kind = 2
             self.elements.append((f"{self.elements[parent][0]}/{label}", parent))
             here = len(self.elements) - 1

@@ -101,3 +101,18 @@ def test_copies_of_a_page_keep_their_text(spark, copies):
     got = {r.id: r.text for r in ht.extract(pages(spark, rows)).collect()}
     assert {got[i] for i in range(copies)} == {got[5000 + i] for i in range(copies)} == {"Head first one second"}
     assert all(got[7000 + i] == f"Head first n{i} second" for i in range(12))
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<div style='overflow:hidden'><article>a <a href='/hidden-valley'>b</a></article></div>", "a b"),
+        ("<div class=overflow-hidden><p class='hidden-xs'>a</p></div>", "a"), ("<p data-x='display:none' title='hidden'>a</p>", "a"),
+        ("<div class='content-sidebar-wrap'><article>a</article><div class=sidebar>no</div></div>", "a"),
+        ("<div class='comments-open'><main>a<div class=comments><article>no</article></div></main></div>", "a"),
+        ("<article>a</article><div class=comments><article>no, and longer than the text</article></div>", "a"),
+        ("<p HIDDEN>no</p><p hidden=''>no</p><p style='color:red; display : none'>no</p><p aria-hidden=true>no</p><p hidden=until-found>a</p>", "a"),
+    ],
+)
+def test_hidden_and_named_wrappers(source, want):
+    assert ht.alone(ht.Page(source)) == want
