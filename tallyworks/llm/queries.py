@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import attention_lm, crf_language, dart_minhash, decontaminate, html_template, line_spread, mixing, preference, robust_quality, warc
+from tallyworks.llm import alignment, attention_lm, crf_language, dart_minhash, decontaminate, html_template, line_spread, mixing
+from tallyworks.llm import preference, robust_quality, url_filter, vector_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -245,3 +246,80 @@ def dart_minhash_query(spark: SparkSession, folder: str) -> DataFrame:
 def robust_quality_query(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document."""
     return robust_quality.judged(table(spark, folder, "documents")).drop("doc_hash").withColumnRenamed("doc", "doc_id")
+
+
+# --- 11: codes of vectors
+
+_NEW = ", ".join(f"CASE WHEN s.n > 0 THEN CAST(floor(s.s{i} / s.n) AS BIGINT) ELSE c.x{i} END AS x{i}" for i in range(4))
+_DISTANCE = " + ".join(f"(p.x{i} - c.x{i}) * (p.x{i} - c.x{i})" for i in range(4))
+_SUMS = ", ".join(f"CAST(sum(p.x{i}) AS DOUBLE) AS s{i}" for i in range(4))
+
+
+def _assign_sql(book: str) -> str:
+    return f"SELECT rid, part, min(({_DISTANCE}) * 64 + entry) AS far FROM p JOIN {book} c USING (part) GROUP BY rid, part"
+
+
+def _round_sql(book: str, pairs: str) -> str:
+    return (
+        f"SELECT c.part, c.entry, {_NEW} FROM {book} c LEFT JOIN (SELECT p.part, far % 64 AS entry, count(*) AS n, {_SUMS} "
+        f"FROM p JOIN {pairs} USING (rid, part) GROUP BY ALL) s ON s.part = c.part AND s.entry = c.entry"
+    )
+
+
+@query(
+    "op11_dual_tree_codes",
+    f"""
+    WITH k AS (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+               FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS MATERIALIZED (SELECT rid, part, v[4 * part + 1] AS x0, v[4 * part + 2] AS x1, v[4 * part + 3] AS x2, v[4 * part + 4] AS x3 FROM k, (SELECT unnest(range(16)) AS part)),
+    c0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, x0, x1, x2, x3 FROM p WHERE rid <= 64),
+    a0 AS MATERIALIZED ({_assign_sql("c0")}), c1 AS MATERIALIZED ({_round_sql("c0", "a0")}),
+    a1 AS MATERIALIZED ({_assign_sql("c1")}), c2 AS MATERIALIZED ({_round_sql("c1", "a1")}),
+    a2 AS MATERIALIZED ({_assign_sql("c2")}),
+    o AS (SELECT rid, string_agg(format('{{:02x}}', far % 64), '' ORDER BY part) AS code, sum(far // 64)::BIGINT AS error FROM a2 GROUP BY rid),
+    h AS (SELECT sha256(string_agg(x0 || ',' || x1 || ',' || x2 || ',' || x3, ',' ORDER BY part, entry)) AS sha FROM c2)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256 FROM k JOIN o USING (rid), h""",
+)
+def dual_tree_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's code, error and its label's error under codebooks of two rounds."""
+    coded, books = vector_codes.compressed(table(spark, folder, "embeddings"))
+    rows = vector_codes.with_label_errors(coded)
+    return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+# --- 12: addresses
+
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_FITS = " ".join(
+    f"WHEN (host = '{r.split('/', 1)[0]}' OR suffix(host, '.{r.split('/', 1)[0]}')) AND starts_with(path, '/{r.split('/', 1)[1]}') THEN '{r}'"
+    for r, _ in sorted(URL_RULES, key=lambda r: -len(r[0]))
+)
+
+
+@query(
+    "op12_digest_urls",
+    f"""
+    WITH h AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_AZ}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM h),
+    r AS (SELECT *, CASE {_FITS} END AS rule FROM p)
+    SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN map {{{', '.join(f"'{r}': '{v}'" for r, v in URL_RULES)}}}[rule]
+           WHEN list_has_any(string_split_regex(host, '[^a-z0-9]+'), {url_filter.WORDS}) THEN 'block' ELSE 'allow' END AS verdict
+    FROM r""",
+)
+def digest_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's address under five rules of sites and the words of hosts."""
+    listed = url_filter.entries(spark, URL_RULES)
+    return url_filter.judged(table(spark, folder, "pages"), listed).withColumnRenamed("id", "page_id")
+
+
+# --- 13: two tokenizers over the same bytes; brute force in tests/llm/test_alignment.py
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query("op13_fragment_alignment")
+def fragment_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every document."""
+    rows = alignment.aligned(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    return rows.withColumnRenamed("doc", "doc_id")
