@@ -41,9 +41,9 @@ from tallyworks.llm.common import stored
 # bytes of a range; a document up to this size is one
 RANGE_BYTES = 65_536
 # characters of text whose documents form a block
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 # units that a worker keeps at hand between blocks
-CACHE_UNITS = 500_000
+CACHE_UNITS = 200_000
 # characters that are tokenized at once
 ENCODE_CHARS = 100_000
 # fragments that one composition takes
