@@ -17,8 +17,9 @@ member that shares most buckets in all (the original of a group of copies). Link
 members of different classes are then compared only if their differences from the pivot allow a link: with
 ``X = x - p`` (in one but not both), ``|x - y| = |X| + |Y| - 2 |X and Y|``, so a link asks for a number of common
 differences. As one of the two is not linked to the pivot, that number is at least one, and the two lists
-of differences, words foreign to the pivot first, must meet in a prefix of known length: one join on
-pivot and difference brings forward every pair that can be linked, and few others. So no link
+of differences, in any order that both share, must meet in a prefix of known length: one join on
+pivot and difference, from the members outside the pivot's class to all, brings forward every pair that can be linked. The order
+puts differences that many members share last, as a bounded draw of members shows them, so few others come along. So no link
 between different texts of a bucket is lost, and a group of copies costs about one comparison a member.
 Classes are the connected components of verified links, found by joins.
 
@@ -49,6 +50,11 @@ ROWS = 6
 SLICE_CHARS = 2_000_000
 # words whose hashes a worker keeps at hand
 CACHE_WORDS = 500_000
+# pairs of a pivot that share one copy of its text in a join
+PIVOT_ROWS = 200
+# members of a large pivot whose differences set the order of cells around it, and the slots of that order
+SAMPLE = 64
+SLOTS = 4096
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -214,9 +220,9 @@ def _banded(bands: int, rows: int, kept: int):
     return run
 
 
-def differences(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[float, int, int, int, int, int, int, np.ndarray]:
-    """Of two sets of unit cells, sorted: weighted Jaccard similarity, sizes, cells of ``a`` alone and of ``b`` alone,
-    lengths of the prefix of the differences for a text in the class of ``b`` and outside, and the longer prefix.
+def differences(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[float, int, int, int, int, int, np.ndarray]:
+    """Of two sets of unit cells, sorted: weighted Jaccard similarity, size of ``a``, cells of ``a`` alone and of ``b`` alone,
+    lengths of the prefix of the differences for a text in the class of ``b`` and outside, and the differences.
     """
     only_a, only_b = np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
     both = len(a) - len(only_a)
@@ -226,12 +232,11 @@ def differences(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[float,
     by_outsider = (apart + g * (len(b) - len(a))) / 2
     by_insider = apart - g * (1 + 1 / threshold) * len(a)
     prefix = lambda common: max(0, apart - max(1, math.ceil(common - 1e-9)) + 1)
-    inside, outside = prefix(by_outsider), prefix(min(by_outsider, by_insider))
-    cells = np.concatenate([only_a, only_b])[: max(inside, outside)]
-    return sim, len(a), len(b), len(only_a), len(only_b), inside, outside, cells.astype(np.int64)
+    cells = np.concatenate([only_a, only_b]).view(np.int64)
+    return sim, len(a), len(only_a), len(only_b), prefix(by_outsider), prefix(min(by_outsider, by_insider)), cells
 
 
-_SIMS = "a binary, b binary, sim double, size long, alone long, missing long, inside long, outside long, cells array<bigint>"
+_SIMS = "a binary, b binary, sim double, size int, alone int, missing int, inside int, outside int, cells array<bigint>"
 
 
 def _similar(threshold: float):
@@ -251,20 +256,40 @@ def _similar(threshold: float):
                     last, pivot = name, cells(right)
                 rows.append(differences(cells(left), pivot, threshold))
             part = lambda i, kind: pa.array([r[i] for r in rows], kind)  # noqa: B023, E731
-            columns = [batch.column(0), batch.column(1), part(0, pa.float64()), *(part(i, pa.int64()) for i in (1, 3, 4, 5, 6))]
-            yield pa.RecordBatch.from_arrays([*columns, part(7, pa.list_(pa.int64()))], names=names)
+            columns = [batch.column(0), batch.column(1), part(0, pa.float64()), *(part(i, pa.int32()) for i in range(1, 6))]
+            yield pa.RecordBatch.from_arrays([*columns, part(6, pa.list_(pa.int64()))], names=names)
 
     return run
 
 
 def _sims(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Similarity and differences of the pairs ``a, b``; texts come by two joins that Spark may split at a hot pivot."""
+    """Similarity and differences of the stored pairs ``a, b``; a hot ``b`` is dealt out with copies of its text, one for every
+    ``PIVOT_ROWS`` pairs.
+    """
+    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PIVOT_ROWS).cast("int").alias("parts"))
     left = texts.select(F.col("t").alias("a"), F.col("body").alias("text_a"))
-    right = texts.select(F.col("t").alias("b"), F.col("body").alias("text_b"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    right = texts.select(F.col("t").alias("b"), F.col("body").alias("text_b")).join(parts, "b")
+    right = right.select("b", "text_b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    salted = pairs.join(parts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
+    met = salted.join(left, "a").join(right, ["b", "part"]).select("a", "b", "text_a", "text_b")
     return met.mapInArrow(_similar(threshold), _SIMS)
 
 
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``..., cells, n, levels`` -> the first ``n`` cells in the order of their pivot, rarest level first, in 32 bits."""
+    for batch in batches:
+        out = []
+        for cells, n, levels in zip(*(batch.column(batch.num_columns - 3 + i) for i in range(3))):
+            rank = np.zeros(SLOTS, np.int64)
+            if levels.is_valid:
+                coded = levels.values.to_numpy()
+                rank[coded >> 3] = coded & 7
+            found = cells.values.to_numpy()
+            out.append((found[np.lexsort((found, rank[found & (SLOTS - 1)]))[: n.as_py()]] >> 32).astype(np.int32))
+        kept = batch.num_columns - 3
+        yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(out, pa.list_(pa.int32()))], [*batch.schema.names[:kept], "prefix"])
+
+
 def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``t, c`` with the smallest label of each connected component; ``edges`` has ``x, y`` between labels ``c``.
 
@@ -327,42 +352,58 @@ def near_classes(signed: DataFrame, docs: DataFrame, doc_id: str = "doc_id", tex
     # the pivot of a bucket is its most central member
     pivots = members.groupBy("band", "h").agg(F.max(F.struct("w", "t"))["t"].alias("p"))
     pairs = members.join(pivots, ["band", "h"]).where("t <> p").select(F.col("t").alias("a"), F.col("p").alias("b")).distinct()
-    sims = stored(_sims(pairs, texts, threshold), "dart-sims")
+    sims = stored(_sims(stored(pairs, "dart-first"), texts, threshold), "dart-sims")
     labels = linked(sims, labels)
+    return linked(_between_classes(sims, labels, threshold), labels)
 
-    # members of a pivot's buckets in different classes meet in their differences from it
+
+def _between_classes(sims: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """``a, b, sim`` of members of different classes around one pivot whose differences from it allow a link.
+
+    The similarity comes from the two lists of differences alone; no text travels for it.
+    """
     class_of_a = labels.select(F.col("t").alias("a"), F.col("c").alias("class_a"))
     class_of_b = labels.select(F.col("t").alias("b"), F.col("c").alias("class_b"))
-    around = sims.join(class_of_a, "a").join(class_of_b, "b")
-    outside = F.col("class_a") != F.col("class_b")
-    some = around.groupBy("b").agg(F.max(outside.cast("int")).alias("open"), F.count(F.lit(1)).alias("n")).where("open = 1 AND n > 1")
-    around = around.join(some.select("b"), "b", "left_semi")
-    prefix = F.slice("cells", F.lit(1), F.when(outside, F.col("outside")).otherwise(F.col("inside")).cast("int"))
-    cells = around.select("a", "b", "class_a", "size", "alone", "missing", F.posexplode(prefix).alias("at", "cell"))
-    # numbers instead of keys: a row is small, and both sides of the join are one exchange
-    cells = cells.select(
-        F.xxhash64("b", "cell").alias("key"), F.xxhash64("a").alias("id"), F.xxhash64("class_a").alias("c"),
-        F.col("size").cast("int"), F.col("alone").cast("int"), F.col("missing").cast("int"), F.col("at").cast("int"),
+    around = sims.join(class_of_a, "a").join(class_of_b, "b").withColumn("out", F.col("class_a") != F.col("class_b"))
+    some = around.groupBy("b").agg(F.max(F.col("out").cast("int")).alias("open"), F.count(F.lit(1)).alias("n")).where("open = 1 AND n > 1")
+    around = stored(around.join(some.select("b", "n"), "b").withColumns({"p": F.xxhash64("b"), "id": F.xxhash64("a")}), "dart-around")
+    # an order of the cells around each large pivot, from about SAMPLE of its members: how many hold the cell. Any order
+    # would do, and a cell that most members share comes late, so that it is in hardly any prefix
+    drawn = around.where((F.col("n") > SAMPLE) & (F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / SAMPLE)) == 0))
+    slots = drawn.select("b", F.explode("cells").alias("cell")).groupBy("b", "cell").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    slots = slots.groupBy("b", F.col("cell").bitwiseAND(F.lit(SLOTS - 1).cast("bigint")).alias("slot")).agg(F.max("k").alias("k"))
+    level = F.least(F.floor(F.log2("k")), F.lit(7)).cast("int")
+    levels = slots.groupBy("b").agg(F.collect_list((F.col("slot") * 8 + level).cast("int")).alias("levels"))
+    # numbers instead of keys: a row is small
+    placed = around.join(levels, "b", "left").select(
+        "p", "id", F.xxhash64("class_a").alias("c"), "out", "size", "alone", "missing",
+        "cells", F.when(F.col("out"), F.col("outside")).otherwise(F.col("inside")).alias("n"), "levels",
     )
+    schema = "p bigint, id bigint, c bigint, out boolean, size int, alone int, missing int, prefix array<int>"
+    listed = stored(placed.where("n > 0").mapInArrow(_prefixes, schema), "dart-prefixes")
+    cells = listed.select(F.posexplode("prefix").alias("at", "cell"), "*").drop("prefix").select(F.xxhash64("p", "cell").alias("key"), "*").drop("cell")
+    # one of the two is outside the class of the pivot; of the others only cells that it has matter
+    outer, inner = cells.where("out"), cells.where("not out")
+    inner = inner.join(outer.select("key").distinct(), "key", "left_semi")
+    one, two = outer.drop("out").alias("one"), outer.unionByName(inner).alias("two")
     g = (1 - threshold) / (1 + threshold)
-    one, two = cells.alias("one"), cells.alias("two")
     x, y = (lambda n: F.col(f"one.{n}")), (lambda n: F.col(f"two.{n}"))
     # common differences that the link asks for, and as many as there can be from this cell on, were it the first
     all_1, all_2 = x("alone") + x("missing"), y("alone") + y("missing")
     allowed = F.lit(g) * (x("size") + y("size"))
-    foreign = F.least(x("alone") - x("at"), y("alone") - y("at"))
-    most = F.when(foreign > 0, foreign + F.least(x("missing"), y("missing"))).otherwise(F.least(all_1 - x("at"), all_2 - y("at")))
+    most = F.least(all_1 - x("at"), all_2 - y("at"), F.least(x("alone"), y("alone")) + F.least(x("missing"), y("missing")))
     may = (F.abs(all_1 - all_2) <= allowed + 1e-9) & (most >= (all_1 + all_2 - allowed) / 2 - 1e-9)
-    rest = one.join(two, x("key") == y("key")).where((x("id") < y("id")) & (x("c") != y("c")) & may)
-    rest = rest.select(x("id").alias("i"), y("id").alias("j")).distinct()
-    # back to the keys; two keys of one number are both tried
-    named = met.select(F.xxhash64("t").alias("n"), "t")
-    rest = rest.join(named.select(F.col("n").alias("i"), F.col("t").alias("a")), "i").join(named.select(F.col("n").alias("j"), F.col("t").alias("b")), "j")
-    rest = rest.select("a", "b")
-    tested = sims.select("a", "b")
-    rest = rest.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    rest = stored(rest, "dart-pairs")
-    return linked(_sims(rest, texts, threshold), labels)
+    # two outsiders meet twice, an outsider and an insider once
+    once = ~y("out") | (x("id") < y("id"))
+    rest = one.join(two, x("key") == y("key")).where(once & (x("c") != y("c")) & may)
+    rest = rest.where(x("p") == y("p")).select(x("p").alias("p"), F.least(x("id"), y("id")).alias("i"), F.greatest(x("id"), y("id")).alias("j"))
+    rest = stored(rest.groupBy("i", "j").agg(F.min("p").alias("p")), "dart-pairs")
+    # back to the keys: of two that share a number both are tried, and the pivot must be the same
+    lists = lambda i, t: around.select("p", F.col("id").alias(i), F.col("a").alias(t), F.col("b").alias(f"p_{t}"), F.col("size").alias(f"size_{t}"), F.col("cells").alias(f"cells_{t}"))
+    both = rest.join(lists("i", "a"), ["p", "i"]).join(lists("j", "b"), ["p", "j"]).where("p_a = p_b AND a <> b")
+    shared = F.size(F.array_intersect("cells_a", "cells_b"))
+    met = (F.col("size_a") + F.col("size_b") - (F.size("cells_a") + F.size("cells_b") - 2 * shared)) / 2
+    return both.select("a", "b", (met / (F.col("size_a") + F.col("size_b") - met)).alias("sim"))
 
 
 def near_duplicates(
