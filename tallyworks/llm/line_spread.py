@@ -4,9 +4,8 @@ Every line is hashed (two 64-bit hashes of the trimmed line); one HyperLogLog sk
 hash is built on the map side and merged by aggregation, so a line on a third of all rows is one small
 sketch per task. Lines whose estimate lies near the threshold get an exact count of distinct sites.
 
-A document loses its boilerplate lines unless they make up more than ``share`` of its characters: such
-a row is a copy of a spread document, not a page with boilerplate, and stays whole for near-duplicate
-search to judge. So no document becomes empty.
+A document loses its boilerplate lines, however much of it they are. Only a document all of whose lines that are not blank are spread
+stays whole: it is a copy of a spread document, which near-duplicate search judges. So no document becomes empty.
 
 Defined cases: a null text stays null, an empty one empty; blank lines are never boilerplate and stay
 where they are; a null site is no site; a line that repeats in a document counts once per site and goes
@@ -21,7 +20,6 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import BLANKS, stored, text_hash
 
 MIN_SITES = 5
-SHARE = 0.5
 LOG_REGISTERS = 12
 
 
@@ -63,7 +61,6 @@ def without_spread_lines(
     text: str = "text",
     site: str = "source",
     min_sites: int = MIN_SITES,
-    share: float = SHARE,
     counts: bool = False,
 ) -> DataFrame:
     """The documents without their cross-site lines; columns as they came.
@@ -84,10 +81,8 @@ def without_spread_lines(
     body = F.col(place[text])
     mine = F.when(F.col("_spread").isNull(), F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
     parts = joined.withColumn("_lines", mine)
-    total = F.aggregate("_lines", F.lit(0).cast("bigint"), lambda n, x: n + F.char_length(_trimmed(x)))
     parts = parts.withColumn("_rest", F.filter("_lines", lambda x: ~F.array_contains(F.col("_spread"), _trimmed(x))))
-    left = F.aggregate("_rest", F.lit(0).cast("bigint"), lambda n, x: n + F.char_length(_trimmed(x)))
-    parts = parts.withColumn("_cut", F.coalesce((total - left) <= total * F.lit(share), F.lit(False)) & F.col("_spread").isNotNull())
+    parts = parts.withColumn("_cut", F.col("_spread").isNotNull() & F.exists("_rest", lambda x: _trimmed(x) != ""))
     cleaned = F.when(F.col("_cut"), F.array_join("_rest", "\n")).otherwise(body)
     out = [(cleaned if c == text else F.col(place[c])).alias(c) for c in docs.columns]
     if counts:

@@ -13,6 +13,8 @@ def spread_documents():
         docs += [(7000 + 100 * n + i, f"first own line {n} {i}\n{line}\n\n{line}\nlast line, own as well {i}", "en", f"s{i}") for i in range(n)]
     docs += [(6000 + i, "a page that is copied\nwith two lines", "en", f"s{i}") for i in range(9)]
     docs += [(6100, "no site here\non five sites", "en", None)]
+    # nine tenths of it are boilerplate, and the rest is its own
+    docs += [(6200, "own\n" + "on forty sites", "en", "s1")]
     return docs
 
 
@@ -28,7 +30,7 @@ def test_against_plain_python(spark):
 def test_counts(spark):
     docs = spread_documents()
     got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_spread.without_spread_lines(frame(spark, docs), counts=True).collect()}
-    assert got[7400] == (4, 0) and got[7500] == (4, 2) and got[11000] == (4, 2) and got[6000] == (2, 0) and got[9002] == (0, 0)
+    assert got[7400] == (4, 0) and got[7500] == (4, 2) and got[11000] == (4, 2) and got[6200] == (2, 1) and got[6000] == (2, 0) and got[9002] == (0, 0)
 
 
 def test_coarse_sketches_are_made_exact(spark):
