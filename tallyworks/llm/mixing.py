@@ -69,9 +69,10 @@ def repeat_exponent(totals: DataFrame, tokens: int, budget: int, max_repeats: fl
 
 
 def token_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``doc, source, tokens``: the words of each document counted."""
+    """``doc, source, tokens, digest``: the words of each document counted; the digest of its text tells rows of one id apart."""
     return docs.select(
-        F.col(doc_id).alias("doc"), F.col(source).alias("source"), F.size(plain_words(text_or_empty(text))).cast("bigint").alias("tokens")
+        F.col(doc_id).alias("doc"), F.col(source).alias("source"), F.size(plain_words(text_or_empty(text))).cast("bigint").alias("tokens"),
+        F.md5(F.col(text)).alias("digest"),
     )
 
 
@@ -135,8 +136,9 @@ def mixed_blocks(
     )
     drawn = rows.join(plan, rows["source"].eqNullSafe(plan["_source"])).where("_quota > 0")
     passes = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_quota") - 1) / F.col("_total"))))
-    drawn = drawn.select("doc", "source", "tokens", "docs", "_total", "_quota", passes.alias("pass"))
-    drawn = drawn.withColumn("hash", F.md5(F.concat_ws(":", F.lit(seed), F.col("pass").cast("string"), F.col("doc").cast("string"))))
+    drawn = drawn.select("doc", "source", "digest", "tokens", "docs", "_total", "_quota", passes.alias("pass"))
+    row = [F.col("doc").cast("string"), F.col("source").cast("string"), F.col("digest")]
+    drawn = drawn.withColumn("hash", F.md5(F.concat_ws(":", F.lit(seed), F.col("pass").cast("string"), *row)))
     placed = running_tokens(drawn, ["source", "pass"], "docs")
     at = F.col("pass") * F.col("_total") + F.col("before")
     placed = placed.withColumn("at", at).where(F.col("at") < F.col("_quota"))
@@ -144,7 +146,7 @@ def mixed_blocks(
     blocks = max(1, math.ceil(budget / block_tokens))
     part = F.floor(F.col("at") / F.col("_quota") * F.lit(blocks)).cast("bigint")  # a double: no product of large numbers
     placed = placed.withColumn("block", F.least(part, F.lit(blocks - 1).cast("bigint")))
-    shuffled = F.md5(F.concat_ws(":", F.lit(seed), F.col("block").cast("string"), F.col("pass").cast("string"), F.col("doc").cast("string")))
+    shuffled = F.md5(F.concat_ws(":", F.lit(seed), F.col("block").cast("string"), F.col("pass").cast("string"), *row))
     order = Window.partitionBy("block").orderBy("_in_block", "doc", "pass", "source", "at")
     return placed.withColumn("_in_block", shuffled).select(
         "doc", "source", "pass", "block", (F.row_number().over(order) - 1).cast("bigint").alias("place"), "tokens"

@@ -50,10 +50,10 @@ _FIVE = " + ".join(f"CASE WHEN substr(bits, 5 * i + {j + 1}, 1) = '1' THEN {16 >
     FROM f""",
 )
 def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page written as a record and read back."""
+    """Every page written as a record and read back; the id of a record without one is empty and becomes null again."""
     read = warc.archive_round_trip(table(spark, folder, "pages"), revisit_bytes=0)
     return read.select(
-        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint")
+        F.col("record_id").try_cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").try_cast("bigint").alias("refers_to")
     )
 
 
@@ -160,7 +160,7 @@ def html_template_query(spark: SparkSession, folder: str) -> DataFrame:
     s AS (SELECT line FROM t WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 5),
     f AS (SELECT t.*, s.line IS NOT NULL AS spread FROM t LEFT JOIN s ON t.line = s.line),
     d AS (SELECT doc_id, count(*) FILTER (WHERE line <> '') AS n_lines, count(*) FILTER (WHERE spread) AS marked,
-                 coalesce(sum(length(line)) FILTER (WHERE spread), 0) <= 0.5 * sum(length(line)) AS cut,
+                 count(*) FILTER (WHERE line <> '' AND NOT spread) > 0 AS cut,
                  coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT spread), '') AS rest FROM f GROUP BY doc_id)
     SELECT doc_id, CASE WHEN cut AND marked > 0 THEN rest ELSE text END AS text, n_lines,
            CASE WHEN cut THEN marked ELSE 0 END AS n_removed
@@ -178,8 +178,8 @@ def line_spread_query(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "op7_temperature_mix",
     """
-    WITH RECURSIVE d AS (SELECT doc_id, source, CASE WHEN w = '' THEN 0 ELSE len(regexp_split_to_array(w, '[\\x20\\x09-\\x0D]+')) END AS tokens
-        FROM (SELECT doc_id, source, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS w FROM documents)),
+    WITH RECURSIVE d AS (SELECT doc_id, source, digest, CASE WHEN w = '' THEN 0 ELSE len(regexp_split_to_array(w, '[\\x20\\x09-\\x0D]+')) END AS tokens
+        FROM (SELECT doc_id, source, md5(text) AS digest, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS w FROM documents)),
     s AS (SELECT source, count(*) AS docs, sum(tokens)::BIGINT AS total FROM d GROUP BY source),
     a AS (SELECT list(total / whole ORDER BY source) AS ps, any_value(whole) AS budget FROM s, (SELECT sum(total)::BIGINT AS whole FROM s)),
     t AS (SELECT *, -list_sum(list_transform(ps, lambda p: p * ln(p))) AS own FROM a),
@@ -191,11 +191,11 @@ def line_spread_query(spark: SparkSession, folder: str) -> DataFrame:
               FROM (SELECT *, (low + high) // 2 AS mid FROM b WHERE high - low > 1))),
     e AS (SELECT low / 1048576 AS ex, ps, budget FROM b WHERE high - low = 1),
     q AS (SELECT source, docs, total, floor(pow(total / budget, ex) / list_sum(list_transform(ps, lambda p: pow(p, ex))) * budget)::BIGINT AS quota, budget FROM s, e),
-    x AS (SELECT doc_id, source, tokens, total, quota, budget, unnest(range(0, ((quota - 1) // total) + 1)) AS pass FROM d JOIN q USING (source)),
-    y AS (SELECT *, pass * total + coalesce(sum(tokens) OVER (PARTITION BY source, pass ORDER BY md5('mix:' || pass || ':' || doc_id)
+    x AS (SELECT doc_id, source, digest, tokens, total, quota, budget, unnest(range(0, ((quota - 1) // total) + 1)) AS pass FROM d JOIN q USING (source)),
+    y AS (SELECT *, pass * total + coalesce(sum(tokens) OVER (PARTITION BY source, pass ORDER BY md5(concat_ws(':', 'mix', pass, doc_id, source, digest))
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM x),
     z AS (SELECT *, least(floor(pos::DOUBLE / quota * ceil(budget / 100000))::BIGINT, ceil(budget / 100000)::BIGINT - 1) AS block FROM y WHERE pos < quota)
-    SELECT doc_id, source, pass, block, row_number() OVER (PARTITION BY block ORDER BY md5('mix:' || block || ':' || pass || ':' || doc_id)) - 1 AS place, tokens::BIGINT AS tokens
+    SELECT doc_id, source, pass, block, row_number() OVER (PARTITION BY block ORDER BY md5(concat_ws(':', 'mix', block, pass, doc_id, source, digest))) - 1 AS place, tokens::BIGINT AS tokens
     FROM z""",
 )
 def temperature_mix(spark: SparkSession, folder: str) -> DataFrame:

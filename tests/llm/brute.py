@@ -93,7 +93,7 @@ def quality(docs, cutoff=30.0, subset=0.75, steps=3, floors=(0.06, 0.05, 0.25, 0
 # --- lines
 
 
-def lines(docs, min_sites=5, share=0.5):
+def lines(docs, min_sites=5):
     """Texts of (id, text, lang, source) rows without cross-site lines."""
     sites = defaultdict(set)
     for _, text, _, source in docs:
@@ -107,9 +107,8 @@ def lines(docs, min_sites=5, share=0.5):
             out.append(None)
             continue
         parts = text.split("\n")
-        gone = sum(len(x.strip(BLANK)) for x in parts if x.strip(BLANK) in spread)
-        total = sum(len(x.strip(BLANK)) for x in parts)
-        out.append("\n".join(x for x in parts if x.strip(BLANK) not in spread) if 0 < gone <= share * total else text)
+        rest = [x for x in parts if x.strip(BLANK) not in spread]
+        out.append("\n".join(rest) if any(x.strip(BLANK) for x in rest) else text)
     return out
 
 
@@ -171,8 +170,8 @@ def mixture(docs, entropy_gain=0.5, max_repeats=4.0, block_tokens=100_000):
     """``[(id, source, pass, block, place, tokens)]`` of (id, text, lang, source) rows."""
     by = defaultdict(list)
     for i, text, _, source in docs:
-        by[source].append((i, len(words(text))))
-    totals = {s: sum(n for _, n in rows) for s, rows in by.items()}
+        by[source].append((i, len(words(text)), None if text is None else hashlib.md5(text.encode()).hexdigest()))
+    totals = {s: sum(r[1] for r in rows) for s, rows in by.items()}
     budget = sum(totals.values())
     live = {s: t / budget for s, t in totals.items() if t} if budget else {}
     if not live:
@@ -201,14 +200,14 @@ def mixture(docs, entropy_gain=0.5, max_repeats=4.0, block_tokens=100_000):
     for s, q in weights(a).items():
         quota, at, turn = math.floor(q * budget), 0, 0
         while at < quota:
-            for i, n in sorted(by[s], key=lambda r: (drawn(turn, r[0]), r[0] is not None, r[0], r[1])):
+            for i, n, t in sorted(by[s], key=lambda r: (drawn(turn, r[0], s, r[2]), r[0] is not None, r[0], r[1])):
                 if at < quota:
-                    draws.append((min(int(at / quota * blocks), blocks - 1), i, s, turn, n, at))
+                    draws.append((min(int(at / quota * blocks), blocks - 1), i, s, turn, n, at, t))
                 at += n
             turn += 1
-    draws.sort(key=lambda r: (r[0], drawn(r[0], r[3], r[1]), r[1] is not None, r[1], r[3], str(r[2]), r[5]))
+    draws.sort(key=lambda r: (r[0], drawn(r[0], r[3], r[1], r[2], r[6]), r[1] is not None, r[1], r[3], str(r[2]), r[5]))
     place, out = Counter(), []
-    for block, i, s, turn, n, _ in draws:
+    for block, i, s, turn, n, *_ in draws:
         out.append((i, s, turn, block, place[block], n))
         place[block] += 1
     return out

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import brute
 from cases import all_documents, frame
+from pyspark.sql import functions as F
 
 from tallyworks.llm import mixing
 
@@ -61,3 +62,10 @@ def test_empty_table(spark):
     assert mixing.mixed_blocks(only).count() == 0
     one = frame(spark, [(1, "a b c", "en", None)])
     assert [(r.doc, r.source, r.tokens) for r in mixing.mixed_blocks(one).collect()] == [(1, None, 3)]
+
+
+def test_rows_without_id_are_spread_over_the_ranges(spark):
+    docs = [(None if i % 2 else i, f"text number {i} here", "en", "s") for i in range(900)]
+    rows = mixing.token_rows(frame(spark, docs)).withColumn("hash", F.md5(F.concat_ws(":", F.lit("mix"), F.lit("0"), F.col("doc").cast("string"), "source", "digest")))
+    most = rows.withColumn("n", F.lit(30)).groupBy(mixing._hash_place("n", "hash")).count().agg(F.max("count")).first()[0]
+    assert most < 70
