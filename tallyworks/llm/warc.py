@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 
 import struct
 from collections.abc import Iterator
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import stored
 from tallyworks.session import new_folder
 
+# compressed bytes of frames that a task unpacks
+READ_BYTES = 1 << 20
 FRAME_BYTES = 1 << 20
 ARCHIVE_BYTES = 1 << 30
 # fixed values of the seekable Zstandard format
@@ -282,10 +285,12 @@ def frames(archives: DataFrame) -> DataFrame:
     return archives.select("archive").distinct().mapInArrow(_frames_of, FRAMES)
 
 
-def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
+def read_archives(archives: DataFrame, payloads: bool = True, read_bytes: int = READ_BYTES) -> DataFrame:
     """All records of the archives named in the column ``archive``; payload digests are verified."""
-    found = frames(archives)
-    return found.repartition("archive", "frame").mapInArrow(_read_frames(payloads), RECORDS)
+    found = stored(frames(archives), "warc-frames")
+    # rows of frames are small, what they name is not: as many tasks as the bytes ask for
+    tasks = max(1, math.ceil((found.agg(F.sum("frame_bytes")).first()[0] or 0) / read_bytes))
+    return found.repartition(tasks, "archive", "frame").mapInArrow(_read_frames(payloads), RECORDS)
 
 
 def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:

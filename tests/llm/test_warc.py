@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 import zstandard
 
-from tallyworks.llm import warc
+from tallyworks.llm import queries, warc
 from tallyworks.session import new_folder
 
 PAGES = "page_id long, url string, html string, first long, digest string, record_id string"
@@ -87,3 +87,19 @@ def test_damage_is_found(spark):
 
 def test_empty_table(spark):
     assert warc.archive_round_trip(pages(spark, [])).count() == 0
+
+
+def test_query_with_null_ids(spark):
+    folder = new_folder(spark, "warc-pages")
+    pages(spark, ROWS).write.parquet(f"{folder}/pages.parquet")
+    got = queries.QUERIES["op1_warc_round_trip"](spark, folder).collect()
+    assert Counter((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in got)[None, digest("same"), "revisit", 1] == 1
+    assert len(got) == len(ROWS)
+
+
+def test_reading_back_takes_as_many_tasks_as_the_bytes_ask_for(spark):
+    rows = [(i, f"http://h/{i}", f"{i * 7919 % 10007} " * 40) for i in range(600)]
+    index = warc.write_archives(pages(spark, rows), new_folder(spark, "warc-test"), frame_bytes=2000)
+    total = warc.frames(index).agg({"frame_bytes": "sum"}).first()[0]
+    read = warc.read_archives(index, read_bytes=total // 10)
+    assert read.rdd.getNumPartitions() >= 10 and read.count() == 600
