@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import plain_words, text_or_empty
@@ -266,7 +266,7 @@ def train(
 def sample(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_label: int = PER_LABEL, words_each: int = WORDS_EACH
 ) -> DataFrame:
-    """``lang, words``: about ``per_label`` documents of each language, ``words_each`` words of each at most."""
+    """``lang, words``: at most ``per_label`` documents of each language, ``words_each`` words of each at most; the draw is by id and text."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("_l"), F.col(doc_id).cast("string").alias("_id"), F.col(text).alias("_text")
     )
@@ -275,8 +275,11 @@ def sample(
     if not counts:
         return rows.select(F.col("_l").alias("lang"), F.lit(0.0).alias("_draw"), F.array("_text").alias("words"))
     shares = F.create_map(*[x for label, n in sorted(counts.items()) for x in (F.lit(label), F.lit(per_label / n))])
-    few = rows.withColumn("_draw", F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))).withColumn("_share", shares[F.col("_l")])
-    few = few.where(F.col("_draw") < F.col("_share"))
+    few = rows.withColumn("_hash", F.xxhash64("_id", "_text")).withColumn("_draw", F.pmod("_hash", F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    few = few.withColumn("_share", shares[F.col("_l")]).where(F.col("_draw") < F.col("_share"))
+    # equal rows are drawn once, and no language gives more rows than the bound
+    few = few.groupBy("_l", "_hash").agg(*[F.first(c).alias(c) for c in ("_text", "_draw", "_share")])
+    few = few.withColumn("_rank", F.row_number().over(Window.partitionBy("_l").orderBy("_draw", "_hash"))).where(F.col("_rank") <= per_label)
     share = F.col("_share")
     words = few.select(F.col("_l").alias("lang"), "_draw", (F.col("_draw") / share).alias("_at"), plain_words(F.lower(text_or_empty("_text"))).alias("_w"))
     start = F.floor(F.col("_at") * F.greatest(F.size("_w") - words_each, F.lit(0))).cast("int") + 1

@@ -125,3 +125,10 @@ def test_empty_tables(spark, model):
     assert {r.lang_pred for r in crf.document_languages(frame(spark, small_documents()[:5]), None).collect()} == {"und"}
     one = crf.fit(frame(spark, [d for d in small_documents() if d[2] == "en"][:20]), steps=5)
     assert one.labels == ["en"]
+
+
+def test_draw_is_bounded_with_null_and_repeated_ids(spark):
+    rows = [(None if i % 3 else 5, f"text {i} of words", ["aa", "bb"][i % 2]) for i in range(3000)] + [(None, "one text many times", "aa")] * 2000
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = crf.sample(table, per_label=100).groupBy("lang").count().collect()
+    assert {r.lang for r in got} == {"aa", "bb"} and all(10 < r["count"] <= 100 for r in got)
