@@ -3,14 +3,17 @@
 Each document gets counts of words, characters, symbols, repeated lines and repeated words, turned into a
 vector of five transformed statistics. Per language and source the minimum-covariance-determinant
 estimate is found by concentration steps: mean and covariance of the current subset, Mahalanobis
-distances of all rows, the closest ``subset`` share of them as the next subset. The start is the share
-closest to the medians, scaled by median absolute deviations. Rows beyond ``cutoff`` are rejected.
+distances of all rows, the closest ``subset`` share of them as the next subset, until the distance that cuts off the subset stays the
+same in every group. There are two starts, run side by side: the share closest to the medians, scaled by median absolute
+deviations, and the share closest to the mean of all rows; of the two ends the one of smaller determinant holds.
+Rows beyond ``cutoff``, a quantile of the chi-squared distribution, are rejected.
 
 Medians and shares are read from counts of fine value bins, so a group of a third of all rows is a few
 hundred counts that combine on the map side; no group is collected or sorted. Sums of squares and
 products are one aggregate per step; the Cholesky factor is column arithmetic on one row per group.
 A floor per statistic (``FLOORS``) is added to its variance: it keeps the covariance of small or constant
-groups regular and says what difference counts as one step.
+groups regular and says what difference counts as one step. No floor is so high that a statistic at its extreme, in a group that has
+no spread in it, stays within the cutoff.
 
 Defined cases: a null text has no words and fails the base rule; null languages and sources form groups
 of their own; a group of one row keeps it, as it is its own centre; repeated rows count as often as they
@@ -29,15 +32,46 @@ from tallyworks.llm.common import BLANKS, let, plain_words, stored, text_hash, t
 
 WINDOW = 8
 SUBSET = 0.75
-STEPS = 3
-# squared distance beyond which a row goes; the chi-squared value of five degrees that 15 in a million normal rows pass
-CUTOFF = 30.0
+# concentration ends when no cut moves; where binned cuts go round, after so many steps
+MOST_STEPS = 30
+# share of normal rows beyond the cutoff
+REJECTED = 1.5e-5
 STATS = ["x1", "x2", "x3", "x4", "x5"]
-# ln mean word length, roots of the shares of symbols, repeated lines, repeated words, capitals
-FLOORS = [0.06, 0.05, 0.25, 0.2, 0.08]
 BINS_PER_UNIT = 200
 
 
+def chi2_share(x: float, degrees: int) -> float:
+    """Share of the chi-squared distribution below ``x``, by the series of the lower incomplete gamma function."""
+    a, half = degrees / 2, x / 2
+    term = total = 1 / a
+    for i in range(1, 400):
+        term *= half / (a + i)
+        total += term
+    return total * math.exp(a * math.log(half) - half - math.lgamma(a))
+
+
+def chi2_quantile(share: float, degrees: int) -> float:
+    low, high = 1e-9, 400.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi2_share(mid, degrees) < share else (low, mid)
+    return low
+
+
+def consistency(subset: float, degrees: int) -> float:
+    """By how much the covariance of the closest ``subset`` of normal rows falls short of the whole."""
+    return subset / chi2_share(chi2_quantile(subset, degrees), degrees + 2)
+
+
+# squared distance beyond which a row goes
+CUTOFF = chi2_quantile(1 - REJECTED, len(STATS))
+# ln mean word length, roots of the shares of symbols, repeated lines, repeated words, capitals: the step that counts, and the most
+# there can be (a text of over 0.3 repeated words has failed the base rule)
+STEPS = [(0.06, math.inf), (0.05, 1.0), (0.155, 1.0), (0.2, math.sqrt(0.3)), (0.08, 1.0)]
+FLOORS = [min(step, 0.95 * extreme / math.sqrt(CUTOFF)) for step, extreme in STEPS]
+KEYS = ["g1", "g2"]
+
+
 def repeated_words(words: Column, width: int = WINDOW) -> Column:
     """How many words stand in a window of ``width`` words that the text holds twice or more."""
 
@@ -137,37 +171,18 @@ def _log_distance(squared: Column) -> Column:
     return F.floor(F.log1p(squared) * BINS_PER_UNIT).cast("bigint")
 
 
-def _closest(rows: DataFrame, subset: float) -> DataFrame:
+def _closest(rows: DataFrame, keys: list[str], subset: float) -> DataFrame:
     """Bin of the squared distance ``d2`` within which the ``subset`` share of each group lies."""
-    counts = rows.groupBy("g1", "g2", _log_distance(F.col("d2")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return _share_bin(counts, ["g1", "g2"], subset)
-
-
-def consistency(subset: float, degrees: int) -> float:
-    """By how much the covariance of the closest ``subset`` of normal rows falls short of the whole."""
-
-    def chi2(x: float, k: int) -> float:
-        # series of the lower incomplete gamma function
-        a, half = k / 2, x / 2
-        term = total = 1 / a
-        for i in range(1, 400):
-            term *= half / (a + i)
-            total += term
-        return total * math.exp(a * math.log(half) - half - math.lgamma(a))
+    counts = rows.groupBy(*keys, _log_distance(F.col("d2")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return _share_bin(counts, keys, subset)
 
-    low, high = 1e-9, 400.0
-    for _ in range(200):
-        mid = (low + high) / 2
-        low, high = (mid, high) if chi2(mid, degrees) < subset else (low, mid)
-    return subset / chi2(low, degrees + 2)
 
-
-def _scatter(rows: DataFrame, factor: float) -> DataFrame:
-    """``g1, g2``, means ``m`` and lower Cholesky factor ``l`` (row by row) of the rows of each group."""
+def _scatter(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    """The keys, means ``m``, lower Cholesky factor ``l`` (row by row) and log determinant ``det`` of the rows of each group."""
     k = range(len(STATS))
     sums = [F.avg(STATS[i]).alias(f"m{i}") for i in k]
     products = [F.avg(F.col(STATS[i]) * F.col(STATS[j])).alias(f"p{i}{j}") for i in k for j in k if j <= i]
-    fit = rows.groupBy("g1", "g2").agg(*sums, *products)
+    fit = rows.groupBy(*keys).agg(*sums, *products)
     for i in k:
         for j in range(i + 1):
             cov = (F.col(f"p{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * F.lit(factor)
@@ -178,13 +193,14 @@ def _scatter(rows: DataFrame, factor: float) -> DataFrame:
             value = F.sqrt(F.greatest(rest, F.lit(FLOORS[i] ** 2 / 4))) if i == j else rest / F.col(f"l{j}{j}")
             fit = fit.withColumn(f"l{i}{j}", value)
     return fit.select(
-        "g1", "g2", F.array(*[F.col(f"m{i}") for i in k]).alias("m"), F.array(*[F.col(f"l{i}{j}") for i in k for j in range(i + 1)]).alias("l")
-    )
+        *keys, F.array(*[F.col(f"m{i}") for i in k]).alias("m"), F.array(*[F.col(f"l{i}{j}") for i in k for j in range(i + 1)]).alias("l"),
+        (2 * reduce(lambda a, b: a + b, [F.log(f"l{i}{i}") for i in k])).alias("det"),
+    )
 
 
-def _distances(rows: DataFrame, fit: DataFrame) -> DataFrame:
-    """Adds ``d2``, the squared Mahalanobis distance to the group's fit."""
-    out, at = rows.join(fit, ["g1", "g2"]), 0
+def _distances(rows: DataFrame, keys: list[str], fit: DataFrame) -> DataFrame:
+    """Adds ``d2``, the squared Mahalanobis distance to the fit; keys that only the fit has come along."""
+    out, at = rows.join(fit.drop("det"), keys), 0
     for i, name in enumerate(STATS):
         rest = F.col(name) - F.col("m")[i]
         for j in range(i):
@@ -195,24 +211,28 @@ def _distances(rows: DataFrame, fit: DataFrame) -> DataFrame:
     return out.withColumn("d2", squared).drop("m", "l", *[f"_z{i}" for i in range(len(STATS))])
 
 
-def robust_fit(rows: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> DataFrame:
+def robust_fit(rows: DataFrame, subset: float = SUBSET, most_steps: int = MOST_STEPS) -> DataFrame:
     """The estimate of every group over rows with ``g1, g2`` and the statistics; a small table."""
     values = [F.col(x) for x in STATS]
     centre = stored(_medians(rows, values), "mcd-medians")
-    moved = rows.join(centre, ["g1", "g2"])
+    moved = rows.join(centre, KEYS)
     spread = stored(_medians(moved, [F.abs(F.col(x) - F.col("m")[i]) for i, x in enumerate(STATS)]).withColumnRenamed("m", "s"), "mcd-spread")
     parts = [
         F.pow((F.col(x) - F.col("m")[i]) / (F.col("s")[i] * 1.4826 + FLOORS[i]), F.lit(2.0)) for i, x in enumerate(STATS)
     ]
-    near = moved.join(spread, ["g1", "g2"]).withColumn("d2", reduce(lambda a, b: a + b, parts)).drop("m", "s")
-    factor = consistency(subset, len(STATS))
-    fit = None
-    for step in range(steps):
-        cut = stored(_closest(near, subset), f"mcd-cut-{step}")
-        kept = near.join(cut, ["g1", "g2"]).where(_log_distance(F.col("d2")) <= F.col("cut"))
-        fit = stored(_scatter(kept, factor), f"mcd-fit-{step}")
-        near = _distances(rows, fit)
-    return fit
+    by_medians = moved.join(spread, KEYS).withColumn("d2", reduce(lambda a, b: a + b, parts)).drop("m", "s")
+    by_means = _distances(rows, KEYS, stored(_scatter(rows, KEYS, 1.0), "mcd-means"))
+    near = by_medians.withColumn("start", F.lit(0)).unionByName(by_means.withColumn("start", F.lit(1)))
+    keys, factor, last, fit = ["start", *KEYS], consistency(subset, len(STATS)), None, None
+    for step in range(most_steps):
+        cut = stored(_closest(near, keys, subset), f"mcd-cut-{step}")
+        if last is not None and cut.join(last, [*keys, "cut"], "left_anti").isEmpty():
+            break
+        kept = near.join(cut, keys).where(_log_distance(F.col("d2")) <= F.col("cut"))
+        fit, last = stored(_scatter(kept, keys, factor), f"mcd-fit-{step}"), cut
+        near = _distances(rows, KEYS, fit)
+    best = fit.groupBy(*KEYS).agg(F.min(F.struct("det", "start", "m", "l")).alias("f"))
+    return stored(best.select(*KEYS, "f.m", "f.l", "f.det"), "mcd-best")
 
 
 def judged(
@@ -222,13 +242,13 @@ def judged(
     lang: str = "lang",
     source: str = "source",
     subset: float = SUBSET,
-    steps: int = STEPS,
+    most_steps: int = MOST_STEPS,
     cutoff: float = CUTOFF,
 ) -> DataFrame:
     """``doc, doc_hash``, the counts, ``base_failed``, ``distance`` (squared, null if the base failed) and ``kept``."""
     rows = stored(text_statistics(docs, doc_id, text, lang, source), "text-statistics")
-    fit = robust_fit(rows.where(~F.col("base_failed")).select("g1", "g2", *STATS), subset, steps)
-    passed = _distances(rows.where(~F.col("base_failed")), fit)
+    fit = robust_fit(rows.where(~F.col("base_failed")).select(*KEYS, *STATS), subset, most_steps)
+    passed = _distances(rows.where(~F.col("base_failed")), KEYS, fit)
     failed = rows.where("base_failed").withColumn("d2", F.lit(None).cast("double"))
     return passed.unionByName(failed).select(
         "doc", "doc_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -54,8 +54,24 @@ def _cut(bins, share):
             return b
 
 
-def quality(docs, cutoff=30.0, subset=0.75, steps=3, floors=(0.06, 0.05, 0.25, 0.2, 0.08)):
+def _chi2(x, degrees):
+    """Closed forms for five and seven degrees."""
+    five = math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+    return five if degrees == 5 else five - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * x * x / 15
+
+
+def _chi2_at(share):
+    low, high = 0.0, 100.0
+    for _ in range(100):
+        low, high = ((low + high) / 2, high) if _chi2((low + high) / 2, 5) < share else (low, (low + high) / 2)
+    return low
+
+
+def quality(docs, subset=0.75):
     """``{row number: (counts, base_failed, squared distance or None, kept)}`` of (id, text, lang, source) rows."""
+    cutoff = _chi2_at(1 - 1.5e-5)
+    floors = (0.06, 0.05, 0.155, 0.95 * math.sqrt(0.3 / cutoff), 0.08)
+    factor = subset / _chi2(_chi2_at(subset), 7)
     out, groups = {}, defaultdict(list)
     for i, (_, text, lang, source) in enumerate(docs):
         c = counts(text)
@@ -68,24 +84,36 @@ def quality(docs, cutoff=30.0, subset=0.75, steps=3, floors=(0.06, 0.05, 0.25, 0
                 root(c["n_repeat_words"], c["n_words"]), root(c["capitals"], c["word_chars"]),
             ]
             groups[lang, source].append((i, x))
-    # by simulation: the share of variance that the closest three quarters of normal rows show
-    rng = np.random.default_rng(0)
-    sample = rng.normal(size=(2_000_000, 5))
-    d = (sample**2).sum(axis=1)
-    factor = 1 / (sample[d <= np.quantile(d, subset), 0] ** 2).mean()
-    for rows in groups.values():
+    bins = lambda d2: np.floor(np.log1p(d2) * 200).astype(int)
+
+    def fitted(near, by):
+        cov = np.cov(near.T, bias=True).reshape(5, 5) * by + np.diag(np.square(floors))
+        return near.mean(axis=0), cov
+
+    def distances(x, fit):
+        diff = x - fit[0]
+        return np.einsum("ij,jk,ik->i", diff, np.linalg.inv(fit[1]), diff)
+
+    # both starts of all groups take steps together until no cut moves
+    runs_, last = {}, None
+    for g, rows in groups.items():
         x = np.array([r[1] for r in rows])
         med = lambda v: (_cut(np.floor(v * 200).astype(int).tolist(), 0.5) + 0.5) / 200
         centre = np.array([med(x[:, k]) for k in range(5)])
         spread = np.array([med(np.abs(x[:, k] - centre[k])) for k in range(5)])
-        d2 = (((x - centre) / (1.4826 * spread + np.array(floors))) ** 2).sum(axis=1)
-        for _ in range(steps):
-            bins = np.floor(np.log1p(d2) * 200).astype(int)
-            near = x[bins <= _cut(bins.tolist(), subset)]
-            cov = np.cov(near.T, bias=True).reshape(5, 5) * factor + np.diag(np.square(floors))
-            diff = x - near.mean(axis=0)
-            d2 = np.einsum("ij,jk,ik->i", diff, np.linalg.inv(cov), diff)
-        for (i, _), value in zip(rows, d2):
+        runs_[g, 0] = [x, (((x - centre) / (1.4826 * spread + np.array(floors))) ** 2).sum(axis=1), None]
+        runs_[g, 1] = [x, distances(x, fitted(x, 1.0)), None]
+    for _ in range(30):
+        cuts = {k: _cut(bins(d2).tolist(), subset) for k, (_, d2, _) in runs_.items()}
+        if cuts == last:
+            break
+        for k, run in runs_.items():
+            run[2] = fitted(run[0][bins(run[1]) <= cuts[k]], factor)
+            run[1] = distances(run[0], run[2])
+        last = cuts
+    for g, rows in groups.items():
+        best = min((0, 1), key=lambda n: (np.linalg.slogdet(runs_[g, n][2][1])[1], n))
+        for (i, _), value in zip(rows, runs_[g, best][1]):
             out[i][2], out[i][3] = float(value), bool(value <= cutoff)
     return {i: tuple(v) for i, v in out.items()}
 

@@ -25,7 +25,7 @@ def test_against_plain_python(spark):
         for r in got
     )
     theirs = Counter(row(i) for i in range(len(docs)))
-    # the factor is found by simulation there, so distances may round apart
+    # distances may round apart
     assert sum((mine - theirs).values()) <= 0.1 * len(docs)
     assert Counter((*r[:7], r[8]) for r in mine.elements()) == Counter((*r[:7], r[8]) for r in theirs.elements())
 
@@ -75,3 +75,20 @@ def test_empty_table(spark):
     table = frame(spark, all_documents()).where("false")
     assert robust_quality.judged(table).count() == 0
     assert robust_quality.without_outliers(table).count() == 0
+
+
+def test_one_extreme_statistic_is_enough(spark):
+    """Repeated lines alone, words apart; every other statistic as in the group."""
+    plain = lambda i: "\n".join(f"line {i} {j} of some words that are its own {i * 31 + j}" for j in range(30))
+    docs = [(i, plain(i), "en", "one") for i in range(400)]
+    lines = [f"a{k} b{k} c{k}" for k in range(33)]
+    docs.append((9000, "\n".join(lines[(k * 7) % 33] + ("" if k % 2 else " ") for k in range(182)), "en", "one"))
+    got = {r.doc: r for r in robust_quality.judged(frame(spark, docs)).collect()}
+    assert not got[9000].kept and sum(r.kept for r in got.values()) == 400
+
+
+def test_chi2():
+    assert math.isclose(robust_quality.chi2_quantile(0.95, 5), 11.0705, abs_tol=1e-3)
+    assert math.isclose(robust_quality.chi2_share(11.0705, 5), 0.95, abs_tol=1e-5)
+    extremes = [(e / f) ** 2 for (_, e), f in zip(robust_quality.STEPS, robust_quality.FLOORS)]
+    assert min(extremes) > robust_quality.CUTOFF
