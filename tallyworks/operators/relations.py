@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.fixed_values import IS_A_RULES
 from tallyworks.functions.text import mark_terms, sentences, tagged_triples
-from tallyworks.operators.joins import first_rule, neighbour_pairs
+from tallyworks.operators.joins import first_rule
 
 
 def sentence_table(df: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -40,36 +44,112 @@ def mentions(sentence_rows: DataFrame, keys: list[str], terms: DataFrame, longes
     return out.join(terms.select("term"), "term").select(*keys, "pos", "term")
 
 
+SLOT = r"NP_\\w\+|NP__"
+
+
+def between_slots(pattern: str) -> str:
+    """What a rule asks for between its first two marks, as a pattern of its own.
+
+    A repeated mark counts once, so brackets that the cut opened or left open go.
+    """
+    inside = re.split(SLOT, pattern)[1]
+    keep, open_at = [], []
+    for part in re.findall(r"\\.|\)[+*?]?|.", inside):
+        keep.append(part)
+        if part == "(":
+            open_at.append(len(keep) - 1)
+        elif part[0] == ")":
+            if open_at:
+                open_at.pop()
+            else:
+                keep.pop()
+    for at in open_at:
+        keep[at] = ""
+    found = "".join(keep)
+    # its matches are no longer than the pattern itself
+    if re.search(r"[+*{]", found.replace("\\+", "").replace("\\*", "")):
+        raise ValueError(f"the phrase of a rule must not repeat anything: {found}")
+    return found
+
+
+def fixed_words(pattern: str) -> list[str]:
+    """Letters and blanks that every text in which the rule fits holds."""
+    bare = re.sub(r"\([^()]*\)", "|", re.sub(r"\([^()]*\)[?*]", "|", re.sub(SLOT, "|", pattern)))
+    return re.findall(r"(?<!\\)[a-z](?:[a-z ]*[a-z])?(?![?*])", bare)
+
+
+def _candidates(rules: list[tuple[str, str]]):
+    """Rows that end in a sentence and its terms -> the same rows, without the terms, per pair that a rule's phrase brings together."""
+    tried = [(fixed_words(rule), re.compile(f"(?=({between_slots(rule)}))")) for rule, _ in rules]
+    word = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_")
+
+    def pairs(text: str, terms: list[str]) -> list[tuple[int, int]]:
+        number = {t: i for i, t in enumerate(terms)}
+        sizes = sorted({len(t) for t in terms})
+        places = {m.span(1) for words, phrase in tried if all(w in text for w in words) for m in phrase.finditer(text)}
+        found = set()
+        for a, b in places:
+            right = [number[text[b : b + n]] for n in sizes if text[b : b + n] in number]
+            if not right:
+                continue
+            # the left term ends within the word characters that lead to the phrase
+            low = a
+            while low and text[low - 1] in word:
+                low -= 1
+            left = {number[text[e - n : e]] for e in range(low, a + 1) for n in sizes if n <= e and text[e - n : e] in number}
+            for i in left:
+                for j in right:
+                    # a term on both sides fits together with any other term
+                    found.update([(min(i, j), max(i, j))] if i != j else [(min(i, k), max(i, k)) for k in range(len(terms)) if k != i])
+        return sorted(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, lists = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            rows = [(at, t[i], t[j]) for at, (s, t) in enumerate(zip(texts, lists)) for i, j in pairs(s, t)]
+            kept = batch.select(range(batch.num_columns - 1)).take(pa.array([r[0] for r in rows], pa.int64()))
+            sides = [pa.array([r[k] for r in rows], pa.string()) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *sides], [*kept.schema.names, "left_item", "right_item"])
+
+    return run
+
+
 def pattern_relations(
-    sentence_rows: DataFrame, keys: list[str], mention_rows: DataFrame,
-    rules: list[tuple[str, str]] = IS_A_RULES, strict: bool = True, parts: int | None = None,
+    sentence_rows: DataFrame, keys: list[str], mention_rows: DataFrame, rules: list[tuple[str, str]] = IS_A_RULES, strict: bool = True
 ) -> DataFrame:
     """Distinct ``(head, type, tail)`` with type "subgroup of", by the phrase between two terms.
 
-    Both terms of a pair are replaced by a placeholder all over the sentence and the first rule
-    that fits gives the direction: "first" for the general term on the left, "last" on the right.
+    Of every two different terms of a sentence, both are replaced by a mark all over the sentence and the first rule
+    that fits gives the direction: "first" for the general term on the left, "last" on the right; left is the term that is mentioned first.
     With ``strict`` the tail is the general term. Otherwise the direction is not looked at and the
     head is the later of the two terms in alphabetical order.
 
-    Each term is paired with the one before it only. A rule holds its two placeholders on both
-    sides of its phrase with nothing else between them, and a third term between them would stay an
-    ordinary word, so no rule fits a pair of terms that are not neighbours.
+    The pairs of a sentence are not enumerated. A rule fits only where its phrase stands between two marks, and a phrase
+    holds no mark, so it stands in the sentence as it is. Each occurrence of a phrase names the terms that can be the mark
+    before it (one that ends in the word that leads to it) and behind it (one that begins there); only those pairs are marked and tried.
+    A term that stands on both sides fits together with any other term. The look-up of a pair is a small Arrow function in the tasks; marking
+    and rules are columns. So terms with other terms between them, repeated terms and
+    terms that are words of a phrase come out as if all pairs were tried.
     """
-    pairs = neighbour_pairs(mention_rows, keys, ["pos", "term"], "term", parts)
-    pairs = pairs.where("left_item <> right_item").select(*keys, "left_item", "right_item").distinct()
-    with_text = pairs.join(sentence_rows.select(*keys, F.lower("sentence").alias("__s")), keys)
+    lists = mention_rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("__m"))
+    lists = lists.select(*keys, F.array_distinct(F.transform("__m", lambda m: m["term"])).alias("__t")).where(F.size("__t") > 1)
+    rows = lists.join(sentence_rows.select(*keys, F.lower("sentence").alias("__s")), keys)
+    rows = rows.select(*keys, "__s", "__t")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__t"]
+    pairs = rows.mapInArrow(_candidates(rules), ", ".join([*fields, "left_item string", "right_item string"]))
     # the longer term first: a term inside the other one must not break it
     ordered = F.when(
         F.length("left_item") >= F.length("right_item"), F.array("left_item", "right_item")
     ).otherwise(F.array("right_item", "left_item"))
-    marked = with_text.withColumn("__m", mark_terms(F.col("__s"), ordered, "NP__"))
+    marked = pairs.withColumn("__m", mark_terms(F.col("__s"), ordered, "NP__"))
     found = marked.withColumn("__d", first_rule(F.col("__m"), rules)).where(F.col("__d").isNotNull())
     left, right = F.col("left_item"), F.col("right_item")
     if strict:
         general, special = F.when(F.col("__d") == "first", left).otherwise(right), F.when(F.col("__d") == "first", right).otherwise(left)
     else:
         general, special = F.least(left, right), F.greatest(left, right)
-    return found.select(*keys, special.alias("head"), F.lit("subgroup of").alias("type"), general.alias("tail")).distinct()
+    # a pair stands once in a sentence, so nothing repeats
+    return found.select(*keys, special.alias("head"), F.lit("subgroup of").alias("type"), general.alias("tail"))
 
 
 def parse_triples(df: DataFrame, keys: list[str], text: str) -> DataFrame:

@@ -203,21 +203,22 @@ def _sales_base(t):
     )
     labelled, rest = fact.where("date < DATE'1998-01-01'"), fact.where("date >= DATE'1998-01-01'").drop("sales")
     prices = (
-        t.lineitem.where("l_quantity = 50")
-        .groupBy(c("l_shipdate").cast("date").alias("date"))
+        t.lineitem.groupBy(c("l_shipdate").cast("date").alias("date"))
         .agg(F.max("l_extendedprice").alias("dcoilwtico"))
     )
     stores = t.nation.join(t.region, c("n_regionkey") == c("r_regionkey")).select(
         c("n_nationkey").alias("store_nbr"), c("n_name").alias("city"), c("r_name").alias("state"), F.lit("A").alias("type")
     )
     holidays = (
-        t.orders.where("o_totalprice > 490000")
+        t.orders.groupBy(c("o_orderdate").cast("date").alias("date"))
+        .agg(F.max("o_orderkey").alias("key"), F.max("o_orderpriority").alias("description"), F.count(F.lit(1)).alias("n"))
+        .where("n % 5 = 0")
         .select(
-            c("o_orderdate").cast("date").alias("date"),
+            "date",
             F.lit("Holiday").alias("type"),
             F.lit("Local").alias("locale"),
-            F.concat(F.lit("NATION_"), (c("o_orderkey") % 25).cast("string")).alias("locale_name"),
-            c("o_orderpriority").alias("description"),
+            F.concat(F.lit("NATION_"), (c("key") % 25).cast("string")).alias("locale_name"),
+            "description",
             F.lit(False).alias("transferred"),
         )
     )
@@ -228,10 +229,10 @@ def _sales_base(t):
     "d10_sales_base",
     """WITH f AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date, c_nationkey AS store_nbr,
  CASE WHEN o_orderdate < DATE '1998-01-01' THEN o_totalprice END AS sales FROM orders JOIN customer ON o_custkey = c_custkey),
-p AS (SELECT CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS price FROM lineitem WHERE l_quantity = 50 GROUP BY 1),
+p AS (SELECT CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS price FROM lineitem GROUP BY 1),
 g AS (SELECT date, first_value(price IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS oil
  FROM (SELECT DISTINCT date FROM f) LEFT JOIN p USING (date)),
-h AS (SELECT CAST(o_orderdate AS DATE) AS date, 'NATION_' || (o_orderkey % 25) AS locale_name, o_orderpriority AS description FROM orders WHERE o_totalprice > 490000)
+h AS (SELECT CAST(o_orderdate AS DATE) AS date, 'NATION_' || (max(o_orderkey) % 25) AS locale_name, max(o_orderpriority) AS description FROM orders GROUP BY 1 HAVING count(*) % 5 = 0)
 SELECT id, date, sales, oil, n_name AS city, CASE WHEN h.date IS NULL THEN 'Work Day' ELSE 'Holiday' END AS day_type,
 coalesce(locale_name, 'No Holiday') AS locale_name, coalesce(description, 'No Holiday') AS description, false AS transferred
 FROM f JOIN g USING (date) JOIN nation ON store_nbr = n_nationkey LEFT JOIN h USING (date)""",

@@ -139,14 +139,16 @@ def g09(t):
 
 @query("g10_extend")
 def g10(t):
-    """Nations by the regions they lie in, then the trade between the nations of large orders."""
+    """Nations by the regions they lie in, then the trade between nations by all orders."""
     c = F.col
     text = lambda mark, key: F.concat(F.lit(mark), c(key).cast("string"))
     rows = places(t).withColumns({"type": F.lit("lies in"), "ord": F.lit(0)})
-    links = t.supplier.join(t.customer, c("s_suppkey") == c("c_custkey")).where("s_nationkey <> c_nationkey")
+    sold = t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey")).join(t.customer, c("o_custkey") == c("c_custkey"))
+    links = sold.join(t.supplier, c("l_suppkey") == c("s_suppkey")).where("s_nationkey <> c_nationkey")
+    links = links.groupBy("s_nationkey", "c_nationkey").agg(F.min("l_orderkey").alias("first"))
     later = links.select(
         text("n", "s_nationkey").alias("head"), text("n", "c_nationkey").alias("tail"), F.lit("sells to").alias("type"),
-        c("s_suppkey").cast("int").alias("ord"),
+        c("first").cast("int").alias("ord"),
     )
     none = t.nation.where("false").select(F.col("n_name").alias("synonym"), F.col("n_name").alias("entity_id"))
     return graph.extend(rows, later, none, "world")[1]

@@ -1,5 +1,7 @@
 """Queries on preparation, models, quality, explanation and audit."""
 
+import itertools
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
@@ -598,7 +600,7 @@ def m34(t):
 
 @query(
     "m35_sampled_shapley",
-    f"""WITH b AS (SELECT avg(p_size) AS s, avg(p_retailprice) AS r FROM (SELECT * FROM part ORDER BY p_partkey LIMIT 4))
+    f"""WITH b AS (SELECT avg(p_size) AS s, avg(p_retailprice) AS r FROM (SELECT * FROM part ORDER BY md5('1:' || p_partkey), p_partkey LIMIT 4))
 SELECT p_partkey, round(2 * (p_size - s), 4) AS p_size, round(0.5 * (p_retailprice - r), 4) AS p_retailprice, round(2 * s + 0.5 * r, 4) AS base,
 round(2 * part.p_size + 0.5 * part.p_retailprice, 4) AS answer FROM part, b""",
 )
@@ -619,6 +621,56 @@ def m35_trees(t):
     return out.select("doc_id", (F.abs(F.round(total - F.col("answer") + F.col("base"), 6)) + 0.0).alias("gap"))
 
 
+# a tree of known form over three features, one of them asked twice
+_TREE = [
+    explain.Leaf(0, [(0, 25.0, True), (1, 0.05, True)], 1.0), explain.Leaf(0, [(0, 25.0, True), (1, 0.05, False)], 2.5),
+    explain.Leaf(0, [(0, 25.0, False), (2, 0.04, True)], 4.0), explain.Leaf(0, [(0, 25.0, False), (2, 0.04, False), (0, 40.0, True)], 7.0),
+    explain.Leaf(0, [(0, 25.0, False), (2, 0.04, False), (0, 40.0, False)], 9.5),
+]
+
+
+def _tree_sql(known: tuple[str, ...]) -> str:
+    """Answer of the tree where only some features are known; at a split on another one both sides count by their share."""
+    side = lambda f, cut, share: f"CASE WHEN {f} <= {cut} THEN 1.0 ELSE 0.0 END" if f in known else share
+    q, d, x, q2 = side("l_quantity", 25, "s_q"), side("l_discount", 0.05, "s_d"), side("l_tax", 0.04, "s_t"), side("l_quantity", 40, "s_q2")
+    low = f"(({d}) * 1.0 + (1 - ({d})) * 2.5)"
+    high = f"(({x}) * 4.0 + (1 - ({x})) * (({q2}) * 7.0 + (1 - ({q2})) * 9.5))"
+    return f"(({q}) * {low} + (1 - ({q})) * {high})"
+
+
+def _orders_sql(feature: str) -> str:
+    """Mean change of the answer at a feature's turn over all orders of the three."""
+    orders = list(itertools.permutations(_PRICE))
+    turns = [(order[: order.index(feature)], order[: order.index(feature) + 1]) for order in orders]
+    return "(" + " + ".join(f"({_tree_sql(after)} - {_tree_sql(before)})" for before, after in turns) + f") / {len(orders)}"
+
+
+@query(
+    "m35_tree_shapley_of_known_tree",
+    f"""WITH s AS (SELECT avg(CASE WHEN l_quantity <= 25 THEN 1.0 ELSE 0 END) AS s_q, avg(CASE WHEN l_discount <= 0.05 THEN 1.0 ELSE 0 END) FILTER (WHERE l_quantity <= 25) AS s_d,
+avg(CASE WHEN l_tax <= 0.04 THEN 1.0 ELSE 0 END) FILTER (WHERE l_quantity > 25) AS s_t, avg(CASE WHEN l_quantity <= 40 THEN 1.0 ELSE 0 END) FILTER (WHERE l_quantity > 25 AND l_tax > 0.04) AS s_q2 FROM lineitem),
+a AS (SELECT avg({_tree_sql(tuple(_PRICE))}) AS base FROM lineitem, s)
+SELECT l_orderkey, l_linenumber, {', '.join(f'round({_orders_sql(f)}, 6) AS {f}_value' for f in _PRICE)}, round(base, 6) AS base, round({_tree_sql(tuple(_PRICE))}, 6)::DOUBLE AS answer FROM lineitem, s, a""",
+)
+def m35_known(t):
+    out = explain.leaf_shapley(_TREE, t.lineitem, ["l_orderkey", "l_linenumber"], _PRICE, t.lineitem)
+    return out.select("l_orderkey", "l_linenumber", *[F.round(f, 6).alias(f"{f}_value") for f in _PRICE], F.round("base", 6).alias("base"), F.round("answer", 6).alias("answer"))
+
+
+@query("m35_tree_shapley_of_forest", f"SELECT doc_id, 0.0::DOUBLE AS gap, 0.0::DOUBLE AS off, 0.0::DOUBLE AS shift FROM documents JOIN labels USING (doc_id) WHERE {DRAW.format('doc_id', 11)} < {int(0.3 * 2**32)}")
+def m35_forest(t):
+    """What the exact values leave open between a row's answer and the base, the leaves' answer against the model's, the base against the mean of all."""
+    train, test = _halves(t)
+    model = models.fit(models.random_forest(trees=5, depth=4, regression=True), train, _FEATURES)
+    out = explain.tree_shapley(model, test, ["doc_id"], _FEATURES, train)
+    mean = model.transform(train).agg(F.avg("prediction")).first()[0]
+    total, near = sum(F.col(f) for f in _FEATURES), lambda x: F.abs(F.round(x, 6)) + 0.0
+    return out.join(model.transform(test).select("doc_id", "prediction"), "doc_id").select(
+        "doc_id", near(total - F.col("answer") + F.col("base")).alias("gap"), near(F.col("answer") - F.col("prediction")).alias("off"),
+        near(F.col("base") - F.lit(mean)).alias("shift"),
+    )
+
+
 _MEMBERS = f"(SELECT *, coalesce(lang = 'en', false) AS protected FROM {SCORED})"
 
 

@@ -72,12 +72,13 @@ JOIN (SELECT CAST(unnest(range(5)) AS INTEGER) AS arm) ON true LEFT JOIN (SELECT
 @query(
     "b04_ucb_scores",
     f"""SELECT run, arm, n, bound = 'Infinity' AS unbounded, CASE WHEN bound < 1e300 THEN round(bound, 4) END AS bound, row_number() OVER (PARTITION BY run ORDER BY bound DESC, arm) = 1 AS chosen
-FROM (SELECT run, arm, n, CASE WHEN n = 0 THEN CAST('Infinity' AS DOUBLE) ELSE total / n + sqrt(2 * ln(6) / n) END AS bound FROM {sums_sql(UNIFORM, 6)})""",
+FROM (SELECT run, arm, n, CASE WHEN n = 0 THEN CAST('Infinity' AS DOUBLE) ELSE total / n + sqrt(2 * ln((SELECT max(day) + 1 FROM {UNIFORM})) / n) END AS bound FROM {sums_sql(UNIFORM, 2**31 - 1)})""",
 )
 def b04(t):
-    choices = rewards.replay_uniform(log(t), 5, 42).where("day < 6")
+    choices = rewards.replay_uniform(log(t), 5, 42)
     bound = F.col("bound")
-    return rewards.ucb_scores(choices, 5, 6).select(
+    days = choices.agg(F.max("day") + 1).first()[0]
+    return rewards.ucb_scores(choices, 5, days).select(
         "run", "arm", "n", (bound == float("inf")).alias("unbounded"), F.when(bound < 1e300, F.round(bound, 4)).alias("bound"), "chosen"
     )
 

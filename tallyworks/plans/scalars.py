@@ -76,12 +76,12 @@ def f09(t):
 
 @query(
     "f10_file_stem",
-    "SELECT page_id, regexp_extract(regexp_extract(url, '([^/]*)$', 1), '^(.+?)(?:\\.[^.]*)?$', 1) AS v FROM pages WHERE url NOT LIKE '%/'",
+    "SELECT page_id, regexp_extract(regexp_extract(url, '([^/]*)$', 1), '^(.+?)(?:\\.[^.]*)?$', 1) AS v FROM pages",
 )
 def f10(t):
     from tallyworks.sources.files import file_stem
 
-    return t.pages.where(~F.col("url").endswith("/")).select("page_id", file_stem(F.col("url")).alias("v"))
+    return t.pages.select("page_id", file_stem(F.col("url")).alias("v"))
 
 
 @query("f11_words", f"SELECT doc_id, len(w) AS n, array_to_string(w, ' ') AS v FROM (SELECT doc_id, {WORDS} AS w FROM documents)")

@@ -293,9 +293,10 @@ def t11(t):
 SMALL_RULES = [("NP__ (of|the|and|on) NP__", "first"), ("NP__,? NP__", "last")]
 
 def relations_sql(rules) -> str:
-    return f"""WITH m AS (SELECT doc_id, sentence_no, pos, tok AS term FROM (SELECT doc_id, sentence_no, unnest(w) AS tok, generate_subscripts(w, 1) AS pos
-FROM {_SENTENCE_TOKENS}) JOIN (SELECT DISTINCT unnest({_TOK.format('text')}) AS term FROM benchmark) ON term = tok WHERE length(tok) >= 5),
-p AS (SELECT DISTINCT doc_id, sentence_no, l, r FROM (SELECT doc_id, sentence_no, term AS r, lag(term) OVER (PARTITION BY doc_id, sentence_no ORDER BY pos) AS l FROM m) WHERE l <> r),
+    """All pairs of different terms of a sentence."""
+    return f"""WITH m AS (SELECT doc_id, sentence_no, tok AS term, min(pos) AS pos FROM (SELECT doc_id, sentence_no, unnest(w) AS tok, generate_subscripts(w, 1) AS pos
+FROM {_SENTENCE_TOKENS}) JOIN (SELECT DISTINCT unnest({_TOK.format('text')}) AS term FROM benchmark) ON term = tok GROUP BY ALL),
+p AS (SELECT a.doc_id, a.sentence_no, a.term AS l, b.term AS r FROM m a JOIN m b ON a.doc_id = b.doc_id AND a.sentence_no = b.sentence_no AND a.pos < b.pos),
 x AS (SELECT doc_id, sentence_no, l, r, replace(replace(lower(sentence), CASE WHEN length(l) >= length(r) THEN l ELSE r END, 'NP__'),
  CASE WHEN length(l) >= length(r) THEN r ELSE l END, 'NP__') AS s FROM p JOIN {SENTENCE_TABLE} USING (doc_id, sentence_no)),
 d AS (SELECT *, CASE {' '.join(f"WHEN regexp_matches(s, '{p}') THEN '{v}'" for p, v in rules)} END AS dir FROM x)"""
@@ -307,7 +308,7 @@ CASE WHEN dir = 'first' THEN l ELSE r END AS tail FROM d WHERE dir IS NOT NULL""
 
 def _relation_rows(t, **options):
     rows = relations.sentence_table(t.documents, ["doc_id"], "text")
-    words = t.benchmark.select(F.explode(relations.tokens(F.col("text"))).alias("term")).where("length(term) >= 5").distinct()
+    words = t.benchmark.select(F.explode(relations.tokens(F.col("text"))).alias("term")).distinct()
     keys = ["doc_id", "sentence_no"]
     return relations.pattern_relations(rows, keys, relations.mentions(rows, keys, words), **options)
 

@@ -1,5 +1,6 @@
 """Preparation, metrics, neighbours and explanation."""
 
+import itertools
 import random
 
 import numpy as np
@@ -165,3 +166,43 @@ def test_prepared_estimator_with_unseen_category(spark):
     fitted = prep.prepared_estimator(models.linear(), ["v"], ["c"]).fit(train)
     out = fitted.transform(spark.createDataFrame([(None, "new"), (2.0, "a")], "v double, c string"))
     assert out.count() == 2 and out.where("prediction IS NULL").isEmpty()
+
+
+def test_tree_values_equal_all_orders(spark):
+    """Random trees of depth 4 over four features; a share is asked of the whole background."""
+    rng = random.Random(4)
+    names = ["f0", "f1", "f2", "f3"]
+    rows = [(i, *(rng.randrange(10) / 2 for _ in names)) for i in range(60)]
+    leaves = []
+
+    def grow(tree, path):
+        if len(path) == 4 or (path and rng.random() < 0.2):
+            leaves.append(explain.Leaf(tree, path, rng.random() * 10, 0.5))
+            return
+        f, cut = rng.randrange(4), rng.randrange(1, 9) / 2
+        grow(tree, [*path, (f, cut, True)])
+        grow(tree, [*path, (f, cut, False)])
+
+    grow(0, []), grow(1, [])
+    taken = lambda row, path: all((row[1 + f] <= cut) == left for f, cut, left in path)
+
+    def answer(row, known):
+        total = 0.0
+        for leaf in leaves:
+            part = leaf.value * leaf.weight
+            for k, (f, cut, left) in enumerate(leaf.path):
+                above = [r for r in rows if taken(r, leaf.path[:k])]
+                side = sum((r[1 + f] <= cut) == left for r in above) / len(above) if above else 0.0
+                part *= float((row[1 + f] <= cut) == left) if f in known else side
+            total += part
+        return total
+
+    df = spark.createDataFrame(rows, "id int, f0 double, f1 double, f2 double, f3 double")
+    got = {r.id: r for r in explain.leaf_shapley(leaves, df, ["id"], names, df).collect()}
+    orders = list(itertools.permutations(range(4)))
+    for row in rows[:12]:
+        for f in range(4):
+            want = sum(answer(row, set(o[: o.index(f) + 1])) - answer(row, set(o[: o.index(f)])) for o in orders) / len(orders)
+            assert abs(got[row[0]][names[f]] - want) < 1e-9
+        assert abs(got[row[0]].base - answer(row, set())) < 1e-9
+    assert abs(sum(r.answer for r in got.values()) / len(rows) - got[0].base) < 1e-9

@@ -115,6 +115,38 @@ def test_neighbours_find_what_all_pairs_find(spark):
     assert got == want and len(want) > 20
 
 
+def test_all_pairs_of_long_sentences(spark):
+    """Repeated terms, terms inside words, terms that are words of a phrase, and several terms in between."""
+    from tallyworks.functions.fixed_values import IS_A_RULES
+
+    rng = random.Random(7)
+    terms = ["a", "an", "cat", "cats", "big cats", "other", "and", "include", "such", "as", "like", "s", "dog", "kind of", "any", "té", "i"]
+    words = terms + ["other", "such as", "include", ",", "and", "or some", "like", "catsuit", "another", "type", "be a", "for example", "café", "x", "a  kind of"]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.choice([4, 9, 25]))).replace(" ,", ",") for _ in range(150)]
+    small = [("NP__ (of|the|and|on) NP__", "first"), ("NP__,? NP__", "last")]
+    df = spark.createDataFrame(list(enumerate(lines)), "id int, sentence string")
+    places = relations.mentions(df, ["id"], spark.createDataFrame([(t,) for t in terms], "term string"), longest=2)
+    found = {}
+    for r in places.collect():
+        found.setdefault(r.id, {}).setdefault(r.term, set()).add(r.pos)
+    for rules in (IS_A_RULES, small):
+        got = {(r["id"], frozenset((r["head"], r["tail"]))) for r in relations.pattern_relations(df, ["id"], places, rules=rules).collect()}
+        want = set()
+        for i, line in enumerate(lines):
+            for x, y in itertools.combinations(sorted(found.get(i, ()), key=lambda t: -len(t)), 2):
+                marked = line.replace(x, "NP__").replace(y, "NP__")
+                if any(re.search(p, marked, re.ASCII) for p, _ in rules):
+                    want.add((i, frozenset((x, y))))
+        # terms of one length may be marked in either order
+        assert {w for w in got ^ want if len({len(t) for t in w[1]}) == 2} == set() and len(want) > 50
+
+
+def test_a_word_of_a_phrase_may_be_a_term(spark, as_rows):
+    df = spark.createDataFrame([(1, "Vehicles include cars")], "id int, sentence string")
+    dim = spark.createDataFrame([("vehicles",), ("cars",), ("include",)], "term string")
+    assert as_rows(relations.pattern_relations(df, ["id"], relations.mentions(df, ["id"], dim)), "head", "tail") == [("cars", "vehicles")]
+
+
 def test_relation_direction(spark, as_rows):
     df = spark.createDataFrame([(1, "Animals such as cats sleep"), (2, "cats and other animals")], "id int, sentence string")
     dim = spark.createDataFrame([("animals",), ("cats",)], "term string")
