@@ -328,8 +328,9 @@ def near_classes(signed: DataFrame, docs: DataFrame, doc_id: str = "doc_id", tex
     """
     worded = signed.where("t IS NOT NULL")
     texts_signed = stored(worded.select("t", "bands").dropDuplicates(["t"]), "dart-bands")
-    members = texts_signed.select("t", F.posexplode("bands").alias("band", "h"))
-    shared = members.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # dealt out once: the counts and the join with them work on this one exchange at every size
+    members = texts_signed.select("t", F.posexplode("bands").alias("band", "h")).repartition("band", "h")
+    shared = members.groupBy("band", "h").agg(F.count("t").alias("n")).where("n > 1")
     members = members.join(shared, ["band", "h"])
     central = members.groupBy("t").agg(F.sum("n").alias("w"))
     members = stored(members.drop("n").join(central, "t"), "dart-buckets")
