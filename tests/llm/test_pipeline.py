@@ -41,7 +41,7 @@ def test_stages(spark):
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted({int(n[2:].split("_")[0]) for n in names if n != "pipeline"}) == list(range(1, 11)) and "pipeline" in names
+    assert sorted({int(n[2:].split("_")[0]) for n in names if n != "pipeline"}) == list(range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n.startswith("op")])
