@@ -70,8 +70,8 @@ def lookup_inner(df: DataFrame, col: str, dim: DataFrame, key: str, value: str,
 def neighbour_pairs(df: DataFrame, group: list[str], order: list[str], item: str, parts: int | None = None) -> DataFrame:
     """Each item with the one before it in its group: as many pairs as items, less one per group.
 
-    All unordered pairs of a group grow with its square; what the jobs ask of pairs (a phrase that
-    stands between two items) can only hold for neighbours.
+    All unordered pairs of a group grow with its square. Jobs that ask for a phrase between two items name the pairs by
+    the phrase (``relations.pattern_relations``), others list the pairs they want (``listed_pairs``).
     """
     scan = OrderedScan(df.where(F.col(item).isNotNull()), group, order, parts).previous(item, "left_item")
     return scan.result().where(F.col("left_item").isNotNull()).withColumnRenamed(item, "right_item")
