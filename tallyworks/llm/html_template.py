@@ -7,10 +7,13 @@ the map side and a host of a third of all pages is a few sums per token. Tokens
 an equivalence class. Classes that are large and frequent are the template; nested by their paths they
 give the page's frame, and what stands between their tokens are its slots.
 
-The content slot of a host is the element, one per page in a class of the template, that holds the text:
-an article or main element, or else the deepest one with most of the text outside links, menus and the
-like. Outside articles and main elements, texts whose tokens themselves are in a class of the template are fixed
-wording of the host, no content, unless nothing else were left. Pages with equal html count once, so copies fix nothing. Pass two reads the pages again and keeps what is in the content slot and not in a nested
+Texts whose tokens are themselves in a class of the template stand on the pages of the host alike: its fixed
+wording. A slot is what an element of the template, one per page, holds beside the elements of the template
+below it and beside fixed wording, so it counts the text that differs between pages. The content slot is an article or main element, which pages
+name themselves, or else the deepest element whose slots have most of the differing text of the element around it; names play
+no part in that. Fixed wording in it is no content. Pages with equal html count once; where nearly all text is alike, the pages are copies
+of one another and their text is weighed whole, and where most of the content slot is alike, nothing is cut from it. No number of pages switches the
+rule: a host of two different pages has a template. Pass two reads the pages again and keeps what is in the content slot and not in a nested
 region of another kind (menus, headers, footers, sidebars, notices, adverts, forms, comments). A page
 without the slot, as it has another layout, is read as a host of its own.
 
@@ -26,7 +29,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,8 +43,10 @@ from tallyworks.llm.common import stored
 SUPPORT = 0.3
 # a class needs so many tokens
 CLASS_TOKENS = 3
-# fixed wording is on this share of at least so many pages
-FIXED_SUPPORT, FIXED_PAGES = 0.9, 10
+# fixed wording is on this share of the pages
+FIXED_SUPPORT = 0.9
+# pages with a smaller share of text that differs are copies of one another
+DIFFERS = 0.1
 # the content element holds this share of the text of the element around it
 HOLDS = 0.6
 
@@ -63,6 +68,8 @@ SCOPE = frozenset("ul ol dl table td th select button article section div main a
 NEVER = frozenset("head title nav footer aside menu script style noscript template iframe select button textarea svg canvas object dialog".split())
 # words of class, id and role that say the same
 NEVER_WORDS = re.compile(r"^(comment.*|disqus|respond|repl(y|ies)|sidebar.*|nav|navbar|navigation|menu.*|footer|breadcrumbs?|complementary|contentinfo)$")
+# words of adverts, notices and forms; inside an article no others take text away
+INSIDE_WORDS = re.compile(r"^(ad|ads|advert.*|adsense|adslot|sponsor.*|promo.*|cookies?|consent|notices?|newsletter|subscri.*|signup|login)$")
 # regions that are no content unless the article stands in them
 OUTSIDE = frozenset("header form fieldset".split())
 OUTSIDE_WORDS = re.compile(
@@ -80,22 +87,6 @@ _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _MAY_HIDE = re.compile(r"hidden|display", re.I)
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
-_WORDS = re.compile(r"^(comment.*|disqus|respond|repl(y|ies)|sidebar.*|nav|navbar|navigation|menu.*|footer|breadcrumbs?|complementary|contentinfo)$")
-# regions that are no content unless the article stands in them
-OUTSIDE = frozenset("header form fieldset".split())
-OUTSIDE_WORDS = re.compile(
-    r"^(ad|ads|advert.*|adsense|adslot|banner|sponsor.*|promo.*|header|masthead|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|"
-    r"subscri.*|signup|login|shar(e|ing)|social|related|recommend.*|widget.*|toolbar|paginat.*|pager|copyright|legal|disclaimer|search)$"
-)
-
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)",
-    re.S,
-)
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 CONTENT = frozenset(["article", "main"])
@@ -109,7 +100,7 @@ def _label(tag: str, attrs: str) -> tuple[str, list[str]]:
     if not names:
         return tag, []
     text = " ".join(names)
-    return f"{tag}.{re.sub(r'[0-9]+', '', '.'.join(text.split()))}", [w.lower() for w in _WORDS.findall(text)]
+    return f"{tag}.{re.sub(r'[0-9/]+', '', '.'.join(text.split()))}", [w.lower() for w in _WORDS.findall(text)]
 
 
 def _hidden(attrs: str) -> bool:
@@ -190,7 +181,7 @@ class Page:
                 inside = any(s[0] in CONTENT for s in stack)
                 if tag in OUTSIDE and not (tag == "header" and inside):
                     kind = 1
-                elif any(OUTSIDE_WORDS.match(w) and not (w == "header" and inside) for w in words):
+                elif any((INSIDE_WORDS if inside else OUTSIDE_WORDS).match(w) for w in words):
                     kind = 1
             if attrs and _MAY_HIDE.search(attrs) and _hidden(attrs):
                 kind = 2
@@ -215,13 +206,15 @@ class Page:
             if stack[i][0] in SCOPE:
                 return
 
-    def blocks(self) -> list[tuple[int, str]]:
-        """Content blocks in order: the element where a block begins, and its text."""
+    def blocks(self) -> list[tuple[int, str, int]]:
+        """Content blocks in order: the element where a block begins, its text, and its characters in the source outside links."""
         out: dict[int, list] = {}
-        for element, text, kind, _, block in self.texts:
+        size: dict[int, int] = {}
+        for element, text, kind, link, block in self.texts:
             if kind == 0:
                 out.setdefault(block, [element]).append(entities.unescape(text))
-        plain = ((parts[0], " ".join("".join(parts[1:]).split())) for parts in out.values())
+                size[block] = size.get(block, 0) + (0 if link else len(text))
+        plain = ((parts[0], " ".join("".join(parts[1:]).split()), size[block]) for block, parts in out.items())
         return [b for b in plain if b[1]]
 
     def sizes(self) -> tuple[np.ndarray, np.ndarray]:
@@ -261,9 +254,11 @@ def page_tokens(page: Page) -> dict[str, list[int]]:
             got[2] += chars[i]
             got[3] += links[i]
             got[4] |= int(i in page.mains)
-    for element, text in page.blocks():
-        got = out.setdefault("=" + text_token(page.elements[element][0], text), [0, element, 0, 0, 0, 1])
+    for element, text, size in page.blocks():
+        path = page.elements[element][0]
+        got = out.setdefault(f"={text_token(path, text)} {path}", [0, element, 0, 0, 0, 1])
         got[0] += 1
+        got[2] += size
     return out
 
 
@@ -323,40 +318,82 @@ def _tag(path: str) -> str:
     return path.rsplit("/", 1)[-1].split(".", 1)[0]
 
 
-def content_path(tokens: list[dict], one_per_page: set[str]) -> str:
-    """Path of the content element among tokens with ``token, chars, links, main``."""
-    elements = {t["token"]: t for t in tokens if not t["is_text"]}
-    plain = {p: t["chars"] - t["links"] for p, t in elements.items()}
-    mains = [p for p, t in elements.items() if t["main"] and plain[p] > 0]
-    if mains:
-        outermost = [p for p in mains if not any(p.startswith(q + "/") for q in mains)]
-        return max(outermost, key=lambda p: (plain[p], p))
+def _around(path: str) -> Iterator[str]:
+    """A path and those of the elements around it, up to the page."""
+    while path:
+        yield path
+        path = path.rsplit("/", 1)[0]
+    yield ""
+
+
+def part_holders(paths: Iterable[str]) -> set[str]:
+    """Paths of elements that hold other blocks; the rest are blocks of text themselves."""
+    return {above for p in paths if _tag(p) in BLOCK for above in _around(p.rsplit("/", 1)[0])}
+
+
+def slots(frame: set[str], text: dict[str, int]) -> dict[str, int]:
+    """Characters in the slots of every element of the frame: its ``text`` without that of the next elements of the frame below it."""
+    own = {p: text.get(p, 0) for p in frame | {""}}
+    for p in frame - {""}:
+        above = next(q for q in _around(p.rsplit("/", 1)[0]) if q in own)
+        own[above] -= text.get(p, 0)
+    return {p: max(n, 0) for p, n in own.items()}
+
+
+def content_path(mains: dict[str, int], own: dict[str, int], parts: set[str]) -> str:
+    """Path of the content slot, of ``mains`` (article and main elements with their text), or else by the ``slots`` of a frame.
+
+    From the page down, the element that holds ``HOLDS`` of what the slots of the one around it hold, as long as it holds parts.
+    """
+    named = [p for p, n in mains.items() if n > 0]
+    if named:
+        outermost = [p for p in named if not any(p.startswith(q + "/") for q in named)]
+        return max(outermost, key=lambda p: (mains[p], p))
+    whole: dict[str, int] = {}
+    for p, n in own.items():
+        for above in _around(p):
+            whole[above] = whole.get(above, 0) + n
     at = ""
     while True:
-        below = [p for p in one_per_page if p != at and p.rsplit("/", 1)[0] == at and _tag(p) in HOLDERS and plain.get(p, 0) >= HOLDS * max(plain.get(at, 0), 1)]
+        below = [p for p in own if p != at and p.rsplit("/", 1)[0] == at and _tag(p) in HOLDERS and p in parts and whole[p] >= HOLDS * max(whole[at], 1)]
         if not below:
             return at
-        at = max(below, key=lambda p: (plain[p], p))
+        at = max(below, key=lambda p: (whole[p], p))
 
 
-TEMPLATE = "host string, content string, fixed array<string>, classes string"
+TEMPLATE = "host string, content string, fixed array<string>, classes string, slots string"
 
 
 def _template(rows: pd.DataFrame) -> pd.DataFrame:
     """The template of one host out of its frequent tokens."""
     tokens = rows.to_dict("records")
     classes = equivalence_classes(tokens)
-    single = {p for c in classes if c["per_page"] == 1 for p in c["tokens"]}
     pages = int(rows["host_pages"].iloc[0])
     members = {p for c in classes for p in c["tokens"]}
-    content = content_path([t for t in tokens if t["token"] in members or t["main"]], single)
-    article = any(t["main"] and t["token"] == content for t in tokens if not t["is_text"])
-    fixed = [] if article else [
-        t["token"][1:]
-        for t in tokens
-        if t["is_text"] and pages >= FIXED_PAGES and t["pages"] >= FIXED_SUPPORT * pages and t["total"] == t["pages"] and t["token"] in members
+    elements = {t["token"]: t for t in tokens if not t["is_text"]}
+    plain = {p: int(t["chars"] - t["links"]) for p, t in elements.items()}
+    alike = [
+        t for t in tokens
+        if t["is_text"] and pages > 1 and t["pages"] >= FIXED_SUPPORT * pages and t["total"] == t["pages"] and t["token"] in members
     ]
-    row = {"host": rows["host"].iloc[0], "content": content, "fixed": sorted(fixed), "classes": json.dumps(classes, ensure_ascii=False)}
+    fixed_below: dict[str, int] = {}
+    for t in alike:
+        for above in _around(t["token"].split(" ", 1)[1]):
+            fixed_below[above] = fixed_below.get(above, 0) + int(t["chars"])
+    differing = {p: max(n - fixed_below.get(p, 0), 0) for p, n in plain.items()}
+    if differing.get("", 0) < DIFFERS * plain.get("", 0):
+        differing, alike = plain, []
+    frame = {p for c in classes if c["per_page"] == 1 for p in c["tokens"] if p in elements}
+    own = slots(frame, differing)
+    mains = {p: plain[p] for p, t in elements.items() if t["main"]}
+    content = content_path(mains, own, part_holders(elements))
+    if mains.get(content) or fixed_below.get(content, 0) > differing.get(content, 0):
+        alike = []
+    fixed = sorted(t["token"][1:].split(" ", 1)[0] for t in alike)
+    row = {
+        "host": rows["host"].iloc[0], "content": content, "fixed": fixed, "classes": json.dumps(classes, ensure_ascii=False),
+        "slots": json.dumps({p: n for p, n in sorted(own.items()) if n}, ensure_ascii=False),
+    }
     return pd.DataFrame([row])
 
 
@@ -367,7 +404,7 @@ def main_text(page: Page, content: str, fixed: frozenset[str]) -> str | None:
         inside[i] = path == content or (parent >= 0 and inside[parent])
     if not any(inside):
         return None
-    blocks = [(element, text) for element, text in page.blocks() if inside[element]]
+    blocks = [(element, text) for element, text, _ in page.blocks() if inside[element]]
     kept = [text for element, text in blocks if not (fixed and text_token(page.elements[element][0], text) in fixed)]
     return " ".join(kept or [text for _, text in blocks])
 
@@ -378,12 +415,12 @@ def alone(page: Page) -> str:
     count: dict[str, int] = {}
     for path, _ in page.elements:
         count[path] = count.get(path, 0) + 1
-    tokens = [
-        {"token": p, "chars": chars[i], "links": links[i], "main": i in page.mains, "is_text": 0}
-        for i, (p, _) in enumerate(page.elements)
-        if count[p] == 1 or i in page.mains
-    ]
-    return main_text(page, content_path(tokens, {p for p, n in count.items() if n == 1}), frozenset()) or ""
+    text: dict[str, int] = {}
+    for i, (path, _) in enumerate(page.elements):
+        text[path] = text.get(path, 0) + chars[i] - links[i]
+    single = {p for p, n in count.items() if n == 1}
+    mains = {page.elements[i][0]: chars[i] - links[i] for i in sorted(page.mains)}
+    return main_text(page, content_path(mains, slots(single, text), part_holders(count)), frozenset()) or ""
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,13 +455,13 @@ def _distinct(rows: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", support: float = SUPPORT) -> DataFrame:
-    """``host, content, fixed, classes``: the template of every host."""
+    """``host, content, fixed, classes, slots``: the template of every host."""
     rows = _hosted(pages, page_id, url, html)
     counted = _distinct(rows).mapInArrow(_count_tokens, TOKENS)
     sums = counted.groupBy("host", "token", "is_text").agg(
         *[F.sum(n).alias(n) for n in ("pages", "total", "f1", "f2", "place", "chars", "links", "main")]
     )
-    sums = stored(sums.where(f"is_text = 0 OR pages >= {FIXED_PAGES}"), "page-tokens")
+    sums = stored(sums.where("is_text = 0 OR pages > 1"), "page-tokens")
     # the path of the page itself is on every page
     hosts = stored(sums.where("token = '' AND is_text = 0").select(F.col("host").alias("of"), F.col("pages").alias("host_pages")), "page-hosts")
     frequent = sums.join(hosts, F.col("host") == F.col("of")).where(F.col("pages") >= F.lit(support) * F.col("host_pages"))

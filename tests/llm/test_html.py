@@ -116,3 +116,40 @@ def test_copies_of_a_page_keep_their_text(spark, copies):
 )
 def test_hidden_and_named_wrappers(source, want):
     assert ht.alone(ht.Page(source)) == want
+
+
+def neutral(i):
+    """Only div and span with names that say nothing: long fixed menu, story with a fixed line, advert, sidebar of links, comments."""
+    story = "".join(f"<div>{w} {i} was told by people of the town and written down here</div>" for w in ("One", "Two", "Three", "Four")[: i % 3 + 2])
+    comments = "".join(f"<div class='k'><span>reader {i} {k}</span></div>" for k in range(i % 3))
+    side = "".join(f"<div class='l'><a href='/{i}{k}'>Another story of that day, {i} {k}, by someone else</a></div>" for k in range(4))
+    return (
+        f"<html><body><div class='w'><div class='a'><div>{'Sections of this paper and all that it offers. ' * 12}</div></div>"
+        f"<div class='b'><div class='h'>Head {i}</div>{story}<div class='z'>Write to us</div></div>"
+        f"<div class='c'><div>Buy kettle {i}</div></div><div class='d'>{side}</div><div class='e'>{comments}</div></div></body></html>"
+    )
+
+
+@pytest.mark.parametrize("n", [3, 9, 30, 1000])
+def test_host_of_neutral_names(spark, n):
+    """The slots find the story at every number of pages, where a page alone does not tell it from its menu."""
+    got = {r.id: r.text for r in ht.extract(pages(spark, [(i, f"http://a.b/{i}", neutral(i)) for i in range(n)])).collect()}
+    for i in range(n):
+        told = " ".join(f"{w} {i} was told by people of the town and written down here" for w in ("One", "Two", "Three", "Four")[: i % 3 + 2])
+        assert got[i] == f"Head {i} {told}" != ht.alone(ht.Page(neutral(i)))
+    found = ht.templates(pages(spark, [(i, f"http://a.b/{i}", neutral(i)) for i in range(n)])).first()
+    assert found.content == "/html/body/div.w/div.b" and "div.a" not in found.slots and "/html/body/div.w/div.b" in found.slots
+
+
+@pytest.mark.parametrize("n", [2, 5, 12])
+def test_near_copies_without_article_keep_their_text(spark, n):
+    rows = [(i, "http://g.h/", f"<body><nav>menu</nav><div><h1>Head</h1><p>first n{i}</p><p>second piece of text</p></div></body>") for i in range(n)]
+    rows += [(100 + i, "http://i.j/", f"<body><div><h1>Head</h1><p>{'long text ' * 50}</p></div><div><p>day {i}</p></div></body>") for i in range(n)]
+    got = {r.id: r.text for r in ht.extract(pages(spark, rows)).collect()}
+    assert all(got[i] == f"Head first n{i} second piece of text" for i in range(n))
+    assert all("Head " + "long text " * 49 + "long text" in got[100 + i] for i in range(n))
+
+
+def test_blocks_inside_an_article():
+    source = "<article>a<div class='related-story'>b</div><p class='legal'>c</p><div class='ad-slot'>no</div><div class='w-1/2'>d</div><div class='cookie-notice'>no</div></article>"
+    assert ht.alone(ht.Page(source)) == "a b c d"
