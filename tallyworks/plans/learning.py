@@ -650,11 +650,11 @@ def _orders_sql(feature: str) -> str:
     f"""WITH s AS (SELECT avg(CASE WHEN l_quantity <= 25 THEN 1.0 ELSE 0 END) AS s_q, avg(CASE WHEN l_discount <= 0.05 THEN 1.0 ELSE 0 END) FILTER (WHERE l_quantity <= 25) AS s_d,
 avg(CASE WHEN l_tax <= 0.04 THEN 1.0 ELSE 0 END) FILTER (WHERE l_quantity > 25) AS s_t, avg(CASE WHEN l_quantity <= 40 THEN 1.0 ELSE 0 END) FILTER (WHERE l_quantity > 25 AND l_tax > 0.04) AS s_q2 FROM lineitem),
 a AS (SELECT avg({_tree_sql(tuple(_PRICE))}) AS base FROM lineitem, s)
-SELECT l_orderkey, l_linenumber, {', '.join(f'round({_orders_sql(f)}, 6) AS {f}_value' for f in _PRICE)}, round(base, 6) AS base, round({_tree_sql(tuple(_PRICE))}, 6)::DOUBLE AS answer FROM lineitem, s, a""",
+SELECT l_orderkey, l_linenumber, {', '.join(f'round({_orders_sql(f)}, 9) AS {f}_value' for f in _PRICE)}, round(base, 9) AS base, round({_tree_sql(tuple(_PRICE))}, 9)::DOUBLE AS answer FROM lineitem, s, a""",
 )
 def m35_known(t):
     out = explain.leaf_shapley(_TREE, t.lineitem, ["l_orderkey", "l_linenumber"], _PRICE, t.lineitem)
-    return out.select("l_orderkey", "l_linenumber", *[F.round(f, 6).alias(f"{f}_value") for f in _PRICE], F.round("base", 6).alias("base"), F.round("answer", 6).alias("answer"))
+    return out.select("l_orderkey", "l_linenumber", *[F.round(f, 9).alias(f"{f}_value") for f in _PRICE], F.round("base", 9).alias("base"), F.round("answer", 9).alias("answer"))
 
 
 @query("m35_tree_shapley_of_forest", f"SELECT doc_id, 0.0::DOUBLE AS gap, 0.0::DOUBLE AS off, 0.0::DOUBLE AS shift FROM documents JOIN labels USING (doc_id) WHERE {DRAW.format('doc_id', 11)} < {int(0.3 * 2**32)}")
