@@ -94,50 +94,85 @@ def _add_level(done: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
     return cut_lineage(done) if level % 20 == 0 else done
 
 
-def _spread(links: DataFrame, labels: DataFrame, better) -> DataFrame:
-    """Carries labels against the direction of ``links(parent, a, b)`` until none changes."""
+def _doubled(jumps: DataFrame, known: DataFrame, how: str = "left") -> DataFrame:
+    """Every jump ``(node, to, steps, low)`` followed by the known jump from where it ended; ``moved`` where there was one.
+
+    ``low`` is the smallest node on the way, the end left out.
+    """
+    onward = known.select(F.col("node").alias("to"), F.col("to").alias("__to"), F.col("steps").alias("__steps"), F.col("low").alias("__low"))
+    return jumps.select("node", "to", "steps", "low").join(onward, "to", how).select(
+        "node", F.coalesce("__to", "to").alias("to"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps"),
+        F.least("low", "__low").alias("low"), F.col("__to").isNotNull().alias("moved"),
+    )
+
+
+def _first_jumps(singles: DataFrame) -> DataFrame:
+    return singles.select("node", F.col("up").alias("to"), F.lit(1).alias("steps"), F.col("node").alias("low"))
+
+
+def _hang(singles: DataFrame) -> DataFrame:
+    """Where ``singles(node, up)``, nodes with one way only, end: ``(node, up, anchor, steps)``; nodes that lead into a ring are left out.
+
+    Pointer doubling: as many rounds as the logarithm of the longest way, and a node that has ended is not moved again.
+    """
+    singles = cut_lineage(singles)
+    jumps, ended, before = _first_jumps(singles), None, None
     while True:
-        offered = links.join(labels.withColumnRenamed("node", "b"), ["parent", "b"]).groupBy("parent", "a").agg(better("label").alias("offer"))
-        joined = labels.join(offered.withColumnRenamed("a", "node"), ["parent", "node"], "left")
-        fresh = cut_lineage(
-            joined.groupBy("parent", "node").agg(better("label").alias("old"), better("offer").alias("offer"))
-            .withColumn("label", (F.least if better is F.min else F.greatest)("old", "offer"))
-        )
-        changed = not fresh.where("label <> old").isEmpty()
-        labels = fresh.select("parent", "node", "label")
-        if not changed:
-            return labels
+        fresh = cut_lineage(_doubled(jumps, jumps if ended is None else jumps.unionByName(ended)))
+        here = fresh.where("NOT moved").select("node", "to", "steps", "low")
+        ended = here if ended is None else ended.unionByName(here)
+        jumps = fresh.where("moved").select("node", "to", "steps", "low")
+        left = jumps.count()
+        # ways of every length up to the longest occur, so a round in which none ends has met rings only
+        if left in (0, before):
+            return singles.join(ended.select("node", F.col("to").alias("anchor"), "steps"), "node")
+        before = left
+
+
+def _ring_members(singles: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Nodes of ``singles(node, up)`` that lead into a ring and the ring's members ``(node, label)`` under its smallest name."""
+    jumps, before, length = _first_jumps(singles), None, 1
+    while True:
+        jumps = cut_lineage(_doubled(jumps, jumps, "inner"))
+        left, length = jumps.count(), 2 * length
+        if left == 0:
+            return None
+        if left == before and length >= left:
+            return jumps, jumps.join(jumps.select(F.col("to").alias("node")).distinct(), "node").select("node", F.col("low").alias("label"))
+        before = left
 
 
-def _ring_keepers(one_way: DataFrame, leaving: DataFrame) -> DataFrame:
-    """The smallest member of each ring of siblings that leads to no staying sibling.
+def _ring_keepers(one_way: DataFrame) -> DataFrame:
+    """The smallest member ``(node)`` of each ring of siblings that leads to no sibling outside it.
 
-    ``one_way(parent, a, b)``: sibling a points to b. ``leaving(parent, node)``: siblings with such
-    an edge. A group in which everyone reaches a staying sibling needs no keeper.
+    ``one_way(a, b)``: sibling a points to b. Every node follows one of its edges. Those that end need no keeper, as they
+    lead to a staying sibling or out of their ring; rings become one node each, which takes over the edges that leave them,
+    until no ring is left. A ring whose node has no edge is closed.
     """
-    stays = one_way.select("parent", F.col("b").alias("node")).distinct().join(leaving, ["parent", "node"], "left_anti")
-    free = stays
+    edges, keepers = one_way.select("a", "b").distinct(), None
     while True:
-        more = cut_lineage(
-            one_way.join(free.withColumnRenamed("node", "b"), ["parent", "b"], "left_semi")
-            .select("parent", F.col("a").alias("node")).distinct()
-            .join(free, ["parent", "node"], "left_anti")
-        )
-        if more.isEmpty():
-            break
-        free = cut_lineage(free.unionByName(more))
-    stuck = cut_lineage(leaving.join(free, ["parent", "node"], "left_anti"))
-    if stuck.isEmpty():
-        return stuck
-    inside = cut_lineage(one_way.join(stuck.withColumnRenamed("node", "a"), ["parent", "a"], "left_semi"))
-    smallest = _spread(inside, stuck.withColumn("label", F.col("node")), F.min)
-    # a node whose reachable nodes all have the same smallest reachable name is on a closed ring
-    largest = _spread(inside, smallest, F.max).withColumnRenamed("label", "top")
-    both = smallest.join(largest, ["parent", "node"])
-    return both.where("node = label AND node = top").select("parent", "node")
-
-
-def build_hierarchy(edges: DataFrame, root: str, max_levels: int = 10_000) -> DataFrame:
+        found = _ring_members(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")))
+        if found is None:
+            return keepers if keepers is not None else one_way.select(F.col("a").alias("node")).where("false")
+        stuck, rings = found
+        edges = edges.join(stuck.select(F.col("node").alias("a")), "a", "left_semi")
+        for end in ("a", "b"):
+            into = rings.select(F.col("node").alias(end), F.col("label").alias("__label"))
+            edges = edges.join(into, end, "left").withColumn(end, F.coalesce("__label", end)).drop("__label")
+        edges = cut_lineage(edges.where("a <> b").distinct())
+        closed = rings.select(F.col("label").alias("node")).distinct().join(edges.select(F.col("a").alias("node")), "node", "left_anti")
+        keepers = closed if keepers is None else keepers.unionByName(closed)
+
+
+def _fall(one_way: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges ``(head, tail)`` left to falling siblings: of nodes with several, and ``(node, up)`` of nodes with one."""
+    edges = one_way.join(_ring_keepers(one_way).withColumnRenamed("node", "a"), "a", "left_anti")
+    ways = cut_lineage(edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("up")))
+    several = edges.join(ways.where("n > 1").select("a"), "a", "left_semi").select(F.col("a").alias("head"), F.col("b").alias("tail"))
+    return several, ways.select(F.col("a").alias("node"), "up", "n")
+
+
+def build_hierarchy(edges: DataFrame, root: str) -> DataFrame:
     """Placed nodes ``(node, parent, level)`` below a root, the root itself with level 1.
 
     Level by level, all sets of siblings (nodes that point to one parent) at once:
@@ -146,46 +181,63 @@ def build_hierarchy(edges: DataFrame, root: str, max_levels: int = 10_000) -> Da
       several nodes of the level above stays below the smallest name;
     * siblings that point at each other lose both edges;
     * a sibling that points at another one leaves the level and is met again below that sibling;
-      chains move down one level per step;
     * a ring of siblings would move down for ever: its smallest member stays.
 
+    A node with one edge left always stays one level below the end of that edge. So such nodes are not visited: pointer
+    doubling gives the node with several edges (or the root) that each hangs on and the steps between, and they are placed
+    with it. Only levels in which a node with several edges is met cost a step, and a chain of n siblings about log n joins.
+
     Depth-first deletion in place, as an in-memory version does it, gives the same except where its
-    result depends on the order of visits (several parents) or does not end (rings).
+    result depends on the order of visits (several parents) or does not end (rings). Edges with a null end are dropped;
+    nodes that do not lead to the root are not in the result.
     """
     links = cut_lineage(root_at(edges.select("head", "tail").where("head <> tail").distinct(), root))
-    first = links.sparkSession.createDataFrame([(root, None, 1)], "node string, parent string, level int")
-    done, frontier = first, first
-    for level in range(2, max_levels + 2):
-        above = frontier.select(F.col("node").alias("tail"))
+    ways = cut_lineage(links.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("tail").alias("up")))
+    several = links.join(ways.where("n > 1").select(F.col("node").alias("head")), "head", "left_semi")
+    placed = links.sparkSession.createDataFrame([(root, None, 1)], "node string, parent string, level int")
+    hanging = _hang(ways.where("n = 1").select("node", "up"))
+    placed, hanging = _place(placed, hanging, placed)
+    step = 0
+    while True:
+        several = cut_lineage(several)
+        reached = several.join(placed.select(F.col("node").alias("tail"), "level"), "tail")
         met = cut_lineage(
-            links.join(above, "tail", "left_semi")
-            .groupBy(F.col("head").alias("node")).agg(F.min("tail").alias("parent"))
-            .join(done.select("node"), "node", "left_anti")
+            reached.groupBy(F.col("head").alias("node")).agg(F.min(F.struct("level", "tail")).alias("first"))
+            .select("node", F.col("first.tail").alias("parent"), (F.col("first.level") + 1).alias("level"))
         )
-        if met.isEmpty():
-            return done
+        level = met.agg(F.min("level")).first()[0]
+        if level is None:
+            return placed
+        staying = met.where(F.col("level") == level)
+        beside = placed.where(F.col("level") == level)
+        group = beside.unionByName(staying).select(F.col("node").alias("b"), "parent")
         siblings = (
-            links.join(met.select(F.col("node").alias("head"), "parent"), "head")
-            .join(met.select(F.col("node").alias("tail"), F.col("parent").alias("__p")), "tail")
-            .where(F.col("parent") == F.col("__p"))
-            .select("parent", F.col("head").alias("a"), F.col("tail").alias("b"))
+            several.select(F.col("head").alias("a"), F.col("tail").alias("b"))
+            .join(staying.select(F.col("node").alias("a"), "parent"), "a").join(group, ["b", "parent"]).select("a", "b")
         )
-        back = siblings.select("parent", F.col("b").alias("a"), F.col("a").alias("b"))
-        one_way = cut_lineage(siblings.join(back, ["parent", "a", "b"], "left_anti"))
-        frontier = met
+        back = siblings.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        one_way = cut_lineage(siblings.join(back, ["a", "b"], "left_anti"))
+        several = several.join(staying.select(F.col("node").alias("head")), "head", "left_anti")
         if not one_way.isEmpty():
-            leaving = one_way.select("parent", F.col("a").alias("node")).distinct()
-            falling = cut_lineage(leaving.join(_ring_keepers(one_way, leaving), ["parent", "node"], "left_anti"))
-            frontier = met.join(falling, ["parent", "node"], "left_anti")
-            # all that is left to a falling node are its edges to the siblings it falls below
-            below = one_way.join(falling.withColumnRenamed("node", "a"), ["parent", "a"], "left_semi")
-            links = cut_lineage(
-                links.join(falling.select(F.col("node").alias("head")), "head", "left_anti")
-                .unionByName(below.select(F.col("a").alias("head"), F.col("b").alias("tail")))
-            )
-        frontier = cut_lineage(frontier.select("node", "parent", F.lit(level).alias("level")))
-        done = _add_level(done, frontier, level)
-    raise RuntimeError(f"more than {max_levels} levels")
+            again, falling = _fall(one_way)
+            several = several.unionByName(again)
+            staying = staying.join(falling.select("node"), "node", "left_anti")
+            fresh = _hang(falling.where("n = 1").select("node", "up"))
+            onward = fresh.select(F.col("node").alias("anchor"), F.col("anchor").alias("__anchor"), F.col("steps").alias("__steps"))
+            hanging = hanging.join(onward, "anchor", "left").select(
+                "node", "up", F.coalesce("__anchor", "anchor").alias("anchor"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps")
+            ).unionByName(fresh)
+        more, hanging = _place(staying, hanging, beside.unionByName(staying))
+        placed, step = placed.unionByName(more), step + 1
+        placed = cut_lineage(placed) if step % 8 == 0 else placed
+
+
+def _place(new: DataFrame, hanging: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """New nodes with all that hangs on ``ends(node, level)`` below them, and what goes on hanging."""
+    known = ends.select(F.col("node").alias("anchor"), F.col("level").alias("__level"))
+    seen = cut_lineage(hanging.join(known, "anchor", "left"))
+    below = seen.where("__level IS NOT NULL").select("node", F.col("up").alias("parent"), (F.col("__level") + F.col("steps")).alias("level"))
+    return new.unionByName(below), seen.where("__level IS NULL").drop("__level")
 
 
 def hierarchy_edges(placed: DataFrame) -> DataFrame:
