@@ -142,18 +142,18 @@ def _ring_members(singles: DataFrame) -> tuple[DataFrame, DataFrame] | None:
         before = left
 
 
-def _ring_keepers(one_way: DataFrame) -> DataFrame:
+def _ring_keepers(edges: DataFrame) -> DataFrame:
     """The smallest member ``(node)`` of each ring of siblings that leads to no sibling outside it.
 
-    ``one_way(a, b)``: sibling a points to b. Every node follows one of its edges. Those that end need no keeper, as they
+    ``edges(a, b)``: sibling a points to b. Every node follows one of its edges. Those that end need no keeper, as they
     lead to a staying sibling or out of their ring; rings become one node each, which takes over the edges that leave them,
     until no ring is left. A ring whose node has no edge is closed.
     """
-    edges, keepers = one_way.select("a", "b").distinct(), None
+    keepers = edges.select(F.col("a").alias("node")).where("false")
     while True:
         found = _ring_members(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")))
         if found is None:
-            return keepers if keepers is not None else one_way.select(F.col("a").alias("node")).where("false")
+            return keepers
         stuck, rings = found
         edges = edges.join(stuck.select(F.col("node").alias("a")), "a", "left_semi")
         for end in ("a", "b"):
@@ -161,15 +161,28 @@ def _ring_keepers(one_way: DataFrame) -> DataFrame:
             edges = edges.join(into, end, "left").withColumn(end, F.coalesce("__label", end)).drop("__label")
         edges = cut_lineage(edges.where("a <> b").distinct())
         closed = rings.select(F.col("label").alias("node")).distinct().join(edges.select(F.col("a").alias("node")), "node", "left_anti")
-        keepers = closed if keepers is None else keepers.unionByName(closed)
+        keepers = keepers.unionByName(closed)
 
 
-def _fall(one_way: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges ``(head, tail)`` left to falling siblings: of nodes with several, and ``(node, up)`` of nodes with one."""
-    edges = one_way.join(_ring_keepers(one_way).withColumnRenamed("node", "a"), "a", "left_anti")
-    ways = cut_lineage(edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("up")))
-    several = edges.join(ways.where("n > 1").select("a"), "a", "left_semi").select(F.col("a").alias("head"), F.col("b").alias("tail"))
-    return several, ways.select(F.col("a").alias("node"), "up", "n")
+def _fall(one_way: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Falling siblings by the edges ``one_way(a, b)`` left to them.
+
+    Their names ``(node)``, the edges ``(head, tail)`` of those with several, and where those with one hang (as ``_hang``).
+    """
+    ways = cut_lineage(one_way.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("up")))
+    hung = cut_lineage(_hang(ways.select("node", "up")))
+    stuck = cut_lineage(ways.join(hung.select("node"), "node", "left_anti").select("node"))
+    several = ways.where("n > 1")
+    if not stuck.isEmpty():
+        # who ends leads out of every ring, so only the others can be in a closed one
+        inside = one_way.join(stuck.select(F.col("node").alias("a")), "a", "left_semi")
+        ways = cut_lineage(ways.join(_ring_keepers(inside), "node", "left_anti"))
+        several = ways.where("n > 1")
+        hung = _hang(ways.where("n = 1").select("node", "up"))
+    elif not several.isEmpty():
+        hung = _hang(ways.where("n = 1").select("node", "up"))
+    edges = one_way.join(several.select(F.col("node").alias("a")), "a", "left_semi")
+    return ways.select("node"), edges.select(F.col("a").alias("head"), F.col("b").alias("tail")), hung
 
 
 def build_hierarchy(edges: DataFrame, root: str) -> DataFrame:
@@ -219,10 +232,9 @@ def build_hierarchy(edges: DataFrame, root: str) -> DataFrame:
         one_way = cut_lineage(siblings.join(back, ["a", "b"], "left_anti"))
         several = several.join(staying.select(F.col("node").alias("head")), "head", "left_anti")
         if not one_way.isEmpty():
-            again, falling = _fall(one_way)
+            falling, again, fresh = _fall(one_way)
             several = several.unionByName(again)
-            staying = staying.join(falling.select("node"), "node", "left_anti")
-            fresh = _hang(falling.where("n = 1").select("node", "up"))
+            staying = staying.join(falling, "node", "left_anti")
             onward = fresh.select(F.col("node").alias("anchor"), F.col("anchor").alias("__anchor"), F.col("steps").alias("__steps"))
             hanging = hanging.join(onward, "anchor", "left").select(
                 "node", "up", F.coalesce("__anchor", "anchor").alias("anchor"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps")

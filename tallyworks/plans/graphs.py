@@ -128,6 +128,33 @@ def g08(t):
     return graph.build_hierarchy(places(t), "world")
 
 
+@query(
+    "g08_hierarchy_of_forest",
+    """SELECT 'world' AS node, CAST(NULL AS VARCHAR) AS parent, 1 AS level UNION ALL SELECT 'r' || r_regionkey, 'world', 2 FROM region
+UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, 3 FROM nation UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, 4 FROM customer""",
+)
+def g08_forest(t):
+    return graph.build_hierarchy(places(t).where("NOT (head LIKE 'c%' AND tail LIKE 'c%')"), "world")
+
+
+@query(
+    "g08_hierarchy_of_chains",
+    """WITH i AS (SELECT DISTINCT l_orderkey AS o, l_linenumber AS k FROM lineitem),
+n AS (SELECT o, k, k - row_number() OVER (PARTITION BY o ORDER BY k) AS g FROM i),
+r AS (SELECT o, k, row_number() OVER (PARTITION BY o, g ORDER BY k) AS p FROM n)
+SELECT 'all' AS node, CAST(NULL AS VARCHAR) AS parent, 1 AS level UNION ALL SELECT DISTINCT 'o' || o, 'all', 2 FROM i
+UNION ALL SELECT 'l' || o || '-' || k, CASE WHEN p = 1 THEN 'o' || o ELSE 'l' || o || '-' || (k - 1) END, CAST(2 + p AS INTEGER) FROM r""",
+)
+def g08_chains(t):
+    """Items point to their order and to the item numbered one below, which is missing for the first of a run."""
+    order = F.concat(F.lit("o"), F.col("l_orderkey").cast("string"))
+    item = lambda number: F.concat(F.lit("l"), F.col("l_orderkey").cast("string"), F.lit("-"), number.cast("string"))
+    number = F.col("l_linenumber")
+    rows = t.lineitem.select(item(number).alias("head"), order.alias("tail"))
+    rows = rows.unionByName(t.lineitem.select(item(number).alias("head"), item(number - 1).alias("tail")))
+    return graph.build_hierarchy(rows.unionByName(t.lineitem.select(order.alias("head"), F.lit("all").alias("tail"))), "all")
+
+
 @query(
     "g09_levels",
     f"""WITH RECURSIVE e AS (SELECT DISTINCT head, tail FROM {PLACES}), l AS (SELECT 'world' AS node, 1 AS level UNION

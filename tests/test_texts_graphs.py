@@ -221,6 +221,8 @@ CASES = {
     "chain": [("a", "r0"), ("b", "r0"), ("c", "r0"), ("a", "b"), ("b", "c")],
     "ring": [("a", "r0"), ("b", "r0"), ("c", "r0"), ("a", "b"), ("b", "c"), ("c", "a"), ("d", "a"), ("z", "r0"), ("z", "b")],
     "two_rings": [(x, "r0") for x in "abcdefg"] + [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("e", "f"), ("f", "e"), ("f", "g"), ("g", "e")],
+    "rings_of_rings": [(x, "r0") for x in "abcdefgh"] + [("b", "c"), ("c", "d"), ("d", "b"), ("d", "e"), ("e", "f"), ("f", "c"), ("h", "g"), ("g", "a"), ("a", "h"), ("a", "b")],
+    "open_ring": [(x, "r0") for x in "abcs"] + [("a", "b"), ("b", "c"), ("c", "a"), ("c", "s"), ("w", "a")],
     "outside": [("a", "r0"), ("b", "r0"), ("x", "a"), ("y", "b"), ("x", "y"), ("x", "b"), ("iso", "far")],
 }
 
@@ -248,6 +250,23 @@ def test_random_hierarchies(spark, seed):
     assert all(below[r["head"]] == below[r["tail"]] + 1 for r in left)
 
 
+def test_long_chain_and_ring_of_siblings(spark):
+    """Logarithmic rounds: a visit per level would take a thousand steps."""
+    n, m = 1000, 40
+    edges = [(f"x{i:04d}", "r") for i in range(n)] + [(f"x{i:04d}", f"x{i + 1:04d}") for i in range(n - 1)]
+    edges += [(f"y{i:02d}", "r") for i in range(m)] + [(f"y{i:02d}", f"y{(i + 1) % m:02d}") for i in range(m)]
+    placed = graph.build_hierarchy(spark.createDataFrame(edges, "head string, tail string"), "r")
+    want = {("r", None, 1), ("y00", "r", 2)} | {(f"x{i:04d}", f"x{i + 1:04d}", n - i + 1) for i in range(n - 1)}
+    want |= {(f"x{n - 1:04d}", "r", 2)} | {(f"y{i:02d}", f"y{(i + 1) % m:02d}", m - i + 2) for i in range(1, m)}
+    assert {tuple(r) for r in placed.select("node", "parent", "level").collect()} == want
+
+
+def test_hierarchy_of_nothing_and_of_null_ends(spark):
+    df = spark.createDataFrame([("a", None), (None, "r"), ("b", "b"), ("p", "q"), ("q", "p"), ("s", "p")], "head string, tail string")
+    for rows in (df, df.where("false")):
+        assert [tuple(r) for r in graph.build_hierarchy(rows, "r").collect()] == [("r", None, 1)]
+
+
 def test_levels_take_the_shortest_way(spark, as_rows):
     edges = [("a", "r"), ("b", "a"), ("c", "b"), ("c", "r"), ("r", "c"), ("x", "y"), ("d", "c")]
     df = spark.createDataFrame(edges, "head string, tail string")
