@@ -137,6 +137,16 @@ def g08_forest(t):
     return graph.build_hierarchy(places(t).where("NOT (head LIKE 'c%' AND tail LIKE 'c%')"), "world")
 
 
+def item_chains(t):
+    """Items point to their order and to the item numbered one below, which is missing for the first of a run."""
+    order = F.concat(F.lit("o"), F.col("l_orderkey").cast("string"))
+    item = lambda number: F.concat(F.lit("l"), F.col("l_orderkey").cast("string"), F.lit("-"), number.cast("string"))
+    number = F.col("l_linenumber")
+    rows = t.lineitem.select(item(number).alias("head"), order.alias("tail"))
+    rows = rows.unionByName(t.lineitem.select(item(number).alias("head"), item(number - 1).alias("tail")))
+    return rows.unionByName(t.lineitem.select(order.alias("head"), F.lit("all").alias("tail")))
+
+
 @query(
     "g08_hierarchy_of_chains",
     """WITH i AS (SELECT DISTINCT l_orderkey AS o, l_linenumber AS k FROM lineitem),
@@ -146,13 +156,7 @@ SELECT 'all' AS node, CAST(NULL AS VARCHAR) AS parent, 1 AS level UNION ALL SELE
 UNION ALL SELECT 'l' || o || '-' || k, CASE WHEN p = 1 THEN 'o' || o ELSE 'l' || o || '-' || (k - 1) END, CAST(2 + p AS INTEGER) FROM r""",
 )
 def g08_chains(t):
-    """Items point to their order and to the item numbered one below, which is missing for the first of a run."""
-    order = F.concat(F.lit("o"), F.col("l_orderkey").cast("string"))
-    item = lambda number: F.concat(F.lit("l"), F.col("l_orderkey").cast("string"), F.lit("-"), number.cast("string"))
-    number = F.col("l_linenumber")
-    rows = t.lineitem.select(item(number).alias("head"), order.alias("tail"))
-    rows = rows.unionByName(t.lineitem.select(item(number).alias("head"), item(number - 1).alias("tail")))
-    return graph.build_hierarchy(rows.unionByName(t.lineitem.select(order.alias("head"), F.lit("all").alias("tail"))), "all")
+    return graph.build_hierarchy(item_chains(t), "all")
 
 
 @query(

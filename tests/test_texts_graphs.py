@@ -12,6 +12,8 @@ from tallyworks.functions import text
 from tallyworks.functions.scoring import with_scores
 from tallyworks.operators.aggs import concat_by
 from tallyworks.operators import articles, graph, relations, rewards, transcripts
+from tallyworks.plans import graphs
+from tallyworks.plans.registry import Tables
 from tallyworks.session import new_folder
 from tallyworks.streaming import ingest
 
@@ -250,6 +252,17 @@ def test_random_hierarchies(spark, seed):
     assert all(below[r["head"]] == below[r["tail"]] + 1 for r in left)
 
 
+@pytest.mark.parametrize("query", ["g08_hierarchy", "g08_hierarchy_of_chains"])
+def test_registered_hierarchy_by_hand(spark, query):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    if query == "g08_hierarchy":
+        edges, root, placed = graphs.places(tables), "world", graphs.g08(tables)
+    else:
+        edges, root, placed = graphs.item_chains(tables), "all", graphs.g08_chains(tables)
+    want = hierarchy_by_hand([tuple(r) for r in edges.select("head", "tail").collect()], root)
+    assert {tuple(r) for r in placed.select("node", "parent", "level").collect()} == want
+
+
 def test_long_chain_and_ring_of_siblings(spark):
     """Logarithmic rounds: a visit per level would take a thousand steps."""
     n, m = 1000, 40
