@@ -7,6 +7,7 @@ joins, so a dimension may grow without breaking the job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -96,13 +97,15 @@ def listed_pairs(members: DataFrame, group: str, item: str, wanted: DataFrame) -
     ).select(F.col("__g").alias(group), *wanted.columns)
 
 
-def first_rule(text: Column, rules: list[tuple[str, str]]) -> Column:
+def first_rule(text: Column, rules: list[tuple[str, str]], asks: Callable[[Column, str], Column] | None = None) -> Column:
     """Result of the first rule ``(pattern, result)`` whose pattern occurs, null if none does.
 
-    Rules are a short ordered list, so they become one CASE expression: no join, no shuffle.
+    Rules are a short ordered list, so they become one CASE expression: no join, no shuffle. ``asks`` gives a cheaper
+    condition that holds wherever a pattern occurs; the pattern is tried only there.
     """
+    fits = lambda pattern: asks(text, pattern) & text.rlike(pattern) if asks else text.rlike(pattern)
     first, *rest = rules
-    return reduce(lambda c, r: c.when(text.rlike(r[0]), r[1]), rest, F.when(text.rlike(first[0]), first[1]))
+    return reduce(lambda c, r: c.when(fits(r[0]), r[1]), rest, F.when(fits(first[0]), first[1]))
 
 
 def with_grid(df: DataFrame, name: str, values: list) -> DataFrame:

@@ -143,6 +143,21 @@ def test_all_pairs_of_long_sentences(spark):
         assert {w for w in got ^ want if len({len(t) for t in w[1]}) == 2} == set() and len(want) > 50
 
 
+def test_pairs_carry_the_words_around_a_phrase_only():
+    """A sentence of n words hands on about n short parts; whole sentences would be n squared."""
+    import pyarrow as pa
+
+    small = [("NP__ (of|the|and|on) NP__", "first"), ("NP__,? NP__", "last")]
+    terms = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)]
+    handed = []
+    for n in (300, 600):
+        batch = pa.record_batch({"id": [1], "__s": [" ".join(terms[:n])], "__t": [terms[:n]]})
+        out = next(relations._candidates(small)(iter([batch])))
+        assert out.num_rows == n - 1
+        handed.append(sum(len(s) for s in out.column("__s").to_pylist()))
+    assert handed[1] < 2.1 * handed[0]
+
+
 def test_a_word_of_a_phrase_may_be_a_term(spark, as_rows):
     df = spark.createDataFrame([(1, "Vehicles include cars")], "id int, sentence string")
     dim = spark.createDataFrame([("vehicles",), ("cars",), ("include",)], "term string")
