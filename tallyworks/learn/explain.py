@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.joins import with_grid
+from tallyworks.session import cut_lineage
 
 
 def _last_stage(model):
@@ -192,15 +193,44 @@ def _holds(c: Column, values: Column) -> Column:
     return (x > c["low"]) & (x <= c["high"])
 
 
+# cells that the thresholds may cut the features into before rows are looked at one by one
+_MOST_CELLS = 100_000
+
+
+def _cell(leaves: list[Leaf], features: list[str]) -> Column | None:
+    """Number of the cell of a row: rows of one cell lie on the same side of every split. None if there may be too many cells.
+
+    A missing value, one that is no number and one below all numbers are on no side, so each has a place of its own.
+    """
+    cuts = [sorted({t for leaf in leaves for f, t, _ in leaf.path if f == i}) for i in range(len(features))]
+    if math.prod(len(c) + 4 for c in cuts) > _MOST_CELLS:
+        return None
+    number = F.lit(0).cast("long")
+    for f, own in zip(features, cuts):
+        x = F.col(f).cast("double")
+        above = sum([(x > float(t)).cast("int") for t in own], F.lit(3))
+        place = F.when(x.isNull(), 0).when(F.isnan(x), 1).when(x == float("-inf"), 2).otherwise(above)
+        number = number * (len(own) + 4) + place
+    return number
+
+
+def _cells(df: DataFrame, cell: Column, features: list[str]) -> DataFrame:
+    """Cells that occur ``(__cell, __n, features)`` with their rows and the values of any of them."""
+    rows = df.select(cell.alias("__cell"), *[F.col(f).cast("double").alias(f) for f in features])
+    return rows.groupBy("__cell").agg(F.count(F.lit(1)).alias("__n"), *[F.any_value(f).alias(f) for f in features])
+
+
 def leaf_shares(leaves: list[Leaf], background: DataFrame, features: list[str]) -> tuple[list[dict[int, float]], list[float]]:
     """Per leaf and feature on its path the share of background rows that take the leaf's side at the splits on that feature,
     each among the rows that reach the split; and the share of all rows that reach the leaf.
 
-    One pass: a row counts once per tree, and only counts of leaves are shuffled.
+    One pass: a row counts once per tree, and only counts of leaves are shuffled; rows of one cell are counted before they are looked at.
     """
+    cell = _cell(leaves, features)
+    background = background.withColumn("__n", F.lit(1)) if cell is None else _cells(background, cell, features)
     values = F.array(*[F.col(f).cast("double") for f in features])
     reached = F.transform(_conditions(leaves), lambda leaf, i: F.when(F.forall(leaf["c"], lambda c: _holds(c, values)), i))
-    rows = background.select(F.explode(F.array_compact(reached)).alias("leaf")).groupBy("leaf").count().collect()
+    rows = background.select("__n", F.explode(F.array_compact(reached)).alias("leaf")).groupBy("leaf").agg(F.sum("__n").alias("count")).collect()
     counts = {r["leaf"]: r["count"] for r in rows}
     below: dict[tuple, int] = {}
     for i, leaf in enumerate(leaves):
@@ -227,7 +257,18 @@ def leaf_shapley(leaves: list[Leaf], df: DataFrame, key: list[str], features: li
     value * (o_f - z_f) * sum over k of k! (d - 1 - k)! / d! times the coefficient of t^k in the product of (z + o t) over the others.
     That polynomial grows feature by feature, so a leaf costs d^2 steps and no order or subset is listed.
     ``base`` is the mean answer over the whole background, and the values of a row add up to its answer minus ``base``.
+
+    The values depend on the cell of a row only. While the thresholds make few cells, each cell is explained once and its rows look it up.
     """
+    cell = _cell(leaves, features)
+    if cell is not None:
+        explained = cut_lineage(_leaf_values(leaves, _cells(df, cell, features), ["__cell"], features, background))
+        return df.select(*key, cell.alias("__cell")).join(explained, "__cell").drop("__cell")
+    return _leaf_values(leaves, df, key, features, background)
+
+
+def _leaf_values(leaves: list[Leaf], df: DataFrame, key: list[str], features: list[str], background: DataFrame) -> DataFrame:
+    """``leaf_shapley`` row by row."""
     shares, whole = leaf_shares(leaves, background, features)
     base = sum(leaf.value * leaf.weight * n for leaf, n in zip(leaves, whole))
     deepest = max([len(s) for s in shares] + [1])

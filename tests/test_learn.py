@@ -168,6 +168,19 @@ def test_prepared_estimator_with_unseen_category(spark):
     assert out.count() == 2 and out.where("prediction IS NULL").isEmpty()
 
 
+def test_tree_values_are_made_once_per_cell(spark, monkeypatch):
+    leaves = [explain.Leaf(0, [(0, 1.0, True)], 1.0), explain.Leaf(0, [(0, 1.0, False), (1, 5.0, True)], 2.0), explain.Leaf(0, [(0, 1.0, False), (1, 5.0, False)], 4.0)]
+    odd = [None, float("nan"), float("inf"), float("-inf"), 1.0, 5.0]
+    rows = [(i, i % 7 / 2, float(i % 11)) for i in range(200)] + [(1000 + i, x, y) for i, (x, y) in enumerate(itertools.product(odd, odd))]
+    df = spark.createDataFrame(rows, "id int, f0 double, f1 double")
+    asked, by_row = [], explain._leaf_values
+    monkeypatch.setattr(explain, "_leaf_values", lambda leaves, df, *rest: asked.append(df.count()) or by_row(leaves, df, *rest))
+    got = {r.id: tuple(r) for r in explain.leaf_shapley(leaves, df, ["id"], ["f0", "f1"], df).collect()}
+    assert len(got) == len(rows) and asked[0] <= 25
+    monkeypatch.setattr(explain, "_MOST_CELLS", 0)
+    assert got == {r.id: tuple(r) for r in explain.leaf_shapley(leaves, df, ["id"], ["f0", "f1"], df).collect()}
+
+
 def test_tree_values_equal_all_orders(spark):
     """Random trees of depth 4 over four features; a share is asked of the whole background."""
     rng = random.Random(4)
