@@ -28,6 +28,39 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _distances(b, a).T
 
 
+def _nearest_of(a: np.ndarray, b: np.ndarray, k: int, rows: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest rows of b of every row of a, as numbers of a, numbers of b and rounded distances; on a tie the smaller number of b.
+
+    ``rows`` rows of a at a time. A matrix product gives squares that are off by less than ``slack``; only what can be among
+    the k by them is measured as ``_distances`` does.
+    """
+    found = []
+    own = (b**2).sum(axis=1)
+    for start in range(0, len(a), rows):
+        part = a[start : start + rows]
+        square = (part**2).sum(axis=1)[:, None] + own[None, :] - 2 * (part @ b.T)
+        if len(b) <= k or not np.isfinite(square).all():
+            d = _distances(part, b).round(_DIGITS)
+            at = d.argsort(axis=1, kind="stable")[:, :k]
+            i = np.repeat(np.arange(len(part)), at.shape[1])
+            found.append((i + start, at.ravel(), d[i, at.ravel()]))
+            continue
+        slack = 32 * np.finfo("float64").eps * (a.shape[1] + 4) * ((part**2).sum(axis=1) + own.max())
+        edge = np.sqrt(np.maximum(np.partition(square, k - 1, axis=1)[:, k - 1] + slack, 0)) + 3 * 10.0**-_DIGITS
+        i, j = np.nonzero(square <= (edge**2 * (1 + 1e-12) + slack)[:, None])
+        d = np.concatenate([_distances_of(part[i[n : n + 4096]], b[j[n : n + 4096]]) for n in range(0, len(i), 4096)]).round(_DIGITS)
+        order = np.lexsort((j, d, i))
+        i, j, d = i[order], j[order], d[order]
+        kept = np.arange(len(i)) - np.searchsorted(i, i) < k
+        found.append((i[kept] + start, j[kept], d[kept]))
+    return tuple(np.concatenate(side) for side in zip(*found))
+
+
+def _distances_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of a to the rows of b on the same places."""
+    return np.sqrt(((b - a) ** 2).sum(axis=1))
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype="float64")
 
@@ -101,15 +134,12 @@ def nearest(
         if q.empty or t.empty:
             return pd.DataFrame({f.name: [] for f in shape})
         t = t.sort_values("t_id")
-        d = _distances(_matrix(q["q_vec"]), _matrix(t["t_vec"])).round(_DIGITS)
-        best = d.argsort(axis=1, kind="stable")[:, :k]  # stable: the smaller id first on a tie
-        rows = np.repeat(np.arange(len(q)), best.shape[1])
-        cols = best.ravel()
+        rows, cols, away = _nearest_of(_matrix(q["q_vec"]), _matrix(t["t_vec"]), k)
         return pd.DataFrame(
             {
                 "q_id": q["q_id"].to_numpy()[rows],
                 "t_id": t["t_id"].to_numpy()[cols],
-                "distance": d[rows, cols],
+                "distance": away,
                 "t_carry": t["t_carry"].to_numpy()[cols],
             }
         )

@@ -168,6 +168,25 @@ def test_prepared_estimator_with_unseen_category(spark):
     assert out.count() == 2 and out.where("prediction IS NULL").isEmpty()
 
 
+def test_nearest_in_a_block_measures_few_rows_and_keeps_ties(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    b = np.concatenate([rng.normal(size=(300, 8)), rng.integers(0, 2, size=(300, 8)).astype("float64")])
+    a = np.concatenate([b[:40], b[300:340], rng.normal(size=(20, 8)) * 1e-9 + b[5], np.full((1, 8), np.nan)])
+    for few in (a, a[:-1]):
+        d = neighbours._distances(few, b).round(9)
+        want = d.argsort(axis=1, kind="stable")[:, :5]
+        rows, cols, away = neighbours._nearest_of(few, b, 5, rows=16)
+        assert rows.tolist() == np.repeat(np.arange(len(few)), 5).tolist() and cols.tolist() == want.ravel().tolist()
+        assert np.array_equal(away, d[rows, cols], equal_nan=True)
+    # nothing of the size of the block by the block is measured by differences
+    monkeypatch.setattr(neighbours, "_distances", None)
+    seen, measure = [], neighbours._distances_of
+    monkeypatch.setattr(neighbours, "_distances_of", lambda x, y: seen.append(len(x)) or measure(x, y))
+    assert len(neighbours._nearest_of(b[:300], b[:300], 5)[0]) == 1500 and sum(seen) < 2000
+
+
 def test_tree_values_are_made_once_per_cell(spark, monkeypatch):
     leaves = [explain.Leaf(0, [(0, 1.0, True)], 1.0), explain.Leaf(0, [(0, 1.0, False), (1, 5.0, True)], 2.0), explain.Leaf(0, [(0, 1.0, False), (1, 5.0, False)], 4.0)]
     odd = [None, float("nan"), float("inf"), float("-inf"), 1.0, 5.0]
