@@ -198,17 +198,31 @@ def _scatter(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
     )
 
 
+def _whitening(fit: DataFrame) -> DataFrame:
+    """The fit with ``w``, the inverse of its Cholesky factor (row by row), in place of ``l``."""
+    at = lambda i, j: i * (i + 1) // 2 + j
+    k = range(len(STATS))
+    for i in k:
+        for j in range(i + 1):
+            own = F.col("l")[at(i, i)]
+            below = [F.col("l")[at(i, t)] * F.col(f"_w{t}{j}") for t in range(j, i)]
+            fit = fit.withColumn(f"_w{i}{j}", 1 / own if i == j else -reduce(lambda a, b: a + b, below) / own)
+    names = [f"_w{i}{j}" for i in k for j in range(i + 1)]
+    return fit.withColumn("w", F.array(*names)).drop("l", *names)
+
+
 def _distances(rows: DataFrame, keys: list[str], fit: DataFrame) -> DataFrame:
-    """Adds ``d2``, the squared Mahalanobis distance to the fit; keys that only the fit has come along."""
-    out, at = rows.join(fit.drop("det"), keys), 0
-    for i, name in enumerate(STATS):
-        rest = F.col(name) - F.col("m")[i]
-        for j in range(i):
-            rest = rest - F.col("l")[at + j] * F.col(f"_z{j}")
-        out = out.withColumn(f"_z{i}", rest / F.col("l")[at + i])
+    """Adds ``d2``, the squared Mahalanobis distance to the fit; keys that only the fit has come along.
+
+    Every statistic stands in the expression once for each row of the inverse factor. Solved step by step, each step would name
+    all earlier ones, and a filter on ``d2``, which the planner moves below the projection, would evaluate them over and over.
+    """
+    out, at, parts = rows.join(_whitening(fit.drop("det")), keys), 0, []
+    for i in range(len(STATS)):
+        terms = [F.col("w")[at + j] * (F.col(STATS[j]) - F.col("m")[j]) for j in range(i + 1)]
+        parts.append(F.pow(reduce(lambda a, b: a + b, terms), F.lit(2.0)))
         at += i + 1
-    squared = reduce(lambda a, b: a + b, [F.col(f"_z{i}") * F.col(f"_z{i}") for i in range(len(STATS))])
-    return out.withColumn("d2", squared).drop("m", "l", *[f"_z{i}" for i in range(len(STATS))])
+    return out.withColumn("d2", reduce(lambda a, b: a + b, parts)).drop("m", "w")
 
 
 def robust_fit(rows: DataFrame, subset: float = SUBSET, most_steps: int = MOST_STEPS) -> DataFrame:

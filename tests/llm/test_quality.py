@@ -92,3 +92,20 @@ def test_chi2():
     assert math.isclose(robust_quality.chi2_share(11.0705, 5), 0.95, abs_tol=1e-5)
     extremes = [(e / f) ** 2 for (_, e), f in zip(robust_quality.STEPS, robust_quality.FLOORS)]
     assert min(extremes) > robust_quality.CUTOFF
+
+
+def test_a_filter_on_distances_names_each_statistic_a_few_times(spark):
+    # a step that names all earlier ones doubles with every statistic once the filter moves below the projection
+    rows = spark.range(50).select(F.lit("a").alias("g1"), F.lit("b").alias("g2"), *[F.rand(i).alias(x) for i, x in enumerate(robust_quality.STATS)])
+    rows = robust_quality.stored(rows, "rows")
+    fit = robust_quality.stored(robust_quality._scatter(rows, robust_quality.KEYS, 1.0), "fit")
+    near = robust_quality._distances(rows, robust_quality.KEYS, fit)
+    plan = near.where("d2 <= 3")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("x1#") <= 20
+    l, m = (fit.first()[k] for k in ("l", "m"))
+    for r in near.collect():
+        z, at = [], 0
+        for i, x in enumerate(robust_quality.STATS):
+            z.append((r[x] - m[i] - sum(l[at + j] * z[j] for j in range(i))) / l[at + i])
+            at += i + 1
+        assert math.isclose(r.d2, sum(v * v for v in z), rel_tol=1e-9, abs_tol=1e-12)
