@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import stored, text_hash, text_or_empty
@@ -55,6 +55,9 @@ PIVOT_ROWS = 200
 # members of a large pivot whose differences set the order of cells around it, and the slots of that order
 SAMPLE = 64
 SLOTS = 4096
+# bits that say which rows' texts are asked for, and those in one row of the table of them
+BITS = 1 << 24
+PAGE_BITS = 1 << 15
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -290,6 +293,26 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(out, pa.list_(pa.int32()))], [*batch.schema.names[:kept], "prefix"])
 
 
+# id and hash of a row as plain columns without nulls: a null-safe join and a grouping by them share one exchange
+ROW_KEY = ["_none", "_id", "_hash"]
+
+
+def row_key(doc: Column, doc_hash: Column) -> list[Column]:
+    return [doc.isNull().alias("_none"), F.coalesce(doc.cast("string"), F.lit("")).alias("_id"), doc_hash.alias("_hash")]
+
+
+def perhaps_among(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys are in ``wanted``, and few others: one bit of a fixed number of ``BITS`` for each key.
+
+    The bits are the same 2 MB for any input, so rows that nobody asks for are left out where they are read.
+    """
+    page, bit = (lambda: F.pmod(F.xxhash64(*keys), F.lit(BITS // PAGE_BITS)).cast("int")), (lambda: F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(PAGE_BITS)))
+    pages = wanted.groupBy(page().alias("_page")).agg(F.bitmap_construct_agg(bit()).alias("_bits"))
+    met = rows.join(F.broadcast(pages), page() == F.col("_page"))
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit() / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return met.where(F.getbit(byte, (bit() % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``t, c`` with the smallest label of each connected component; ``edges`` has ``x, y`` between labels ``c``.
 
@@ -328,19 +351,21 @@ def near_classes(signed: DataFrame, docs: DataFrame, doc_id: str = "doc_id", tex
     """
     worded = signed.where("t IS NOT NULL")
     texts_signed = stored(worded.select("t", "bands").dropDuplicates(["t"]), "dart-bands")
-    # dealt out once: the counts and the join with them work on this one exchange at every size
-    members = texts_signed.select("t", F.posexplode("bands").alias("band", "h")).repartition("band", "h")
-    shared = members.groupBy("band", "h").agg(F.count("t").alias("n")).where("n > 1")
-    members = members.join(shared, ["band", "h"])
-    central = members.groupBy("t").agg(F.sum("n").alias("w"))
-    members = stored(members.drop("n").join(central, "t"), "dart-buckets")
+    # a text and a bucket are 64 bits each while all bands travel; two texts of one number would only be tried in each other's buckets
+    placed = texts_signed.select(F.xxhash64("t").alias("id"), F.posexplode("bands").alias("band", "h"))
+    placed = placed.select("id", F.xxhash64("band", "h").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    placed = stored(placed.join(shared, "bucket"), "dart-shared")
+    central = placed.groupBy("id").agg(F.sum("n").alias("w"))
+    named = texts_signed.select("t", F.xxhash64("t").alias("id")).join(central, "id")
+    members = stored(placed.select("id", "bucket").join(named, "id").select("t", "bucket", "w"), "dart-buckets")
     met = members.select("t").distinct()
     # one row stands for all that hold the same words
     stands = worded.join(met, "t", "left_semi").groupBy("t").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "doc_hash")).alias("row"))
-    stands = stored(stands.select("t", "row.doc", "row.doc_hash"), "dart-stands")
-    plain = docs.select(F.col(doc_id).alias("doc"), text_hash(text).alias("doc_hash"), F.col(text).alias("body"))
-    texts = plain.join(stands.withColumnsRenamed({"doc": "_d", "doc_hash": "_h"}), F.col("doc").eqNullSafe(F.col("_d")) & (F.col("doc_hash") == F.col("_h")))
-    texts = stored(texts.select("t", "body").dropDuplicates(["t"]), "dart-texts")
+    stands = stored(stands.select("t", *row_key(F.col("row.doc"), F.col("row.doc_hash"))), "dart-stands")
+    plain = docs.select(*row_key(F.col(doc_id), text_hash(text)), F.col(text).alias("body"))
+    texts = perhaps_among(plain, stands, ROW_KEY).dropDuplicates(ROW_KEY)
+    texts = stored(texts.join(stands, ROW_KEY).select("t", "body"), "dart-texts")
     labels = met.select("t", F.col("t").alias("c"))
 
     def linked(sims: DataFrame, now: DataFrame) -> DataFrame:
@@ -351,8 +376,8 @@ def near_classes(signed: DataFrame, docs: DataFrame, doc_id: str = "doc_id", tex
         return stored(components(now, ends.select("x", "y")), "dart-labels")
 
     # the pivot of a bucket is its most central member
-    pivots = members.groupBy("band", "h").agg(F.max(F.struct("w", "t"))["t"].alias("p"))
-    pairs = members.join(pivots, ["band", "h"]).where("t <> p").select(F.col("t").alias("a"), F.col("p").alias("b")).distinct()
+    pivots = members.groupBy("bucket").agg(F.max(F.struct("w", "t"))["t"].alias("p"))
+    pairs = members.join(pivots, "bucket").where("t <> p").select(F.col("t").alias("a"), F.col("p").alias("b")).distinct()
     sims = stored(_sims(stored(pairs, "dart-first"), texts, threshold), "dart-sims")
     labels = linked(sims, labels)
     return linked(_between_classes(sims, labels, threshold), labels)
@@ -438,7 +463,7 @@ def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str =
     best = best.groupBy("class", own).agg(F.min("row").alias("row")).select("row.doc", "row.doc_hash")
     kept = stored(best.unionByName(classes.where("word_key IS NULL").select("doc", "doc_hash")).distinct(), "near-kept")
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], text_hash(text).alias("_hash"))
-    is_kept = rows[names[doc_id]].eqNullSafe(kept["doc"]) & (rows["_hash"] == kept["doc_hash"])
-    found = rows.join(kept, is_kept, "left_semi").dropDuplicates([names[doc_id], "_hash"])
+    rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], *row_key(F.col(doc_id), text_hash(text)))
+    # both by one key, so rows are exchanged once
+    found = rows.join(kept.select(*row_key(F.col("doc"), F.col("doc_hash"))), ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
     return found.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -5,6 +5,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 from cases import all_documents, frame
+from pyspark.sql import functions as F
 
 from tallyworks.llm import dart_minhash as dm
 
@@ -111,3 +112,34 @@ def test_empty_table(spark):
     blank = frame(spark, [(1, None, "en", "s"), (2, "", "en", "s"), (3, "...", "en", "s"), (None, " ", "en", "s")])
     assert Counter(getattr(r, "class") for r in dm.near_duplicates(blank).collect()) == Counter([1, 2, 3, None])
     assert dm.without_near_duplicates(blank).count() == 4
+
+
+def test_rows_travel_once_and_bands_twice(spark, monkeypatch):
+    # bands are exchanged to be counted and to meet their counts; texts that nobody asks for are left out where they are read
+    plans, write = {}, dm.stored
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(dm, "stored", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = dm.stored(frame(spark, all_documents()), "docs")
+        kept = dm.without_near_duplicates(docs)
+        last = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(p.count("Generate posexplode(bands") for p in plans.values()) == 2
+    assert "_bits" in plans["dart-texts"]
+    assert last.count("Exchange hashpartitioning") == 2  # the rows, and the keys of those that stay
+
+
+def test_asked_for_rows_are_all_found(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 50 > 0, F.col("id") % 700).alias("doc"), F.xxhash64("id").alias("doc_hash"))
+    keyed = rows.select(*dm.row_key(F.col("doc"), F.col("doc_hash")), "doc")
+    wanted = keyed.where("doc is null or doc % 10 = 3")
+    found = dm.perhaps_among(keyed, wanted, dm.ROW_KEY)
+    assert found.join(wanted, dm.ROW_KEY, "left_semi").count() == wanted.count() <= found.count() < wanted.count() + 20
+    assert dm.perhaps_among(keyed, wanted.where("false"), dm.ROW_KEY).count() == 0
