@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyworks.operators.aggs import first_by
@@ -94,46 +94,46 @@ def _add_level(done: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
     return cut_lineage(done) if level % 20 == 0 else done
 
 
-def _doubled(jumps: DataFrame, known: DataFrame, how: str = "left") -> DataFrame:
-    """Every jump ``(node, to, steps, low)`` followed by the known jump from where it ended; ``moved`` where there was one.
+def _doubled(jumps: DataFrame) -> DataFrame:
+    """Every jump ``(node, to, low)`` followed by the jump from where it ended, left out where there is none.
 
     ``low`` is the smallest node on the way, the end left out.
     """
-    onward = known.select(F.col("node").alias("to"), F.col("to").alias("__to"), F.col("steps").alias("__steps"), F.col("low").alias("__low"))
-    return jumps.select("node", "to", "steps", "low").join(onward, "to", how).select(
-        "node", F.coalesce("__to", "to").alias("to"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps"),
-        F.least("low", "__low").alias("low"), F.col("__to").isNotNull().alias("moved"),
-    )
-
-
-def _first_jumps(singles: DataFrame) -> DataFrame:
-    return singles.select("node", F.col("up").alias("to"), F.lit(1).alias("steps"), F.col("node").alias("low"))
+    onward = jumps.select(F.col("node").alias("to"), F.col("to").alias("__to"), F.col("low").alias("__low"))
+    return jumps.join(onward, "to").select("node", F.col("__to").alias("to"), F.least("low", "__low").alias("low"))
 
 
 def _hang(singles: DataFrame) -> DataFrame:
-    """Where ``singles(node, up)``, nodes with one way only, end: ``(node, up, anchor, steps)``; nodes that lead into a ring are left out.
+    """Where the stored ``singles(node, up)``, nodes with one way only, end: ``(node, up, anchor, steps)``; nodes that lead into a ring are left out.
 
-    Pointer doubling: as many rounds as the logarithm of the longest way, and a node that has ended is not moved again.
+    Pointer doubling: as many rounds as the logarithm of the longest way. A node that has ended is not moved again, and who
+    meets one has ended with it, so no round is spent on finding that out.
     """
-    singles = cut_lineage(singles)
-    jumps, ended, before = _first_jumps(singles), None, None
+    jumps, ended, before = singles.select("node", F.col("up").alias("to"), F.lit(1).alias("steps"), F.lit(False).alias("done")), None, None
     while True:
-        fresh = cut_lineage(_doubled(jumps, jumps if ended is None else jumps.unionByName(ended)))
-        here = fresh.where("NOT moved").select("node", "to", "steps", "low")
+        up = F.col("to" if before is None else "up")
+        known = jumps if ended is None else jumps.unionByName(ended)
+        onward = known.select(F.col("node").alias("to"), F.col("to").alias("__to"), F.col("steps").alias("__steps"), F.col("done").alias("__done"))
+        fresh = cut_lineage(
+            jumps.drop("done").join(onward, "to", "left").select(
+                "node", up.alias("up"), F.coalesce("__to", "to").alias("to"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps"),
+                F.coalesce("__done", F.lit(True)).alias("done"),
+            )
+        )
+        here, jumps = fresh.where("done"), fresh.where("NOT done")
         ended = here if ended is None else ended.unionByName(here)
-        jumps = fresh.where("moved").select("node", "to", "steps", "low")
         left = jumps.count()
         # ways of every length up to the longest occur, so a round in which none ends has met rings only
         if left in (0, before):
-            return singles.join(ended.select("node", F.col("to").alias("anchor"), "steps"), "node")
+            return ended.select("node", "up", F.col("to").alias("anchor"), "steps")
         before = left
 
 
 def _ring_members(singles: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """Nodes of ``singles(node, up)`` that lead into a ring and the ring's members ``(node, label)`` under its smallest name."""
-    jumps, before, length = _first_jumps(singles), None, 1
+    jumps, before, length = singles.select("node", F.col("up").alias("to"), F.col("node").alias("low")), None, 1
     while True:
-        jumps = cut_lineage(_doubled(jumps, jumps, "inner"))
+        jumps = cut_lineage(_doubled(jumps))
         left, length = jumps.count(), 2 * length
         if left == 0:
             return None
@@ -167,22 +167,31 @@ def _ring_keepers(edges: DataFrame) -> DataFrame:
 def _fall(one_way: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Falling siblings by the edges ``one_way(a, b)`` left to them.
 
-    Their names ``(node)``, the edges ``(head, tail)`` of those with several, and where those with one hang (as ``_hang``).
+    Their names and numbers of edges ``(node, n)``, the edges ``(head, tail)`` of those with several, and where those with one
+    hang (as ``_hang``).
     """
     ways = cut_lineage(one_way.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("up")))
-    hung = cut_lineage(_hang(ways.select("node", "up")))
-    stuck = cut_lineage(ways.join(hung.select("node"), "node", "left_anti").select("node"))
-    several = ways.where("n > 1")
-    if not stuck.isEmpty():
+    hung = _hang(ways.select("node", "up"))
+    if hung.count() < ways.count():
         # who ends leads out of every ring, so only the others can be in a closed one
-        inside = one_way.join(stuck.select(F.col("node").alias("a")), "a", "left_semi")
+        stuck = ways.join(hung.select("node"), "node", "left_anti")
+        inside = cut_lineage(one_way.join(stuck.select(F.col("node").alias("a")), "a", "left_semi"))
         ways = cut_lineage(ways.join(_ring_keepers(inside), "node", "left_anti"))
-        several = ways.where("n > 1")
         hung = _hang(ways.where("n = 1").select("node", "up"))
-    elif not several.isEmpty():
+    elif not ways.where("n > 1").isEmpty():
         hung = _hang(ways.where("n = 1").select("node", "up"))
-    edges = one_way.join(several.select(F.col("node").alias("a")), "a", "left_semi")
-    return ways.select("node"), edges.select(F.col("a").alias("head"), F.col("b").alias("tail")), hung
+    edges = one_way.join(ways.where("n > 1").select(F.col("node").alias("a")), "a", "left_semi")
+    return ways.select("node", "n"), edges.select(F.col("a").alias("head"), F.col("b").alias("tail")), hung
+
+
+def _one_way(several: DataFrame, group: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` between two nodes of ``group(node, parent)`` with one parent, of which only one points at the other."""
+    own = group.select(F.col("node").alias("head"), "parent")
+    other = group.select(F.col("node").alias("tail"), F.col("parent").alias("__parent"))
+    siblings = several.join(own, "head").where("tail <> parent").join(other, "tail").where("parent = __parent")
+    pairs = siblings.groupBy(F.least("head", "tail").alias("a"), F.greatest("head", "tail").alias("b"))
+    ways = pairs.agg(F.sum(F.when(F.col("head") < F.col("tail"), 1).otherwise(2)).alias("way")).where("way < 3")
+    return ways.select(F.when(F.col("way") == 1, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(F.col("way") == 1, F.col("b")).otherwise(F.col("a")).alias("b"))
 
 
 def build_hierarchy(edges: DataFrame, root: str) -> DataFrame:
@@ -204,50 +213,64 @@ def build_hierarchy(edges: DataFrame, root: str) -> DataFrame:
     result depends on the order of visits (several parents) or does not end (rings). Edges with a null end are dropped;
     nodes that do not lead to the root are not in the result.
     """
-    links = cut_lineage(root_at(edges.select("head", "tail").where("head <> tail").distinct(), root))
-    ways = cut_lineage(links.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("tail").alias("up")))
-    several = links.join(ways.where("n > 1").select(F.col("node").alias("head")), "head", "left_semi")
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the edges of a node side by side: its tasks count most of them before anything is exchanged, and a hub is cut by its tails
+    links = root_at(edges.select("head", "tail").where("head <> tail"), root).repartitionByRange(parts, "head", "tail")
+    links = cut_lineage(links.distinct())
+    ways = links.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("tail").alias("up"))
+    heads = Observation()
+    singles = cut_lineage(ways.observe(heads, F.count(F.lit(1)).alias("n")).where("n = 1").select("node", "up"))
     placed = links.sparkSession.createDataFrame([(root, None, 1)], "node string, parent string, level int")
-    hanging = _hang(ways.where("n = 1").select("node", "up"))
-    placed, hanging = _place(placed, hanging, placed)
-    step = 0
-    while True:
-        several = cut_lineage(several)
+    placed, hanging = _place(placed, _hang(singles), placed)
+    # nodes with several edges that are not placed; the first step takes all edges, as singles are placed with what they hang on
+    left = heads.get["n"] - singles.count()
+    several, gone, step = links, singles.select("node"), 0
+    while left:
         reached = several.join(placed.select(F.col("node").alias("tail"), "level"), "tail")
-        met = cut_lineage(
+        met = (
             reached.groupBy(F.col("head").alias("node")).agg(F.min(F.struct("level", "tail")).alias("first"))
             .select("node", F.col("first.tail").alias("parent"), (F.col("first.level") + 1).alias("level"))
         )
+        met = cut_lineage(met if step else met.join(gone, "node", "left_anti"))
         level = met.agg(F.min("level")).first()[0]
         if level is None:
             return placed
         staying = met.where(F.col("level") == level)
         beside = placed.where(F.col("level") == level)
-        group = beside.unionByName(staying).select(F.col("node").alias("b"), "parent")
-        siblings = (
-            several.select(F.col("head").alias("a"), F.col("tail").alias("b"))
-            .join(staying.select(F.col("node").alias("a"), "parent"), "a").join(group, ["b", "parent"]).select("a", "b")
-        )
-        back = siblings.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        one_way = cut_lineage(siblings.join(back, ["a", "b"], "left_anti"))
-        several = several.join(staying.select(F.col("node").alias("head")), "head", "left_anti")
+        one_way = cut_lineage(_one_way(several, beside.unionByName(staying).select("node", "parent")))
+        left, gone = left - staying.count(), staying.select("node") if step else gone.unionByName(staying.select("node"))
+        several = several.join(gone.withColumnRenamed("node", "head"), "head", "left_anti") if left else None
         if not one_way.isEmpty():
             falling, again, fresh = _fall(one_way)
-            several = several.unionByName(again)
             staying = staying.join(falling, "node", "left_anti")
             onward = fresh.select(F.col("node").alias("anchor"), F.col("anchor").alias("__anchor"), F.col("steps").alias("__steps"))
-            hanging = hanging.join(onward, "anchor", "left").select(
-                "node", "up", F.coalesce("__anchor", "anchor").alias("anchor"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps")
-            ).unionByName(fresh)
-        more, hanging = _place(staying, hanging, beside.unionByName(staying))
-        placed, step = placed.unionByName(more), step + 1
-        placed = cut_lineage(placed) if step % 8 == 0 else placed
+            if not hanging.isEmpty():
+                hanging = hanging.join(onward, "anchor", "left").select(
+                    "node", "up", F.coalesce("__anchor", "anchor").alias("anchor"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps")
+                )
+            more = falling.where("n > 1").count()
+            if more:
+                several, left = again if several is None else several.unionByName(again), left + more
+                hanging = hanging.unionByName(fresh)
+            else:
+                # all that falls hangs on nodes of this level
+                placed = placed.unionByName(fresh.select("node", F.col("up").alias("parent"), (F.col("steps") + level).alias("level")))
+        if left or not hanging.isEmpty():
+            staying = cut_lineage(staying)
+        if not hanging.isEmpty():
+            staying, hanging = _place(staying, hanging, beside.unionByName(staying))
+        placed, step = placed.unionByName(staying), step + 1
+        if left:
+            several = cut_lineage(several)
+            placed = cut_lineage(placed) if step % 8 == 0 else placed
+    return placed
 
 
 def _place(new: DataFrame, hanging: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New nodes with all that hangs on ``ends(node, level)`` below them, and what goes on hanging."""
     known = ends.select(F.col("node").alias("anchor"), F.col("level").alias("__level"))
-    seen = cut_lineage(hanging.join(known, "anchor", "left"))
+    # who is placed needs its anchor no more
+    seen = cut_lineage(hanging.join(known, "anchor", "left").withColumn("anchor", F.when(F.col("__level").isNull(), F.col("anchor"))))
     below = seen.where("__level IS NOT NULL").select("node", F.col("up").alias("parent"), (F.col("__level") + F.col("steps")).alias("level"))
     return new.unionByName(below), seen.where("__level IS NULL").drop("__level")
 

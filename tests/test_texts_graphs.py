@@ -295,6 +295,25 @@ def test_hierarchy_of_nothing_and_of_null_ends(spark):
         assert [tuple(r) for r in graph.build_hierarchy(rows, "r").collect()] == [("r", None, 1)]
 
 
+def test_chains_of_siblings_are_stored_a_few_times(spark, monkeypatch):
+    """Short chains below many parents: less than four rows are stored on the way for an edge."""
+    edges = [(f"l{o:05d}-{k}", f"o{o:05d}") for o in range(1000) for k in range(1, 6)] + [(f"o{o:05d}", "all") for o in range(1000)]
+    edges += [(f"l{o:05d}-{k}", f"l{o:05d}-{k - 1}") for o in range(1000) for k in range(1, 6)]
+    stored, kept = [], graph.cut_lineage
+
+    def counting(df):
+        stored.append(kept(df))
+        return stored[-1]
+
+    monkeypatch.setattr(graph, "cut_lineage", counting)
+    placed = graph.build_hierarchy(spark.createDataFrame(edges + edges[:500], "head string, tail string"), "all")
+    want = {("all", None, 1)} | {(f"o{o:05d}", "all", 2) for o in range(1000)}
+    want |= {(f"l{o:05d}-{k}", f"l{o:05d}-{k - 1}" if k > 1 else f"o{o:05d}", k + 2) for o in range(1000) for k in range(1, 6)}
+    rows = [tuple(r) for r in placed.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert sum(df.count() for df in stored) < 4 * len(edges)
+
+
 def test_levels_take_the_shortest_way(spark, as_rows):
     edges = [("a", "r"), ("b", "a"), ("c", "b"), ("c", "r"), ("r", "c"), ("x", "y"), ("d", "c")]
     df = spark.createDataFrame(edges, "head string, tail string")
