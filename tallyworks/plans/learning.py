@@ -395,7 +395,7 @@ ON m.fold = h.fold GROUP BY intercept, h.fold) GROUP BY intercept)"""
 
 
 def _line_rows(t):
-    return cut_lineage(prep.folds(prep.assembler(["l_quantity"]).transform(_price_rows(t)), "l_orderkey", 3, 1))
+    return cut_lineage(prep.folds(prep.assembler(["l_quantity"]).transform(_price_rows(t)), "l_orderkey", 3, 1).select("features", "label", "fold"))
 
 
 def _r2_evaluator():

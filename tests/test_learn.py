@@ -10,6 +10,8 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from tallyworks.learn import audit, explain, metrics, models, neighbours, prep, search
+from tallyworks.plans import learning
+from tallyworks.plans.registry import Tables
 
 
 @pytest.fixture(scope="module")
@@ -238,3 +240,13 @@ def test_tree_values_equal_all_orders(spark):
             assert abs(got[row[0]][names[f]] - want) < 1e-9
         assert abs(got[row[0]].base - answer(row, set())) < 1e-9
     assert abs(sum(r.answer for r in got.values()) / len(rows) - got[0].base) < 1e-9
+
+
+def test_line_folds_keep_what_fits_read(spark, tmp_path):
+    """A search copies every fold of its rows, so they hold no other columns."""
+    columns = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    items = [(i, 1, float(i % 7), 3.0 * (i % 7) + i % 2, 0.1, 0.0) for i in range(60)] + [(None, 1, 2.0, 6.0, 0.1, 0.0)]
+    spark.createDataFrame(items, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = learning._line_rows(Tables(spark, str(tmp_path)))
+    assert rows.columns == ["features", "label", "fold"]
+    assert sorted((r["features"][0], r["label"]) for r in rows.collect()) == sorted((q, y) for _, _, q, y, _, _ in items)
