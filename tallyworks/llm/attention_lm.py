@@ -224,22 +224,29 @@ def windows(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return inputs, np.where(goal < stop[:, None], goal, -1)
 
 
-_MASK = np.where(np.arange(WINDOW)[None, :] <= np.arange(OVERLAP, WINDOW)[:, None], 0, -1e9).astype(np.float32)
+def _forward(m: Model, inputs: np.ndarray, turn: np.ndarray | None = None):
+    """The layer at all scored places, or at ``turn`` ([n, some] of them).
 
-
-def _forward(m: Model, inputs: np.ndarray):
+    Weights are ``[n, WINDOW, some]``; odds ``[n, some, kinds]`` lie in memory kind by kind: what is summed up lies apart, so that
+    neighbours in memory are worked on together.
+    """
     x = m.embed[inputs] + m.place
-    ask = x[:, OVERLAP:]
+    if turn is None:
+        at, ask, last = np.arange(OVERLAP, WINDOW)[None, :], x[:, OVERLAP:], inputs[:, OVERLAP:]
+    else:
+        rows, at = np.arange(len(inputs))[:, None], OVERLAP + turn
+        ask, last = x[rows, at], inputs[rows, at]
     q, k, v = ask @ m.query, x @ m.key, x @ m.value
-    weights = q @ k.transpose(0, 2, 1)
-    weights += _MASK
-    weights -= weights.max(axis=2, keepdims=True)
+    weights = k @ q.transpose(0, 2, 1)
+    weights += np.where(np.arange(WINDOW)[None, :, None] <= at[:, None, :], np.float32(0), np.float32(-1e9))
+    weights -= weights.max(axis=1, keepdims=True)
     np.exp(weights, out=weights)
-    weights /= weights.sum(axis=2, keepdims=True)
-    hidden = ask + weights @ v
-    odds = hidden @ m.out + m.bias
-    odds += m.log_class[inputs[:, OVERLAP:]]
-    return x, q, k, v, weights, hidden, odds
+    weights /= weights.sum(axis=1, keepdims=True)
+    hidden = ask + weights.transpose(0, 2, 1) @ v
+    odds = m.out.T @ hidden.reshape(-1, hidden.shape[-1]).T
+    odds += m.bias[:, None]
+    odds += np.ascontiguousarray(m.log_class.T).take(last.ravel(), axis=1)
+    return x, ask, q, k, v, weights, hidden, odds.reshape(-1, *last.shape).transpose(1, 2, 0)
 
 
 def _log_shares(odds: np.ndarray) -> np.ndarray:
@@ -263,14 +270,14 @@ def id_scores(m: Model, ids: np.ndarray, lengths: np.ndarray, chunk: int = CHUNK
         x = inputs[at : at + chunk]
         real = places[at : at + chunk] >= 0
         where = places[at : at + chunk][real]
-        logs = _log_shares(_forward(m, x)[-1])[real]
+        logs, (row, place) = _log_shares(_forward(m, x)[-1]), np.nonzero(real)
         last, goal = x[:, OVERLAP:][real], ids[where]
         kind = m.of_class[goal]
-        own = logs[np.arange(len(goal)), kind]
+        own = logs[row, place, kind]
         start = kind < kinds // 2
         classes[where] = np.where(start, own, 0)
         spelled[where] = np.where(start, m.log_start[goal], own + m.log_inner[last, np.minimum(goal, IDS - 1)])
-        ended[where] = np.where(start, logs[:, -1], 0)
+        ended[where] = np.where(start, logs[row, place, -1], 0)
     return classes, spelled, ended
 
 
@@ -323,31 +330,35 @@ def train(counted: dict, texts: list[np.ndarray], rare: list[np.ndarray], epochs
 
 def _gradients(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray, marked: np.ndarray, before: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean cross entropy of classes; of inner classes and word ends in the marked words only."""
-    x, q, k, v, weights, hidden, odds = _forward(m, inputs)
-    half = odds.shape[-1] // 2
+    half = m.bias.shape[0] // 2
     real = places >= 0
     at = np.maximum(places, 0)
     kind = m.of_class[ids[at]]
-    start = kind < half
-    first = real & start
-    inner = real & ~start & marked[at]
+    first = real & (kind < half)
+    inner = real & (kind >= half) & marked[at]
     close = first & before[at] & (inputs[:, OVERLAP:] != END)
-    for part, asked in ((odds[..., :half], first), (odds[..., half:], inner | close)):
-        part -= part.max(axis=-1, keepdims=True)
+    # the places of a window that are asked for come first; the layer is not worked out at those that no window needs
+    asked = first | inner
+    turn = np.argsort(~asked, axis=1, kind="stable")[:, : max(1, int(asked.sum(axis=1).max(initial=0)))]
+    kind, first, inner, close = (np.take_along_axis(a, turn, 1).ravel() for a in (kind, first, inner, close))
+    x, ask, q, k, v, weights, hidden, odds = _forward(m, inputs, turn)
+    odds = odds.transpose(2, 0, 1).reshape(2 * half, -1)
+    for part, mine in ((odds[:half], first), (odds[half:], inner | close)):
+        part -= part.max(axis=0)
         np.exp(part, out=part)
-        part *= (asked / part.sum(axis=-1))[..., None]
-    w, t = np.nonzero(first | inner)
-    odds[w, t, kind[w, t]] -= 1
-    odds[..., -1] -= close
-    odds = (odds / max(real.sum(), 1)).astype(np.float32)
+        part *= mine / part.sum(axis=0)
+    at = np.flatnonzero(first | inner)
+    odds[kind[at], at] -= 1
+    odds[-1] -= close
+    odds /= np.float32(max(real.sum(), 1))
     flat = lambda a: a.reshape(-1, a.shape[-1])
-    d_hidden = odds @ m.out.T
-    d_v = weights.transpose(0, 2, 1) @ d_hidden
-    d_weights = d_hidden @ v.transpose(0, 2, 1)
-    d_scores = weights * (d_weights - (weights * d_weights).sum(axis=2, keepdims=True))
-    d_q, d_k = d_scores @ k, d_scores.transpose(0, 2, 1) @ q
+    d_hidden = (odds.T @ m.out.T).reshape(hidden.shape)
+    d_v = weights @ d_hidden
+    d_weights = v @ d_hidden.transpose(0, 2, 1)
+    d_scores = weights * (d_weights - (weights * d_weights).sum(axis=1, keepdims=True))
+    d_q, d_k = d_scores.transpose(0, 2, 1) @ k, d_scores @ q
     d_x = d_k @ m.key.T + d_v @ m.value.T
-    d_x[:, OVERLAP:] += d_hidden + d_q @ m.query.T
+    d_x[np.arange(len(inputs))[:, None], OVERLAP + turn] += d_hidden + d_q @ m.query.T
     embed = np.zeros_like(m.embed)
     of = inputs.ravel().astype(np.int16)
     order = np.argsort(of, kind="stable")
@@ -356,14 +367,22 @@ def _gradients(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray
     return {
         "embed": embed,
         "place": d_x.sum(axis=0),
-        "query": flat(x[:, OVERLAP:]).T @ flat(d_q),
+        "query": flat(ask).T @ flat(d_q),
         "key": flat(x).T @ flat(d_k),
         "value": flat(x).T @ flat(d_v),
-        "out": flat(hidden).T @ flat(odds),
-        "bias": flat(odds).sum(axis=0),
+        "out": flat(hidden).T @ odds.T,
+        "bias": odds.sum(axis=1),
     }
 
 
+def _by_asked(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows in the order of how many of their places are asked for, so that those of a chunk have as many."""
+    at = np.maximum(places, 0)
+    asked = (places >= 0) & ((m.of_class <= CLASSES)[ids] | marked)[at]
+    order = np.argsort(asked.sum(axis=1), kind="stable")
+    return inputs[order], places[order]
+
+
 # --- Spark: corpus counts
 
 
@@ -550,7 +569,7 @@ def _gradient_sums(shared):
         model, total = shared.value, None
         for batch in batches:
             for ids, marked, lengths in _streams(batch.column(0)):
-                inputs, places = windows(ids, lengths)
+                inputs, places = _by_asked(model, *windows(ids, lengths), ids, marked)
                 before = np.append(False, marked[:-1])
                 for at in range(0, len(inputs), CHUNK):
                     real = int((places[at : at + CHUNK] >= 0).sum())

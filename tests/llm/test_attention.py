@@ -145,6 +145,31 @@ def test_gradients(fitted):
         setattr(m, name, old)
 
 
+def test_gradients_take_asked_places_only(fitted, monkeypatch):
+    """The layer is not worked out at ids inside words that nobody learns to spell from, and nothing is lost by it."""
+    m, starts = fitted.model, fitted.encoder.starts()[: lm.IDS]
+    begin, inside = np.flatnonzero(starts), np.flatnonzero(~starts)
+    ids = np.append(np.resize([begin[3], *inside[5:10]], 144), lm.END).astype(np.int64)
+    marked = np.zeros(len(ids), bool)
+    marked[6:12] = True
+    inputs, places = lm.windows(ids, np.array([len(ids)]))
+    before, worked, forward = np.append(False, marked[:-1]), [], lm._forward
+
+    def counting(*args):
+        out = forward(*args)
+        worked.append(out[-1].shape[0] * out[-1].shape[1])
+        return out
+
+    monkeypatch.setattr(lm, "_forward", counting)
+    whole = lm._gradients(m, inputs, places, ids, marked, before)
+    parts = [(i, lm._gradients(m, inputs[i : i + 1], places[i : i + 1], ids, marked, before)) for i in range(len(inputs))]
+    # 24 word starts, 5 ids of the word to spell, the end
+    assert sum(worked[1:]) == 30 and worked[0] < places.size
+    real = (places >= 0).sum(axis=1)
+    for k in lm.LEARNED:
+        assert np.allclose(sum(g[k] * real[i] for i, g in parts) / real.sum(), whole[k], atol=1e-5), k
+
+
 def test_training_helps(spark, fitted):
     """On held-out texts the trained layer is better than the counts it starts from."""
     held = [d for d in small_documents() if zlib.crc32(str(d[0]).encode()) % 7 == 2]
