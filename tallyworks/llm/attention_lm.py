@@ -63,12 +63,14 @@ ROUNDS = 16
 CHUNK = 128
 # tasks that add up the sums of the tasks that read
 SUMMING = 8
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 4_000_000
+# bytes of stored ids at a time
+STREAM_BYTES = 2_000_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # weight of the distribution without the last id
 SMOOTH = 3.0
-# words whose ids a worker keeps at hand
-CACHE_WORDS = 400_000
+# words that are encoded at a time
+WORDS = 200_000
 
 
 # --- subword ids
@@ -89,9 +91,9 @@ class Encoder:
     def __post_init__(self):
         import tiktoken
 
-        # a word is one piece: nothing but the ranks decides where it is cut
-        self.encoding = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={})
-        self.known: dict[str, np.ndarray] = {}
+        # a word with its leading blank is one piece: nothing but the ranks decides where it is cut
+        self.encoding = tiktoken.Encoding("words", pat_str=" [^ ]+", mergeable_ranks=self.ranks, special_tokens={})
+        self.begins = self.starts()
 
     def __reduce__(self):
         return Encoder, (self.ranks,)
@@ -103,19 +105,18 @@ class Encoder:
             out[i] = token[:1] == b" "
         return out
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, lengths)`` of the words, one after another."""
-        known, out = self.known, []
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                ids = known[word] = np.array(self.encoding.encode_ordinary(" " + word), np.int16)
-            out.append(ids)
+    def words(self, words: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, lengths)`` of the words, one after another. Words hold no blank."""
+        words, out = words if isinstance(words, pa.Array) else pa.array(words, pa.string()), []
+        for at in range(0, len(words), WORDS):
+            some = words.slice(at, WORDS)
+            # words are encoded together: an id that begins with a blank begins a word
+            text = pc.binary_join(pa.ListArray.from_arrays([0, len(some)], some.cast(pa.string())), " ")[0].as_py()
+            out.append(np.array(self.encoding.encode_ordinary(" " + text), np.int16))
         if not out:
             return np.empty(0, np.int16), np.empty(0, np.int64)
-        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
+        ids = np.concatenate(out)
+        return ids, np.diff(np.flatnonzero(self.begins[ids]), append=len(ids))
 
 
 # --- the model
@@ -219,66 +220,133 @@ def windows(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first = start + nth * step
     at = first[:, None] + np.arange(-OVERLAP - 1, step - 1)[None, :]
     inside = (at >= start[:, None]) & (at < stop[:, None])
-    inputs = np.where(inside, ids[np.clip(at, 0, max(len(ids) - 1, 0))], END)
+    inputs = ids.take(at, mode="clip") if len(ids) else np.empty(at.shape, ids.dtype)
+    inputs[~inside] = END
     goal = first[:, None] + np.arange(step)[None, :]
     return inputs, np.where(goal < stop[:, None], goal, -1)
 
 
-def _forward(m: Model, inputs: np.ndarray, turn: np.ndarray | None = None):
-    """The layer at all scored places, or at ``turn`` ([n, some] of them).
-
-    Weights are ``[n, WINDOW, some]``; odds ``[n, some, kinds]`` lie in memory kind by kind: what is summed up lies apart, so that
-    neighbours in memory are worked on together.
+# a place sees the ids up to its own
+_SEES = (np.arange(WINDOW)[None, :] <= np.arange(OVERLAP, WINDOW)[:, None]).astype(np.float32)
+# exponents up to this need not be made smaller: their sums neither overflow nor vanish in four bytes
+_CALM = 50
+
+
+class Tables:
+    """What the layer works out from a single id or a single place, once per model."""
+
+    def __init__(self, m: Model):
+        end = lambda x, one: np.concatenate([x, np.full((len(x), 1), one, x.dtype)], axis=1)
+        # with a one behind the values the weights are summed up where they meet the values, and the bias is one more row of ``out``
+        self.ask, self.ask_place = end(m.embed, 0), end(m.place, 0)[OVERLAP:]
+        self.query, self.query_place = m.embed @ m.query, (m.place @ m.query)[OVERLAP:]
+        self.seen = end(np.concatenate([m.embed @ m.key, m.embed @ m.value], axis=1), 1)
+        self.seen_place = end(np.concatenate([m.place @ m.key, m.place @ m.value], axis=1), 0)
+        half = len(m.bias) // 2
+        self.out = np.concatenate([m.out, m.bias[None]])
+        self.back = end(m.out.T, 0)
+        self.log_class = m.log_class
+        apart = lambda x: [np.ascontiguousarray(x[:, :half]), np.ascontiguousarray(x[:, half:])]
+        (self.out_first, self.out_inner), (self.log_first, self.log_inner) = apart(self.out), apart(m.log_class)
+        self.halves = np.repeat(np.eye(2, dtype=m.out.dtype), half, axis=0)
+        long = lambda x: float(np.sqrt((x * x).sum(axis=1).max()))
+        most = lambda x, place: long(x) + long(place)
+        key, value = (most(self.seen[:, some], self.seen_place[:, some]) for some in (slice(WIDTH), slice(WIDTH, 2 * WIDTH)))
+        odds = (most(m.embed, m.place) + value) * long(m.out.T) + float(np.abs(m.bias).max())
+        self.calm = most(self.query, self.query_place) * key < _CALM and odds < _CALM
+
+
+def _hidden(t: Tables, inputs: np.ndarray, turn: np.ndarray | None = None):
+    """The layer before its odds at all scored places, or at ``turn`` ([n, some] of them).
+
+    The last id, keys and values, query, weights ``[n, some, WINDOW]`` before they are divided by their sums, what they are divided by,
+    what is read by them and the sum with the id's own, both with a one behind.
     """
-    x = m.embed[inputs] + m.place
-    if turn is None:
-        at, ask, last = np.arange(OVERLAP, WINDOW)[None, :], x[:, OVERLAP:], inputs[:, OVERLAP:]
-    else:
-        rows, at = np.arange(len(inputs))[:, None], OVERLAP + turn
-        ask, last = x[rows, at], inputs[rows, at]
-    q, k, v = ask @ m.query, x @ m.key, x @ m.value
-    weights = k @ q.transpose(0, 2, 1)
-    weights += np.where(np.arange(WINDOW)[None, :, None] <= at[:, None, :], np.float32(0), np.float32(-1e9))
-    weights -= weights.max(axis=1, keepdims=True)
+    seen = t.seen.take(inputs, axis=0)
+    seen += t.seen_place
+    last = inputs[:, OVERLAP:] if turn is None else np.take_along_axis(inputs, OVERLAP + turn, 1)
+    at = (lambda a: a) if turn is None else (lambda a: a.take(turn, axis=0))
+    query = t.query.take(last, axis=0)
+    query += at(t.query_place)
+    keys = seen[..., :WIDTH].transpose(0, 2, 1)
+    weights = query @ (np.ascontiguousarray(keys) if turn is None else keys)
+    sees = at(_SEES)
+    if not t.calm:
+        weights += np.where(sees > 0, np.float32(0), np.float32(-1e9))
+        weights -= weights.max(axis=2, keepdims=True)
     np.exp(weights, out=weights)
-    weights /= weights.sum(axis=1, keepdims=True)
-    hidden = ask + weights.transpose(0, 2, 1) @ v
-    odds = m.out.T @ hidden.reshape(-1, hidden.shape[-1]).T
-    odds += m.bias[:, None]
-    odds += np.ascontiguousarray(m.log_class.T).take(last.ravel(), axis=1)
-    return x, ask, q, k, v, weights, hidden, odds.reshape(-1, *last.shape).transpose(1, 2, 0)
+    weights *= sees
+    mixed = weights @ seen[..., WIDTH:]
+    share = np.repeat(1 / mixed[..., WIDTH:], WIDTH + 1, axis=2)
+    mixed *= share
+    hidden = t.ask.take(last, axis=0)
+    hidden += at(t.ask_place)
+    hidden += mixed
+    return last, seen, query, weights, share, mixed, hidden
+
+
+def _forward(m: Model, inputs: np.ndarray, turn: np.ndarray | None = None, tables: Tables | None = None):
+    """The layer and its odds ``[n, some, kinds]``."""
+    t = tables or Tables(m)
+    parts = _hidden(t, inputs, turn)
+    last, hidden = parts[0], parts[-1]
+    odds = hidden.reshape(-1, WIDTH + 1) @ t.out
+    odds += t.log_class.take(last.ravel(), axis=0)
+    return *parts, odds.reshape(*last.shape, -1)
+
+
+def _log_sum(odds: np.ndarray, calm: bool = False) -> np.ndarray:
+    """Log of the sums of the exponentials along the last axis; calm odds are overwritten."""
+    most = None if calm else odds.max(axis=-1, keepdims=True)
+    sums = np.log((np.exp(odds, out=odds) if calm else np.exp(odds - most)) @ np.ones(odds.shape[-1], odds.dtype))
+    return sums if calm else sums + most[..., 0]
 
 
 def _log_shares(odds: np.ndarray) -> np.ndarray:
     """Log probabilities of the two distributions that lie side by side; in place."""
     half = odds.shape[-1] // 2
     for part in (odds[..., :half], odds[..., half:]):
-        part -= part.max(axis=-1, keepdims=True)
-        part -= np.log(np.exp(part).sum(axis=-1, keepdims=True))
+        part -= _log_sum(part)[..., None]
     return odds
 
 
-def id_scores(m: Model, ids: np.ndarray, lengths: np.ndarray, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def id_scores(m: Model, ids: np.ndarray, lengths: np.ndarray, chunk: int = CHUNK, tables: Tables | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per id of a stream of texts, natural logs: of its class if it starts a word or ends the text (else 0), of its
     spelling, and of the word before it ending there (0 if it is inside a word).
     """
+    t = tables or Tables(m)
     inputs, places = windows(ids, lengths)
-    kinds = m.bias.shape[0]
-    classes = np.zeros(len(ids), np.float32)
-    spelled, ended = np.zeros_like(classes), np.zeros_like(classes)
+    half = m.bias.shape[0] // 2
+    kinds = m.of_class.take(ids)
+    classes, second = np.zeros(len(ids), np.float32), np.zeros(len(ids), np.float32)
+    # where in the odds of the second half: the class of an id inside a word, or the end of the word before
+    own = np.where(kinds < half, half - 1, kinds - half)
     for at in range(0, len(inputs), chunk):
-        x = inputs[at : at + chunk]
-        real = places[at : at + chunk] >= 0
-        where = places[at : at + chunk][real]
-        logs, (row, place) = _log_shares(_forward(m, x)[-1]), np.nonzero(real)
-        last, goal = x[:, OVERLAP:][real], ids[where]
-        kind = m.of_class[goal]
-        own = logs[row, place, kind]
-        start = kind < kinds // 2
-        classes[where] = np.where(start, own, 0)
-        spelled[where] = np.where(start, m.log_start[goal], own + m.log_inner[last, np.minimum(goal, IDS - 1)])
-        ended[where] = np.where(start, logs[row, place, -1], 0)
-    return classes, spelled, ended
+        last, *_, hidden = _hidden(t, inputs[at : at + chunk])
+        last, hidden = last.ravel(), hidden.reshape(-1, WIDTH + 1)
+        goal = places[at : at + chunk].ravel()
+        real = np.flatnonzero(goal >= 0)
+        odds = hidden @ t.out_inner
+        odds += t.log_inner.take(last, axis=0)
+        mine = odds.ravel().take(np.arange(0, odds.size, half) + own.take(goal, mode="clip"))
+        mine -= _log_sum(odds, t.calm)
+        # the real places are the stream in order
+        here = slice(goal[real[0]], goal[real[-1]] + 1)
+        second[here] = mine.take(real)
+        begin = real.take(np.flatnonzero(kinds[here] < half))
+        goal = goal.take(begin)
+        odds = hidden.take(begin, axis=0) @ t.out_first
+        odds += t.log_first.take(last.take(begin), axis=0)
+        mine = odds.ravel().take(np.arange(0, odds.size, half) + kinds.take(goal))
+        mine -= _log_sum(odds, t.calm)
+        classes[goal] = mine
+    before = np.append(END, ids[:-1])[: len(ids)]
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = END
+    inner = np.flatnonzero(kinds >= half)
+    spelled = m.log_start.take(ids)
+    spelled[inner] = second.take(inner) + m.log_inner.ravel().take(before.take(inner) * IDS + ids.take(inner))
+    second[inner] = 0
+    return classes, spelled, second
 
 
 LEARNED = ["embed", "place", "query", "key", "value", "out", "bias"]
@@ -328,6 +396,83 @@ def train(counted: dict, texts: list[np.ndarray], rare: list[np.ndarray], epochs
     return model
 
 
+def _by_row(rows: np.ndarray, of: np.ndarray, into: np.ndarray) -> None:
+    """Sums of rows added to those rows of ``into`` that ``of`` tells."""
+    of = of.astype(np.int16)
+    order = np.argsort(of, kind="stable")
+    of = of.take(order)
+    new = np.ones(len(of), bool)
+    np.not_equal(of[1:], of[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    # two numbers as a complex one: half as many sums
+    pairs = rows.take(order, axis=0).view(np.result_type(rows.dtype, np.complex64))
+    into[of[first]] += np.add.reduceat(pairs, first, axis=0).view(rows.dtype)
+
+
+class GradientSums:
+    """Sums over places of the gradient of their cross entropy, kept per id and place for as long as places are added."""
+
+    def __init__(self, m: Model, tables: Tables | None = None):
+        self.m, self.tables, self.real = m, tables or Tables(m), 0
+        self.seen, self.seen_place = np.zeros((IDS + 1, 2 * WIDTH)), np.zeros((WINDOW, 2 * WIDTH))
+        self.ask, self.ask_place = np.zeros((IDS + 1, 2 * WIDTH)), np.zeros((WINDOW, 2 * WIDTH))
+        self.out = np.zeros(self.tables.out.shape)
+
+    def add(self, inputs: np.ndarray, turn: np.ndarray, kind: np.ndarray, first: np.ndarray, inner: np.ndarray, close: np.ndarray, real: int) -> None:
+        """The places ``turn`` of windows, flags and classes of all of them in turn; ``real`` are the places of the windows."""
+        t = self.tables
+        half = len(self.m.bias) // 2
+        last, seen, query, weights, share, mixed, hidden, odds = _forward(self.m, inputs, turn, t)
+        flat = lambda a: a.reshape(-1, a.shape[-1])
+        odds, number = flat(odds), odds.dtype
+        if not t.calm:
+            for part in (odds[:, :half], odds[:, half:]):
+                part -= part.max(axis=1, keepdims=True)
+        np.exp(odds, out=odds)
+        asked = np.empty((len(odds), 2), number)
+        asked[:, 0], asked[:, 1] = first, inner | close
+        asked /= odds @ t.halves
+        odds *= asked @ t.halves.T
+        at = np.flatnonzero(first | inner)
+        odds.reshape(-1)[at * 2 * half + kind.take(at)] -= 1
+        odds[:, -1] -= close
+        # what a weight gains by its value, less what all gain: the ones behind the values take the last column
+        gain = odds @ t.back
+        d_ask = np.empty((len(odds), 2 * WIDTH), number)
+        d_ask[:, :WIDTH] = gain[:, :WIDTH]
+        gain *= flat(share)
+        gain[:, WIDTH] = (gain * flat(mixed)) @ np.full(WIDTH + 1, -1, number)
+        gain = gain.reshape(hidden.shape)
+        d_scores = gain @ seen[..., WIDTH:].transpose(0, 2, 1)
+        d_scores *= weights
+        d_seen = np.empty((*inputs.shape, 2 * WIDTH), number)
+        np.matmul(d_scores.transpose(0, 2, 1), query, out=d_seen[..., :WIDTH])
+        np.matmul(weights.transpose(0, 2, 1), gain[..., :WIDTH], out=d_seen[..., WIDTH:])
+        d_ask[:, WIDTH:] = flat(d_scores @ seen[..., :WIDTH])
+        _by_row(flat(d_seen), inputs.ravel(), self.seen)
+        self.seen_place += (np.ones(len(inputs), number) @ d_seen.reshape(len(inputs), -1)).reshape(WINDOW, -1)
+        _by_row(d_ask, last.ravel(), self.ask)
+        self.ask_place[OVERLAP:] += np.eye(WINDOW - OVERLAP, dtype=number).take(turn.ravel(), axis=0).T @ d_ask
+        self.out += flat(hidden).T @ odds
+        self.real += real
+
+    def sums(self) -> dict[str, np.ndarray]:
+        """Of the learned parts."""
+        m = self.m
+        back = np.concatenate([m.key, m.value], axis=1).T
+        to_x = lambda seen, ask: seen @ back + ask[:, :WIDTH] + ask[:, WIDTH:] @ m.query.T
+        by_seen = m.embed.T @ self.seen + m.place.T @ self.seen_place
+        return {
+            "embed": to_x(self.seen, self.ask),
+            "place": to_x(self.seen_place, self.ask_place),
+            "query": (m.embed.T @ self.ask + m.place.T @ self.ask_place)[:, WIDTH:],
+            "key": by_seen[:, :WIDTH],
+            "value": by_seen[:, WIDTH:],
+            "out": self.out[:WIDTH],
+            "bias": self.out[WIDTH],
+        }
+
+
 def _gradients(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray, marked: np.ndarray, before: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean cross entropy of classes; of inner classes and word ends in the marked words only."""
     half = m.bias.shape[0] // 2
@@ -340,47 +485,35 @@ def _gradients(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray
     # the places of a window that are asked for come first; the layer is not worked out at those that no window needs
     asked = first | inner
     turn = np.argsort(~asked, axis=1, kind="stable")[:, : max(1, int(asked.sum(axis=1).max(initial=0)))]
-    kind, first, inner, close = (np.take_along_axis(a, turn, 1).ravel() for a in (kind, first, inner, close))
-    x, ask, q, k, v, weights, hidden, odds = _forward(m, inputs, turn)
-    odds = odds.transpose(2, 0, 1).reshape(2 * half, -1)
-    for part, mine in ((odds[:half], first), (odds[half:], inner | close)):
-        part -= part.max(axis=0)
-        np.exp(part, out=part)
-        part *= mine / part.sum(axis=0)
-    at = np.flatnonzero(first | inner)
-    odds[kind[at], at] -= 1
-    odds[-1] -= close
-    odds /= np.float32(max(real.sum(), 1))
-    flat = lambda a: a.reshape(-1, a.shape[-1])
-    d_hidden = (odds.T @ m.out.T).reshape(hidden.shape)
-    d_v = weights @ d_hidden
-    d_weights = v @ d_hidden.transpose(0, 2, 1)
-    d_scores = weights * (d_weights - (weights * d_weights).sum(axis=1, keepdims=True))
-    d_q, d_k = d_scores.transpose(0, 2, 1) @ k, d_scores @ q
-    d_x = d_k @ m.key.T + d_v @ m.value.T
-    d_x[np.arange(len(inputs))[:, None], OVERLAP + turn] += d_hidden + d_q @ m.query.T
-    embed = np.zeros_like(m.embed)
-    of = inputs.ravel().astype(np.int16)
-    order = np.argsort(of, kind="stable")
-    first_of = np.flatnonzero(np.diff(of[order], prepend=-1))
-    embed[of[order][first_of]] = np.add.reduceat(flat(d_x)[order], first_of, axis=0)
-    return {
-        "embed": embed,
-        "place": d_x.sum(axis=0),
-        "query": flat(ask).T @ flat(d_q),
-        "key": flat(x).T @ flat(d_k),
-        "value": flat(x).T @ flat(d_v),
-        "out": flat(hidden).T @ odds.T,
-        "bias": odds.sum(axis=1),
-    }
-
-
-def _by_asked(m: Model, inputs: np.ndarray, places: np.ndarray, ids: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows in the order of how many of their places are asked for, so that those of a chunk have as many."""
-    at = np.maximum(places, 0)
-    asked = (places >= 0) & ((m.of_class <= CLASSES)[ids] | marked)[at]
-    order = np.argsort(asked.sum(axis=1), kind="stable")
-    return inputs[order], places[order]
+    sums = GradientSums(m)
+    sums.add(inputs, turn, *(np.take_along_axis(a, turn, 1).ravel() for a in (kind, first, inner, close)), int(real.sum()))
+    return {k: v / max(sums.real, 1) for k, v in sums.sums().items()}
+
+
+def _add_stream(sums: GradientSums, ids: np.ndarray, marked: np.ndarray, lengths: np.ndarray, chunk: int = 2 * CHUNK) -> None:
+    """All windows of a stream of texts, as ``_gradients``; windows of a chunk have as many places that are asked for."""
+    inputs, places = windows(ids, lengths)
+    half = len(sums.m.bias) // 2
+    kinds = sums.m.of_class.take(ids)
+    wanted = (kinds < half) | marked
+    asked = wanted.take(places, mode="clip")
+    asked &= places >= 0
+    count = asked.sum(axis=1)
+    order = np.argsort(count.astype(np.int16), kind="stable")
+    ends = np.cumsum(np.bincount(count, minlength=1))
+    sums.real += len(ids)
+    for some in range(1, len(ends)):
+        for at in range(ends[some - 1], ends[some], chunk):
+            mine = order[at : min(at + chunk, ends[some])]
+            turn = np.nonzero(asked.take(mine, axis=0))[1].reshape(-1, some)
+            goal = np.take_along_axis(places.take(mine, axis=0), turn, 1).ravel()
+            x = inputs.take(mine, axis=0)
+            kind = kinds.take(goal)
+            first = kind < half
+            # the id before belongs to a word to spell, which ends here
+            close = first & marked.take(goal - 1, mode="clip") & (goal > 0)
+            close &= np.take_along_axis(x, OVERLAP + turn, 1).ravel() != END
+            sums.add(x, turn, kind, first, ~first, close, 0)
 
 
 # --- Spark: corpus counts
@@ -397,18 +530,23 @@ def _slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 def split_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """Lower-case (A to Z) words of texts, coded, and the number per text."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
     words = split.flatten()
-    keep = pc.greater(pc.binary_length(words), 0)
-    owner = pc.list_parent_indices(split).filter(keep).to_numpy(zero_copy_only=False)
-    return words.filter(keep).dictionary_encode(), np.bincount(owner, minlength=len(texts)).astype(np.int64)
+    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    # a text without words is split into one empty word
+    empty = pc.equal(pc.binary_length(words), 0)
+    if pc.any(empty).as_py():
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        lengths -= np.bincount(owner[empty.to_numpy(zero_copy_only=False)], minlength=len(texts))
+        words = words.filter(pc.invert(empty))
+    return words.dictionary_encode(), lengths
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words and their numbers, slice by slice."""
     for batch in batches:
         texts = batch.column(0)
-        for start, end in _slices(texts):
+        for start, end in _slices(texts, 4 * SLICE_BYTES):
             coded, _ = split_words(texts.slice(start, end - start))
             counts = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(counts)], names=["word", "n"])
@@ -424,7 +562,7 @@ def _count_ids(encoder: Encoder):
         """Sums of ``last, next`` over the distinct words of a partition, see ``id_counts``."""
         sums = np.zeros((IDS + 2, IDS + 1), np.int64)
         for batch in batches:
-            ids, lengths = encoder.words(batch.column(0).to_pylist())
+            ids, lengths = encoder.words(batch.column(0))
             if not len(ids):
                 continue
             ids = ids.astype(np.int64)
@@ -470,6 +608,17 @@ class Fitted:
     texts: int
 
 
+class Common:
+    """Counts of words, looked up many words at a time."""
+
+    def __init__(self, counts: dict[str, int]):
+        self.words, self.n = pa.array(list(counts), pa.string()), np.append(np.fromiter(counts.values(), np.int64, len(counts)), -1)
+
+    def counts(self, words: pa.Array) -> np.ndarray:
+        """Of each word, -1 if it is not here."""
+        return self.n.take(pc.fill_null(pc.index_in(words.cast(pa.string()), value_set=self.words), len(self.words)).to_numpy())
+
+
 # --- Spark: sums over the ids of all training texts
 
 _MARK = 2048  # added to an id of a word to learn spelling from
@@ -485,9 +634,8 @@ def _text_ids(shared):
             for start, end in _slices(batch.column(2)):
                 part = batch.slice(start, end - start)
                 coded, lengths = split_words(part.column(2))
-                unique = coded.dictionary.to_pylist()
-                ids, sizes = encoder.words(unique)
-                ids = ids.astype("<i2") + np.repeat(np.fromiter((common.get(w, 0) <= SPELLED for w in unique), bool, len(unique)), sizes) * np.int16(_MARK)
+                ids, sizes = encoder.words(coded.dictionary)
+                ids = ids + np.repeat(common.counts(coded.dictionary) <= SPELLED, sizes) * np.int16(_MARK)
                 place = coded.indices.to_numpy() if len(coded) else np.empty(0, np.int64)
                 stream, _, _, long = _laid_out(ids, sizes, place, lengths)
                 raw, ends = stream.astype("<i2").tobytes(), np.cumsum(long) * 2
@@ -499,7 +647,7 @@ def _text_ids(shared):
 
 def stored_ids(rows: DataFrame, encoder: Encoder, common: dict[str, int], rounds: int) -> DataFrame:
     """``part, draw, ids`` of every row with ``doc, body``, written by part."""
-    shared = rows.sparkSession.sparkContext.broadcast((encoder, common))
+    shared = rows.sparkSession.sparkContext.broadcast((encoder, Common({w: n for w, n in common.items() if n > SPELLED})))
     # id and text together: neither null nor repeated ids share a part or a draw
     drawn = rows.withColumn("draw", F.xxhash64(F.lit(3), F.col("doc").cast("string"), "body"))
     drawn = drawn.select(F.pmod("draw", F.lit(rounds)).cast("int").alias("part"), "draw", "body")
@@ -508,12 +656,12 @@ def stored_ids(rows: DataFrame, encoder: Encoder, common: dict[str, int], rounds
     return rows.sparkSession.read.schema("draw bigint, ids binary, part int").parquet(path)
 
 
-def _streams(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _streams(column: pa.Array, size: int = STREAM_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``ids, marked, lengths`` of some stored texts at a time."""
     for start, end in _slices(column, size):
         texts = column.slice(start, end - start)
         raw = np.frombuffer(b"".join(texts.to_pylist()), "<i2")
-        yield (raw % _MARK).astype(np.int64), raw >= _MARK, pc.binary_length(texts).to_numpy(zero_copy_only=False) // 2
+        yield (raw & (_MARK - 1)).astype(np.int64), raw >= _MARK, pc.binary_length(texts).to_numpy(zero_copy_only=False) // 2
 
 
 def _add_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -546,15 +694,18 @@ def _share_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first = int(lengths[:at].sum())
                 owner = np.repeat(np.arange(len(some)), some)
                 counts = np.bincount(owner * (IDS + 1) + ids[first : first + len(owner)], minlength=len(some) * (IDS + 1)).reshape(len(some), IDS + 1)
-                roots = np.sqrt(counts[:, :IDS]).astype(np.float32)
-                more = roots.T @ roots
-                total = more.astype(np.float64) if total is None else total + more
+                roots = np.sqrt(counts[:, :IDS], dtype=np.float32)
+                if total is None:
+                    total = np.zeros((IDS, IDS))
+                total += roots.T @ roots
     yield from _one_row(None if total is None else total[np.tril_indices(IDS)])
 
 
 def shared_texts(texts: DataFrame) -> np.ndarray:
     """``[ids, ids]`` sums over all texts, see ``id_classes``."""
     out = np.zeros((IDS, IDS))
+    # a task sends a sum of four megabytes: a few tasks a core rather than one for some small files
+    texts = texts.coalesce(4 * texts.sparkSession.sparkContext.defaultParallelism)
     total = _summed(texts.select("ids").mapInArrow(_share_sums, "sums binary"))
     if total is not None:
         out[np.tril_indices(IDS)] = total
@@ -566,20 +717,11 @@ def _gradient_sums(shared):
     """``ids`` of texts -> the number of their ids and the sum of their gradients, one after another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, total = shared.value, None
+        sums = GradientSums(shared.value)
         for batch in batches:
             for ids, marked, lengths in _streams(batch.column(0)):
-                inputs, places = _by_asked(model, *windows(ids, lengths), ids, marked)
-                before = np.append(False, marked[:-1])
-                for at in range(0, len(inputs), CHUNK):
-                    real = int((places[at : at + CHUNK] >= 0).sum())
-                    grads = _gradients(model, inputs[at : at + CHUNK], places[at : at + CHUNK], ids, marked, before)
-                    if total is None:
-                        total = {"real": np.zeros(1)} | {k: np.zeros(grads[k].shape) for k in LEARNED}
-                    total["real"] += real
-                    for k in LEARNED:
-                        total[k] += grads[k] * real
-        yield from _one_row(None if total is None else np.concatenate([v.ravel() for v in total.values()]))
+                _add_stream(sums, ids, marked, lengths)
+        yield from _one_row(np.concatenate([[sums.real], *(v.ravel() for v in sums.sums().values())]) if sums.real else None)
 
     return run
 
@@ -661,22 +803,25 @@ def _score(shared, kept: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, encoder, common = shared.value
+        tables = Tables(model)
         for batch in batches:
             for start, end in _slices(batch.column(kept)):
                 part = batch.slice(start, end - start)
                 coded, lengths = split_words(part.column(kept))
-                unique = coded.dictionary.to_pylist()
+                unique = coded.dictionary
                 place = coded.indices.to_numpy() if len(coded) else np.empty(0, np.int64)
                 texts = part.num_rows
                 owner = np.repeat(np.arange(texts), lengths)
-                here = np.fromiter((common.get(w, -1) for w in unique), np.int64, len(unique))[place]
+                counts = common.counts(unique)
+                here = counts.take(place)
                 rare = here < 0
-                base = np.bincount(owner, np.where(rare, 0.0, np.log10(np.maximum(here, 0) + 1.0)), texts)
+                base = np.bincount(owner, np.log10(np.maximum(counts, 0) + 1.0).take(place), texts)
                 known = np.bincount(owner, ~rare, texts).astype(np.int64)
-                per_count, classes, spelling, ends = word_scores(model, encoder, unique, place, lengths)
+                per_count, classes, spelling, ends = word_scores(model, encoder, unique, place, lengths, tables)
+                at = np.flatnonzero(~rare)
                 with np.errstate(divide="ignore"):
-                    word = classes + np.log10(np.maximum(here, 0) * per_count + 10.0**spelling)
-                score = np.bincount(owner, np.where(rare, 0.0, word), texts) + ends
+                    word = classes.take(at) + np.log10(here.take(at) * per_count.take(at) + np.exp(spelling.take(at) * np.log(10)))
+                score = np.bincount(owner.take(at), word, texts) + ends
                 at = np.flatnonzero(rare)
                 names = pa.nulls(texts, pa.string())
                 words = pa.concat_arrays([names, coded.dictionary.cast(pa.string()).take(pa.array(place[at]))])
@@ -697,18 +842,23 @@ def _score(shared, kept: int):
 def _laid_out(ids: np.ndarray, sizes: np.ndarray, place: np.ndarray, lengths: np.ndarray):
     """The ids of coded texts with their ends, the ids and the text of every word, and the ids of every text."""
     texts = len(lengths)
-    per_word = sizes[place]
+    per_word = sizes.take(place)
     owner = np.repeat(np.arange(texts), lengths)
     long = np.bincount(owner, per_word, texts).astype(np.int64) + 1
-    stream = np.full(int(long.sum()), END, np.int64)
-    # ids of all words in order; after each text one place is left for its end
-    total = int(per_word.sum())
-    source = np.arange(total) + np.repeat((np.cumsum(sizes) - sizes)[place] - (np.cumsum(per_word) - per_word), per_word)
-    stream[np.arange(total) + np.repeat(owner, per_word)] = ids[source]
+    # an end is one more word, after each text
+    starts = np.append(np.cumsum(sizes) - sizes, len(ids))
+    words = np.empty(len(place) + texts, np.int64)
+    ends = np.cumsum(lengths) + np.arange(texts)
+    words[np.arange(len(place)) + owner] = place
+    words[ends] = len(sizes)
+    sizes = np.append(sizes, 1).take(words)
+    source = np.arange(int(sizes.sum()))
+    source += np.repeat(starts.take(words) - (np.cumsum(sizes) - sizes), sizes)
+    stream = np.append(ids, ids.dtype.type(END)).take(source).astype(np.int64)
     return stream, per_word, owner, long
 
 
-def word_scores(model: Model, encoder: Encoder, unique: list[str], place: np.ndarray, lengths: np.ndarray):
+def word_scores(model: Model, encoder: Encoder, unique: pa.Array, place: np.ndarray, lengths: np.ndarray, tables: Tables | None = None):
     """Per word of coded texts what a count of one is worth, log10 of its class and of its spelling as a new word; log10 of each text's end."""
     ids, sizes = encoder.words(unique)
     texts = len(lengths)
@@ -720,7 +870,7 @@ def word_scores(model: Model, encoder: Encoder, unique: list[str], place: np.nda
     while at < texts:
         first = bounds[at - 1] if at else 0
         stop = max(at + 1, int(np.searchsorted(bounds, first + 400_000, side="right")))
-        for out, values in zip(parts, id_scores(model, stream[first : bounds[stop - 1]], long[at:stop])):
+        for out, values in zip(parts, id_scores(model, stream[first : bounds[stop - 1]], long[at:stop], tables=tables)):
             out[first : bounds[stop - 1]] = values
         at = stop
     classes, spelled, ended = parts
@@ -737,7 +887,7 @@ def word_scores(model: Model, encoder: Encoder, unique: list[str], place: np.nda
 def document_scores(docs: DataFrame, fitted: Fitted, doc_id: str = "doc_id", text: str = "text", flag: Column | None = None) -> DataFrame:
     """``doc, flag, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
     # the model and at most ``common`` words: of bounded size
-    shared = docs.sparkSession.sparkContext.broadcast((fitted.model, fitted.encoder, fitted.common))
+    shared = docs.sparkSession.sparkContext.broadcast((fitted.model, fitted.encoder, Common(fitted.common)))
     rows = docs.select(
         F.col(doc_id).alias("doc"), (flag if flag is not None else F.lit(False)).alias("flag"), F.xxhash64(text).alias("hash"), text_or_empty(text).alias("body")
     )

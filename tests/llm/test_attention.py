@@ -250,3 +250,62 @@ def test_draw_is_bounded_with_null_ids(spark):
     finally:
         lm.train = old
     assert len(seen) == 20
+
+
+def test_words_are_encoded_together():
+    """One call for many words, with the ids that each word has alone."""
+    encoder, many = lm.Encoder.load(), ["a", "don't", "Äd", "日本語", "\x1cx\x1f", " ", "1234567", "<|endoftext|>", "ab" * 3000, "a"]
+    alone, calls = [encoder.encoding.encode_ordinary(" " + w) for w in many], []
+
+    class Counting:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return whole.encode_ordinary(text)
+
+    whole, encoder.encoding = encoder.encoding, Counting()
+    ids, sizes = encoder.words(many)
+    assert len(calls) == 1 and ids.tolist() == sum(alone, []) and sizes.tolist() == [len(x) for x in alone]
+    assert [len(x) for x in encoder.words([])] == [0, 0]
+
+
+def test_gradient_is_worked_out_at_asked_places_only(fitted, monkeypatch):
+    """Windows of many lengths are not filled up to the most that one of them asks for."""
+    m, rng, worked, forward = fitted.model, np.random.default_rng(8), [], lm._forward
+    texts = [np.append(rng.integers(0, lm.IDS, n), lm.END) for n in (0, 1, 30, 200, 333)]
+    ids, lengths = np.concatenate(texts), np.array([len(x) for x in texts])
+    marked = (rng.random(len(ids)) < 0.3) & (ids != lm.END)
+
+    def counting(*args):
+        out = forward(*args)
+        worked.append(out[-1].shape[0] * out[-1].shape[1])
+        return out
+
+    want = lm._gradients(m, *lm.windows(ids, lengths), ids, marked, np.append(False, marked[:-1]))
+    monkeypatch.setattr(lm, "_forward", counting)
+    raw = (ids + marked * lm._MARK).astype("<i2")
+    stops = np.cumsum(lengths)
+    lists = pa.array([raw[b - n : b].tobytes() for b, n in zip(stops, lengths)], pa.binary())
+    shared = type("Shared", (), {"value": m})
+    (row,) = lm._gradient_sums(shared)(iter([pa.RecordBatch.from_arrays([lists], names=["ids"])]))
+    total = np.frombuffer(row.column(0)[0].as_buffer(), np.float64)
+    assert total[0] == len(ids) and sum(worked) == ((m.of_class[ids] <= lm.CLASSES) | marked).sum()
+    got = np.concatenate([want[k].ravel() for k in lm.LEARNED])
+    assert np.allclose(total[1:] / total[0], got, atol=1e-6)
+
+
+def test_large_exponents(fitted):
+    """Sums of exponentials neither overflow nor vanish, whatever the layer has learned."""
+    rng = np.random.default_rng(9)
+    ids = np.append(rng.integers(0, lm.IDS, 90), lm.END)
+    lengths = np.array([len(ids)])
+    inputs, places = lm.windows(ids, lengths)
+    marked = rng.random(len(ids)) < 0.5
+    wild = lm.Model(**{**fitted.model.__dict__, "embed": fitted.model.embed * 30, "out": fitted.model.out * 30})
+    whole = lm.Model(**{k: (v.astype(np.float64) if isinstance(v, np.ndarray) and v.dtype == np.float32 else v) for k, v in wild.__dict__.items()})
+    assert lm.Tables(fitted.model).calm and not lm.Tables(wild).calm
+    for a, b in zip(lm.id_scores(wild, ids, lengths), lm.id_scores(whole, ids, lengths)):
+        assert np.isfinite(a).all() and np.allclose(a, b, rtol=1e-2, atol=0.5)
+    args = inputs, places, ids, marked, np.append(False, marked[:-1])
+    a, b = lm._gradients(wild, *args), lm._gradients(whole, *args)
+    for k in lm.LEARNED:
+        assert np.isfinite(a[k]).all() and np.allclose(a[k], b[k], rtol=1e-2, atol=1e-2 * np.abs(b[k]).max()), k
